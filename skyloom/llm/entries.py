@@ -6,19 +6,69 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import bpe, minhash, tokenfile
-from skyloom.llm.common import table
+from skyloom.llm import bpe, chat, minhash, shards, simhash, tokenfile, urlrules
+from skyloom.llm.common import shared_dir, table
 
 END_ID = 2
 BYTE_BPE_IDS = 50_257
 
 
+SHARDS = 40
+# The site rules of the URL query.
+SITE_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = shards.sized(table(spark, sf_dir, "documents"))
+    totals = shards.slot_totals(rows)
+    plan = shards.planned(totals, SHARDS)
+    path = shared_dir(spark)
+    shards.save_map(shards.as_map(spark, plan, totals), path, 1)
+    shards.save_map(shards.as_map(spark, shards.rebalanced(plan, totals, SHARDS + 1), totals), path, 2)
+    grown = shards.load_map(spark, path, 2).select(F.col("slot").alias("virtual_slot"), F.col("shard").alias("rebalanced_shard"))
+    out = shards.placed(rows, shards.load_map(spark, path, 1)).join(F.broadcast(grown), "virtual_slot")
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "rebalanced_shard")
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.format_records(chat.records_of_turns(rows.union(planted))))
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.compared(table(spark, sf_dir, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks), ranks)
     return coded.select("doc_id", F.expr("cast(length(ids) div 4 AS long)").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [urlrules.site_rule(*r) for r in SITE_RULES] + urlrules.PATTERNS
+    return urlrules.judge(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP6_SQL = r"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+part AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, rest FROM cut),
+ruled AS (
+  SELECT *, CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+                 WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+                 WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+                 WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM part)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+            WHEN regexp_matches(rest, '[?&]sessionid=|/login([/?#]|$)|/cart([/?#]|$)|\.exe([?#]|$)') THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled"""
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -29,5 +79,5 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read(segments).select("doc_id", "start", F.expr("cast(length(ids) div 4 AS long)").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op5_byte_bpe, op8_minhash_near_dedup, op9_token_files)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_virtual_slots, op3_chat_format, op4_simhash, op5_byte_bpe, op6_url_rules, op8_minhash_near_dedup, op9_token_files)}
+ORACLE_SQL: dict[str, str] = {"op6_url_rules": OP6_SQL}
