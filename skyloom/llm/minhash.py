@@ -2,11 +2,11 @@
 
 1. Each text becomes the set of its distinct 5-word shingles; `sid` is the hash of the whole set, so texts with equal
    sets are one node and a thousand copies cost as much as one.
-2. 128 minima; bands of 4 full minima give the candidate keys, and the low 2 bits of each minimum are packed into four
+2. 256 minima; 32 bands of 4 full minima give the candidate keys, and the low 2 bits of each minimum are packed into eight
    64-bit words. At a Jaccard similarity of 0.75 all 32 bands differ with a chance of 5e-6.
 3. In each band key every node is compared with the key's head alone (a star, linear in the key's size): the packed
    words give a similarity by bit counts, corrected for chance collisions; what can reach the limit is confirmed on the
-   full sets. Components follow from these links.
+   full sets. Components follow from these links, and the keys that hold several take another head, a few times.
 4. Only nodes of a key that are still in different components are then compared with each other, first by bit counts
    and then on full sets, so no link that would join two components is lost, and no group emits all its pairs.
 
@@ -27,11 +27,12 @@ from skyloom.llm import textkit as K
 from skyloom.llm.common import written
 from skyloom.llm.graph import components
 
-PERMUTATIONS, BANDS, LOW_BITS = 128, 32, 2
-ROWS = PERMUTATIONS // BANDS
+PERMUTATIONS, BANDS, ROWS, LOW_BITS = 256, 32, 4, 2
 WORDS = PERMUTATIONS * LOW_BITS // 64
 #: Standard deviations of the bit-count estimate that a pair may lie below the limit and still be confirmed exactly.
-SLACK = 5.0
+SLACK = 4.5
+#: How often the nodes of a band that are in different components meet a new head before they meet each other.
+ROUNDS = 4
 FILTER_BITS = 1 << 22
 _rng = np.random.default_rng(20240229)
 _MULTIPLY = _rng.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
@@ -43,8 +44,8 @@ def minima(grams: np.ndarray) -> np.ndarray:
     """The least value of each permutation over a set of 64-bit shingle hashes."""
     high = (grams >> np.uint64(32)).astype(np.uint32)
     least = np.full(PERMUTATIONS, 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(high), 2048):
-        np.minimum(least, (high[at : at + 2048, None] * _MULTIPLY + _ADD).min(axis=0), out=least)
+    for at in range(0, len(high), 1024):
+        np.minimum(least, (high[at : at + 1024, None] * _MULTIPLY + _ADD).min(axis=0), out=least)
     return least
 
 
@@ -56,7 +57,7 @@ def packed(least: np.ndarray) -> np.ndarray:
 
 
 def band_keys(least: np.ndarray) -> np.ndarray:
-    parts = K.mix64(least).reshape(len(least), BANDS, ROWS)
+    parts = K.mix64(least[:, : BANDS * ROWS]).reshape(len(least), BANDS, ROWS)
     return K.mix64((parts * _BAND).sum(axis=2) + np.arange(BANDS, dtype=np.uint64))
 
 
@@ -172,23 +173,31 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     key = F.coalesce("doc_id", F.lit(-(1 << 63)))
     cards = sign.where("sid is not null").join(reps.select(F.col("sid").alias("r"), key.alias("rk")), (F.col("sid") == F.col("r")) & (key == F.col("rk")), "left_semi")
     entries = cards.select("sid", *words, F.explode("bands").alias("band"))
-    heads = written(entries.groupBy("band").agg(F.min("sid").alias("head"), F.max("sid").alias("tail")).where("head <> tail").select("band", "head"))
-    shared = written(entries.join(heads, "band"))
+    several = written(entries.groupBy("band").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low <> high").select("band"))
+    shared = written(entries.join(several, "band", "left_semi"))
     limit = most_mismatches(percent / 100)
 
-    star = shared.where("sid <> head").select(F.col("sid").alias("a"), F.col("head").alias("b"), *words).dropDuplicates(["a", "b"])
-    theirs = shared.where("sid = head").select(F.col("sid").alias("b"), *[F.col(w).alias(f"t{w}") for w in words]).dropDuplicates(["b"])
-    alike = mismatches([F.col(w) for w in words], [F.col(f"t{w}") for w in words])
-    links = written(_confirmed(written(star.join(theirs, "b").where(alike <= limit).select("a", "b")), docs, reps, k, percent))
-    comps = components(links)
-    placed = written(shared.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid")))
-    mixed = placed.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("band")
-    left = written(placed.join(written(mixed), "band", "left_semi"))
-    right = left.select("band", F.col("sid").alias("b"), F.col("comp").alias("other"), *[F.col(w).alias(f"t{w}") for w in words])
-    across = left.join(right, "band").where((F.col("comp") < F.col("other")) & (alike <= limit)).select(F.col("sid").alias("a"), "b").distinct()
-    more = written(_confirmed(written(across), docs, reps, k, percent))
-    if not more.isEmpty():
-        comps = components(links.union(more))
+    there = [F.col(w).alias(f"t{w}") for w in words]
+    alike = mismatches([F.col(w) for w in words], [F.col(f"t{w}") for w in words]) <= limit
+    links, comps, placed = None, None, shared.withColumn("comp", F.col("sid"))
+    for turn in range(ROUNDS + 1):
+        if turn < ROUNDS:
+            first = F.min(F.struct(F.xxhash64("sid", F.lit(turn)), "sid", "comp", *words)).alias("h")
+            heads = written(placed.groupBy("band").agg(first).select("band", F.col("h.sid").alias("b"), F.col("h.comp").alias("other"), *[F.col(f"h.{w}").alias(f"t{w}") for w in words]))
+            pairs = placed.join(heads, "band").where((F.col("comp") != F.col("other")) & alike)
+        else:
+            others = placed.select("band", F.col("sid").alias("b"), F.col("comp").alias("other"), *there)
+            pairs = placed.join(others, "band").where((F.col("comp") < F.col("other")) & alike)
+        more = written(_confirmed(written(pairs.select(F.col("sid").alias("a"), "b").distinct()), docs, reps, k, percent))
+        if links is None or not more.isEmpty():
+            links = more if links is None else written(links.union(more))
+            comps = components(links)
+        if turn < ROUNDS:
+            found = shared.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
+            mixed = found.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("band")
+            placed = written(found.join(written(mixed), "band", "left_semi"))
+            if placed.isEmpty():
+                break
     named = comps.join(reps.withColumnRenamed("sid", "node"), "node")
     least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     groups = written(comps.join(least, "comp").select(F.col("node").alias("sid"), "component_id"))
