@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import bpe, chat, minhash, shards, simhash, tokenfile, urlrules
+from skyloom.llm import bpe, chat, decontam, linededup, minhash, quality, shards, simhash, tokenfile, urlrules
 from skyloom.llm.common import shared_dir, table
 
 END_ID = 2
@@ -18,6 +19,10 @@ SHARDS = 40
 SITE_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shards.sized(table(spark, sf_dir, "documents"))
     totals = shards.slot_totals(rows)
@@ -69,6 +74,11 @@ SELECT page_id, host, path, rule,
 FROM ruled"""
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = linededup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"), "removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -79,5 +89,23 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read(segments).select("doc_id", "start", F.expr("cast(length(ids) div 4 AS long)").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op2_virtual_slots, op3_chat_format, op4_simhash, op5_byte_bpe, op6_url_rules, op8_minhash_near_dedup, op9_token_files)}
+HOLD_OUT, ACCEPT = 5, 0.3
+
+
+def held_out() -> Column:
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(HOLD_OUT)) == 0
+
+
+def quality_weights(spark: SparkSession, sf_dir: str) -> np.ndarray:
+    """From the labels that aren't held out and the corpus as it was delivered."""
+    labels = table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", F.col("quality").alias("label"))
+    return quality.train(table(spark, sf_dir, "documents").select("doc_id", "text"), labels)
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.scores(table(spark, sf_dir, "documents"), quality_weights(spark, sf_dir))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_virtual_slots, op3_chat_format, op4_simhash, op5_byte_bpe, op6_url_rules, op7_line_dedup, op8_minhash_near_dedup, op9_token_files, op10_quality)}
 ORACLE_SQL: dict[str, str] = {"op6_url_rules": OP6_SQL}

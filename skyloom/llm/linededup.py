@@ -197,7 +197,8 @@ class _Meeting:
         ok = 1 + np.minimum(n[i] - place[i], n[j] - place[j]) - 1 >= need
         ok &= (a[i] == b[i]) | (part[i] != part[j])  # equal parts meet in their own block alone
         i, j, need = i[ok], j[ok], need[ok]
-        distance = np.bitwise_count(low[i] ^ low[j]).astype(np.int64) + np.bitwise_count(high[i] ^ high[j])
+        bits = np.bitwise_count((low[i] ^ low[j]).view(U64)).astype(np.int64)
+        distance = bits + np.bitwise_count((high[i] ^ high[j]).view(U64))
         ok = distance <= n[i] + n[j] - 2 * need
         return i[ok], j[ok], distance[ok]
 
@@ -224,9 +225,6 @@ def _candidates(sets: DataFrame, best: int) -> DataFrame:
     rows = sets.select("doc", "line", "n", "low", "high", F.posexplode("prefix").alias("place", "p"))
     rows = rows.select("doc", "line", "n", "low", "high", "place", "p.word", "p.parts").withColumn("part", F.expr("cast(pmod(xxhash64(doc, line), parts) AS int)"))
     pair = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda q: F.struct(F.least(q, F.col("part")).alias("a"), F.greatest(q, F.col("part")).alias("b")))
-    one = rows.where("parts = 1").select("word", F.lit(0).alias("a"), F.lit(0).alias("b"), "part", "doc", "line", "n", "place", "low", "high")
-    many = rows.where("parts > 1").select("*", F.explode(pair).alias("ab")).select("word", "ab.a", "ab.b", "part", "doc", "line", "n", "place", "low", "high")
-    del one, many
     every = rows.select("*", F.explode(pair).alias("ab")).select("word", "ab.a", "ab.b", "part", "doc", "line", "n", "place", "low", "high")
     met = every.repartition(input_partitions(sets.sparkSession), "word", "a", "b").sortWithinPartitions("word", "a", "b", "n")
     return met.mapInArrow(lambda batches: iter(_Meeting(batches, best)), CANDIDATES)

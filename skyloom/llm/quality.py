@@ -139,3 +139,17 @@ def _score(weights: np.ndarray) -> Callable:
 def scores(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     """doc_id, score of every row."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_score(weights), "doc_id long, score double")
+
+
+def scored(docs: DataFrame, weights: np.ndarray) -> DataFrame:
+    """docs with a column `score`: the same weights as a function of the text, so all columns stay beside it."""
+
+    @F.pandas_udf("double")
+    def of(texts):
+        import pandas as pd
+
+        column = pa.array(texts, pa.string(), from_pandas=True)
+        batch = pa.RecordBatch.from_arrays([pa.array(np.zeros(len(column), np.int64)), column], names=["doc_id", "text"])
+        return pd.Series(np.concatenate([b.column(1).to_numpy() for b in _score(weights)(iter([batch]))]) if len(column) else np.zeros(0))
+
+    return docs.withColumn("score", of(F.col("text").cast("string")))
