@@ -20,7 +20,7 @@ U64 = np.uint64
 MASK, LIMIT, SIXTEEN, FORTY8, THIRTY2 = U64((1 << 48) - 1), U64(1 << 32), U64(16), U64(48), U64(32)
 NONE = 0xFFFF << 2
 BITS1, BITS2, GAIN, LANE = 12, 13, 32, 20
-FIRST_REFRESH = 32
+FIRST_REFRESH = 64
 
 
 class Model:
@@ -90,17 +90,22 @@ def encode(blocks: np.ndarray, short: int, ids: int) -> list[bytes]:
     out = np.zeros((lanes, steps * 3 + 8), np.uint32)
     pos = np.ones(lanes, np.int64)
 
+    flat_out, base = out.reshape(-1), np.arange(lanes) * out.shape[1]
+
     def narrow(at, cum, freq, unit):
+        """at: lane numbers, or a slice from 0 on."""
+        lane = (lambda k: k) if isinstance(at, slice) else (lambda k: at[k])
         lo, sp = low[at] + unit * cum, unit * freq
         over = np.flatnonzero(lo > MASK)
         if len(over):
-            out[at[over], pos[at[over]] - 1] += 1
+            to = lane(over)
+            flat_out[base[to] + pos[to] - 1] += 1
             lo &= MASK
         while len(small := np.flatnonzero(sp < LIMIT)):
-            to = at[small]
-            out[to, pos[to]] = lo[small] >> THIRTY2
+            to, part = lane(small), lo[small]
+            flat_out[base[to] + pos[to]] = part >> THIRTY2
             pos[to] += 1
-            lo[small] = (lo[small] << SIXTEEN) & MASK
+            lo[small] = (part << SIXTEEN) & MASK
             sp[small] <<= SIXTEEN
         low[at], span[at] = lo, sp
 
@@ -111,12 +116,12 @@ def encode(blocks: np.ndarray, short: int, ids: int) -> list[bytes]:
         model.refresh(t, blocks)
         model.predict(n)
         x = blocks[t, :n].astype(np.int64)
-        hit2 = model.id2 == x
-        hit1 = (model.id1 == x) & ~hit2
         w2, w1 = model.w2, model.w1
+        hit2 = (model.id2 == x) & (w2 > 0)
+        hit1 = (model.id1 == x) & ~hit2 & (w1 > 0)  # an interval may be empty
         cum = np.where(hit2, 0, np.where(hit1, w2, w2 + w1))
         freq = np.where(hit2, w2, np.where(hit1, w1, 65536 - w2 - w1))
-        narrow(model.lane[:n], cum.astype(U64), freq.astype(U64), span[:n] >> SIXTEEN)
+        narrow(slice(0, n), cum.astype(U64), freq.astype(U64), span[:n] >> SIXTEEN)
         miss = np.flatnonzero(~(hit2 | hit1))
         if len(miss):
             at = model.row[miss] + x[miss]
@@ -143,11 +148,13 @@ def decode(codes: list[bytes], steps: int, short: int, ids: int) -> np.ndarray:
     span = np.full(lanes, MASK, U64)
     blocks = np.zeros((steps, lanes), np.uint16)
 
+    flat_words, base = words.reshape(-1), np.arange(lanes) * words.shape[1]
+
     def narrow(at, cum, freq, unit):
         co, sp = code[at] - unit * cum, unit * freq
         while len(small := np.flatnonzero(sp < LIMIT)):
-            to = at[small]
-            co[small] = (co[small] << SIXTEEN) | words[to, pos[to]]
+            to = small if isinstance(at, slice) else at[small]
+            co[small] = (co[small] << SIXTEEN) | flat_words[base[to] + pos[to]]
             pos[to] += 1
             sp[small] <<= SIXTEEN
         code[at], span[at] = co, sp
@@ -165,7 +172,7 @@ def decode(codes: list[bytes], steps: int, short: int, ids: int) -> np.ndarray:
         hit1 = ~hit2 & (v < w2 + w1)
         cum = np.where(hit2, 0, np.where(hit1, w2, w2 + w1))
         freq = np.where(hit2, w2, np.where(hit1, w1, 65536 - w2 - w1))
-        narrow(model.lane[:n], cum.astype(U64), freq.astype(U64), unit)
+        narrow(slice(0, n), cum.astype(U64), freq.astype(U64), unit)
         x = np.where(hit2, model.id2, model.id1).astype(np.int64)
         miss = np.flatnonzero(~(hit2 | hit1))
         if len(miss):
