@@ -11,7 +11,6 @@ from skyloom.llm import bpe, chat, decontam, linededup, minhash, quality, shards
 from skyloom.llm.common import shared_dir, table
 
 END_ID = 2
-BYTE_BPE_IDS = 50_257
 
 
 SHARDS = 40
@@ -85,7 +84,7 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as spec:
-        segments = tokenfile.write(table(spark, sf_dir, "documents"), spec.read(), END_ID, BYTE_BPE_IDS)
+        segments = tokenfile.write(table(spark, sf_dir, "documents"), spec.read(), END_ID)
     return tokenfile.read(segments).select("doc_id", "start", F.expr("cast(length(ids) div 4 AS long)").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 

@@ -18,7 +18,8 @@ import numpy as np
 
 U64 = np.uint64
 MASK, LIMIT, SIXTEEN, FORTY8, THIRTY2 = U64((1 << 48) - 1), U64(1 << 32), U64(16), U64(48), U64(32)
-NONE = 0xFFFF << 2
+UNKNOWN = 0x1FFFFFFF
+NONE = UNKNOWN << 2
 BITS1, BITS2, GAIN, LANE = 12, 13, 32, 20
 FIRST_REFRESH = 64
 
@@ -29,7 +30,7 @@ class Model:
         self.lane = np.arange(lanes)
         self.one, self.two = np.full(lanes << BITS1, NONE, np.int32), np.full(lanes << BITS2, NONE, np.int32)
         self.base1, self.base2 = self.lane << BITS1, self.lane << BITS2
-        self.weight2, self.weight1 = np.full(lanes * 8, 1 << 14, np.int64), np.full(lanes * 4, 1 << 13, np.int64)
+        self.weight2, self.weight1 = np.full(lanes * 8, 1 << 14, np.int32), np.full(lanes * 4, 1 << 13, np.int32)
         self.class2, self.class1 = self.lane * 8, self.lane * 4
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         self.count = np.ones((lanes, ids), np.uint32)
@@ -64,8 +65,9 @@ class Model:
         same = self.id1 == self.id2
         self.in2 = self.class2[:n] + (self.got2 & 3) + 4 * same
         self.in1 = self.class1[:n] + (self.got1 & 3)
-        self.w2 = np.where(self.id2 == 0xFFFF, 0, self.weight2[self.in2])
-        self.w1 = np.where(same | (self.id1 == 0xFFFF), 0, (65536 - self.w2) * self.weight1[self.in1] >> 16)
+        self.w2 = np.where(self.id2 == UNKNOWN, 0, self.weight2[self.in2])
+        rest = (65536 - self.w2).astype(np.int64)
+        self.w1 = np.where(same | (self.id1 == UNKNOWN), 0, rest * self.weight1[self.in1] >> 16)
 
     def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
         n = len(ids)
@@ -83,7 +85,7 @@ class Model:
 
 
 def encode(blocks: np.ndarray, short: int, ids: int) -> list[bytes]:
-    """blocks: a row per step, a column per block; the last block has `short` ids. Returns the code of each block."""
+    """blocks: a row per step, a column per block, all below `ids`; the last block has `short` ids. Returns each block's code."""
     steps, lanes = blocks.shape
     model = Model(lanes, ids)
     low, span = np.zeros(lanes, U64), np.full(lanes, MASK, U64)
@@ -146,7 +148,7 @@ def decode(codes: list[bytes], steps: int, short: int, ids: int) -> np.ndarray:
     code = (words[:, 0] << THIRTY2) | (words[:, 1] << SIXTEEN) | words[:, 2]
     pos = np.full(lanes, 3, np.int64)
     span = np.full(lanes, MASK, U64)
-    blocks = np.zeros((steps, lanes), np.uint16)
+    blocks = np.zeros((steps, lanes), np.uint32)
 
     flat_words, base = words.reshape(-1), np.arange(lanes) * words.shape[1]
 

@@ -30,7 +30,7 @@ from skyloom.llm import textkit as K
 from skyloom.llm.common import input_partitions, written
 
 MAGIC = b"SKLM1\n"
-LANES, BLOCK = 256, 8192
+LANES, BLOCK = 1024, 4096
 NULL_ID = -(1 << 63)
 SEGMENTS = "part int, segment int, first long, n_docs long, n_tokens long, payload binary"
 
@@ -67,20 +67,23 @@ class LibraryTokenizer:
         return np.fromiter((i for x in made for i in x), np.uint32, int(rows[-1])), rows
 
 
-def pack(docs: np.ndarray, counts: np.ndarray, ids: np.ndarray, size: int) -> bytes:
-    """A segment's payload; size: all ids are below it."""
+def pack(docs: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> bytes:
+    """A segment's payload."""
     n = len(ids)
+    used = np.flatnonzero(np.bincount(ids))
+    place = np.zeros(int(used[-1]) + 1 if n else 1, np.uint32)
+    place[used] = np.arange(len(used))
     steps = int(min(BLOCK, max(1, -(-n // LANES), min(n, 512))))
     lanes = -(-n // steps)
-    padded = np.zeros(lanes * steps, np.uint16)
-    padded[:n] = ids
+    padded = np.zeros(lanes * steps, np.uint32)
+    padded[:n] = place[ids]
     short = n - (lanes - 1) * steps
     codes: list[bytes] = []
     for at in range(0, lanes, LANES):
         group = padded[at * steps : (at + LANES) * steps].reshape(-1, steps).T
-        codes += rangecoder.encode(np.ascontiguousarray(group), short if at + LANES >= lanes else steps, size)
+        codes += rangecoder.encode(np.ascontiguousarray(group), short if at + LANES >= lanes else steps, len(used))
     sums = [rangecoder.checksum(ids[k * steps : (k + 1) * steps]) for k in range(lanes)]
-    index = struct.pack("<IIII", len(docs), lanes, steps, size) + docs.astype("<i8").tobytes() + counts.astype("<u8").tobytes()
+    index = struct.pack("<IIII", len(docs), lanes, steps, len(used)) + docs.astype("<i8").tobytes() + counts.astype("<u8").tobytes() + used.astype("<u4").tobytes()
     index += np.array([len(c) for c in codes], "<u4").tobytes() + np.array(sums, "<u4").tobytes()
     return MAGIC + struct.pack("<I", zlib.crc32(index)) + index + b"".join(codes)
 
@@ -89,20 +92,20 @@ def unpack(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """doc_ids, counts, ids of a segment; raises ValueError where a checksum fails."""
     if payload[:6] != MAGIC:
         raise ValueError("not a token segment")
-    n_docs, lanes, steps, size = struct.unpack_from("<IIII", payload, 10)
-    ends = np.cumsum([26, n_docs * 8, n_docs * 8, lanes * 4, lanes * 4])
-    if zlib.crc32(payload[10 : ends[4]]) != struct.unpack_from("<I", payload, 6)[0]:
+    n_docs, lanes, steps, n_used = struct.unpack_from("<IIII", payload, 10)
+    ends = np.cumsum([26, n_docs * 8, n_docs * 8, n_used * 4, lanes * 4, lanes * 4])
+    if zlib.crc32(payload[10 : ends[5]]) != struct.unpack_from("<I", payload, 6)[0]:
         raise ValueError("the segment's index is damaged")
-    docs, counts, sizes, sums = (np.frombuffer(payload[a:b], kind) for a, b, kind in zip(ends[:4], ends[1:], ("<i8", "<u8", "<u4", "<u4"), strict=True))
+    docs, counts, used, sizes, sums = (np.frombuffer(payload[a:b], kind) for a, b, kind in zip(ends[:5], ends[1:], ("<i8", "<u8", "<u4", "<u4", "<u4"), strict=True))
     counts = counts.astype(np.int64)
     n = int(counts.sum())
-    at = ends[4] + np.cumsum(sizes.astype(np.int64)) - sizes
+    at = ends[5] + np.cumsum(sizes.astype(np.int64)) - sizes
     codes = [payload[a : a + s] for a, s in zip(at.tolist(), sizes.tolist(), strict=True)]
     ids = np.zeros(lanes * steps, np.uint32)
     for k in range(0, lanes, LANES):
         short = n - (lanes - 1) * steps if k + LANES >= lanes else steps
-        group = rangecoder.decode(codes[k : k + LANES], steps, short, size)
-        ids[k * steps : k * steps + group.size] = group.T.ravel()
+        group = rangecoder.decode(codes[k : k + LANES], steps, short, n_used)
+        ids[k * steps : k * steps + group.size] = used[np.minimum(group.T.ravel(), n_used - 1)]
     ids = ids[:n]
     for k in range(lanes):
         if rangecoder.checksum(ids[k * steps : (k + 1) * steps]) != sums[k]:
@@ -110,21 +113,21 @@ def unpack(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return docs, counts, ids
 
 
-def _write(spec: str, end_id: int, size: int) -> Callable:
+def _write(spec: str, end_id: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = LibraryTokenizer(spec)
         part, segment, first = TaskContext.get().partitionId(), 0, 0
         docs, counts, ids, held = [], [], [], 0
 
         def made() -> pa.RecordBatch:
-            payload = pack(np.concatenate(docs), np.concatenate(counts), np.concatenate(ids), size)
+            payload = pack(np.concatenate(docs), np.concatenate(counts), np.concatenate(ids))
             n = sum(map(len, docs))
             values = ([part], [segment], [first], [n], [held], [payload])
             kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names=["part", "segment", "first", "n_docs", "n_tokens", "payload"])
 
         for batch in batches:
-            for start, stop in K.slices(batch.column(1)):
+            for start, stop in K.slices(batch.column(1), 4 << 20):
                 own, rows = tokenizer.ids(batch.column(1).slice(start, stop - start))
                 with_end = np.insert(own, rows[1:], end_id)
                 docs.append(batch.column(0).slice(start, stop - start).fill_null(NULL_ID).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -141,12 +144,12 @@ def _write(spec: str, end_id: int, size: int) -> Callable:
     return run
 
 
-def write(docs: DataFrame, spec: str, end_id: int, size: int) -> DataFrame:
+def write(docs: DataFrame, spec: str, end_id: int) -> DataFrame:
     """Encodes documents in ascending doc_id order into a table of segments in the shared folder; spec: the tokenizer's JSON."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     ranged = rows.repartitionByRange(input_partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
-    return written(ranged.mapInArrow(_write(spec, end_id, size), SEGMENTS))
+    return written(ranged.mapInArrow(_write(spec, end_id), SEGMENTS))
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
