@@ -35,7 +35,8 @@ def saturation_mask(pixels: DataFrame, radius_px: int, level: float = SATURATION
     """frame_id, y, x of all pixels within a square of saturated ones; only these are spread, not the image."""
     steps = F.sequence(F.lit(-radius_px), F.lit(radius_px))
     hot = pixels.where(F.col("adu") >= level).select("frame_id", "y", "x")
-    grown = hot.select("frame_id", (F.col("y") + F.explode(steps)).alias("y"), "x").select("frame_id", "y", (F.col("x") + F.explode(steps)).alias("x")).distinct()
+    rows = hot.select("frame_id", "x", F.explode(F.transform(steps, lambda d: F.col("y") + d)).alias("y"))
+    grown = rows.select("frame_id", "y", F.explode(F.transform(steps, lambda d: F.col("x") + d)).alias("x")).distinct()
     return grown.join(pixels.select("frame_id", "y", "x"), ["frame_id", "y", "x"], "left_semi")
 
 
@@ -48,7 +49,7 @@ def exceeding(diff: DataFrame, rms: DataFrame, mask: DataFrame, sigma: float = 5
     return diff.join(mask, ["frame_id", "y", "x"], "left_anti").join(rms, "frame_id").where(F.col("diff") > sigma * F.col("rms")).select("frame_id", "y", "x", "diff")
 
 
-def apertures(pixels: DataFrame, spots: DataFrame, size: DataFrame, block: int = 64) -> DataFrame:
+def apertures(pixels: DataFrame, spots: DataFrame, size: DataFrame, block: int = 64, margin: int = 1) -> DataFrame:
     """spot_id, frame_id, net, area, background, sigma, err, hot of each spot (spot_id, frame_id, sx, sy, fwhm_px).
 
     Aperture of 2 widths, annulus of 4 to 6 (3 px where unknown), pixel centres decide. Spots probe the blocks of pixels
@@ -56,7 +57,7 @@ def apertures(pixels: DataFrame, spots: DataFrame, size: DataFrame, block: int =
     height) have null results.
     """
     w = F.when(F.col("fwhm_px") > 0, F.col("fwhm_px")).otherwise(3e0)
-    s = spots.withColumns({"r_ap": 2 * w, "r_in": 4 * w, "r_out": 6 * w}).withColumn("half", F.ceil("r_out") + 1)
+    s = spots.withColumns({"r_ap": 2 * w, "r_in": 4 * w, "r_out": 6 * w}).withColumn("half", F.ceil("r_out") + margin)
     s = s.join(size, "frame_id").withColumn("fits", (F.col("sx") - F.col("half") >= 0) & (F.col("sy") - F.col("half") >= 0) & (F.col("sx") + F.col("half") < F.col("width")) & (F.col("sy") + F.col("half") < F.col("height")))
     span = lambda c: F.sequence(F.floor((F.col(c) - F.col("r_out")) / block), F.floor((F.col(c) + F.col("r_out")) / block))
     probe = s.where("fits").withColumn("bx", F.explode(span("sx"))).withColumn("by", F.explode(span("sy")))

@@ -479,7 +479,8 @@ def x04_j15_apertures(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = pixel_table(spark, sf_dir)
     ids = p.select("frame_id").distinct()
     spots = ids.select(F.col("frame_id").alias("spot_id"), "frame_id", F.lit(3.5e0).alias("sx"), F.lit(3.5e0).alias("sy"), F.lit(0.5e0).alias("fwhm_px"))
-    got = pixels.apertures(p, spots, ids.select("frame_id", F.lit(8).alias("width"), F.lit(8).alias("height")), block=4)
+    size = ids.select("frame_id", F.lit(8).alias("width"), F.lit(8).alias("height"))
+    got = pixels.apertures(p, spots, size, block=4, margin=0)
     return got.select("spot_id", *[F.round(c, 6).alias(c) for c in ("net", "background", "sigma", "err")], "area")
 
 
