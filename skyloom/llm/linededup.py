@@ -303,7 +303,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """All rows and columns of docs with `text` cut, `n_lines` as it was and `removed`: the numbers of the lines that went."""
+    """All rows and columns of docs with `text` cut, `n_lines` as it was and `removed`: the numbers of the lines that went.
+
+    Columns of these two names that docs brings along are replaced.
+    """
+    docs = docs.drop("removed", "n_lines", "_doc", "_listed")
     gone = removed_lines(docs)
     per_doc = written(gone.groupBy("doc").agg(F.sort_array(F.collect_list("line")).alias("removed")))
     bits = bit_table(per_doc)
