@@ -12,7 +12,8 @@ QUIET, MAX_BATCH = "5 seconds", 200
 
 def image_files(spark: SparkSession, path: str, per_trigger: int = MAX_BATCH) -> DataFrame:
     """A stream of .fits and .fit files (any case) below a folder, the backlog first; use trigger(availableNow=True) for it alone."""
-    files = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", per_trigger).load(path)
+    kind = "path string, modificationTime timestamp, length long, content binary"
+    files = spark.readStream.format("binaryFile").schema(kind).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", per_trigger).load(path)
     return files.where(F.lower("path").rlike(r"\.(fits|fit)$"))
 
 
