@@ -15,13 +15,14 @@ def components(links: DataFrame) -> DataFrame:
     that label's own label, so a chain of n nodes needs about log n rounds. Every round is cut by a written
     table; only the count of changed labels comes to the driver.
     """
-    both = written(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("comp")))
+    ends = links.where("a <> b").select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")), F.struct("a", F.col("a").alias("b")), F.struct(F.col("b").alias("a"), "b"))).alias("e"))
+    both = written(ends.select("e.a", "e.b").distinct())  # with a link of each node to itself
+    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("comp")))
     while True:
-        near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("comp").alias("near"))
-        step = labels.join(near, labels.node == near.a).select("node", "comp", F.least("comp", "near").alias("next"))
+        own = F.min(F.when(F.col("a") == F.col("b"), F.col("comp")))
+        step = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("comp").alias("next"), own.alias("was"))
         up = labels.select(F.col("node").alias("next"), F.col("comp").alias("top"))
-        moved = written(step.join(up, "next", "left").select("node", F.least("next", F.coalesce("top", "next")).alias("comp"), F.col("comp").alias("was")))
+        moved = written(step.join(up, "next").select(F.col("a").alias("node"), F.least("next", "top").alias("comp"), "was"))
         labels = moved.select("node", "comp")
         if moved.where("comp <> was").isEmpty():
             return labels

@@ -32,7 +32,7 @@ WORDS = PERMUTATIONS * LOW_BITS // 64
 #: Standard deviations of the bit-count estimate that a pair may lie below the limit and still be confirmed exactly.
 SLACK = 4.5
 #: How often the nodes of a band that are in different components meet a new head before they meet each other.
-ROUNDS = 4
+ROUNDS = 2
 FILTER_BITS = 1 << 22
 _rng = np.random.default_rng(20240229)
 _MULTIPLY = _rng.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1)

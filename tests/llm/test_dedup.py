@@ -45,7 +45,7 @@ def components(rows):
 @pytest.mark.parametrize("rows", [near_copies(), ODD, ODD + near_copies(9)])
 def test_near_duplicates_equal_brute_force(spark, rows):
     got = minhash.near_duplicates(docs_of(spark, rows, clash=True))
-    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    key = lambda x: (x[0] is None, x[0] or 0, x[1], x[2] or 0)
     assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in got.collect()], key=key) == sorted(components(rows), key=key)
 
 
