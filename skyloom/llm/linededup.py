@@ -4,7 +4,7 @@ A line is the set of its lower-cased words. Lines are in order of doc_id and pla
 earlier line, kept or not, has a Jaccard similarity of at least 3/4 with it. Lines of fewer than MIN_WORDS different words
 (and empty ones) are neither removed nor matched.
 
-1. Words are counted over all lines in a hashed table of fixed size: the rarity order. It needs to be the same for all
+1. Words are counted over all texts in a hashed table of fixed size: the rarity order. It needs to be the same for all
    lines, not exact, so hashing costs no result.
 2. Lines with equal sets are one: the first occurrence stands for all, found by map-side minima.
 3. Each distinct set sends one row per word of its prefix (the rarest quarter of its words and one more): two sets that
@@ -100,8 +100,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1 << COUNT_BITS, np.int64)
     for batch in batches:
         for start, stop in K.slices(batch.column(0)):
-            lines = Lines(batch.column(0).slice(start, stop - start))
-            total += np.bincount((lines.word >> U64(64 - COUNT_BITS)).astype(np.int64), minlength=1 << COUNT_BITS)
+            words, _ = K.words(batch.column(0).slice(start, stop - start))
+            np.add.at(total, (words >> U64(64 - COUNT_BITS)).astype(np.int64), 1)
     at = np.flatnonzero(total)
     for k in range(0, len(at), 1 << 16):
         own = at[k : k + (1 << 16)]
@@ -109,7 +109,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def word_counts(texts: DataFrame) -> np.ndarray:
-    """How many lines hold a word of each hash: 2**COUNT_BITS numbers, whatever the corpus."""
+    """How often words of each hash occur: 2**COUNT_BITS numbers, whatever the corpus."""
     found = texts.select("text").mapInArrow(_count, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(1 << COUNT_BITS, np.int64)
     out[found["at"].to_numpy()] = found["n"].to_numpy()
@@ -287,7 +287,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     if not open_lines.isEmpty():
         rest = _candidates(sets, 0).join(open_lines, ["doc", "line"], "left_semi").select("doc", "line", "early_doc", "early_line").distinct()
         similar = written(similar.union(_verified(written(rest), texts)))
-    seen = texts.mapInArrow(_occurrences, "sid long, doc long, line int")
+    seen = written(texts.mapInArrow(_occurrences, "sid long, doc long, line int"))
     first = written(seen.groupBy("sid").agg(F.min(F.struct("doc", "line")).alias("f")).select("sid", F.col("f.doc").alias("first_doc"), F.col("f.line").alias("first_line")))
     again = seen.join(first, "sid").where("doc <> first_doc OR line <> first_line").select("doc", "line")
     return written(again.union(similar).distinct())
