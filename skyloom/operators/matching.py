@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.functions import sky
 from skyloom.operators.cone import cone_pairs, renamed
+from skyloom.sources.lineage import cut
 
 MATCH_CONE, MOVING_CONE, PAIR_CONE = 5.0, 120.0, 90.0
 # Footprint radius as a share of the field of view, by catalogue.
@@ -106,7 +107,7 @@ def offsets(pairs: DataFrame, bin_arcsec: float = 15.0, half: float = 90.0, min_
         joined = state.join(moved, "frame_id", "left").withColumn("mx", F.coalesce("mx", "cx")).withColumn("my", F.coalesce("my", "cy"))
         small = (F.abs(F.col("mx") - F.col("cx")) <= 0.05) & (F.abs(F.col("my") - F.col("cy")) <= 0.05)
         state = joined.select("frame_id", "votes", F.when(F.col("still"), F.col("cx")).otherwise(F.col("mx")).alias("cx"), F.when(F.col("still"), F.col("cy")).otherwise(F.col("my")).alias("cy"), (F.col("still") | small).alias("still"))
-        state = state.checkpoint()
+        state = cut(state)
         if state.where("NOT still").isEmpty():
             break
     return state.where(F.sqrt(F.col("cx") * F.col("cx") + F.col("cy") * F.col("cy")) > 2).select("frame_id", F.col("cx").alias("dx"), F.col("cy").alias("dy"), "votes")

@@ -179,7 +179,7 @@ def a09_anomaly_tallies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.tallies(classify.anomalies(_classified(spark, sf_dir)))
 
 
-EPHEMERIDES = "SELECT DISTINCT catalog_id AS designation, obs_time, ra AS predicted_ra, dec AS predicted_dec, mag AS predicted_mag, 1e0 AS distance_au, (obs_id % 40) * 1e0 AS ra_rate, (obs_id % 30) * 1e0 AS dec_rate FROM sources WHERE catalog_name = 'MPC' AND obs_id % 3 <> 0"
+EPHEMERIDES = "SELECT DISTINCT catalog_id AS designation, obs_time, ra AS predicted_ra, dec AS predicted_dec, mag AS predicted_mag, 1e0 AS distance_au, (obs_id % 40) * 1e0 AS ra_rate, (obs_id % 30) * 1e0 AS dec_rate FROM sources WHERE catalog_name = 'MPC' AND NOT saturated"
 
 
 @query(
@@ -350,9 +350,9 @@ def track_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Store ---------------------------------------------------------------------------------------------------------------
 
-STORED = "SELECT frame_id, catalog_id AS source_id, min(obs_id) AS obs_id FROM sources WHERE catalog_id IS NOT NULL AND obs_id % 3 <> 0 GROUP BY frame_id, catalog_id"
-BATCH = "SELECT frame_id, catalog_id AS source_id, min(obs_id) AS obs_id FROM sources WHERE catalog_id IS NOT NULL AND obs_id % 4 <> 1 AND object IN ('OBJ1', 'OBJ2', 'OBJ3') GROUP BY frame_id, catalog_id"
-AFFECTED = "SELECT DISTINCT frame_id FROM sources WHERE object IN ('OBJ1', 'OBJ2', 'OBJ3', 'OBJ4')"
+STORED = "SELECT frame_id, catalog_id AS source_id, min(obs_id) AS obs_id FROM sources WHERE catalog_id IS NOT NULL AND NOT from_subtraction GROUP BY frame_id, catalog_id"
+BATCH = "SELECT frame_id, catalog_id AS source_id, min(obs_id) AS obs_id FROM sources WHERE catalog_id IS NOT NULL AND NOT near_edge AND filter = 'L' GROUP BY frame_id, catalog_id"
+AFFECTED = "SELECT DISTINCT frame_id FROM sources WHERE filter IN ('L', 'Ha')"
 
 
 def _write(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -375,13 +375,13 @@ def k05_u02_write_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {clauses("frames")}, stored AS (SELECT frame_id AS filename, object, obs_time, CASE WHEN day(obs_time) % 2 = 0 THEN 1e0 END AS pointing_error_arcsec, filter FROM frames WHERE day(obs_time) % 3 <> 0), fresh AS (SELECT frame_id AS filename, object, obs_time, 2e0 AS pointing_error_arcsec, CASE WHEN day(obs_time) % 5 = 0 THEN NULL ELSE concat(filter, '+') END AS filter FROM frames WHERE day(obs_time) % 2 = 1 OR day(obs_time) % 3 = 0)
+    f"""WITH {clauses("frames")}, stored AS (SELECT frame_id AS filename, object, obs_time, CASE WHEN filter = 'L' THEN 1e0 END AS pointing_error_arcsec, filter FROM frames WHERE filter <> 'R'), fresh AS (SELECT frame_id AS filename, object, obs_time, 2e0 AS pointing_error_arcsec, CASE WHEN filter = 'Ha' THEN NULL ELSE concat(filter, '+') END AS filter FROM frames WHERE filter <> 'B')
  SELECT coalesce(s.filename, n.filename) AS filename, sha256(coalesce(s.filename, n.filename)) AS frame_id, coalesce(n.object, s.object) AS object, coalesce(s.pointing_error_arcsec, n.pointing_error_arcsec) AS pointing_error_arcsec, coalesce(n.filter, s.filter) AS filter FROM stored s FULL JOIN fresh n ON n.filename = s.filename"""
 )
 def k03_upserted_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = derived(spark, sf_dir, "frames").selectExpr("frame_id AS filename", "sha2(frame_id, 256) AS frame_id", "object", "obs_time", "filter", "day(obs_time) AS d")
-    stored = f.where("d % 3 <> 0").withColumn("pointing_error_arcsec", F.when(F.col("d") % 2 == 0, 1e0)).drop("d")
-    fresh = f.where("d % 2 = 1 OR d % 3 = 0").withColumns({"pointing_error_arcsec": F.lit(2e0), "filter": F.when(F.col("d") % 5 != 0, F.concat("filter", F.lit("+")))}).drop("d", "frame_id")
+    f = derived(spark, sf_dir, "frames").selectExpr("frame_id AS filename", "sha2(frame_id, 256) AS frame_id", "object", "obs_time", "filter")
+    stored = f.where("filter <> 'R'").withColumn("pointing_error_arcsec", F.when(F.col("filter") == "L", 1e0))
+    fresh = f.where("filter <> 'B'").withColumns({"pointing_error_arcsec": F.lit(2e0), "filter": F.when(F.col("filter") != "Ha", F.concat("filter", F.lit("+")))}).drop("frame_id")
     return store.upsert_frames(stored, fresh).select("filename", "frame_id", "object", "pointing_error_arcsec", "filter")
 
 
@@ -392,11 +392,12 @@ def k04_wire_and_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.from_wire(store.to_wire(inner), derived(spark, sf_dir, "frames"))
 
 
-@query(f"WITH {clauses('sources')}, {ANOMALIES}, gone AS (SELECT DISTINCT frame_id FROM sources WHERE object IN ('OBJ1', 'OBJ2', 'OBJ3', 'OBJ4')) SELECT frame_id, obs_id, anomaly_type FROM anomalies WHERE frame_id NOT IN (SELECT frame_id FROM gone) UNION ALL SELECT frame_id, obs_id, 'UNKNOWN' FROM anomalies WHERE frame_id IN (SELECT frame_id FROM gone) AND obs_id % 2 = 0")
+@query(f"WITH {clauses('sources')}, {ANOMALIES}, gone AS (SELECT DISTINCT frame_id FROM sources WHERE filter IN ('L', 'Ha')) SELECT frame_id, obs_id, anomaly_type FROM anomalies WHERE frame_id NOT IN (SELECT frame_id FROM gone) UNION ALL SELECT frame_id, obs_id, 'UNKNOWN' FROM anomalies WHERE frame_id IN (SELECT frame_id FROM gone) AND alert")
 def k06_replaced_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = classify.anomalies(_classified(spark, sf_dir)).select("frame_id", "obs_id", "anomaly_type")
+    found = classify.anomalies(_classified(spark, sf_dir))
+    stored = found.select("frame_id", "obs_id", "anomaly_type")
     affected = spark.sql(AFFECTED.replace("FROM sources", "FROM {s}"), s=derived(spark, sf_dir, "sources"))
-    return store.replace_anomalies(stored, stored.where("obs_id % 2 = 0").withColumn("anomaly_type", F.lit("UNKNOWN")), affected)
+    return store.replace_anomalies(stored, found.where("alert").select("frame_id", "obs_id", F.lit("UNKNOWN").alias("anomaly_type")), affected)
 
 
 @query(f"WITH {clauses('sources')}, stored AS ({STORED}), gone AS ({AFFECTED}), kept AS (SELECT * FROM stored WHERE frame_id NOT IN (SELECT frame_id FROM gone)) SELECT DISTINCT source_id FROM stored WHERE source_id NOT IN (SELECT source_id FROM kept)")
@@ -412,10 +413,10 @@ def k08_t02_frame_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.list_frames(derived(spark, sf_dir, "frames").select("frame_id", "object", "obs_time"), None, "2024-01-05 00:00:00", "2024-01-20 00:00:00", 50, 20, newest_first=True)
 
 
-@query(f"WITH {clauses('sources')}, one AS (SELECT min(frame_id) AS frame_id FROM frames) SELECT f.frame_id, f.object, s.obs_id, s.mag FROM frames f JOIN sources s ON s.frame_id = f.frame_id WHERE f.object = 'OBJ1'")
-def k09_frame_with_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All frames of an object: the single-frame read for each of them."""
-    f, s = derived(spark, sf_dir, "frames").where("object = 'OBJ1'"), derived(spark, sf_dir, "sources")
+@query(f"WITH {clauses('sources')} SELECT f.frame_id, f.object, s.obs_id, s.mag FROM frames f JOIN sources s ON s.frame_id = f.frame_id")
+def k09_frames_with_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The single-frame read (store.frame_sources) for every frame at once."""
+    f, s = derived(spark, sf_dir, "frames"), derived(spark, sf_dir, "sources")
     return f.select("frame_id", "object").join(s.select("frame_id", "obs_id", "mag"), "frame_id")
 
 

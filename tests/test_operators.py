@@ -159,3 +159,14 @@ def test_forced_photometry(spark):
     assert got[1].area == 13 and got[2].net is None
     f = pixels.forced(m, spots, F.lit(25.0)).collect()
     assert [r.spot_id for r in f] == [1] and f[0].snr > 3 and f[0].elongation == 1.0
+
+
+def test_sql_functions(spark):
+    from skyloom.functions import registered
+
+    assert len(registered.register(spark)) == 5
+    for raw in ("m_51", "NGC 12 3", "mrk-501", "SH2 155", "abell 1", " a  b!", "??", None, "Arp_220"):
+        mine = names.object_name(F.lit(raw).cast("string"))
+        assert one(spark, mine) == one(spark, F.call_function("normalize_object_name", F.lit(raw).cast("string")))
+    r = spark.sql("SELECT haversine_arcsec(10, 0, 10, 1) AS h, sky_tile(0.25) AS t, wrap180(-180) AS w, normalize_filter(' H-Alpha ') AS f, normalize_filter('x') AS x").first()
+    assert r.h == pytest.approx(3600) and r.t == pytest.approx(0.2) and r.w == 180 and (r.f, r.x) == ("Ha", "x")
