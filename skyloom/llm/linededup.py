@@ -9,7 +9,7 @@ earlier line, kept or not, has a Jaccard similarity of at least 3/4 with it. Lin
 2. Lines with equal sets are one: the first occurrence stands for all, found by map-side minima.
 3. Each distinct set sends one row per word of its prefix (the rarest quarter of its words and one more): two sets that
    are similar enough share one of them. Rows of a word meet, sorted by set size, and are compared by length, position of
-   the shared word, and a 128-bit map of their words. A word with very many rows is split into blocks that meet pairwise.
+   the shared word, and a 256-bit map of their words. A word with very many rows is split into blocks that meet pairwise.
    Each later line passes on its best candidates only, so a group of near copies doesn't give all its pairs.
 4. Candidates are verified on the full sets: first the best of each line, then the others of lines without a match, then,
    for lines that had more candidates than were passed on, every one of them.
@@ -35,6 +35,8 @@ MIN_WORDS = 5
 COUNT_BITS = 20
 BLOCK_ROWS = 400_000
 PASSED_ON = 2
+MAP_WORDS = 4
+MAPS = [f"m{i}" for i in range(MAP_WORDS)]
 FIRST = -(1 << 63)
 FILTER_BITS = 1 << 22
 U64 = np.uint64
@@ -78,18 +80,18 @@ class Lines:
         np.cumsum(K.mix64(self.word), out=total[1:])
         return K.mix64(total[self.begin[1:]] - total[self.begin[:-1]] + self.size.astype(U64)).astype(np.int64)
 
-    def maps(self) -> tuple[np.ndarray, np.ndarray]:
-        """Two words of 64 bits per line, a bit for each of its words."""
-        at = self.word & U64(127)
+    def maps(self) -> list[np.ndarray]:
+        """Four words of 64 bits per line, a bit for each of its words."""
+        at = self.word & U64(255)
         bit = U64(1) << (at & U64(63))
         some = np.flatnonzero(self.size)
         out = []
-        for half in (0, 1):
+        for quarter in range(MAP_WORDS):
             own = np.zeros(len(self.size), U64)
             if len(some):
-                own[some] = np.bitwise_or.reduceat(np.where(at >> U64(6) == U64(half), bit, U64(0)), self.begin[some])
+                own[some] = np.bitwise_or.reduceat(np.where(at >> U64(6) == U64(quarter), bit, U64(0)), self.begin[some])
             out.append(own.astype(np.int64))
-        return out[0], out[1]
+        return out
 
 
 def _keys(ids: pa.Array) -> np.ndarray:
@@ -139,16 +141,19 @@ def _prefixes(counts: np.ndarray) -> Callable:
                 from_word = np.repeat(lines.begin[at] - offsets[:-1], length) + np.arange(offsets[-1])
                 own = lines.word[from_word]
                 rows = counts[(own >> U64(64 - COUNT_BITS)).astype(np.int64)]
-                low, high = lines.maps()
-                pieces = pa.StructArray.from_arrays([pa.array((own >> U64(32)).astype(np.uint32).astype(np.int32)), pa.array((rows // BLOCK_ROWS + 1).astype(np.int32))], names=["word", "parts"])
-                columns = [pa.array(lines.ids()[at]), pa.array(keys[start + lines.doc[at]]), pa.array(lines.number[at].astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(low[at]), pa.array(high[at]), pa.ListArray.from_arrays(offsets, pieces)]
-                yield pa.RecordBatch.from_arrays(columns, names=["sid", "doc", "line", "n", "low", "high", "prefix"])
+                pieces = (rows.astype(np.int64) // BLOCK_ROWS + 1) << 32 | (own >> U64(32)).astype(np.int64)
+                columns = [pa.array(lines.ids()[at]), pa.array(keys[start + lines.doc[at]]), pa.array(lines.number[at].astype(np.int32)), pa.array(size.astype(np.int32)), *(pa.array(m[at]) for m in lines.maps()), pa.ListArray.from_arrays(offsets, pa.array(pieces))]
+                yield pa.RecordBatch.from_arrays(columns, names=["sid", "doc", "line", "n", *MAPS, "prefix"])
 
     return run
 
 
 class _Meeting:
-    """Compares rows of equal keys; rows come sorted by key and set size."""
+    """Compares rows of equal keys; rows come sorted by key and set size.
+
+    Columns: key (word and pair of blocks), size (set size, place of the word), doc, spot (line, block, open), the map.
+    Only pairs whose later line is open are passed on.
+    """
 
     def __init__(self, batches: Iterator[pa.RecordBatch], best: int) -> None:
         self.batches, self.best = batches, best
@@ -157,62 +162,64 @@ class _Meeting:
         held: list[np.ndarray] = []
         rows = 0
         for batch in self.batches:
-            held.append(np.array([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]))
+            held.append(np.array([c.to_numpy(zero_copy_only=False) for c in batch.columns]))
             rows += batch.num_rows
             if rows >= 200_000:
                 every = np.concatenate(held, axis=1)
-                same = (every[:3] == every[:3, -1:]).all(axis=0)
-                done = len(same) - int(same[::-1].argmin()) if not same.all() else 0
+                done = int(np.searchsorted(every[0], every[0, -1]))
                 if done:
                     yield from self._compare(every[:, :done])
                 held, rows = [every[:, done:]], every.shape[1] - done
-        if held and rows:
+        if rows:
             yield from self._compare(np.concatenate(held, axis=1))
 
     def _compare(self, every: np.ndarray) -> Iterator[pa.RecordBatch]:
-        word, a, b, part, doc, line, n, place, low, high = every
-        change = np.ones(len(word), bool)
-        change[1:] = (every[:3, 1:] != every[:3, :-1]).any(axis=0)
-        group = np.cumsum(change) - 1
+        key, size, _, spot = every[:4]
+        n = size >> 28
+        group = np.cumsum(np.append(0, key[1:] != key[:-1]))
         span = int(n.max()) + 2
-        key = group * span + n
-        until = np.searchsorted(key, group * span + np.minimum(n * 4 // 3, span - 1), side="right")
-        partners = until - np.arange(len(word)) - 1
+        until = np.searchsorted(group * span + n, group * span + np.minimum(n * 4 // 3, span - 1), side="right")
+        partners = until - np.arange(len(key)) - 1
         total = np.cumsum(partners)
         found = []
         at = 0
-        while at < len(word):
+        while at < len(key):
             stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + 4_000_000, side="right")))
             found.append(self._pairs(every, np.arange(at, stop), partners[at:stop]))
             at = stop
         i, j, distance = (np.concatenate(x) for x in zip(*found, strict=True))
         if len(i):
-            yield self._best(every, group, i, j, distance)
+            yield self._best(every, i, j, distance)
 
     def _pairs(self, every: np.ndarray, first: np.ndarray, partners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        word, a, b, part, doc, line, n, place, low, high = every
+        key, size, _, spot = every[:4]
+        n, place, part, is_open = size >> 28, size & ((1 << 28) - 1), spot >> 1 & 0x7FFF, spot & 1
         i = np.repeat(first, partners)
         j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(partners) - partners, partners)
         need = -(-3 * (n[i] + n[j]) // 7)
-        ok = 1 + np.minimum(n[i] - place[i], n[j] - place[j]) - 1 >= need
-        ok &= (a[i] == b[i]) | (part[i] != part[j])  # equal parts meet in their own block alone
+        ok = np.minimum(n[i] - place[i], n[j] - place[j]) >= need
+        own_block = (key >> 15 & 0x7FFF) == (key & 0x7FFF)  # rows of one block meet there alone
+        ok &= (own_block[i] | (part[i] != part[j])) & (is_open[i] | is_open[j]).astype(bool)
         i, j, need = i[ok], j[ok], need[ok]
-        bits = np.bitwise_count((low[i] ^ low[j]).view(U64)).astype(np.int64)
-        distance = bits + np.bitwise_count((high[i] ^ high[j]).view(U64))
+        distance = np.zeros(len(i), np.int64)
+        for m in every[4:]:
+            distance += np.bitwise_count((m[i] ^ m[j]).view(U64))
         ok = distance <= n[i] + n[j] - 2 * need
         return i[ok], j[ok], distance[ok]
 
-    def _best(self, every: np.ndarray, group: np.ndarray, i: np.ndarray, j: np.ndarray, distance: np.ndarray) -> pa.RecordBatch:
-        doc, line = every[4], every[5]
+    def _best(self, every: np.ndarray, i: np.ndarray, j: np.ndarray, distance: np.ndarray) -> pa.RecordBatch:
+        doc, line = every[2], every[3] >> 16
         swap = (doc[i] > doc[j]) | ((doc[i] == doc[j]) & (line[i] > line[j]))
         early, late = np.where(swap, j, i), np.where(swap, i, j)
+        kept = (every[3, late] & 1).astype(bool)
+        early, late, distance = early[kept], late[kept], distance[kept]
         order = np.lexsort((early, distance, late))
         early, late, distance = early[order], late[order], distance[order]
         begin = np.searchsorted(late, late, side="left")
         nth = np.arange(len(late)) - begin
         count = np.searchsorted(late, late, side="right") - begin
         keep = nth < self.best if self.best else np.ones(len(late), bool)
-        early, late, distance, more = early[keep], late[keep], distance[keep], (count > self.best)[keep] if self.best else np.zeros(len(late), bool)
+        early, late, distance, more = early[keep], late[keep], distance[keep], (count > self.best)[keep] if self.best else np.zeros(int(keep.sum()), bool)
         columns = [pa.array(doc[late]), pa.array(line[late].astype(np.int32)), pa.array(doc[early]), pa.array(line[early].astype(np.int32)), pa.array(distance.astype(np.int32)), pa.array(more)]
         return pa.RecordBatch.from_arrays(columns, names=["doc", "line", "early_doc", "early_line", "distance", "more"])
 
@@ -220,13 +227,22 @@ class _Meeting:
 CANDIDATES = "doc long, line int, early_doc long, early_line int, distance int, more boolean"
 
 
-def _candidates(sets: DataFrame, best: int) -> DataFrame:
-    """Pairs of lines that share a prefix word and pass the filters; `best` of each word and later line, or all for 0."""
-    rows = sets.select("doc", "line", "n", "low", "high", F.posexplode("prefix").alias("place", "p"))
-    rows = rows.select("doc", "line", "n", "low", "high", "place", "p.word", "p.parts").withColumn("part", F.expr("cast(pmod(xxhash64(doc, line), parts) AS int)"))
-    pair = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda q: F.struct(F.least(q, F.col("part")).alias("a"), F.greatest(q, F.col("part")).alias("b")))
-    every = rows.select("*", F.explode(pair).alias("ab")).select("word", "ab.a", "ab.b", "part", "doc", "line", "n", "place", "low", "high")
-    met = every.repartition(input_partitions(sets.sparkSession), "word", "a", "b").sortWithinPartitions("word", "a", "b", "n")
+def _candidates(sets: DataFrame, best: int, open_lines: DataFrame | None = None) -> DataFrame:
+    """Pairs of lines that share a prefix word and pass the filters: `best` of each word and later line, or all for 0.
+
+    With open_lines only pairs whose later line is one of them; only words of their prefixes are shuffled then.
+    """
+    rows = sets.withColumn("open", F.lit(1)) if open_lines is None else sets.join(open_lines.withColumn("open", F.lit(1)), ["doc", "line"], "left").withColumn("open", F.coalesce("open", F.lit(0)))
+    rows = rows.select("doc", "line", "n", *MAPS, "open", F.posexplode("prefix").alias("place", "p"))
+    if open_lines is not None:
+        theirs = sets.join(open_lines, ["doc", "line"], "left_semi").select(F.explode("prefix").alias("p")).distinct()
+        rows = rows.join(written(theirs), "p", "left_semi")
+    rows = rows.withColumn("parts", F.shiftright("p", 32).cast("int")).withColumn("part", F.expr("cast(pmod(xxhash64(doc, line), parts) AS int)"))
+    pair = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda q: F.least(q, F.col("part")) * 32768 + F.greatest(q, F.col("part")))
+    key = F.shiftleft(F.col("p").bitwiseAND(F.lit(0xFFFFFFFF)), 30) + F.col("ab")
+    size, spot = F.shiftleft(F.col("n").cast("long"), 28) + F.col("place"), F.shiftleft(F.col("line").cast("long"), 16) + F.col("part") * 2 + F.col("open")
+    every = rows.select("*", F.explode(pair).alias("ab")).select(key.alias("key"), size.alias("size"), "doc", spot.alias("spot"), *MAPS)
+    met = every.repartition(input_partitions(sets.sparkSession), "key").sortWithinPartitions("key", "size")
     return met.mapInArrow(lambda batches: iter(_Meeting(batches, best)), CANDIDATES)
 
 
@@ -273,8 +289,8 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     """doc (doc_id, least long for null), line: the lines that an earlier one matches, from 0 in each text."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counts = word_counts(texts)
-    kind = "sid long, doc long, line int, n int, low long, high long, prefix array<struct<word:int,parts:int>>"
-    whole = F.min(F.struct("doc", "line", "n", "low", "high", "prefix")).alias("f")
+    kind = "sid long, doc long, line int, n int, " + ", ".join(f"{m} long" for m in MAPS) + ", prefix array<long>"
+    whole = F.min(F.struct("doc", "line", "n", *MAPS, "prefix")).alias("f")
     sets = texts.mapInArrow(_prefixes(counts), kind).groupBy("sid").agg(whole).select("sid", "f.*")
     found = written(_candidates(sets, PASSED_ON))
     best = found.groupBy("doc", "line").agg(F.min(F.struct("distance", "early_doc", "early_line")).alias("b")).select("doc", "line", "b.early_doc", "b.early_line")
@@ -285,7 +301,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         similar = written(similar.union(_verified(others, texts)))
     open_lines = written(found.where("more").select("doc", "line").distinct().join(similar, ["doc", "line"], "left_anti"))
     if not open_lines.isEmpty():
-        rest = _candidates(sets, 0).join(open_lines, ["doc", "line"], "left_semi").select("doc", "line", "early_doc", "early_line").distinct()
+        rest = _candidates(sets, 0, open_lines).select("doc", "line", "early_doc", "early_line").distinct()
         similar = written(similar.union(_verified(written(rest), texts)))
     seen = written(texts.mapInArrow(_occurrences, "sid long, doc long, line int"))
     first = written(seen.groupBy("sid").agg(F.min(F.struct("doc", "line")).alias("f")).select("sid", F.col("f.doc").alias("first_doc"), F.col("f.line").alias("first_line")))
