@@ -8,7 +8,8 @@
    words give a similarity by bit counts, corrected for chance collisions; what can reach the limit is confirmed on the
    full sets. Components follow from these links, and the keys that hold several take another head, a few times.
 4. Only nodes of a key that are still in different components are then compared with each other, first by bit counts
-   and then on full sets, so no link that would join two components is lost, and no group emits all its pairs.
+   and then on full sets, beside each other in one task (a large key in pairs of blocks). A task passes on a link only where
+   it joins two components, so no such link is lost and no group emits its pairs.
 
 Nulls and empty texts have no set and are linked with nothing. Rows with one doc_id are separate rows of one document.
 """
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.llm import textkit as K
-from skyloom.llm.common import written
+from skyloom.llm.common import input_partitions, written
 from skyloom.llm.graph import components
 
 PERMUTATIONS, BANDS, ROWS, LOW_BITS = 256, 32, 4, 2
@@ -33,6 +34,7 @@ WORDS = PERMUTATIONS * LOW_BITS // 64
 SLACK = 4.5
 #: How often the nodes of a band that are in different components meet a new head before they meet each other.
 ROUNDS = 2
+BLOCK_NODES = 2048
 FILTER_BITS = 1 << 22
 _rng = np.random.default_rng(20240229)
 _MULTIPLY = _rng.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
@@ -161,6 +163,70 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, perce
     return held.where(100 * F.col("common") >= percent * (F.size("ga") + F.size("gb") - F.col("common"))).select("a", "b")
 
 
+def _joins(limit: int, percent: int) -> Callable:
+    """Rows: band, ab (pair of blocks), part, sid, comp, packed words, grams; sorted by band and ab. Gives links a, b."""
+
+    def compared(rows: list[pa.RecordBatch]) -> Iterator[tuple[int, int]]:
+        table = pa.Table.from_batches(rows).combine_chunks()
+        ab, part, sid, comp = (table.column(c).to_numpy() for c in ("ab", "part", "sid", "comp"))
+        words = np.stack([table.column(f"s{i}").to_numpy() for i in range(WORDS)], axis=1).view(np.uint64)
+        lists = table.column("grams").combine_chunks()
+        flat, begin = lists.values.to_numpy(), lists.offsets.to_numpy()
+        sets = [flat[a:b] for a, b in zip(begin[:-1], begin[1:], strict=True)]
+        size = np.diff(begin)
+        within = (ab >> 15) == (ab & 0x7FFF)  # nodes of one block meet there alone
+        label = np.unique(comp, return_inverse=True)[1]
+        for i in range(len(sid) - 1):
+            x = words[i] ^ words[i + 1 :]
+            differing = np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=1, dtype=np.int64)
+            lengths = 100 * np.minimum(size[i], size[i + 1 :]) >= percent * np.maximum(size[i], size[i + 1 :])
+            near = np.flatnonzero((differing <= limit) & lengths & (label[i + 1 :] != label[i]) & (within[i] | (part[i + 1 :] != part[i])))
+            for j in (near[np.argsort(differing[near], kind="stable")] + i + 1).tolist():
+                if label[j] == label[i]:
+                    continue
+                at = np.minimum(np.searchsorted(sets[i], sets[j]), size[i] - 1)
+                common = int((sets[i][at] == sets[j]).sum())
+                if 100 * common >= percent * (size[i] + size[j] - common):
+                    label[label == label[j]] = label[i]
+                    yield int(sid[i]), int(sid[j])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def given(links: list[tuple[int, int]]) -> pa.RecordBatch:
+            a, b = zip(*links, strict=True) if links else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            band, ab = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cuts = np.flatnonzero((band[1:] != band[:-1]) | (ab[1:] != ab[:-1])) + 1
+            edges = [0, *cuts.tolist(), batch.num_rows]
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                if last is not None and last != (band[lo], ab[lo]):
+                    yield given(list(compared(held)))
+                    held = []
+                held.append(batch.slice(lo, hi - lo))
+                last = (band[lo], ab[lo])
+        if held:
+            yield given(list(compared(held)))
+
+    return run
+
+
+def _across(placed: DataFrame, docs: DataFrame, reps: DataFrame, k: int, limit: int, percent: int) -> DataFrame:
+    """Links between components among the nodes of each band, confirmed on full sets."""
+    words = [f"s{i}" for i in range(WORDS)]
+    sets = _full_sets(docs, written(placed.select("sid").distinct()), reps, k)
+    counts = written(placed.groupBy("band").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("parts")))
+    rows = placed.join(counts, "band").withColumn("part", F.expr("cast(pmod(xxhash64(sid), parts) AS int)"))
+    pair = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda q: F.least(q, F.col("part")) * 32768 + F.greatest(q, F.col("part")))
+    dealt = rows.select("band", F.explode(pair).alias("ab"), "part", "sid", "comp", *words).join(sets, "sid")
+    met = dealt.select("band", "ab", "part", "sid", "comp", *words, "grams").repartition(input_partitions(docs.sparkSession), "band", "ab").sortWithinPartitions("band", "ab")
+    return met.mapInArrow(_joins(limit, percent), "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     """Returns, for every row, doc_id, n_shingles, sid, component_id, kept.
 
@@ -177,7 +243,6 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     shared = written(entries.join(several, "band", "left_semi"))
     limit = most_mismatches(percent / 100)
 
-    there = [F.col(w).alias(f"t{w}") for w in words]
     alike = mismatches([F.col(w) for w in words], [F.col(f"t{w}") for w in words]) <= limit
     links, comps, placed = None, None, shared.withColumn("comp", F.col("sid"))
     for turn in range(ROUNDS + 1):
@@ -185,10 +250,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
             first = F.min(F.struct(F.xxhash64("sid", F.lit(turn)), "sid", "comp", *words)).alias("h")
             heads = written(placed.groupBy("band").agg(first).select("band", F.col("h.sid").alias("b"), F.col("h.comp").alias("other"), *[F.col(f"h.{w}").alias(f"t{w}") for w in words]))
             pairs = placed.join(heads, "band").where((F.col("comp") != F.col("other")) & alike)
+            more = written(_confirmed(written(pairs.select(F.col("sid").alias("a"), "b").distinct()), docs, reps, k, percent))
         else:
-            others = placed.select("band", F.col("sid").alias("b"), F.col("comp").alias("other"), *there)
-            pairs = placed.join(others, "band").where((F.col("comp") < F.col("other")) & alike)
-        more = written(_confirmed(written(pairs.select(F.col("sid").alias("a"), "b").distinct()), docs, reps, k, percent))
+            more = written(_across(placed, docs, reps, k, limit, percent))
         if links is None or not more.isEmpty():
             links = more if links is None else written(links.union(more))
             comps = components(links)

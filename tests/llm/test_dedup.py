@@ -112,3 +112,12 @@ def test_blocks_of_a_very_common_word_meet_pairwise(spark, monkeypatch):
     monkeypatch.setattr(linededup, "BLOCK_ROWS", 10)
     got = linededup.deduplicated(docs_of(spark, rows)).collect()
     assert {(r.doc_id, k) for r in got for k in r.removed} == removed(rows)
+
+
+def test_blocks_of_a_large_band(spark, monkeypatch):
+    """All links come from the last step, in blocks of a few nodes."""
+    monkeypatch.setattr(minhash, "ROUNDS", 0)
+    monkeypatch.setattr(minhash, "BLOCK_NODES", 3)
+    rows = [(i, t) for i, (_, t) in enumerate(near_copies(11))]
+    got = minhash.near_duplicates(docs_of(spark, rows)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(components(rows))
