@@ -171,7 +171,7 @@ def _joins(limit: int, percent: int) -> Callable:
         ab, part, sid, comp = (table.column(c).to_numpy() for c in ("ab", "part", "sid", "comp"))
         words = np.stack([table.column(f"s{i}").to_numpy() for i in range(WORDS)], axis=1).view(np.uint64)
         lists = table.column("grams").combine_chunks()
-        flat, begin = lists.values.to_numpy(), lists.offsets.to_numpy()
+        flat, begin = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()  # sorted as unsigned numbers
         sets = [flat[a:b] for a, b in zip(begin[:-1], begin[1:], strict=True)]
         size = np.diff(begin)
         within = (ab >> 15) == (ab & 0x7FFF)  # nodes of one block meet there alone
