@@ -1,15 +1,15 @@
 """Line dedup: an exact set-similarity join of lines over all documents, removing later matches.
 
 A line is the set of its lower-cased words. Lines are in order of doc_id and place in the text; a line is removed if an
-earlier line, kept or not, has a Jaccard similarity of at least 3/4 with it. Lines of fewer than MIN_WORDS different words
-(and empty ones) are neither removed nor matched.
+earlier line, kept or not, has a Jaccard similarity of at least 3/4 with it. Every line that holds a word is judged; lines
+without one (empty or white space alone) have no set to compare and stay.
 
 1. Words are counted over all texts in a hashed table of fixed size: the rarity order. It needs to be the same for all
    lines, not exact, so hashing costs no result.
 2. Lines with equal sets are one: the first occurrence stands for all, found by map-side minima.
-3. Each distinct set sends one row per word of its prefix (the rarest quarter of its words and one more): two sets that
+3. Sets of one or two words match equal ones alone, which 2. finds. Each other distinct set sends one row per word of its prefix (the rarest quarter of its words and one more): two sets that
    are similar enough share one of them. Rows of a word meet, sorted by set size, and are compared by length, position of
-   the shared word, and a 256-bit map of their words. A word with very many rows is split into blocks that meet pairwise.
+   the shared word, and a 256-bit map of their words; different sets of one size below FIRST_EQUAL are never alike. A word with very many rows is split into blocks that meet pairwise.
    Each later line passes on its best candidates only, so a group of near copies doesn't give all its pairs.
 4. Candidates are verified on the full sets: first the best of each line, then the others of lines without a match, then,
    for lines that had more candidates than were passed on, every one of them.
@@ -31,7 +31,9 @@ from pyspark.sql import functions as F
 from skyloom.llm import textkit as K
 from skyloom.llm.common import input_partitions, written
 
-MIN_WORDS = 5
+MIN_WORDS = 1  # every line that holds a word
+LEAST_UNEQUAL = 3  # the smallest set that an unequal one can match: 3 of 4 words
+FIRST_EQUAL = 7  # the least size at which two different sets of that size can match: 6 of 8 words
 COUNT_BITS = 20
 BLOCK_ROWS = 400_000
 PASSED_ON = 2
@@ -133,7 +135,7 @@ def _prefixes(counts: np.ndarray) -> Callable:
             keys = _keys(batch.column(0))
             for start, stop in K.slices(batch.column(1)):
                 lines = Lines(batch.column(1).slice(start, stop - start), counts)
-                at = np.flatnonzero(lines.judged)
+                at = np.flatnonzero(lines.size >= LEAST_UNEQUAL)
                 size = lines.size[at]
                 length = size - (3 * size + 3) // 4 + 1
                 offsets = np.zeros(len(at) + 1, np.int32)
@@ -178,24 +180,26 @@ class _Meeting:
         n = size >> 28
         group = np.cumsum(np.append(0, key[1:] != key[:-1]))
         span = int(n.max()) + 2
-        until = np.searchsorted(group * span + n, group * span + np.minimum(n * 4 // 3, span - 1), side="right")
-        partners = until - np.arange(len(key)) - 1
+        level = group * span + n
+        until = np.searchsorted(level, group * span + np.minimum(n * 4 // 3, span - 1), side="right")
+        begin = np.where(n < FIRST_EQUAL, np.searchsorted(level, level, side="right"), np.arange(len(key)) + 1)
+        partners = until - begin
         total = np.cumsum(partners)
         found = []
         at = 0
         while at < len(key):
             stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + 4_000_000, side="right")))
-            found.append(self._pairs(every, np.arange(at, stop), partners[at:stop]))
+            found.append(self._pairs(every, np.arange(at, stop), begin[at:stop], partners[at:stop]))
             at = stop
         i, j, distance = (np.concatenate(x) for x in zip(*found, strict=True))
         if len(i):
             yield self._best(every, i, j, distance)
 
-    def _pairs(self, every: np.ndarray, first: np.ndarray, partners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _pairs(self, every: np.ndarray, first: np.ndarray, begin: np.ndarray, partners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         key, size, _, spot = every[:4]
         n, place, part, is_open = size >> 28, size & ((1 << 28) - 1), spot >> 1 & 0x7FFF, spot & 1
         i = np.repeat(first, partners)
-        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(partners) - partners, partners)
+        j = np.arange(len(i)) + np.repeat(begin - (np.cumsum(partners) - partners), partners)
         need = -(-3 * (n[i] + n[j]) // 7)
         ok = np.minimum(n[i] - place[i], n[j] - place[j]) >= need
         own_block = (key >> 15 & 0x7FFF) == (key & 0x7FFF)  # rows of one block meet there alone

@@ -107,6 +107,26 @@ def test_line_dedup_equals_brute_force(spark, rows):
     assert texts == sorted([(i is None, i or 0, cut(i, t) or "", t is None) for i, t in rows])
 
 
+def short_rows(seed: int) -> list[tuple[int, str]]:
+    rng = random.Random(seed)
+    vocabulary = [f"s{i}" for i in range(9)]
+    line = lambda: " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 9)))
+    return [(i, "\n".join(line() for _ in range(rng.randint(1, 6)))) for i in range(80)]
+
+
+COPIES = [(1, "les.\nAnd ornd.\na b c d\nk l m\n\n \t"), (2, "LES.\nand ornd.\na b c d e\nk l m n\n\n \t"), (3, "a b c x\n文字だけの長い行です。\nk l"), (4, "文字だけの長い行です。\nl k l\nk")]
+
+
+@pytest.mark.parametrize("rows", [COPIES, short_rows(1), short_rows(2)])
+def test_lines_of_few_words_are_judged(spark, rows):
+    lines = sorted((i, k, frozenset(words(x))) for i, t in rows for k, x in enumerate(t.split("\n")))
+    want = {(i, k) for n, (i, k, s) in enumerate(lines) if any(alike(s, o) for _, _, o in lines[:n])}
+    got = linededup.deduplicated(docs_of(spark, rows)).collect()
+    assert {(r.doc_id, k) for r in got for k in r.removed} == want
+    if rows is COPIES:
+        assert want == {(2, 0), (2, 1), (2, 2), (2, 3), (4, 0), (4, 1)}
+
+
 def test_blocks_of_a_very_common_word_meet_pairwise(spark, monkeypatch):
     rows = line_rows(3)
     monkeypatch.setattr(linededup, "BLOCK_ROWS", 10)
