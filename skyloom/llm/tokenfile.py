@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +37,8 @@ SEGMENTS = "part int, segment int, first long, n_docs long, n_tokens long, paylo
 
 
 class LibraryTokenizer:
-    """Ids by the tokenizers library: each distinct pre-token is encoded once by it, whole texts where it splits otherwise."""
+    """Ids by the tokenizers library's default: each distinct pre-token is encoded once by it, whole texts where it splits otherwise
+    or where they hold the text of an added token."""
 
     def __init__(self, spec: str) -> None:
         import os
@@ -45,7 +47,7 @@ class LibraryTokenizer:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(spec)
-        self.library.encode_special_tokens = True
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         split = self.library.pre_tokenizer
         probe = "It's 12  o'clock,\n\n we'll see_ü "
         raw = np.frombuffer(probe.encode(), np.uint8)
@@ -59,8 +61,22 @@ class LibraryTokenizer:
         return [tuple(x.ids) for x in made]
 
     def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if self.vocabulary:
+        if not self.vocabulary:
+            return self.whole(column)
+        held = np.zeros(len(column), bool)
+        for text in self.added:
+            held |= pc.match_substring(column, text).fill_null(False).to_numpy(zero_copy_only=False)
+        if not held.any():
             return self.vocabulary.ids(column)
+        mask = pa.array(held)
+        ids, rows = self.vocabulary.ids(pc.if_else(mask, pa.scalar("", column.type), column))
+        own, at = self.whole(column.filter(mask))
+        size = np.diff(rows)
+        size[held] = np.diff(at)
+        ids = np.insert(ids, np.repeat(rows[:-1][held], np.diff(at)), own)
+        return ids, np.append(0, np.cumsum(size))
+
+    def whole(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         made = [x.ids for x in self.library.encode_batch([x or "" for x in column.to_pylist()], add_special_tokens=False)]
         rows = np.zeros(len(made) + 1, np.int64)
         np.cumsum([len(x) for x in made], out=rows[1:])

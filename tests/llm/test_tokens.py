@@ -78,6 +78,20 @@ def test_damage_is_found():
             tokenfile.unpack(bytes(bad))
 
 
+def test_added_tokens_are_the_librarys_default(spark):
+    from tokenizers import Tokenizer
+
+    path = P.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    texts = ["plain text", "a <|endoftext|> b", None, "<|endoftext|>", "", "<|endoftext|><|endoftext|>\n x", "<|endoftext |>", "it's <|ENDOFTEXT|>", "é<|endoftext|>日本", "plain text"]
+    want = [[*library.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    assert want[1] == [64, 220, 50256, 275, 2]
+    with open(path, encoding="utf-8") as spec:
+        got = tokenfile.read(tokenfile.write(docs_of(spark, list(enumerate(texts))), spec.read(), 2)).orderBy("doc_id").collect()
+    assert [np.frombuffer(bytes(r.ids), "<u4").tolist() for r in got] == want
+    assert [r.start for r in got] == [sum(map(len, want[:k])) for k in range(len(want))]
+
+
 def test_token_files(spark):
     spec = open(P.path("byte_bpe_50k.json"), encoding="utf-8").read()
     rows = ODD + [(100 + i, t) for i, t in enumerate(odd_texts(100))]
