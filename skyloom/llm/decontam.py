@@ -1,6 +1,6 @@
 """Benchmark decontamination by the q-gram lemma.
 
-Benchmark texts are cut into overlapping segments of SEGMENT characters. A passage within e edits of a segment of w
+Benchmark texts are cut into overlapping segments: SEGMENT characters every half segment, and SHORT characters every STRIDE. A passage within e edits of a segment of w
 characters shares at least w - q + 1 - q*e of its q-grams, all on diagonals that differ by at most e from each other's. So:
 
 1. a hashed bit table finds the positions in a document whose q-gram occurs in the benchmark at all;
@@ -8,7 +8,8 @@ characters shares at least w - q + 1 - q*e of its q-grams, all on diagonals that
 3. each kept region is verified by banded alignment: the segment against the document with free ends, at most e edits.
 
 Texts are compared after A-Z are lower-cased and runs of white space are one blank. e is a tenth of the segment's length,
-or less where the lemma needs it. Segments shorter than q characters carry no evidence and aren't looked for. Null and
+or less where the lemma needs it. An exact excerpt of at least SHORT + STRIDE - 1 = 55 characters of any item holds a whole
+short segment, wherever it begins, so it's found; of an item shorter than SHORT the whole is looked for. Segments shorter than q characters carry no evidence and aren't looked for. Null and
 empty documents match nothing; null or empty benchmark texts are left out; repeated rows give repeated work but one result.
 
 The benchmark goes to the tasks in blocks of at most BLOCK_CHARS characters, one pass over the documents for each, so a
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from skyloom.llm import textkit as K
 
 Q, SEGMENT, EDIT_SHARE = 8, 96, 0.1
+SHORT, STRIDE = 48, 8
 BLOCK_CHARS = 16_000_000
 TABLE_BITS = 22
 U64 = np.uint64
@@ -73,10 +75,11 @@ class Index:
             point, _ = normal(data, np.array([0, len(data)]))
             while len(point) and point[-1] == 32:
                 point = point[:-1]
-            w = min(len(point), SEGMENT)
-            if w < Q:
+            n = len(point)
+            if n < Q:
                 continue
-            for a in sorted({*range(0, len(point) - w + 1, SEGMENT // 2), len(point) - w}):
+            spans = [(min(n, SEGMENT), SEGMENT // 2), (min(n, SHORT), STRIDE)]
+            for w, a in dict.fromkeys((w, a) for w, step in spans for a in (*range(0, n - w + 1, step), n - w)):
                 g = grams(point[a : a + w])
                 grams_of.append(g)
                 seg_of.append(np.full(len(g), len(text)))

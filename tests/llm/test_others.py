@@ -193,6 +193,19 @@ def test_blocks_of_the_benchmark(spark, monkeypatch):
     assert (1, 1) in {(r.doc_id, r.item_id) for r in got}
 
 
+def test_excerpts_from_the_middle_are_found(spark):
+    rng = random.Random(12)
+    least = 55
+    items = [(i, "".join(rng.choice("abcdefghijklmnop ") for _ in range(n)).replace("  ", "qx").strip() + "z") for i, n in enumerate((60, 90, 130, 200, 333))]
+    rows, want = [], set()
+    for i, text in items:
+        for at in range(0, len(text) - least + 1, 5):
+            want.add((len(rows), i))
+            rows.append((len(rows), "0" * rng.randint(0, 30) + text[at : at + least] + "1" * 40))
+    got = decontam.leaks(docs_of(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
+
+
 def test_segments_within_the_budget_are_always_found():
     import numpy as np
 
