@@ -12,8 +12,8 @@ or less where the lemma needs it. An exact excerpt of at least SHORT + STRIDE -
 short segment, wherever it begins, so it's found; of an item shorter than SHORT the whole is looked for. Segments shorter than q characters carry no evidence and aren't looked for. Null and
 empty documents match nothing; null or empty benchmark texts are left out; repeated rows give repeated work but one result.
 
-The benchmark goes to the tasks in blocks of at most BLOCK_CHARS characters, one pass over the documents for each, so a
-larger benchmark costs passes, not memory. Documents aren't shuffled; only hits are.
+The benchmark goes to the tasks in blocks of about BLOCK_CHARS characters (a longer item is a block of its own), one pass over the
+documents for each. A block's hits are written before the next block is read, so a larger benchmark costs passes, not memory. Documents aren't shuffled; only hits are.
 """
 
 from __future__ import annotations
@@ -27,10 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.llm import textkit as K
+from skyloom.llm.common import written
 
 Q, SEGMENT, EDIT_SHARE = 8, 96, 0.1
 SHORT, STRIDE = 48, 8
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 1_000_000
 TABLE_BITS = 22
 U64 = np.uint64
 HITS = "doc_id long, item_id long, start long, stop long, edits int, segments int"
@@ -82,8 +83,8 @@ class Index:
             for w, a in dict.fromkeys((w, a) for w, step in spans for a in (*range(0, n - w + 1, step), n - w)):
                 g = grams(point[a : a + w])
                 grams_of.append(g)
-                seg_of.append(np.full(len(g), len(text)))
-                at_of.append(np.arange(len(g)))
+                seg_of.append(np.full(len(g), len(text), np.int32))
+                at_of.append(np.arange(len(g), dtype=np.int16))
                 text.append(point[a : a + w])
                 self.item.append(item)
                 self.begin.append(a)
@@ -117,9 +118,9 @@ class Index:
         n = self.count[k]
         back = np.repeat(np.arange(len(hit)), n)
         post = np.repeat(self.first[k] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        segment = self.segment[post]
-        diagonal = hit[back] - self.at[post] + SEGMENT
-        place = self.at[post]
+        segment = self.segment[post].astype(np.int64)
+        place = self.at[post].astype(np.int64)
+        diagonal = hit[back] - place + SEGMENT
         wide = self.budget[segment] + 1  # e edits move an alignment over e + 1 diagonals at most
         found = []
         for shift in (0, 1):  # bands of twice the width that overlap by half, so any run of `wide` diagonals lies in one
@@ -201,5 +202,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     kind = "doc_id long, item_id long, start long, stop long, edits int, segment int"
-    found = reduce(DataFrame.union, [texts.mapInArrow(_find(Index(b)), kind) for b in blocks(bench)])
+    found = reduce(DataFrame.union, (written(texts.mapInArrow(_find(Index(b)), kind)) for b in blocks(bench)))
     return found.groupBy("doc_id", "item_id").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("edits").alias("edits"), F.count_distinct("segment").cast("int").alias("segments"))

@@ -193,6 +193,24 @@ def test_blocks_of_the_benchmark(spark, monkeypatch):
     assert (1, 1) in {(r.doc_id, r.item_id) for r in got}
 
 
+def test_one_index_at_a_time(spark, monkeypatch):
+    import weakref
+
+    made, alive, real = [], [], decontam.Index
+
+    def counted(items):
+        alive.append(sum(x() is not None for x in made))
+        index = real(items)
+        made.append(weakref.ref(index))
+        return index
+
+    monkeypatch.setattr(decontam, "BLOCK_CHARS", 10)
+    monkeypatch.setattr(decontam, "Index", counted)
+    bench = spark.createDataFrame([(i, f"passage number {i} of the benchmark that somebody copied") for i in range(4)], "item_id long, text string")
+    decontam.leaks(docs_of(spark, [(1, "x")]), bench)
+    assert len(alive) > 3 and max(alive) <= 1
+
+
 def test_excerpts_from_the_middle_are_found(spark):
     rng = random.Random(12)
     least = 55
