@@ -54,7 +54,7 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     at = at[at + 1 < len(one)]
     pair = K.mix64(one[at] * PAIRED + one[at + 1])
     pair[one[at] == one[at + 1]] = np.uint64(SAME)
-    every = np.concatenate([one, pair]) >> np.uint64(0)
+    every = np.concatenate([one, pair])
     where = np.concatenate([np.arange(len(one)), at])
     order = np.argsort(where, kind="stable")
     return (K.mix64(every[order]) >> np.uint64(64 - BITS)).astype(np.int64), np.searchsorted(where[order], rows)
@@ -96,29 +96,31 @@ def vectors(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        made = list(vectors(batch.column(1)))
-        columns = [batch.column(0), pa.array([m[0].astype(np.int32) for m in made], pa.list_(pa.int32())), pa.array([m[1].astype(np.float32) for m in made], pa.list_(pa.float32()))]
-        yield pa.RecordBatch.from_arrays(columns, names=["label", "at", "x"])
+        made = list(vectors(batch.column(2)))
+        packed = ([m[0].astype("<i4").tobytes() for m in made], [m[1].astype("<f4").tobytes() for m in made])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(p, pa.binary()) for p in packed)], names=["doc_id", "label", "at", "x"])
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, epochs: int = 4) -> np.ndarray:
     """labels(doc_id, label): weights of all columns and the bias. Labels without a document, and nulls, are left out.
 
-    The chosen labels, max_rows at most, are broadcast to the documents.
+    The chosen labels, max_rows at most, are broadcast to the documents. Of rows that share a doc_id one text stands for each label, the least by
+    its features, so no more than max_rows vectors of 2**BITS columns at most come to the driver, as packed numbers. Rows are
+    trained in an order that the ids and labels alone decide, so equal tables give equal weights.
     """
     given = labels.where("label is not null").select(F.xxhash64("doc_id").alias("h"), "doc_id", F.col("label").cast("int").alias("label"))
-    chosen = given.orderBy("h", "doc_id", "label").limit(max_rows).select("doc_id", "label")
+    chosen = given.orderBy("h", "doc_id", "label").limit(max_rows).select("doc_id", "label").distinct()
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    chosen = texts.join(F.broadcast(chosen), "doc_id").select("label", "text")
-    found = chosen.mapInArrow(_vectors, "label int, at array<int>, x array<float>").toArrow()
-    at, x, y = found["at"].to_pylist(), found["x"].to_pylist(), found["label"].to_pylist()
-    data = sorted(zip(y, map(tuple, at), map(tuple, x), strict=True), key=lambda d: (len(d[1]), d[1][:4], d[0]))
-    data = [(y, np.array(a), np.array(v, np.float64)) for y, a, v in data]
-    model, order = Ftrl(), np.random.default_rng(7)
+    chosen = texts.join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("long"), "label", "text")
+    rows = chosen.mapInArrow(_vectors, "doc_id long, label int, at binary, x binary")
+    found = rows.groupBy("doc_id", "label").agg(F.min(F.struct("at", "x")).alias("f")).select("doc_id", "label", "f.at", "f.x").toArrow().combine_chunks()
+    key, y = found["doc_id"].to_numpy(), found["label"].to_numpy()
+    at, x = (found[c].combine_chunks() if found.num_rows else pa.array([], pa.binary()) for c in ("at", "x"))
+    model, order = Ftrl(), np.lexsort((y, key))
+    rng = np.random.default_rng(7)
     for _ in range(epochs):
-        for k in order.permutation(len(data)):
-            y, a, v = data[k]
-            model.learn(a, v, y)
+        for k in order[rng.permutation(len(order))]:
+            model.learn(np.frombuffer(at[int(k)].as_buffer(), "<i4"), np.frombuffer(x[int(k)].as_buffer(), "<f4").astype(np.float64), int(y[k]))
     return model.weights()
 
 
