@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder. Arrow batches of the session are kept at 16 MiB, so that a few of them fit beside a task's work."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -43,5 +47,31 @@ def input_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+MOST_BITS = 26  # 8 MiB
+
+
+def bit_table(hashes: DataFrame, room: int = 32) -> np.ndarray:
+    """hashes(h long): a table with a bit set for each, `room` bits an entry up to 2**MOST_BITS bits in all.
+
+    It only spares work: what it lets through by chance has to go in a join that follows.
+    """
+    spot = F.col("h").bitwiseAND(F.lit((1 << MOST_BITS) - 1))
+    rows = hashes.select(spot.alias("p")).groupBy(F.shiftright("p", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 AS int)))").alias("bits")).toArrow()
+    words = np.zeros(1 << MOST_BITS - 6, np.uint64)
+    words[rows["at"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+    bits = min(MOST_BITS, max(16, int(np.bitwise_count(words).sum() * room).bit_length()))
+    return np.bitwise_or.reduce(words.reshape(-1, 1 << bits - 6), axis=0)
+
+
+def bit_tests(table: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+    """Says of 64-bit hashes whether the table has their bits."""
+
+    def test(hashes: np.ndarray) -> np.ndarray:
+        at = hashes.view(np.uint64) & np.uint64(len(table) * 64 - 1)
+        return ((table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+    return test
+
+
 def record_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)

@@ -1,22 +1,25 @@
 """Line dedup: an exact set-similarity join of lines over all documents, removing later matches.
 
-A line is the set of its lower-cased words. Lines are in order of doc_id and place in the text; a line is removed if an
+A line is the set of its lower-cased words. Lines are in order of doc_id, text hash and place in the text; a line is removed if an
 earlier line, kept or not, has a Jaccard similarity of at least 3/4 with it. Every line that holds a word is judged; lines
 without one (empty or white space alone) have no set to compare and stay.
 
 1. Words are counted over all texts in a hashed table of fixed size: the rarity order. It needs to be the same for all
    lines, not exact, so hashing costs no result.
-2. Lines with equal sets are one: the first occurrence stands for all, found by map-side minima.
-3. Sets of one or two words match equal ones alone, which 2. finds. Each other distinct set sends one row per word of its prefix (the rarest quarter of its words and one more): two sets that
-   are similar enough share one of them. Rows of a word meet, sorted by set size, and are compared by length, position of
-   the shared word, and a 256-bit map of their words; different sets of one size below FIRST_EQUAL are never alike. A word with very many rows is split into blocks that meet pairwise.
-   Each later line passes on its best candidates only, so a group of near copies doesn't give all its pairs.
-4. Candidates are verified on the full sets: first the best of each line, then the others of lines without a match, then,
-   for lines that had more candidates than were passed on, every one of them.
-5. Documents that lose lines are joined with their line numbers; a bit table of fixed size keeps the rest from being moved.
-
-Null texts stay null, empty ones empty. Rows that share a doc_id are taken as one document's versions: their lines are
-compared by place, and a line removed from one is removed from all that have it there. A null doc_id comes first.
+2. Lines with equal sets (by 128 bits) are one: they meet by the set's hash, the first stands for all, and the later ones go.
+3. Sets of one or two words match equal ones alone. Each other distinct set sends one row per word of its prefix (the
+   rarest quarter of its words and one more): two sets that are similar enough share one of them. Rows of a word meet, sorted
+   by set size, and are compared by length, by the position of the shared word, and by a 128-bit parity map of their words, whose
+   differing bits are never more than the differing words. A word with very many rows is split into blocks that meet pairwise.
+   Each later line passes on its best candidates of a word only, so a group of near copies doesn't give all its pairs.
+4. Candidates are verified on the full sets: first the best of each line, then the others of lines without a match. For lines still
+   without a match that had more candidates than were passed on, the lines of those words meet again, with their
+   full sets, and all their pairs are counted out inside the task, which passes on one row per matched line.
+5. Documents that lose lines are joined with their line numbers; a bit table keeps most of the rest from being moved.
+
+Null texts stay null, empty ones empty. Rows that share a doc_id are rows of their own, in the order of their texts' hashes; rows
+that share doc_id and text are one row given several times and get one result. A null doc_id comes first. Very long texts and lines
+are taken whole. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -28,320 +31,505 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyloom.llm import packed
 from skyloom.llm import textkit as K
-from skyloom.llm.common import input_partitions, written
+from skyloom.llm.common import bit_table, bit_tests, written
 
-MIN_WORDS = 1  # every line that holds a word
 LEAST_UNEQUAL = 3  # the smallest set that an unequal one can match: 3 of 4 words
 FIRST_EQUAL = 7  # the least size at which two different sets of that size can match: 6 of 8 words
 COUNT_BITS = 20
-BLOCK_ROWS = 400_000
-PASSED_ON = 2
-MAP_WORDS = 4
-MAPS = [f"m{i}" for i in range(MAP_WORDS)]
+BLOCK_ROWS = 200_000
+PASSED_ON, DOUBTFUL, MOST_PASSED_ON = 2, 4, 16
+PAIRS_AT_ONCE = 200_000
+SENT_AT_ONCE = 300_000
+SETS_AT_ONCE = 1 << 14
 FIRST = -(1 << 63)
-FILTER_BITS = 1 << 22
+ID, EARLY = ["doc", "tag", "line"], ["early_doc", "early_tag", "early_line"]
 U64 = np.uint64
+LINE_TYPES, WORD_TYPES, FULL_TYPES = ["u8", "u8", "i8", "i8", "i4", "i4", "u8", "u8"], ["u4", "u4", "u2", "i4", "i4", "i8", "i8", "i4", "u8", "u8"], ["u4", "u2", "i8", "i8", "i4", "u1"]
 
 
 class Lines:
-    """The lines of a slice of texts, each with its distinct words in rarity order."""
+    """The lines of a slice of texts, each with its distinct words, in rarity order where counts are given."""
 
-    def __init__(self, column: pa.Array, counts: np.ndarray | None = None) -> None:
+    def __init__(self, column: pa.Array, counts: np.ndarray | None = None, wanted: Callable | None = None) -> None:
+        """wanted: takes row numbers and line numbers, says which lines are to be looked at; the others have no words."""
         raw, offsets = K.utf8(column)
         breaks = np.flatnonzero(raw == 10)
-        doc = np.concatenate([np.arange(len(column)), np.searchsorted(offsets, breaks, side="right") - 1])
-        starts = np.concatenate([offsets[:-1], breaks + 1])
-        order = np.lexsort((starts, doc))
-        self.doc, self.start = doc[order], starts[order]
-        n = len(self.doc)
-        first = np.searchsorted(self.doc, np.arange(len(column)))
+        doc = np.searchsorted(offsets, breaks, side="right") - 1
+        first = np.arange(len(column)) + np.searchsorted(breaks, offsets[:-1])
+        n = len(column) + len(breaks)
+        self.doc, start = np.empty(n, np.int64), np.empty(n, np.int64)
+        after = np.arange(len(breaks)) + doc + 1  # where the line behind each break comes in order
+        self.doc[first], start[first] = np.arange(len(column)), offsets[:-1]
+        self.doc[after], start[after] = doc, breaks + 1
         self.number = np.arange(n) - first[self.doc]
-        self.stop = np.append(self.start[1:] - 1, len(raw))
-        last = np.append(self.doc[1:] != self.doc[:-1], True)
-        self.stop[last] = offsets[self.doc[last] + 1]
-        w_start, w_end, _ = K.word_spans(raw, offsets)
-        word = K.span_hashes(K.LOWER[raw], w_start, w_end)
-        line = np.searchsorted(self.start, w_start, side="right") - 1
-        if counts is None:
-            key = word
-        else:
-            rarity = np.minimum(counts[(word >> U64(64 - COUNT_BITS)).astype(np.int64)], (1 << 24) - 1).astype(U64)
-            key = (rarity << U64(40)) | (word & U64((1 << 40) - 1))
-        order = np.lexsort((key, line))
-        word, key, line = word[order], key[order], line[order]
+        low = K.lowered(raw)
+        if wanted is not None:
+            keep = wanted(self.doc, self.number)
+            self.doc, self.number = self.doc[keep], self.number[keep]
+            until = np.append(start[1:], len(raw))[keep]
+            start = start[keep]
+            low, start = _picked(low, start, until)
+            n = len(start)
+            offsets = np.append(start, len(low))
+        w_start, w_end, _ = K.word_spans(low, offsets)
+        word = K.span_hashes(low, w_start, w_end)
+        line = np.repeat(np.arange(n), np.diff(np.append(np.searchsorted(w_start, start), len(w_start))))
+        rarity = U64(0) if counts is None else _rarity(counts, word)
+        room = 64 - n.bit_length()  # bits below the line's number: a class of rarity, then as much of the hash as fits
+        order = np.argsort((line.astype(U64) << U64(room)) | (rarity << U64(room - 8)) | (word >> U64(72 - room)))
+        word, line = word[order], line[order]
         keep = np.ones(len(word), bool)
-        keep[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1])
+        keep[1:] = (word[1:] != word[:-1]) | (line[1:] != line[:-1])
         self.word, self.line = word[keep], line[keep]
         self.begin = np.searchsorted(self.line, np.arange(n + 1))
         self.size = np.diff(self.begin)
-        self.judged = self.size >= MIN_WORDS
 
-    def ids(self) -> np.ndarray:
-        total = np.zeros(len(self.word) + 1, U64)
-        np.cumsum(K.mix64(self.word), out=total[1:])
-        return K.mix64(total[self.begin[1:]] - total[self.begin[:-1]] + self.size.astype(U64)).astype(np.int64)
+    def _sums(self, values: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(values) + 1, U64)
+        np.cumsum(values, out=total[1:])
+        return total[self.begin[1:]] - total[self.begin[:-1]]
+
+    def ids(self) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits of each set."""
+        mixed = K.mix64(self.word)
+        one, two = self._sums(mixed), self._sums(K.mix64(mixed + U64(K.BASE)))
+        return K.mix64(one + self.size.astype(U64)), K.mix64(two)
 
     def maps(self) -> list[np.ndarray]:
-        """Four words of 64 bits per line, a bit for each of its words."""
-        at = self.word & U64(255)
-        bit = U64(1) << (at & U64(63))
-        some = np.flatnonzero(self.size)
+        """Two words of 64 bits per line: the parity of the words that fall on each bit."""
+        bit = U64(1) << (self.word & U64(63))
+        upper = (self.word >> U64(6) & U64(1)).astype(bool)
         out = []
-        for quarter in range(MAP_WORDS):
+        for half in (bit * ~upper, bit * upper):
             own = np.zeros(len(self.size), U64)
+            some = np.flatnonzero(self.size)
             if len(some):
-                own[some] = np.bitwise_or.reduceat(np.where(at >> U64(6) == U64(quarter), bit, U64(0)), self.begin[some])
-            out.append(own.astype(np.int64))
+                own[some] = np.bitwise_xor.reduceat(half, self.begin[some])
+            out.append(own)
         return out
 
+    def heads(self, at: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The first `length` words of the lines `at`, one line after the other."""
+        until = np.append(0, np.cumsum(length))
+        return self.word[np.repeat(self.begin[at] - until[:-1], length) + np.arange(until[-1])]
 
-def _keys(ids: pa.Array) -> np.ndarray:
-    return ids.fill_null(FIRST).to_numpy(zero_copy_only=False).astype(np.int64)
 
+def _picked(low: np.ndarray, start: np.ndarray, until: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of some lines, each with the break that ends it, and where they begin now."""
+    size = until - start
+    begin = np.cumsum(size) - size
+    return low[np.repeat(start - begin, size) + np.arange(size.sum())], begin
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << COUNT_BITS, np.int64)
-    for batch in batches:
-        for start, stop in K.slices(batch.column(0)):
-            words, _ = K.words(batch.column(0).slice(start, stop - start))
-            np.add.at(total, (words >> U64(64 - COUNT_BITS)).astype(np.int64), 1)
-    at = np.flatnonzero(total)
-    for k in range(0, len(at), 1 << 16):
-        own = at[k : k + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(total[own])], names=["at", "n"])
 
+def _slot(word: np.ndarray) -> np.ndarray:
+    return (word >> U64(64 - COUNT_BITS)).astype(np.int64)
 
-def word_counts(texts: DataFrame) -> np.ndarray:
-    """How often words of each hash occur: 2**COUNT_BITS numbers, whatever the corpus."""
-    found = texts.select("text").mapInArrow(_count, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(1 << COUNT_BITS, np.int64)
-    out[found["at"].to_numpy()] = found["n"].to_numpy()
-    return np.minimum(out, (1 << 31) - 1).astype(np.int32)
 
+def _rarity(counts: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """A class of 8 bits: how often a word's slot occurs, in steps of about a quarter."""
+    return counts.take(_slot(word)).astype(U64)
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys = _keys(batch.column(0))
-        for start, stop in K.slices(batch.column(1)):
-            lines = Lines(batch.column(1).slice(start, stop - start))
-            at = np.flatnonzero(lines.judged)
-            yield pa.RecordBatch.from_arrays([pa.array(lines.ids()[at]), pa.array(keys[start + lines.doc[at]]), pa.array(lines.number[at].astype(np.int32))], names=["sid", "doc", "line"])
+
+#: Sizes of sets by steps of 4/3: sets that match are in one class or in neighbouring ones.
+_CLASSES = np.array([(4 / 3) ** k for k in range(1, 110)])
+
+
+def size_class(n: np.ndarray) -> np.ndarray:
+    return np.searchsorted(_CLASSES, n, side="right")
+
+
+def word_and_class(word: np.ndarray, step: np.ndarray) -> np.ndarray:
+    return K.mix64(word.astype(U64) << U64(8) | step.astype(U64))
 
 
-def _prefixes(counts: np.ndarray) -> Callable:
+def _prefix_length(size: np.ndarray) -> np.ndarray:
+    return np.where(size < LEAST_UNEQUAL, 0, size - (3 * size + 3) // 4 + 1)
+
+
+def _count(pids: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << COUNT_BITS, np.int64)
         for batch in batches:
-            keys = _keys(batch.column(0))
-            for start, stop in K.slices(batch.column(1)):
-                lines = Lines(batch.column(1).slice(start, stop - start), counts)
-                at = np.flatnonzero(lines.size >= LEAST_UNEQUAL)
-                size = lines.size[at]
-                length = size - (3 * size + 3) // 4 + 1
-                offsets = np.zeros(len(at) + 1, np.int32)
-                np.cumsum(length, out=offsets[1:])
-                from_word = np.repeat(lines.begin[at] - offsets[:-1], length) + np.arange(offsets[-1])
-                own = lines.word[from_word]
-                rows = counts[(own >> U64(64 - COUNT_BITS)).astype(np.int64)]
-                pieces = (rows.astype(np.int64) // BLOCK_ROWS + 1) << 32 | (own >> U64(32)).astype(np.int64)
-                columns = [pa.array(lines.ids()[at]), pa.array(keys[start + lines.doc[at]]), pa.array(lines.number[at].astype(np.int32)), pa.array(size.astype(np.int32)), *(pa.array(m[at]) for m in lines.maps()), pa.ListArray.from_arrays(offsets, pa.array(pieces))]
-                yield pa.RecordBatch.from_arrays(columns, names=["sid", "doc", "line", "n", *MAPS, "prefix"])
+            for start, stop in K.slices(batch.column(0), 4 << 20):
+                some = [K.words(batch.column(0).slice(start + a, b - a))[0] for a, b in K.slices(batch.column(0).slice(start, stop - start))]
+                total += np.bincount(_slot(np.concatenate(some)), minlength=1 << COUNT_BITS)
+        at = np.flatnonzero(total)
+        if len(at):
+            yield packed.pack(at * pids >> COUNT_BITS, [at.astype(np.uint32), total[at]])
 
     return run
 
 
-class _Meeting:
-    """Compares rows of equal keys; rows come sorted by key and set size.
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    if blobs := packed.gathered(batches):
+        slot, n = packed.unpack(blobs.pop(0), ["u4", "i8"])
+        at, back = np.unique(slot, return_inverse=True)
+        total = np.zeros(len(at), np.int64)
+        np.add.at(total, back, n)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total)], names=["slot", "n"])
+
+
+def word_counts(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Of 2**COUNT_BITS hashed slots, whatever the corpus: each one's class of rarity, and the number of blocks its rows go in."""
+    counted = packed.dealt(texts.select("text").mapInArrow(_count(packed.groups(texts)), packed.KIND))
+    found = counted.mapInArrow(_summed, "slot int, n long").toArrow()
+    n = np.zeros(1 << COUNT_BITS, np.int64)
+    n[found["slot"].to_numpy()] = found["n"].to_numpy()
+    return np.minimum(255, np.log2(n + 1) * 4).astype(np.uint8), (np.minimum(n // BLOCK_ROWS, 32766) + 1).astype(np.uint16)
 
-    Columns: key (word and pair of blocks), size (set size, place of the word), doc, spot (line, block, open), the map.
-    Only pairs whose later line is open are passed on.
+
+class Rows:
+    """Reads batches of (key, hash of the key, hash of the text, text): slices with each row's key and tag.
+
+    The tag tells rows of one doc_id apart: the text's hash where the id may be repeated, else 0.
     """
 
-    def __init__(self, batches: Iterator[pa.RecordBatch], best: int) -> None:
-        self.batches, self.best = batches, best
+    def __init__(self, batches: Iterator[pa.RecordBatch], repeated: np.ndarray) -> None:
+        self.batches, self.again = batches, bit_tests(repeated)
 
-    def __iter__(self) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        rows = 0
+    def __iter__(self) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
         for batch in self.batches:
-            held.append(np.array([c.to_numpy(zero_copy_only=False) for c in batch.columns]))
-            rows += batch.num_rows
-            if rows >= 200_000:
-                every = np.concatenate(held, axis=1)
-                done = int(np.searchsorted(every[0], every[0, -1]))
-                if done:
-                    yield from self._compare(every[:, :done])
-                held, rows = [every[:, done:]], every.shape[1] - done
-        if rows:
-            yield from self._compare(np.concatenate(held, axis=1))
-
-    def _compare(self, every: np.ndarray) -> Iterator[pa.RecordBatch]:
-        key, size, _, spot = every[:4]
-        n = size >> 28
-        group = np.cumsum(np.append(0, key[1:] != key[:-1]))
+            keys, named, tags = (batch.column(k).to_numpy() for k in range(3))
+            tags = np.where(self.again(named), tags, 0)
+            for start, stop in K.slices(batch.column(3)):
+                yield batch.column(3).slice(start, stop - start), keys[start:stop], tags[start:stop]
+
+
+def line_hash(doc: np.ndarray, tag: np.ndarray, line: np.ndarray) -> np.ndarray:
+    return K.mix64(K.mix64(doc.astype(U64) + tag.astype(U64) * U64(K.BASE)) + line.astype(U64))
+
+
+def _sets(rarity: np.ndarray, repeated: np.ndarray, pids: int) -> Callable:
+    """Every judged line, packed by its set's hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sender = packed.Sender(SENT_AT_ONCE)
+        for column, doc, tag in Rows(batches, repeated):
+            lines = Lines(column, rarity)
+            at = np.flatnonzero(lines.size)
+            length = _prefix_length(lines.size[at])
+            one, two = (x[at] for x in lines.ids())
+            m = lines.maps()
+            own = lines.doc[at]
+            columns = [one, two, doc[own], tag[own], lines.number[at].astype(np.int32), lines.size[at].astype(np.int32), m[0][at], m[1][at]]
+            yield from sender.take((one % U64(pids)).astype(np.int64), columns, (length, (lines.heads(at, length) >> U64(32)).astype(np.uint32)))
+        yield from sender.rest()
+
+    return run
+
+
+def _prefixes(blocks: np.ndarray, pids: int) -> Callable:
+    """Groups of sets: the first of each sends its prefix words (kind 0), the others are exact repeats (kind 1)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if blobs := packed.gathered(batches):
+            one, two, doc, tag, line, n, m0, m1, length, words = packed.unpack(blobs.pop(0), LINE_TYPES, "u4")
+            order = np.lexsort((line, tag, doc, two, one))
+            new = np.ones(len(order), bool)
+            new[1:] = (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0)
+            same = np.zeros(len(order), bool)  # a row that is given several times
+            same[1:] = ~new[1:] & (np.diff(doc[order]) == 0) & (np.diff(tag[order]) == 0) & (np.diff(line[order]) == 0)
+            late, first = order[~new & ~same], order[new]
+            if len(late):
+                yield packed.pack((one[late] % U64(pids)).astype(np.int64), [doc[late], tag[late], line[late]], 1)
+            begin, length = (np.cumsum(length, dtype=np.int64) - length)[first], length[first].astype(np.int64)
+            sender = packed.Sender(SENT_AT_ONCE)
+            for a in range(0, len(first), SETS_AT_ONCE):
+                some = slice(a, a + SETS_AT_ONCE)
+                yield from sent(sender, first[some], begin[some], length[some], words, n, doc, tag, line, m0, m1)
+            yield from sender.rest()
+
+    def sent(sender, first, begin, length, words, n, doc, tag, line, m0, m1) -> Iterator[pa.RecordBatch]:
+        until = np.append(0, np.cumsum(length))
+        if not until[-1]:
+            return
+        place = np.arange(until[-1]) - np.repeat(until[:-1], length)
+        word = words[np.repeat(begin, length) + place]
+        row = np.repeat(first, length)
+        parts = blocks.take(word >> np.uint32(32 - COUNT_BITS)).astype(np.int64)
+        part = np.where(parts > 1, line_hash(doc[row], tag[row], line[row]).view(np.int64) & 0x7FFFFFFF, 0) % parts
+        other, back = np.zeros(len(row), np.int64), np.arange(len(row))
+        if (parts > 1).any():
+            back = np.repeat(back, parts)
+            other = np.arange(len(back)) - np.repeat(np.cumsum(parts) - parts, parts)
+        word, row, place, part = word[back], row[back], place[back], part[back]
+        ab = np.minimum(part, other) << 15 | np.maximum(part, other)
+        pid = (K.mix64(word.astype(U64) << U64(30) | ab.astype(U64)) % U64(pids)).astype(np.int64)
+        order = np.argsort(word)
+        yield from sender.take(pid[order], [c[order] for c in (word, ab.astype(np.uint32), part.astype(np.uint16), n[row], place.astype(np.int32), doc[row], tag[row], line[row], m0[row], m1[row])])
+
+    return run
+
+
+FOUND = "doc long, tag long, line int, early_doc long, early_tag long, early_line int, distance int, word long, h long, early_h long"
+
+
+def _found(late: tuple, early: tuple | None, distance: np.ndarray, word: pa.Array) -> pa.RecordBatch:
+    """early None: exact repeats. h and early_h are the lines' hashes."""
+    none = np.ones(len(distance), bool)
+    columns = [pa.array(c, mask=None if early else none) for c in early or late]
+    h = [pa.array(line_hash(*x).view(np.int64)) for x in (late, early or late)]
+    return pa.RecordBatch.from_arrays([*map(pa.array, late), *columns, pa.array(distance.astype(np.int32)), word, *h], names=[f.split()[0] for f in FOUND.split(", ")])
+
+
+class Meeting:
+    """Compares the rows of each word and pair of blocks.
+
+    Rows come sorted by group and set size n; place is the shared word's, and earlier(i, j) tells which line comes first.
+    """
+
+    def __init__(self, group: np.ndarray, n: np.ndarray, place: np.ndarray, own_block: np.ndarray, part: np.ndarray, maps: list[np.ndarray], doc, tag, line) -> None:
+        self.n, self.place, self.own_block, self.part, self.maps, self.doc, self.tag, self.line = n, place, own_block, part, maps, doc, tag, line
         span = int(n.max()) + 2
         level = group * span + n
         until = np.searchsorted(level, group * span + np.minimum(n * 4 // 3, span - 1), side="right")
-        begin = np.where(n < FIRST_EQUAL, np.searchsorted(level, level, side="right"), np.arange(len(key)) + 1)
-        partners = until - begin
-        total = np.cumsum(partners)
-        found = []
+        self.first = np.where(n < FIRST_EQUAL, np.searchsorted(level, level, side="right"), np.arange(len(n)) + 1)
+        self.partners = np.maximum(0, until - self.first)
+
+    def candidates(self) -> Iterator[tuple[np.ndarray, ...]]:
+        """Later row, earlier row, least number of differing words, how many more there may be; a bounded number of pairs at once."""
+        total = np.cumsum(self.partners)
         at = 0
-        while at < len(key):
-            stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + 4_000_000, side="right")))
-            found.append(self._pairs(every, np.arange(at, stop), begin[at:stop], partners[at:stop]))
+        while at < len(total):
+            stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS_AT_ONCE, side="right")))
+            partners = self.partners[at:stop]
+            i = np.repeat(np.arange(at, stop), partners)
+            j = np.arange(len(i)) + np.repeat(self.first[at:stop] - (np.cumsum(partners) - partners), partners)
             at = stop
-        i, j, distance = (np.concatenate(x) for x in zip(*found, strict=True))
-        if len(i):
-            yield self._best(every, i, j, distance)
-
-    def _pairs(self, every: np.ndarray, first: np.ndarray, begin: np.ndarray, partners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        key, size, _, spot = every[:4]
-        n, place, part, is_open = size >> 28, size & ((1 << 28) - 1), spot >> 1 & 0x7FFF, spot & 1
-        i = np.repeat(first, partners)
-        j = np.arange(len(i)) + np.repeat(begin - (np.cumsum(partners) - partners), partners)
-        need = -(-3 * (n[i] + n[j]) // 7)
-        ok = np.minimum(n[i] - place[i], n[j] - place[j]) >= need
-        own_block = (key >> 15 & 0x7FFF) == (key & 0x7FFF)  # rows of one block meet there alone
-        ok &= (own_block[i] | (part[i] != part[j])) & (is_open[i] | is_open[j]).astype(bool)
-        i, j, need = i[ok], j[ok], need[ok]
-        distance = np.zeros(len(i), np.int64)
-        for m in every[4:]:
-            distance += np.bitwise_count((m[i] ^ m[j]).view(U64))
-        ok = distance <= n[i] + n[j] - 2 * need
-        return i[ok], j[ok], distance[ok]
-
-    def _best(self, every: np.ndarray, i: np.ndarray, j: np.ndarray, distance: np.ndarray) -> pa.RecordBatch:
-        doc, line = every[2], every[3] >> 16
-        swap = (doc[i] > doc[j]) | ((doc[i] == doc[j]) & (line[i] > line[j]))
-        early, late = np.where(swap, j, i), np.where(swap, i, j)
-        kept = (every[3, late] & 1).astype(bool)
-        early, late, distance = early[kept], late[kept], distance[kept]
+            n, place = self.n, self.place
+            both = n[i] + n[j]
+            need = -(-3 * both // 7)
+            ok = np.flatnonzero((np.minimum(n[i] - place[i], n[j] - place[j]) >= need) & (self.own_block[i] | (self.part[i] != self.part[j])))
+            i, j, most = i[ok], j[ok], (both - 2 * need)[ok]
+            distance = sum(np.bitwise_count(m[i] ^ m[j]).astype(np.int64) for m in self.maps)
+            ok = np.flatnonzero(distance <= most)
+            i, j, distance, margin = i[ok], j[ok], distance[ok], (most - distance)[ok]
+            swap = (self.doc[i] > self.doc[j]) | ((self.doc[i] == self.doc[j]) & ((self.tag[i] > self.tag[j]) | ((self.tag[i] == self.tag[j]) & (self.line[i] > self.line[j]))))
+            yield np.where(swap, i, j), np.where(swap, j, i), distance, margin
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    if blobs := packed.gathered(batches):
+        if 1 in blobs:
+            late = packed.unpack(blobs.pop(1), ["i8", "i8", "i4"])
+            yield _found(tuple(late), None, np.full(len(late[0]), -1), pa.nulls(len(late[0]), pa.int64()))
+        if 0 in blobs:
+            word, ab, part, n, place, doc, tag, line, m0, m1 = packed.unpack(blobs.pop(0), WORD_TYPES)
+            key = word.astype(np.int64) << 30 | ab
+            _, back, count = np.unique(key, return_inverse=True, return_counts=True)
+            several = np.flatnonzero(count[back] > 1)
+            order = several[np.lexsort((n[several], back[several]))]
+            if not len(order):
+                return
+            n = n[order].astype(np.int64)
+            doc, tag, line, key, ab = doc[order], tag[order], line[order], key[order], ab[order]
+            meeting = Meeting(np.cumsum(np.append(0, key[1:] != key[:-1])), n, place[order].astype(np.int64), (ab >> 15) == (ab & 0x7FFF), part[order], [m0[order], m1[order]], doc, tag, line)
+            best = _Best()
+            for pairs in meeting.candidates():
+                best.take(*pairs)
+            late, early, distance, _, more = best.held
+            if len(late):
+                yield _found((doc[late], tag[late], line[late]), (doc[early], tag[early], line[early]), distance, pa.array(word_and_class(key[late] >> 30, size_class(n[late])).view(np.int64), mask=~more))
+
+
+class _Best:
+    """The closest PASSED_ON earlier rows of each later row, and whether it had more.
+
+    Where the closest has nearly as many differing words as may be (all but DOUBTFUL), MOST_PASSED_ON are kept.
+    """
+
+    def __init__(self) -> None:
+        self.held = [np.zeros(0, np.int64)] * 4 + [np.zeros(0, bool)]
+
+    def take(self, late: np.ndarray, early: np.ndarray, distance: np.ndarray, margin: np.ndarray) -> None:
+        late, early, distance, margin, more = (np.concatenate(x) for x in zip(self.held, (late, early, distance, margin, np.zeros(len(late), bool)), strict=True))
         order = np.lexsort((early, distance, late))
-        early, late, distance = early[order], late[order], distance[order]
+        late, early, distance, margin, more = late[order], early[order], distance[order], margin[order], more[order]
         begin = np.searchsorted(late, late, side="left")
-        nth = np.arange(len(late)) - begin
         count = np.searchsorted(late, late, side="right") - begin
-        keep = nth < self.best if self.best else np.ones(len(late), bool)
-        early, late, distance, more = early[keep], late[keep], distance[keep], (count > self.best)[keep] if self.best else np.zeros(int(keep.sum()), bool)
-        columns = [pa.array(doc[late]), pa.array(line[late].astype(np.int32)), pa.array(doc[early]), pa.array(line[early].astype(np.int32)), pa.array(distance.astype(np.int32)), pa.array(more)]
-        return pa.RecordBatch.from_arrays(columns, names=["doc", "line", "early_doc", "early_line", "distance", "more"])
+        most = np.where(margin[begin] < DOUBTFUL, MOST_PASSED_ON, PASSED_ON)
+        keep = np.arange(len(late)) - begin < most
+        self.held = [late[keep], early[keep], distance[keep], margin[keep], (more | (count > most))[keep]]
 
 
-CANDIDATES = "doc long, line int, early_doc long, early_line int, distance int, more boolean"
+def _full(bits: np.ndarray, repeated: np.ndarray) -> Callable:
+    """doc, tag, line, size and the distinct words (48 bits each, packed) of the lines that a bit table lets through."""
+    test = bit_tests(bits)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for column, doc, tag in Rows(batches, repeated):
+            lines = Lines(column, None, lambda row, number: test(line_hash(doc[row], tag[row], number)))
+            at = np.flatnonzero(lines.size)
+            data = np.ascontiguousarray(lines.word[lines.begin[at[0]] : ].view(np.uint8).reshape(-1, 8)[:, :6]) if len(at) else np.zeros((0, 6), np.uint8)
+            offsets = np.append(0, np.cumsum(lines.size[at])) * 6
+            words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(doc[lines.doc[at]]), pa.array(tag[lines.doc[at]]), pa.array(lines.number[at].astype(np.int32)), words], names=[*ID, "words"])
 
-def _candidates(sets: DataFrame, best: int, open_lines: DataFrame | None = None) -> DataFrame:
-    """Pairs of lines that share a prefix word and pass the filters: `best` of each word and later line, or all for 0.
+    return run
+
+
+def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """48-bit words of all rows and their number in each."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]].reshape(-1, 6)
+    wide = np.zeros((len(data), 8), np.uint8)
+    wide[:, :6] = data
+    return wide.view(U64).ravel(), np.diff(offsets) // 6
+
+
+def shared_words(a: np.ndarray, size_a: np.ndarray, b: np.ndarray, size_b: np.ndarray) -> np.ndarray:
+    """How many words each pair of sets has in common; below 65536 pairs, words of 48 bits."""
+    rows = np.arange(len(size_a), dtype=U64) << U64(48)
+    every = np.sort(np.concatenate([np.repeat(rows, size_a) | a, np.repeat(rows, size_b) | b]))
+    return np.bincount((every[1:][every[1:] == every[:-1]] >> U64(48)).astype(np.int64), minlength=len(size_a))
+
+
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 4096):
+            own = batch.slice(at, 4096)
+            (a, size_a), (b, size_b) = _words(own.column(3)), _words(own.column(4))
+            common = shared_words(a, size_a, b, size_b)
+            yield own.select(ID).filter(pa.array(4 * common >= 3 * (size_a + size_b - common)))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The later lines of pairs whose full sets are similar enough."""
+    early = sets.withColumnsRenamed({"doc": "early_doc", "tag": "early_tag", "line": "early_line", "words": "early"})
+    both = pairs.select(*ID, *EARLY).join(sets, ID).join(early, EARLY)
+    return written(both.select(*ID, "words", "early").mapInArrow(_alike, "doc long, tag long, line int").distinct())
+
+
+def _members(rarity: np.ndarray, blocks: np.ndarray, words: np.ndarray, ids: np.ndarray, repeated: np.ndarray, pids: int) -> Callable:
+    """Lines that have one of the given words in their prefix, with their full sets, packed by word; `open` marks the ones in question."""
+    has_word, is_open = bit_tests(words), bit_tests(ids)
 
-    With open_lines only pairs whose later line is one of them; only words of their prefixes are shuffled then.
-    """
-    rows = sets.withColumn("open", F.lit(1)) if open_lines is None else sets.join(open_lines.withColumn("open", F.lit(1)), ["doc", "line"], "left").withColumn("open", F.coalesce("open", F.lit(0)))
-    rows = rows.select("doc", "line", "n", *MAPS, "open", F.posexplode("prefix").alias("place", "p"))
-    if open_lines is not None:
-        theirs = sets.join(open_lines, ["doc", "line"], "left_semi").select(F.explode("prefix").alias("p")).distinct()
-        rows = rows.join(written(theirs), "p", "left_semi")
-    rows = rows.withColumn("parts", F.shiftright("p", 32).cast("int")).withColumn("part", F.expr("cast(pmod(xxhash64(doc, line), parts) AS int)"))
-    pair = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda q: F.least(q, F.col("part")) * 32768 + F.greatest(q, F.col("part")))
-    key = F.shiftleft(F.col("p").bitwiseAND(F.lit(0xFFFFFFFF)), 30) + F.col("ab")
-    size, spot = F.shiftleft(F.col("n").cast("long"), 28) + F.col("place"), F.shiftleft(F.col("line").cast("long"), 16) + F.col("part") * 2 + F.col("open")
-    every = rows.select("*", F.explode(pair).alias("ab")).select(key.alias("key"), size.alias("size"), "doc", spot.alias("spot"), *MAPS)
-    met = every.repartition(input_partitions(sets.sparkSession), "key").sortWithinPartitions("key", "size")
-    return met.mapInArrow(lambda batches: iter(_Meeting(batches, best)), CANDIDATES)
-
-
-def _wanted(bits: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = _keys(batch.column(0))
-            hit = np.flatnonzero(bits[keys % FILTER_BITS])
-            texts = batch.column(1).take(pa.array(hit))
-            for start, stop in K.slices(texts):
-                lines = Lines(texts.slice(start, stop - start))
-                at = np.flatnonzero(lines.judged)
-                size = lines.size[at]
-                offsets = np.zeros(len(at) + 1, np.int32)
-                np.cumsum(size, out=offsets[1:])
-                words = lines.word[np.repeat(lines.begin[at] - offsets[:-1], size) + np.arange(offsets[-1])].astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[hit[start + lines.doc[at]]]), pa.array(lines.number[at].astype(np.int32)), pa.ListArray.from_arrays(offsets, pa.array(words))], names=["doc", "line", "words"])
+        sender = packed.Sender(SENT_AT_ONCE)
+        for column, doc, tag in Rows(batches, repeated):
+            lines = Lines(column, rarity)
+            at = np.flatnonzero(lines.size)
+            length = _prefix_length(lines.size[at])
+            word = (lines.heads(at, length) >> U64(32)).astype(np.int64)
+            row = np.repeat(at, length)
+            step = size_class(lines.size[row])
+            hit = has_word(word_and_class(word, step)) | has_word(word_and_class(word, step + 1)) | has_word(word_and_class(word, np.maximum(step, 1) - 1))
+            word, row = word[hit], row[hit]
+            if not len(row):
+                continue
+            own = lines.doc[row]
+            name = line_hash(doc[own], tag[own], lines.number[row])
+            opened = is_open(name)
+            parts = blocks.take(word >> (32 - COUNT_BITS)).astype(np.int64)
+            part = (name & U64(0x7FFFFFFF)).astype(np.int64) % parts
+            copies = np.where(opened, parts, 1)  # an open line meets every part of the word
+            back = np.repeat(np.arange(len(row)), copies)
+            part = np.where(opened[back], np.arange(len(back)) - np.repeat(np.cumsum(copies) - copies, copies), part[back])
+            word, row, own, opened = word[back], row[back], own[back], opened[back]
+            columns = [word.astype(np.uint32), part.astype(np.uint16), doc[own], tag[own], lines.number[row].astype(np.int32), opened.astype(np.uint8)]
+            yield from sender.take((K.mix64(word.astype(U64) << U64(16) | part.astype(U64)) % U64(pids)).astype(np.int64), columns, (lines.size[row], lines.heads(row, lines.size[row])))
+        yield from sender.rest()
 
     return run
 
 
-def bit_table(docs: DataFrame) -> np.ndarray:
-    """Which remainders of `doc` occur: a table of fixed size."""
-    at = docs.select(F.pmod("doc", F.lit(FILTER_BITS)).alias("p"))
-    bits = at.groupBy(F.shiftright("p", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 AS int)))").alias("bits")).toArrow()
-    words = np.zeros(FILTER_BITS // 64, U64)
-    words[bits["at"].to_numpy()] = bits["bits"].to_numpy().astype(U64)
-    return np.unpackbits(words.view(np.uint8), bitorder="little").astype(bool)
-
-
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """doc, line of the later lines of pairs whose full sets are similar enough."""
-    wanted = written(pairs.select("doc", "line").union(pairs.select("early_doc", "early_line")).distinct())
-    found = texts.mapInArrow(_wanted(bit_table(wanted)), "doc long, line int, words array<long>")
-    sets = written(found.join(wanted, ["doc", "line"], "left_semi").dropDuplicates(["doc", "line"]))
-    early = sets.select(F.col("doc").alias("early_doc"), F.col("line").alias("early_line"), F.col("words").alias("early"))
-    both = pairs.select("doc", "line", "early_doc", "early_line").join(sets, ["doc", "line"]).join(early, ["early_doc", "early_line"])
-    common = F.size(F.array_intersect("words", "early"))
-    held = both.withColumn("common", common).where(4 * F.col("common") >= 3 * (F.size("words") + F.size("early") - F.col("common")))
-    return held.select("doc", "line").distinct()
-
-
-def removed_lines(docs: DataFrame) -> DataFrame:
-    """doc (doc_id, least long for null), line: the lines that an earlier one matches, from 0 in each text."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    counts = word_counts(texts)
-    kind = "sid long, doc long, line int, n int, " + ", ".join(f"{m} long" for m in MAPS) + ", prefix array<long>"
-    whole = F.min(F.struct("doc", "line", "n", *MAPS, "prefix")).alias("f")
-    sets = texts.mapInArrow(_prefixes(counts), kind).groupBy("sid").agg(whole).select("sid", "f.*")
-    found = written(_candidates(sets, PASSED_ON))
-    best = found.groupBy("doc", "line").agg(F.min(F.struct("distance", "early_doc", "early_line")).alias("b")).select("doc", "line", "b.early_doc", "b.early_line")
-    similar = written(_verified(written(best), texts))
-    others = found.join(similar, ["doc", "line"], "left_anti").select("doc", "line", "early_doc", "early_line").distinct()
-    others = written(others.join(best, ["doc", "line", "early_doc", "early_line"], "left_anti"))
+def _counted_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Open lines that an earlier line of the same word matches, by their full sets."""
+    if blobs := packed.gathered(batches):
+        word, part, doc, tag, line, opened, size, values = packed.unpack(blobs.pop(0), FULL_TYPES, "u8")
+        key = word.astype(np.int64) << 16 | part
+        begin = np.cumsum(size, dtype=np.int64) - size
+        size = size.astype(np.int64)
+        matched = []
+        order = np.lexsort((line, tag, doc, key))
+        cuts = np.append(np.flatnonzero(np.diff(key[order], prepend=-1)), len(order))
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            group = order[lo:hi]
+            for k in np.flatnonzero(opened[group]):
+                x = group[k]
+                near = group[:k]
+                near = near[(doc[near] != doc[x]) | (tag[near] != tag[x]) | (line[near] != line[x])]
+                near = near[4 * np.minimum(size[near], size[x]) >= 3 * np.maximum(size[near], size[x])]
+                own = np.sort(values[begin[x] : begin[x] + size[x]])
+                for a in range(0, len(near), 1024):
+                    some = near[a : a + 1024]
+                    until = np.append(0, np.cumsum(size[some]))
+                    theirs = values[np.repeat(begin[some] - until[:-1], size[some]) + np.arange(until[-1])]
+                    same = own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs
+                    common = np.add.reduceat(same, until[:-1], dtype=np.int64)
+                    if (4 * common >= 3 * (size[some] + size[x] - common)).any():
+                        matched.append(x)
+                        break
+        yield pa.RecordBatch.from_arrays([pa.array(doc[matched]), pa.array(tag[matched]), pa.array(line[matched])], names=ID)
+
+
+def keyed(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """docs with `_doc` (doc_id, the least long for null) and its hash `_key`; a bit table of the ids that occur more than once."""
+    docs = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST))).withColumn("_key", F.xxhash64("_doc"))
+    return docs, bit_table(docs.groupBy("_key").count().where("count > 1").select(F.col("_key").alias("h")))
+
+
+def removed_lines(docs: DataFrame, repeated: np.ndarray) -> DataFrame:
+    """docs(_doc, _key, text) -> doc, tag, line: the lines that an earlier one matches, from 0 in each text."""
+    text = F.col("text").cast("string")
+    rows = docs.select("_doc", "_key", F.xxhash64(text).alias("_text"), text.alias("text"))
+    rarity, blocks = word_counts(rows)
+    pids = packed.groups(rows)
+    sets = packed.dealt(rows.mapInArrow(_sets(rarity, repeated, pids), packed.KIND))
+    met = packed.dealt(sets.mapInArrow(_prefixes(blocks, pids), packed.KIND)).mapInArrow(_met, FOUND)
+    found = written(met)
+    gone = found.where("distance < 0").select(*ID)
+    near = found.where("distance >= 0")
+    ends = bit_table(near.select("h").union(near.select("early_h")))
+    full = written(rows.mapInArrow(_full(ends, repeated), "doc long, tag long, line int, words binary").dropDuplicates(ID))
+    best = near.groupBy(*ID).agg(F.min(F.struct("distance", F.struct(*EARLY).alias("e"))).alias("b"))
+    best = written(best.select(*ID, "b.e.*"))
+    similar = _verified(best, full)
+    others = near.join(similar, ID, "left_anti").select(*best.columns).distinct()
+    others = written(others.join(best, [*ID, *EARLY], "left_anti"))
     if not others.isEmpty():
-        similar = written(similar.union(_verified(others, texts)))
-    open_lines = written(found.where("more").select("doc", "line").distinct().join(similar, ["doc", "line"], "left_anti"))
-    if not open_lines.isEmpty():
-        rest = _candidates(sets, 0, open_lines).select("doc", "line", "early_doc", "early_line").distinct()
-        similar = written(similar.union(_verified(written(rest), texts)))
-    seen = written(texts.mapInArrow(_occurrences, "sid long, doc long, line int"))
-    first = written(seen.groupBy("sid").agg(F.min(F.struct("doc", "line")).alias("f")).select("sid", F.col("f.doc").alias("first_doc"), F.col("f.line").alias("first_line")))
-    again = seen.join(first, "sid").where("doc <> first_doc OR line <> first_line").select("doc", "line")
-    return written(again.union(similar).distinct())
-
-
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for text, gone in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            gone = set(gone or ())
-            out.append(text if text is None or not gone else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["row", "text"])
+        similar = similar.union(_verified(others, full))
+    left = written(near.where("word is not null").select(*ID, "h", "word").join(similar, ID, "left_anti").distinct())
+    if not left.isEmpty():
+        words, ids = (bit_table(left.select(F.col(c).alias("h")), 4096) for c in ("word", "h"))
+        members = rows.mapInArrow(_members(rarity, blocks, words, ids, repeated, pids), packed.KIND)
+        similar = similar.union(packed.dealt(members).mapInArrow(_counted_out, "doc long, tag long, line int"))
+    return gone.union(similar).distinct()
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """All rows and columns of docs with `text` cut, `n_lines` as it was and `removed`: the numbers of the lines that went.
 
-    Columns of these two names that docs brings along are replaced.
+    Columns of these two names that docs brings along are replaced, and so are those of the names `_doc`, `_key`, `_again`, `_tag`, `_listed`, `_flag` and `_cut`.
     """
-    docs = docs.drop("removed", "n_lines", "_doc", "_listed")
-    gone = removed_lines(docs)
-    per_doc = written(gone.groupBy("doc").agg(F.sort_array(F.collect_list("line")).alias("removed")))
-    bits = bit_table(per_doc)
-
-    @F.pandas_udf("boolean")
-    def listed(keys):
-        return keys.map(lambda k: bool(bits[k % FILTER_BITS]))
-
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST))
-    marked = docs.withColumn("_doc", key).withColumn("_listed", listed(key))
-    joined = marked.where("_listed").join(per_doc.withColumnRenamed("doc", "_doc"), "_doc", "left")
-    rest = marked.where("NOT _listed").withColumn("removed", F.lit(None).cast("array<int>"))
-    every = joined.unionByName(rest).withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
-    lines = F.split(F.col("text"), "\n", -1)
-    kept = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: ~F.array_contains(F.col("removed"), s["i"]))
-    text = F.when(F.size("removed") == 0, F.col("text")).otherwise(F.array_join(F.transform(kept, lambda s: s["x"]), "\n"))
-    return every.withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0))).withColumn("text", text).drop("_doc", "_listed")
+    rows, repeated = keyed(docs.drop("removed", "n_lines", "_doc", "_key", "_again", "_tag", "_listed", "_flag", "_cut"))
+    gone = removed_lines(rows, repeated)
+    per_row = written(gone.groupBy("doc", "tag").agg(F.sort_array(F.collect_set("line")).alias("removed")))
+
+    @F.arrow_udf("struct<n_lines:int,text:string>")
+    def cut(texts: pa.Array, removed: pa.Array) -> pa.Array:
+        counts, out = [], []
+        for text, gone in zip(texts.to_pylist(), removed.to_pylist(), strict=True):
+            every, gone = text.split("\n") if text is not None else [], set(gone or ())
+            counts.append(len(every))
+            out.append("\n".join(x for k, x in enumerate(every) if k not in gone) if gone else text)
+        return pa.StructArray.from_arrays([pa.array(counts, pa.int32()), pa.array(out, pa.string())], names=["n_lines", "text"])
+
+    loses, again = bit_tests(bit_table(per_row.select(F.xxhash64("doc").alias("h")))), bit_tests(repeated)
+
+    @F.arrow_udf("int")
+    def flags(named: pa.Array) -> pa.Array:
+        h = named.to_numpy()
+        return pa.array(loses(h).astype(np.int32) + 2 * again(h).astype(np.int32))
+
+    flag = flags.asNondeterministic()(F.col("_key")).alias("_flag")  # so that it's evaluated once a row
+    marked = rows.select("*", flag).withColumns({"_listed": F.col("_flag") % 2 == 1, "_again": F.col("_flag") >= 2}).drop("_flag")
+    some = marked.where("_listed").withColumn("_tag", F.when(F.col("_again"), F.xxhash64(F.col("text").cast("string"))).otherwise(F.lit(0).cast("long")))
+    some = some.join(per_row.withColumnsRenamed({"doc": "_doc", "tag": "_tag"}), ["_doc", "_tag"], "left").withColumn("_cut", cut(F.col("text").cast("string"), F.col("removed")))
+    some = some.withColumns({"n_lines": F.col("_cut.n_lines"), "text": F.col("_cut.text")}).drop("_cut", "_tag")
+    breaks = F.char_length("text") - F.char_length(F.replace("text", F.lit("\n")))
+    rest = marked.where("NOT _listed").withColumns({"removed": F.lit(None).cast("array<int>"), "n_lines": F.coalesce(breaks + 1, F.lit(0))})
+    return some.unionByName(rest).withColumn("removed", F.coalesce("removed", F.array().cast("array<int>"))).drop("_doc", "_key", "_again", "_listed")

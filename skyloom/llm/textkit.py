@@ -1,7 +1,8 @@
 """Vectorised text work on Arrow string columns: words, their hashes, shingles.
 
 Words follow `[^\\x20\\x09-\\x0D]+` after A-Z are lower-cased. All of it works on the UTF-8 bytes of a slice of
-rows at once, so Python touches no single word. A slice holds about a MiB of text, or one longer row.
+rows at once, so Python touches no single word. A slice holds about 256 KiB of text, which keeps its arrays in the
+caches, or one longer row.
 """
 
 from __future__ import annotations
@@ -14,11 +15,11 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
-BASE_INV = pow(BASE, -1, 1 << 64)
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[65:91] += 32
-SPACE = np.zeros(256, dtype=bool)
-SPACE[[0x20, *range(0x09, 0x0E)]] = True
+LONG_SPAN = 1024
+#: Masks of the first 0 to 8 bytes of a little-endian word.
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=U64)
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+_SOLID = bytes(b not in (0x20, *range(0x09, 0x0E)) for b in range(256))
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -54,7 +55,16 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
-def slices(column: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def mapped(raw: np.ndarray, table: bytes) -> np.ndarray:
+    """Each byte's entry in a table of 256."""
+    return np.frombuffer(raw.tobytes().translate(table), np.uint8)
+
+
+def lowered(raw: np.ndarray) -> np.ndarray:
+    return mapped(raw, _LOWER)
+
+
+def slices(column: pa.Array, size: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Row ranges of about `size` bytes of text each; at least one row."""
     _, offsets = utf8(column)
     start, n = 0, len(column)
@@ -66,12 +76,24 @@ def slices(column: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, int]]:
 
 
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span: a polynomial by prefix sums, moved to exponent 0, then mixed with its length."""
-    n = len(raw)
-    sums = np.zeros(n + 1, dtype=U64)
-    np.cumsum((raw.astype(U64) + U64(1)) * powers(BASE, n), out=sums[1:])
-    value = (sums[ends] - sums[starts]) * powers(BASE_INV, n + 1)[starts]
-    return mix64(value + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
+    """A 64-bit hash of each byte span, from its length and its eight-byte pieces in order.
+
+    Spans beyond LONG_SPAN bytes are hashed by a polynomial instead, so one very long word costs no loop over its pieces.
+    """
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(raw) + 1,), "<u8", padded, strides=(1,))
+    size = ends - starts
+    out = mix64((eight.take(starts) & _FIRST_BYTES.take(np.minimum(size, 8))) + size.astype(U64) * U64(0xD6E8FEB86659FD93))
+    rest, done = np.flatnonzero(size > 8), 8
+    while len(rest) and done < LONG_SPAN:
+        left = np.minimum(size[rest] - done, 8)
+        out[rest] = mix64((out[rest] * U64(BASE)) ^ (eight.take(starts[rest] + done) & _FIRST_BYTES.take(left)))
+        done += 8
+        rest = rest[size[rest] > done]
+    for k in rest.tolist():
+        piece = raw[starts[k] : ends[k]].astype(U64) + U64(1)
+        out[k] = mix64(np.array([(piece * powers(BASE, len(piece))).sum() + U64(len(piece))]))[0]
+    return out
 
 
 def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -80,16 +102,15 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     if n == 0:
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    solid = ~SPACE[raw]
-    first = solid.copy()
-    first[1:] &= ~solid[:-1]
-    last = solid.copy()
-    last[:-1] &= ~solid[1:]
-    edges = offsets[1:-1]
+    solid = np.zeros(n + 2, bool)
+    solid[1:-1] = mapped(raw, _SOLID).view(bool)
+    turns = np.flatnonzero(solid[1:] != solid[:-1])
+    starts, ends = turns[::2], turns[1::2]
+    edges = np.unique(offsets[1:-1])
     edges = edges[(edges > 0) & (edges < n)]
-    first[edges] |= solid[edges]
-    last[edges - 1] |= solid[edges - 1]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    glued = edges[solid[edges] & solid[edges + 1]]  # a row ends in a word and the next begins with one
+    if len(glued):
+        starts, ends = (np.sort(np.concatenate([x, glued]), kind="stable") for x in (starts, ends))
     return starts, ends, np.searchsorted(starts, offsets)
 
 
@@ -97,7 +118,7 @@ def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all rows, in order, and len+1 positions where each row's words begin."""
     raw, offsets = utf8(column)
     starts, ends, rows = word_spans(raw, offsets)
-    return span_hashes(LOWER[raw], starts, ends), rows
+    return span_hashes(lowered(raw), starts, ends), rows
 
 
 def shingles(hashes: np.ndarray, rows: np.ndarray, k: int = 5) -> tuple[np.ndarray, np.ndarray]:

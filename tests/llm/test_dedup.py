@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from skyloom.llm import linededup, minhash
@@ -69,15 +70,35 @@ def test_bit_count_similarity_is_unbiased(spark):
 
 
 def removed(rows):
-    """Lines (doc, number) that an earlier line matches; rows of one doc_id share their lines' places."""
-    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0))
-    lines = [(rows[i][0], k, frozenset(words(x))) for i in order for k, x in enumerate((rows[i][1] or "").split("\n"))]
-    lines = sorted(lines, key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
-    out = set()
-    for n, (doc, k, s) in enumerate(lines):
-        if len(s) >= linededup.MIN_WORDS and any((d, j) != (doc, k) and len(o) >= linededup.MIN_WORDS and 4 * len(s & o) >= 3 * len(s | o) for d, j, o in lines[:n]):
-            out.add((doc, k))
-    return out
+    """Lines (row number in rows, line) that an earlier line matches; rows equal in doc_id and text are one row."""
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0, text_hash(rows[i][1])))
+    lines, first = [], {}
+    for i in order:
+        if first.setdefault(rows[i], i) == i:
+            lines += [(i, k, frozenset(words(x))) for k, x in enumerate((rows[i][1] or "").split("\n"))]
+    out = {(i, k) for n, (i, k, s) in enumerate(lines) if s and any(4 * len(s & o) >= 3 * len(s | o) for _, _, o in lines[:n] if o)}
+    return {(i, k) for i, r in enumerate(rows) for j, k in out if first[r] == j}
+
+
+def text_hash(text):
+    """Spark's xxhash64: its seed, as a signed number."""
+    h = xxhash.xxh64_intdigest(text.encode(), 42) if text is not None else 42
+    return h - (1 << 64) if h >> 63 else h
+
+
+def cut(rows, gone):
+    return [(i, None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if (n, k) not in gone)) for n, (i, t) in enumerate(rows)]
+
+
+def by_row(rows):
+    return sorted((i is None, i or 0, t or "", t is None) for i, t in rows)
+
+
+def repeated_ids(seed: int) -> list[tuple[int, str]]:
+    """Rows that share a doc_id with different texts, and rows that are given twice."""
+    rng = random.Random(seed)
+    rows = [(rng.choice([None, 1, 2, 3]), t) for _, t in line_rows(seed)]
+    return rows + rows[:7] + [(1, "x x\nunlike any other"), (2, "y\nalone here"), (2, "x x\nz"), (50, "y\nalone here")]
 
 
 def line_rows(seed: int) -> list[tuple[int, str]]:
@@ -96,15 +117,25 @@ def line_rows(seed: int) -> list[tuple[int, str]]:
     return rows
 
 
-@pytest.mark.parametrize("rows", [line_rows(1), line_rows(2), [r for r in ODD if r[0] != 9] + [(11, "x" * 100_000)]])
+@pytest.mark.parametrize("rows", [line_rows(1), line_rows(2), ODD + [(11, "x" * 100_000)], repeated_ids(4)])
 def test_line_dedup_equals_brute_force(spark, rows):
     want = removed(rows)
     got = linededup.deduplicated(docs_of(spark, rows, clash=True)).collect()
-    assert len(got) == len(rows)
-    assert {(r.doc_id, k) for r in got for k in r.removed} == want
-    texts = sorted([(r.doc_id is None, r.doc_id or 0, r.text or "", r.text is None) for r in got])
-    cut = lambda i, t: None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in want)
-    assert texts == sorted([(i is None, i or 0, cut(i, t) or "", t is None) for i, t in rows])
+    assert sorted((len(r.removed), r.n_lines) for r in got) == sorted((sum(i == n for i, _ in want), len(t.split("\n")) if t is not None else 0) for n, (_, t) in enumerate(rows))
+    assert by_row((r.doc_id, r.text) for r in got) == by_row(cut(rows, want))
+
+
+def test_lines_with_more_candidates_than_are_passed_on(spark, monkeypatch):
+    """Sets that nearly match many others: each is counted out against all of them."""
+    rng = random.Random(3)
+    core = [f"c{i}" for i in range(9)]
+    rows = [(i, " ".join(rng.sample(core, 7) + [f"t{rng.randrange(40)}" for _ in range(rng.choice([0, 1, 2, 3]))])) for i in range(150)]
+    monkeypatch.setattr(linededup, "PASSED_ON", 1)
+    monkeypatch.setattr(linededup, "MOST_PASSED_ON", 1)
+    for blocks in (10, 200_000):
+        monkeypatch.setattr(linededup, "BLOCK_ROWS", blocks)
+        got = linededup.deduplicated(docs_of(spark, rows)).collect()
+        assert {(r.doc_id, k) for r in got for k in r.removed} == removed(rows)
 
 
 def short_rows(seed: int) -> list[tuple[int, str]]:
