@@ -132,13 +132,25 @@ class Coder:
         return self.bytes[np.repeat(self.begin[ids] - total[:-1], size) + np.arange(total[-1])], total[rows]
 
 
+_coders: dict[int, Coder] = {}
+
+
+def coder_of(ranks: dict[bytes, int]) -> Coder:
+    """The coder of a vocabulary, built once in a Python worker."""
+    key = hash(frozenset(ranks.items()))
+    if key not in _coders or _coders[key].ranks != ranks:
+        _coders.clear()
+        _coders[key] = Coder(ranks)
+    return _coders[key]
+
+
 def _binary(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]).cast(pa.binary())
 
 
 def _encode(ranks: dict[bytes, int]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(ranks)
+        coder = coder_of(ranks)
         for batch in batches:
             for start, stop in K.slices(batch.column(1)):
                 ids, rows = coder.vocabulary.ids(batch.column(1).slice(start, stop - start))
@@ -150,7 +162,7 @@ def _encode(ranks: dict[bytes, int]) -> Callable:
 
 def _decode(ranks: dict[bytes, int]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(ranks)
+        coder = coder_of(ranks)
         for batch in batches:
             ids = batch.column(1).fill_null(b"").cast(pa.large_binary())
             for at in range(0, len(ids), 256):

@@ -75,10 +75,58 @@ def _contractions(point: np.ndarray, edge: np.ndarray, begin: np.ndarray, mark:
 
 
 class Vocabulary:
-    """Resolves the distinct pre-tokens of a slice; what was resolved before is remembered, up to `room` entries."""
-
-    def __init__(self, resolve, room: int = 400_000) -> None:
-        self.resolve, self.room, self.memory = resolve, room, {}
+    """Resolves pre-tokens to ids and remembers them in a hash table of fixed size, for as long as the Python worker lives.
+
+    An entry is found by the pre-token's 64-bit hash and confirmed by its first eight bytes, so pre-tokens of up to eight bytes are
+    told apart by their bytes and longer ones by 128 bits. The table starts anew when it is half full.
+    """
+
+    SLOT_BITS = 21
+
+    def __init__(self, resolve) -> None:
+        self.resolve = resolve
+        self._clear()
+
+    def _clear(self) -> None:
+        n = 1 << self.SLOT_BITS
+        self.name, self.head = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+        self.begin, self.size = np.zeros(n, np.int32), np.zeros(n, np.int32)
+        self.flat, self.used, self.entries = np.zeros(1 << 16, np.uint32), 0, 0
+
+    def _find(self, name: np.ndarray, head: np.ndarray) -> np.ndarray:
+        """Slots of the given pre-tokens, -1 where they aren't known."""
+        mask = np.uint64((1 << self.SLOT_BITS) - 1)
+        slot = (name & mask).astype(np.int64)
+        right = (self.name.take(slot) == name) & (self.head.take(slot) == head)
+        rest = np.flatnonzero(~right)
+        while len(rest):
+            at = slot[rest]
+            empty = self.size[at] == 0
+            slot[rest[empty]] = -1
+            rest = rest[~empty]
+            at = at[~empty] + 1 & int(mask)
+            slot[rest] = at
+            rest = rest[(self.name[at] != name[rest]) | (self.head[at] != head[rest])]
+        return slot
+
+    def _add(self, name: np.ndarray, head: np.ndarray, found: list[tuple[int, ...]]) -> None:
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        total = int(size.sum())
+        if self.used + total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), total), np.uint32)])
+        self.flat[self.used : self.used + total] = np.fromiter((i for f in found for i in f), np.uint32, total)
+        begin = self.used + np.cumsum(size) - size
+        self.used += total
+        self.entries += len(found)
+        rest, slot = np.arange(len(name)), (name & np.uint64((1 << self.SLOT_BITS) - 1)).astype(np.int64)
+        while len(rest):
+            free = np.flatnonzero(self.size[slot] == 0)
+            at, first = np.unique(slot[free], return_index=True)
+            own = rest[free[first]]
+            self.name[at], self.head[at], self.begin[at], self.size[at] = name[own], head[own], begin[own], size[own]
+            left = np.ones(len(rest), bool)
+            left[free[first]] = False
+            rest, slot = rest[left], slot[left] + 1 & (1 << self.SLOT_BITS) - 1
 
     def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """uint32 ids of all rows, and where each row's begin."""
@@ -86,19 +134,23 @@ class Vocabulary:
         starts, ends, rows = spans(raw, offsets)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        _, first, back = np.unique(K.span_hashes(raw, starts, ends), return_index=True, return_inverse=True)
-        data = raw.tobytes()
-        pieces = [data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-        if len(self.memory) > self.room:
-            self.memory.clear()
-        new = [p for p in pieces if p not in self.memory]
-        self.memory.update(zip(new, self.resolve(new), strict=True))
-        found = [self.memory[p] for p in pieces]
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for f in found for i in f), np.uint32, int(size.sum()))
-        begin = np.cumsum(size) - size
-        each = size[back]
-        total = np.zeros(len(back) + 1, np.int64)
-        np.cumsum(each, out=total[1:])
-        ids = flat[np.repeat(begin[back] - total[:-1], each) + np.arange(total[-1])]
-        return ids, total[rows]
+        name, head = K.span_hashes(raw, starts, ends), K.first_eight(raw, starts, ends)
+        slot = self._find(name, head)
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            new = new[np.lexsort((head[new], name[new]))]
+            other = (np.diff(name[new]) != 0) | (np.diff(head[new]) != 0)
+            new = new[np.append(True, other)]
+            if self.entries + len(new) > 1 << self.SLOT_BITS - 1:
+                if len(new) > 1 << self.SLOT_BITS - 1:  # one very long text
+                    self.SLOT_BITS = len(new).bit_length() + 1
+                self._clear()
+                return self.ids(column)
+            data = raw.tobytes()
+            self._add(name[new], head[new], self.resolve([data[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]))
+            missing = np.flatnonzero(slot < 0)
+            slot[missing] = self._find(name[missing], head[missing])
+        size = self.size.take(slot)
+        total = np.zeros(len(slot) + 1, np.int64)
+        np.cumsum(size, out=total[1:])
+        return self.flat.take(np.repeat(self.begin.take(slot) - total[:-1], size) + np.arange(total[-1])), total[rows]

@@ -3,11 +3,13 @@
 A block is coded alone: its model starts empty and its ids have their own CRC-32, so one damaged block spoils no other.
 Blocks of equal length are lanes of the same arrays, and step t codes the t-th id of every lane.
 
-The model of a lane mixes three predictions of the next id. Order 2 and order 1 each keep one id with a confidence per
-hashed context; order 0 keeps counts of all ids, refreshed when the position doubles. The order-2 id gets the weight
-that its confidence class has earned in this block, the order-1 id what it has earned of the rest, and the order-0
-distribution what is left. The interval so chosen is narrowed by a range coder of 48 bits with 16-bit words and carries.
-Encoder and decoder run the same integer arithmetic.
+Inside a block an id goes by the step at which it first occurred, its number. The model mixes three predictions of the next number:
+order 2 and order 1 each keep the number that followed last in a hashed context; order 0 is the histogram of all numbers
+so far, refreshed when the position doubles. What each prediction may claim of the 65536 parts of an interval is learnt per
+block, and anew every CHUNK steps, for each class of agreement between the two contexts; what is left stands for an id that
+order 0 doesn't know yet, which is then coded evenly: its step since the refresh, or its place among the ids of the segment.
+A range coder of 52 bits, in whole numbers that double precision holds exactly, takes the intervals and gives words of 24 bits.
+Encoder and decoder run the same arithmetic.
 """
 
 from __future__ import annotations
@@ -16,177 +18,296 @@ import zlib
 
 import numpy as np
 
-U64 = np.uint64
-MASK, LIMIT, SIXTEEN, FORTY8, THIRTY2 = U64((1 << 48) - 1), U64(1 << 32), U64(16), U64(48), U64(32)
-UNKNOWN = 0x1FFFFFFF
-NONE = UNKNOWN << 2
-BITS1, BITS2, GAIN, LANE = 12, 13, 32, 20
-FIRST_REFRESH = 64
-
-
-class Model:
-    def __init__(self, lanes: int, ids: int) -> None:
-        self.ids, self.lanes = ids, lanes
-        self.lane = np.arange(lanes)
-        self.one, self.two = np.full(lanes << BITS1, NONE, np.int32), np.full(lanes << BITS2, NONE, np.int32)
-        self.base1, self.base2 = self.lane << BITS1, self.lane << BITS2
-        self.weight2, self.weight1 = np.full(lanes * 8, 1 << 14, np.int32), np.full(lanes * 4, 1 << 13, np.int32)
-        self.class2, self.class1 = self.lane * 8, self.lane * 4
+PARTS, TOP, LOW = 65536, 2.0**52, 2.0**28
+WORD, LEAST = 2.0**24, 48
+BITS1, BITS2, CHUNK, CLASSES = 10, 11, 64, 4
+#: A block has at most so many steps; order 0 always has as many parts as its histogram may have places.
+STEP_BITS = 11
+MOST_STEPS = PLACES = 1 << STEP_BITS
+#: How many different ids a segment may have.
+MOST_IDS = (1 << 24) - MOST_STEPS
+
+
+class Contexts:
+    """The numbers that followed last in each lane's hashed contexts of order 1 and 2."""
+
+    def __init__(self, lanes: int) -> None:
+        lane = np.arange(lanes)
+        self.one, self.two = np.full(lanes << BITS1, -1, np.int16), np.full(lanes << BITS2, -1, np.int16)
+        self.base1, self.base2 = lane << BITS1, lane << BITS2
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.count = np.ones((lanes, ids), np.uint32)
-        self.cum = np.zeros((lanes, ids + 1), np.uint32)
-        self.row = self.lane * (ids + 1)
-        self.flat = self.cum.reshape(-1)
-        self.offset = (self.lane << LANE).astype(np.int64)
-        self.next = FIRST_REFRESH
-        self._accumulate()
-
-    def _accumulate(self) -> None:
-        np.cumsum(self.count, axis=1, dtype=np.uint32, out=self.cum[:, 1:])
-        self.cum[:, 0] = 0
-        self.cum += self.offset.astype(np.uint32)[:, None]
-        self.total = (self.flat[self.row + self.ids] - self.offset).astype(U64)
-
-    def refresh(self, t: int, done: np.ndarray) -> None:
-        """Before step t; done: the ids of all steps so far, a row per step."""
-        if t < self.next:
-            return
-        new = done[self.next // 2 if self.next > FIRST_REFRESH else 0 : t].astype(np.int64)
-        np.add.at(self.count.reshape(-1), (new + self.lane[: new.shape[1]] * self.ids).ravel(), np.uint32(GAIN))
-        self._accumulate()
-        self.next *= 2
-
-    def predict(self, n: int) -> None:
-        """For the first n lanes: the two predicted ids and the weights of their intervals, of 65536."""
-        self.at1 = self.base1[:n] + ((self.last[:n] * 40503 >> 3) & ((1 << BITS1) - 1))
-        self.at2 = self.base2[:n] + ((self.before[:n] * 30011 + self.last[:n] * 40503 >> 3) & ((1 << BITS2) - 1))
-        self.got1, self.got2 = self.one[self.at1], self.two[self.at2]
-        self.id1, self.id2 = self.got1 >> 2, self.got2 >> 2
-        same = self.id1 == self.id2
-        self.in2 = self.class2[:n] + (self.got2 & 3) + 4 * same
-        self.in1 = self.class1[:n] + (self.got1 & 3)
-        self.w2 = np.where(self.id2 == UNKNOWN, 0, self.weight2[self.in2])
-        rest = (65536 - self.w2).astype(np.int64)
-        self.w1 = np.where(same | (self.id1 == UNKNOWN), 0, rest * self.weight1[self.in1] >> 16)
-
-    def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        n = len(ids)
-        used = self.w2 > 0
-        w = self.weight2[self.in2]
-        self.weight2[self.in2] = np.where(used, np.clip(w + ((hit2 * 65535 - w) >> 5), 64, 65000), w)
-        used = (self.w1 > 0) & ~hit2
-        w = self.weight1[self.in1]
-        self.weight1[self.in1] = np.where(used, np.clip(w + ((hit1 * 65535 - w) >> 5), 64, 65000), w)
-        fresh = ids << 2
-        for table, at, got, right in ((self.one, self.at1, self.got1, self.id1 == ids), (self.two, self.at2, self.got2, self.id2 == ids)):
-            conf = got & 3
-            table[at] = np.where(right, got + (conf < 3), np.where(conf > 0, got - 1, fresh))
-        self.before[:n], self.last[:n] = self.last[:n], ids
-
-
-def encode(blocks: np.ndarray, short: int, ids: int) -> list[bytes]:
-    """blocks: a row per step, a column per block, all below `ids`; the last block has `short` ids. Returns each block's code."""
+
+    def predict(self) -> tuple[np.ndarray, np.ndarray]:
+        last = self.last * 40503
+        self.at1 = self.base1 + (last >> 4 & (1 << BITS1) - 1)
+        self.at2 = self.base2 + (self.before * 30011 + last >> 4 & (1 << BITS2) - 1)
+        return self.one.take(self.at1), self.two.take(self.at2)
+
+    def learn(self, number: np.ndarray) -> None:
+        self.one[self.at1] = number
+        self.two[self.at2] = number
+        self.before, self.last = self.last, number.astype(np.int64)
+
+
+class Shares:
+    """Of 65536 parts, where the parts of order 2, order 1, order 0 and of unknown ids begin in each lane and class.
+
+    `bounds` holds five rows (0, three ends, 65536) of a number for each lane and class.
+    """
+
+    def __init__(self, lanes: int) -> None:
+        self.seen = np.tile(np.array([[1, 1, 8, 24], [1, 8, 12, 16], [10, 6, 12, 12], [24, 1, 8, 8]], np.int64), (lanes, 1, 1))
+        self.stride = lanes * CLASSES
+        self.lane = np.arange(lanes) * CLASSES
+        self.bounds = np.zeros(5 * self.stride)
+        self.bounds[4 * self.stride :] = PARTS
+        self.refresh()
+
+    def refresh(self) -> None:
+        total = np.cumsum(self.seen, axis=2)
+        room = PARTS - 3 * LEAST - PLACES
+        ends = total[:, :, :3] * room // total[:, :, 3:] + np.array([LEAST, 2 * LEAST, 2 * LEAST + PLACES])
+        ends[:, 0, 0] = 0  # neither context is known
+        ends[:, 1, 0] = 0
+        ends[:, 0, 1] = 0
+        ends[:, 3, 1] = ends[:, 3, 0]  # both say the same
+        self.bounds[self.stride : 4 * self.stride] = ends.reshape(-1, 3).T.ravel()
+
+    def learn(self, classes: np.ndarray, kinds: np.ndarray) -> None:
+        """What CHUNK steps were coded by: 0 order 2, 1 order 1, 2 order 0, 3 unknown. Older steps count for half."""
+        spot = (self.lane + classes) * 4 + kinds
+        self.seen = (self.seen + 1 >> 1) + 2 * np.bincount(spot.ravel(), minlength=self.seen.size).reshape(self.seen.shape)
+        self.refresh()
+
+
+def class_of(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """0: neither context is known, 1: order 1 alone, 2: both and they differ, 3: both and they agree."""
+    first = one >= 0
+    known = (two >= 0) & first
+    return first.view(np.int8) + known.view(np.int8) + (known & (one == two)).view(np.int8)
+
+
+class Histogram:
+    """Order 0 of each lane: numbers below `size` steps, by how often they occurred."""
+
+    def __init__(self, numbers: np.ndarray) -> None:
+        """numbers: a row per step, a column per lane; as many steps as a power of two."""
+        self.size, lanes = numbers.shape
+        self.shift = self.size.bit_length() - 1
+        spot = numbers.astype(np.int64) + (np.arange(lanes) * self.size)
+        count = np.bincount(spot.ravel(), minlength=lanes * self.size).reshape(lanes, self.size)
+        cum = np.zeros((lanes, self.size + 1), np.int16)
+        np.cumsum(count, axis=1, out=cum[:, 1:])
+        self.cum, self.count = cum.ravel(), count
+        self.row = np.arange(lanes) * (self.size + 1)
+
+    def slots(self) -> np.ndarray:
+        """The numbers of each lane in order, each as often as it occurred."""
+        lanes = len(self.count)
+        return np.repeat(np.tile(np.arange(self.size, dtype=np.int16), lanes), self.count.ravel())
+
+    def part(self, at: np.ndarray, before: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """at: row + number. Where the number's part begins and how long it is, of `width` parts from `before` on."""
+        scaled = width * (1 / self.size)  # size is a power of two, so this is exact
+        low = np.floor(self.cum.take(at) * scaled)
+        return before + low, np.floor(self.cum.take(at + 1) * scaled) - low
+
+
+def numbered(blocks: np.ndarray) -> np.ndarray:
+    """The step at which the id of each place first occurred in its lane."""
     steps, lanes = blocks.shape
-    model = Model(lanes, ids)
-    low, span = np.zeros(lanes, U64), np.full(lanes, MASK, U64)
-    out = np.zeros((lanes, steps * 3 + 8), np.uint32)
-    pos = np.ones(lanes, np.int64)
-
-    flat_out, base = out.reshape(-1), np.arange(lanes) * out.shape[1]
-
-    def narrow(at, cum, freq, unit):
-        """at: lane numbers, or a slice from 0 on."""
-        lane = (lambda k: k) if isinstance(at, slice) else (lambda k: at[k])
-        lo, sp = low[at] + unit * cum, unit * freq
-        over = np.flatnonzero(lo > MASK)
-        if len(over):
-            to = lane(over)
-            flat_out[base[to] + pos[to] - 1] += 1
-            lo &= MASK
-        while len(small := np.flatnonzero(sp < LIMIT)):
-            to, part = lane(small), lo[small]
-            flat_out[base[to] + pos[to]] = part >> THIRTY2
-            pos[to] += 1
-            lo[small] = (part << SIXTEEN) & MASK
-            sp[small] <<= SIXTEEN
-        low[at], span[at] = lo, sp
+    lane, t = np.arange(lanes, dtype=np.int64)[None, :], np.arange(steps, dtype=np.int64)[:, None]
+    order = np.sort((lane << STEP_BITS + 24 | blocks.astype(np.int64) << STEP_BITS | t).ravel())
+    group = order >> STEP_BITS
+    new = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    step = order & (1 << STEP_BITS) - 1
+    out = np.empty(steps * lanes, np.int16)
+    out[step * lanes + (order >> STEP_BITS + 24)] = np.repeat(step[new].astype(np.int16), np.diff(np.append(new, len(order))))
+    return out.reshape(steps, lanes)
 
-    for t in range(steps):
-        n = lanes - (t >= short)
-        if not n:
-            break
-        model.refresh(t, blocks)
-        model.predict(n)
-        x = blocks[t, :n].astype(np.int64)
-        w2, w1 = model.w2, model.w1
-        hit2 = (model.id2 == x) & (w2 > 0)
-        hit1 = (model.id1 == x) & ~hit2 & (w1 > 0)  # an interval may be empty
-        cum = np.where(hit2, 0, np.where(hit1, w2, w2 + w1))
-        freq = np.where(hit2, w2, np.where(hit1, w1, 65536 - w2 - w1))
-        narrow(slice(0, n), cum.astype(U64), freq.astype(U64), span[:n] >> SIXTEEN)
-        miss = np.flatnonzero(~(hit2 | hit1))
-        if len(miss):
-            at = model.row[miss] + x[miss]
-            a, b = model.flat[at], model.flat[at + 1]
-            narrow(miss, (a - model.offset[miss]).astype(U64), (b - a).astype(U64), span[miss] // model.total[miss])
-        model.learn(x, hit2, hit1)
-    for shift in (32, 16, 0):
-        out[model.lane, pos] = ((low >> U64(shift)) & U64(0xFFFF)).astype(np.uint32)
-        pos += 1
-    while (carry := out >> 16).any():
-        out &= 0xFFFF
-        out[:, :-1] += carry[:, 1:]
-    return [out[k, 1 : pos[k]].astype("<u2").tobytes() for k in range(lanes)]
-
-
-def decode(codes: list[bytes], steps: int, short: int, ids: int) -> np.ndarray:
-    lanes = len(codes)
-    model = Model(lanes, ids)
-    words = np.zeros((lanes, max(map(len, codes)) // 2 + 4), U64)
-    for k, code in enumerate(codes):
-        words[k, : len(code) // 2] = np.frombuffer(code, "<u2")
-    code = (words[:, 0] << THIRTY2) | (words[:, 1] << SIXTEEN) | words[:, 2]
-    pos = np.full(lanes, 3, np.int64)
-    span = np.full(lanes, MASK, U64)
-    blocks = np.zeros((steps, lanes), np.uint32)
-
-    flat_words, base = words.reshape(-1), np.arange(lanes) * words.shape[1]
-
-    def narrow(at, cum, freq, unit):
-        co, sp = code[at] - unit * cum, unit * freq
-        while len(small := np.flatnonzero(sp < LIMIT)):
-            to = small if isinstance(at, slice) else at[small]
-            co[small] = (co[small] << SIXTEEN) | flat_words[base[to] + pos[to]]
-            pos[to] += 1
-            sp[small] <<= SIXTEEN
-        code[at], span[at] = co, sp
 
+class Writer:
+    """Narrows the interval of every lane and collects the words that are settled; carries are added at the end."""
+
+    def __init__(self, lanes: int, room: int) -> None:
+        self.low, self.span = np.zeros(lanes), np.full(lanes, TOP)
+        self.out = np.zeros((lanes, room), np.uint32)
+        self.flat, self.at = self.out.reshape(-1), np.arange(lanes) * room
+        self.start = self.at.copy()
+
+    def narrow(self, cum: np.ndarray, freq: np.ndarray) -> None:
+        """All lanes, by parts of 65536."""
+        unit = np.floor(self.span * (1 / PARTS))
+        self.low += unit * cum
+        np.multiply(unit, freq, out=self.span)
+        self._settle(self.low, self.span, self.at)
+
+    def narrow_some(self, lanes: np.ndarray, symbol: np.ndarray, total: int) -> None:
+        """Some lanes, evenly by `total`."""
+        low, span, at = self.low.take(lanes), self.span.take(lanes), self.at.take(lanes)
+        np.floor(span * (1 / total), out=span)
+        low += span * symbol
+        self._settle(low, span, at)
+        self.low[lanes], self.span[lanes], self.at[lanes] = low, span, at
+
+    def _settle(self, low: np.ndarray, span: np.ndarray, at: np.ndarray) -> None:
+        word = np.floor(low * (1 / LOW))
+        self.flat[at] = word
+        small = span < LOW
+        scale = small * (WORD - 1)
+        scale += 1
+        word *= small
+        word *= LOW
+        low -= word
+        low *= scale
+        span *= scale
+        at += small
+
+    def codes(self) -> list[bytes]:
+        for _ in range(3):
+            word = np.floor(self.low * (1 / LOW))
+            self.flat[self.at] = word
+            self.low = (self.low - word * LOW) * WORD
+            self.at += 1
+        size = self.at - self.start
+        words = np.where(np.arange(int(size.max())) < size[:, None], self.out[:, : int(size.max())], 0)
+        while (carry := words >> 24).any():
+            words &= 0xFFFFFF
+            words[:, :-1] += carry[:, 1:]
+        packed = words.astype("<u4").view(np.uint8).reshape(*words.shape, 4)[:, :, :3]
+        return [packed[k, : size[k]].tobytes() for k in range(len(size))]
+
+
+def encode(blocks: np.ndarray, ids: int) -> list[bytes]:
+    """blocks: a row per step, a column per block, all below `ids`. Returns each block's code."""
+    steps, lanes = blocks.shape
+    if steps > MOST_STEPS or ids > MOST_IDS:
+        raise ValueError("the block is too long or has too many different ids")
+    number = numbered(blocks)
+    contexts, shares, writer = Contexts(lanes), Shares(lanes), Writer(lanes, steps * 2 + 8)
+    histogram, known = None, 0
+    one, two = np.empty((CHUNK, lanes), np.int16), np.empty((CHUNK, lanes), np.int16)
+    for start in range(0, steps, CHUNK):
+        if start and start & start - 1 == 0:
+            known, histogram = start, Histogram(number[:start])
+        size = min(CHUNK, steps - start)
+        for k in range(size):
+            one[k], two[k] = contexts.predict()
+            contexts.learn(number[start + k])
+        x, p1, p2 = number[start : start + size], one[:size], two[:size]
+        classes = class_of(p1, p2)
+        hit2 = (p2 == x) & (classes >= 2)
+        hit1 = (p1 == x) & (classes >= 1) & ~hit2
+        told = hit2 | hit1
+        kinds = 3 - (x < known).view(np.int8)
+        kinds[told] = hit1[told].view(np.int8)
+        spot = kinds * np.int64(shares.stride) + (shares.lane + classes)
+        cum = shares.bounds.take(spot)
+        freq = shares.bounds.take(spot + shares.stride) - cum
+        if histogram is not None:
+            at = np.flatnonzero(kinds == 2)
+            cum.ravel()[at], freq.ravel()[at] = histogram.part(histogram.row[at % lanes] + x.ravel()[at], cum.ravel()[at], freq.ravel()[at])
+        rest = np.flatnonzero(kinds == 3)
+        step, rest = rest // lanes, rest % lanes
+        until = np.searchsorted(step, np.arange(size + 1))
+        recent, own = step + start - known, x[step, rest]
+        symbol = np.where(own == step + start, recent + blocks[step + start, rest].astype(np.float64), own - known)
+        for k in range(size):
+            writer.narrow(cum[k], freq[k])
+            if until[k] < until[k + 1]:
+                part = slice(until[k], until[k + 1])
+                writer.narrow_some(rest[part], symbol[part], start + k - known + ids)
+        shares.learn(classes, kinds)
+    return writer.codes()
+
+
+class Reader:
+    """Follows the writer's intervals."""
+
+    def __init__(self, codes: list[bytes]) -> None:
+        lanes, room = len(codes), max(map(len, codes)) // 3 + 4
+        words = np.zeros((lanes, room))
+        for k, code in enumerate(codes):
+            wide = np.zeros((len(code) // 3, 4), np.uint8)
+            wide[:, :3] = np.frombuffer(code, np.uint8).reshape(-1, 3)
+            words[k, : len(wide)] = wide.view("<u4").ravel()
+        # 52 bits: two words and the upper four bits of the third, whose rest follows with the next word's upper bits
+        self.code, self.span = words[:, 0] * LOW + words[:, 1] * 16 + np.floor(words[:, 2] * 2.0**-20), np.full(lanes, TOP)
+        rest = words - np.floor(words * 2.0**-20) * 2.0**20
+        words[:, :-1] = rest[:, :-1] * 16 + np.floor(words[:, 1:] * 2.0**-20)
+        self.flat, self.at = words.reshape(-1), np.arange(lanes) * room + 2
+
+    def part(self) -> tuple[np.ndarray, np.ndarray]:
+        """The unit of 65536 and the part that the code lies in."""
+        unit = np.floor(self.span * (1 / PARTS))
+        return unit, np.minimum(np.floor(self.code / unit), PARTS - 1)
+
+    def narrow(self, cum: np.ndarray, freq: np.ndarray, unit: np.ndarray) -> None:
+        self.code -= unit * cum
+        np.multiply(unit, freq, out=self.span)
+        self._settle(self.code, self.span, self.at)
+
+    def even(self, lanes: np.ndarray, total: int) -> np.ndarray:
+        code, span, at = self.code.take(lanes), self.span.take(lanes), self.at.take(lanes)
+        np.floor(span * (1 / total), out=span)
+        symbol = np.minimum(np.floor(code / span), total - 1)
+        code -= span * symbol
+        self._settle(code, span, at)
+        self.code[lanes], self.span[lanes], self.at[lanes] = code, span, at
+        return symbol
+
+    def _settle(self, code: np.ndarray, span: np.ndarray, at: np.ndarray) -> None:
+        small = span < LOW
+        scale = small * (WORD - 1)
+        scale += 1
+        code *= scale
+        code += self.flat.take(at, mode="clip") * small
+        span *= scale
+        at += small
+
+
+def decode(codes: list[bytes], steps: int, ids: int) -> np.ndarray:
+    lanes = len(codes)
+    reader, contexts, shares, lane = Reader(codes), Contexts(lanes), Shares(lanes), np.arange(lanes)
+    number, fresh = np.zeros((steps, lanes), np.int16), np.zeros((steps, lanes), np.uint32)
+    histogram, slots, known, stride = None, None, 0, shares.stride
+    classes, kinds = np.zeros((CHUNK, lanes), np.int8), np.zeros((CHUNK, lanes), np.int8)
     for t in range(steps):
-        n = lanes - (t >= short)
-        if not n:
-            break
-        model.refresh(t, blocks)
-        model.predict(n)
-        w2, w1 = model.w2, model.w1
-        unit = span[:n] >> SIXTEEN
-        v = np.minimum(code[:n] // unit, U64(65535)).astype(np.int64)
-        hit2 = v < w2
-        hit1 = ~hit2 & (v < w2 + w1)
-        cum = np.where(hit2, 0, np.where(hit1, w2, w2 + w1))
-        freq = np.where(hit2, w2, np.where(hit1, w1, 65536 - w2 - w1))
-        narrow(slice(0, n), cum.astype(U64), freq.astype(U64), unit)
-        x = np.where(hit2, model.id2, model.id1).astype(np.int64)
-        miss = np.flatnonzero(~(hit2 | hit1))
-        if len(miss):
-            unit = span[miss] // model.total[miss]
-            v = np.minimum(code[miss] // unit, model.total[miss] - U64(1)).astype(np.int64) + model.offset[miss]
-            at = np.searchsorted(model.flat, v.astype(np.uint32), side="right") - 1
-            a, b = model.flat[at], model.flat[at + 1]
-            narrow(miss, (a - model.offset[miss]).astype(U64), (b - a).astype(U64), unit)
-            x[miss] = at - model.row[miss]
-        model.learn(x, hit2, hit1)
-        blocks[t, :n] = x
-    return blocks
+        if t >= CHUNK and t & t - 1 == 0:
+            known, histogram = t, Histogram(number[:t])
+            slots = histogram.slots()
+        one, two = contexts.predict()
+        c, kind = classes[t % CHUNK], kinds[t % CHUNK]
+        c[:] = class_of(one, two)
+        spot = shares.lane + c
+        unit, v = reader.part()
+        kind[:] = (v >= shares.bounds.take(spot + stride)).view(np.int8)
+        kind += (v >= shares.bounds.take(spot + 2 * stride)).view(np.int8)
+        kind += (v >= shares.bounds.take(spot + 3 * stride)).view(np.int8)
+        spot += kind * np.int64(stride)
+        cum = shares.bounds.take(spot)
+        freq = shares.bounds.take(spot + stride) - cum
+        x = np.where(kind == 0, two, one)
+        seen = np.flatnonzero(kind == 2)
+        if len(seen) and histogram is not None:
+            low, width = cum.take(seen), freq.take(seen)
+            place = np.floor(((v.take(seen) - low + 1) * histogram.size - 1) / width).astype(np.int64)
+            own = slots.take(seen * histogram.size + place)
+            x[seen] = own
+            cum[seen], freq[seen] = histogram.part(histogram.row.take(seen) + own, low, width)
+        reader.narrow(cum, freq, unit)
+        rest = np.flatnonzero(kind == 3)
+        if len(rest):
+            recent = t - known
+            symbol = reader.even(rest, recent + ids)
+            new = symbol >= recent
+            x[rest] = np.where(new, t, symbol + known)
+            fresh[t, rest[new]] = symbol[new] - recent
+        number[t] = x
+        contexts.learn(x)
+        if t % CHUNK == CHUNK - 1:
+            shares.learn(classes, kinds)
+    return fresh[number.astype(np.int64), lane]
 
 
 def checksum(ids: np.ndarray) -> int:

@@ -96,6 +96,13 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return out
 
 
+def first_eight(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The first eight bytes of each span, or all of it, as a number."""
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(raw) + 1,), "<u8", padded, strides=(1,))
+    return eight.take(starts) & _FIRST_BYTES.take(np.minimum(ends - starts, 8))
+
+
 def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and for each row where its words begin (len+1 positions in the former)."""
     n = len(raw)

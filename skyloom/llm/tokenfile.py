@@ -4,7 +4,7 @@ File format (a table of segments in Parquet, so any store that Spark writes to w
 ascending doc_id, `segment` counts within a part, `first` is the number of ids before the segment in its part, and
 `payload` holds
 
-    magic "SKLM1\\n", CRC-32 of the index, sizes; index: doc_id and id count of each document; lengths and CRC-32s of
+    magic "SKLM2\\n", CRC-32 of the index, sizes; index: doc_id and id count of each document; lengths and CRC-32s of
     the blocks; the blocks, each coded by itself (rangecoder.py)
 
 A document is never split over segments; a segment takes documents until it has LANES * BLOCK ids, so memory is
@@ -30,8 +30,8 @@ from skyloom.llm import pretokens, rangecoder
 from skyloom.llm import textkit as K
 from skyloom.llm.common import input_partitions, written
 
-MAGIC = b"SKLM1\n"
-LANES, BLOCK = 1024, 4096
+MAGIC = b"SKLM2\n"
+LANES, BLOCK = 2048, 2048
 NULL_ID = -(1 << 63)
 SEGMENTS = "part int, segment int, first long, n_docs long, n_tokens long, payload binary"
 
@@ -83,6 +83,17 @@ class LibraryTokenizer:
         return np.fromiter((i for x in made for i in x), np.uint32, int(rows[-1])), rows
 
 
+_tokenizers: dict[str, LibraryTokenizer] = {}
+
+
+def tokenizer_of(spec: str) -> LibraryTokenizer:
+    """The tokenizer, built once in a Python worker."""
+    if spec not in _tokenizers:
+        _tokenizers.clear()
+        _tokenizers[spec] = LibraryTokenizer(spec)
+    return _tokenizers[spec]
+
+
 def pack(docs: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> bytes:
     """A segment's payload."""
     n = len(ids)
@@ -93,11 +104,10 @@ def pack(docs: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> bytes:
     lanes = -(-n // steps)
     padded = np.zeros(lanes * steps, np.uint32)
     padded[:n] = place[ids]
-    short = n - (lanes - 1) * steps
     codes: list[bytes] = []
     for at in range(0, lanes, LANES):
         group = padded[at * steps : (at + LANES) * steps].reshape(-1, steps).T
-        codes += rangecoder.encode(np.ascontiguousarray(group), short if at + LANES >= lanes else steps, len(used))
+        codes += rangecoder.encode(np.ascontiguousarray(group), len(used))
     sums = [rangecoder.checksum(ids[k * steps : (k + 1) * steps]) for k in range(lanes)]
     index = struct.pack("<IIII", len(docs), lanes, steps, len(used)) + docs.astype("<i8").tobytes() + counts.astype("<u8").tobytes() + used.astype("<u4").tobytes()
     index += np.array([len(c) for c in codes], "<u4").tobytes() + np.array(sums, "<u4").tobytes()
@@ -119,8 +129,7 @@ def unpack(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     codes = [payload[a : a + s] for a, s in zip(at.tolist(), sizes.tolist(), strict=True)]
     ids = np.zeros(lanes * steps, np.uint32)
     for k in range(0, lanes, LANES):
-        short = n - (lanes - 1) * steps if k + LANES >= lanes else steps
-        group = rangecoder.decode(codes[k : k + LANES], steps, short, n_used)
+        group = rangecoder.decode(codes[k : k + LANES], steps, n_used)
         ids[k * steps : k * steps + group.size] = used[np.minimum(group.T.ravel(), n_used - 1)]
     ids = ids[:n]
     for k in range(lanes):
@@ -131,7 +140,7 @@ def unpack(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _write(spec: str, end_id: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = LibraryTokenizer(spec)
+        tokenizer = tokenizer_of(spec)
         part, segment, first = TaskContext.get().partitionId(), 0, 0
         docs, counts, ids, held = [], [], [], 0
 
