@@ -123,6 +123,10 @@ def _picked(low: np.ndarray, start: np.ndarray, until: np.ndarray) -> tuple[np.n
     return low[np.repeat(start - begin, size) + np.arange(size.sum())], begin
 
 
+#: The class of a slot that one word falls on, once.
+ONCE = 4
+
+
 def _slot(word: np.ndarray) -> np.ndarray:
     return (word >> U64(64 - COUNT_BITS)).astype(np.int64)
 
@@ -220,7 +224,7 @@ def _sets(rarity: np.ndarray, repeated: np.ndarray, pids: int) -> Callable:
     return run
 
 
-def _prefixes(blocks: np.ndarray, pids: int) -> Callable:
+def _prefixes(rarity: np.ndarray, blocks: np.ndarray, pids: int) -> Callable:
     """Groups of sets: the first of each sends its prefix words (kind 0), the others are exact repeats (kind 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,6 +252,8 @@ def _prefixes(blocks: np.ndarray, pids: int) -> Callable:
         place = np.arange(until[-1]) - np.repeat(until[:-1], length)
         word = words[np.repeat(begin, length) + place]
         row = np.repeat(first, length)
+        met = np.flatnonzero(rarity.take(word >> np.uint32(32 - COUNT_BITS)) > ONCE)  # what occurs once in all texts meets nothing
+        word, row, place = word[met], row[met], place[met]
         parts = blocks.take(word >> np.uint32(32 - COUNT_BITS)).astype(np.int64)
         part = np.where(parts > 1, line_hash(doc[row], tag[row], line[row]).view(np.int64) & 0x7FFFFFFF, 0) % parts
         other, back = np.zeros(len(row), np.int64), np.arange(len(row))
@@ -399,7 +405,7 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The later lines of pairs whose full sets are similar enough."""
     early = sets.withColumnsRenamed({"doc": "early_doc", "tag": "early_tag", "line": "early_line", "words": "early"})
-    both = pairs.select(*ID, *EARLY).join(sets, ID).join(early, EARLY)
+    both = pairs.select(*ID, *EARLY).join(sets.hint("merge"), ID).join(early.hint("merge"), EARLY)
     return written(both.select(*ID, "words", "early").mapInArrow(_alike, "doc long, tag long, line int").distinct())
 
 
@@ -479,12 +485,13 @@ def removed_lines(docs: DataFrame, repeated: np.ndarray) -> DataFrame:
     rarity, blocks = word_counts(rows)
     pids = packed.groups(rows)
     sets = packed.dealt(rows.mapInArrow(_sets(rarity, repeated, pids), packed.KIND))
-    met = packed.dealt(sets.mapInArrow(_prefixes(blocks, pids), packed.KIND)).mapInArrow(_met, FOUND)
+    met = packed.dealt(sets.mapInArrow(_prefixes(rarity, blocks, pids), packed.KIND)).mapInArrow(_met, FOUND)
     found = written(met)
     gone = found.where("distance < 0").select(*ID)
     near = found.where("distance >= 0")
     ends = bit_table(near.select("h").union(near.select("early_h")))
-    full = written(rows.mapInArrow(_full(ends, repeated), "doc long, tag long, line int, words binary").dropDuplicates(ID))
+    full = written(rows.mapInArrow(_full(ends, repeated), "doc long, tag long, line int, words binary"))
+    full = full.where("tag = 0").union(full.where("tag <> 0").dropDuplicates(ID))  # only a row with a tag may be given twice
     best = near.groupBy(*ID).agg(F.min(F.struct("distance", F.struct(*EARLY).alias("e"))).alias("b"))
     best = written(best.select(*ID, "b.e.*"))
     similar = _verified(best, full)
@@ -528,7 +535,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     flag = flags.asNondeterministic()(F.col("_key")).alias("_flag")  # so that it's evaluated once a row
     marked = rows.select("*", flag).withColumns({"_listed": F.col("_flag") % 2 == 1, "_again": F.col("_flag") >= 2}).drop("_flag")
     some = marked.where("_listed").withColumn("_tag", F.when(F.col("_again"), F.xxhash64(F.col("text").cast("string"))).otherwise(F.lit(0).cast("long")))
-    some = some.join(per_row.withColumnsRenamed({"doc": "_doc", "tag": "_tag"}), ["_doc", "_tag"], "left").withColumn("_cut", cut(F.col("text").cast("string"), F.col("removed")))
+    # nothing bounds the lists' size, so the join is a merge join at every size
+    some = some.join(per_row.withColumnsRenamed({"doc": "_doc", "tag": "_tag"}).hint("merge"), ["_doc", "_tag"], "left").withColumn("_cut", cut(F.col("text").cast("string"), F.col("removed")))
     some = some.withColumns({"n_lines": F.col("_cut.n_lines"), "text": F.col("_cut.text")}).drop("_cut", "_tag")
     breaks = F.char_length("text") - F.char_length(F.replace("text", F.lit("\n")))
     rest = marked.where("NOT _listed").withColumns({"removed": F.lit(None).cast("array<int>"), "n_lines": F.coalesce(breaks + 1, F.lit(0))})
