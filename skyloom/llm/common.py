@@ -38,6 +38,11 @@ def written(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame, rows: int, each: int = 50_000) -> DataFrame:
+    """As few partitions as so many rows need, for tables much smaller than what the session's shuffles are sized for."""
+    return df.coalesce(max(1, min(input_partitions(df.sparkSession), rows // each + 1)))
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.llm import textkit as K
-from skyloom.llm.common import input_partitions, written
+from skyloom.llm.common import input_partitions, sized, written
 from skyloom.llm.graph import components
 
 PERMUTATIONS, BANDS, ROWS, LOW_BITS = 256, 32, 4, 2
@@ -155,7 +155,8 @@ def _full_sets(docs: DataFrame, nodes: DataFrame, reps: DataFrame, k: int) -> Da
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
     """Of pairs(a, b) of nodes, those with 100 * intersection >= percent * union of their full sets."""
-    nodes = written(pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct())
+    n = pairs.count()
+    nodes = written(sized(pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct(), n))
     sets = _full_sets(docs, nodes, reps, k)
     left, right = (sets.select(F.col("sid").alias(c), F.col("grams").alias(f"g{c}")) for c in "ab")
     common = F.size(F.array_intersect("ga", "gb"))
@@ -233,14 +234,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     component_id is the least doc_id reachable over links (percent: the least Jaccard similarity, as a hundredth),
     the document itself included; kept where it is the document's own.
     """
-    sign = written(signatures(docs, k))
+    sign = written(signatures(docs, k).withColumn("row", F.monotonically_increasing_id()))  # numbers that stay, since they're written
     words = [f"s{i}" for i in range(WORDS)]
-    reps = written(sign.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id")))
-    key = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    cards = sign.where("sid is not null").join(reps.select(F.col("sid").alias("r"), key.alias("rk")), (F.col("sid") == F.col("r")) & (key == F.col("rk")), "left_semi")
+    reps = written(sign.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row")))
+    cards = sign.join(reps.select("row"), "row", "left_semi")  # one row for each set, however often it or its document is given
     entries = cards.select("sid", *words, F.explode("bands").alias("band"))
     several = written(entries.groupBy("band").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low <> high").select("band"))
     shared = written(entries.join(several, "band", "left_semi"))
+    rows = shared.count()
     limit = most_mismatches(percent / 100)
 
     alike = mismatches([F.col(w) for w in words], [F.col(f"t{w}") for w in words]) <= limit
@@ -248,19 +249,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     for turn in range(ROUNDS + 1):
         if turn < ROUNDS:
             first = F.min(F.struct(F.xxhash64("sid", F.lit(turn)), "sid", "comp", *words)).alias("h")
-            heads = written(placed.groupBy("band").agg(first).select("band", F.col("h.sid").alias("b"), F.col("h.comp").alias("other"), *[F.col(f"h.{w}").alias(f"t{w}") for w in words]))
+            heads = written(sized(placed.groupBy("band").agg(first), rows).select("band", F.col("h.sid").alias("b"), F.col("h.comp").alias("other"), *[F.col(f"h.{w}").alias(f"t{w}") for w in words]))
             pairs = placed.join(heads, "band").where((F.col("comp") != F.col("other")) & alike)
-            more = written(_confirmed(written(pairs.select(F.col("sid").alias("a"), "b").distinct()), docs, reps, k, percent))
+            more = written(_confirmed(written(sized(pairs.select(F.col("sid").alias("a"), "b").distinct(), rows)), docs, reps, k, percent))
         else:
             more = written(_across(placed, docs, reps, k, limit, percent))
         if links is None or not more.isEmpty():
-            links = more if links is None else written(links.union(more))
+            links = more if links is None else links.union(more)
             comps = components(links)
         if turn < ROUNDS:
             found = shared.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
             mixed = found.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("band")
-            placed = written(found.join(written(mixed), "band", "left_semi"))
-            if placed.isEmpty():
+            placed = written(sized(found.join(written(sized(mixed, rows)), "band", "left_semi"), rows))
+            if not (rows := placed.count()):
                 break
     named = comps.join(reps.withColumnRenamed("sid", "node"), "node")
     least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
