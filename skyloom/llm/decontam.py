@@ -5,7 +5,9 @@ characters shares at least w - q + 1 - q*e of its q-grams, all on diagonals that
 
 1. a hashed bit table finds the positions in a document whose q-gram occurs in the benchmark at all;
 2. the hits are counted per segment in overlapping bands of diagonals, and bands that reach the bound are kept;
-3. each kept region is verified by banded alignment: the segment against the document with free ends, at most e edits.
+3. each kept region is verified: where all q-grams of the segment lie on one diagonal, by comparing the characters, else by banded
+   alignment of the segment against the document with free ends, at most e edits. Short segments are aligned only for items
+   that no other segment has found in the document.
 
 Texts are compared after A-Z are lower-cased and runs of white space are one blank. e is a tenth of the segment's length,
 or less where the lemma needs it. An exact excerpt of at least SHORT + STRIDE - 1 = 55 characters of any item holds a whole
@@ -34,7 +36,6 @@ SHORT, STRIDE = 48, 8
 BLOCK_CHARS = 1_000_000
 TABLE_BITS = 22
 U64 = np.uint64
-HITS = "doc_id long, item_id long, start long, stop long, edits int, segments int"
 
 
 def normal(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,19 +103,21 @@ class Index:
         self.table[self.gram >> U64(64 - TABLE_BITS)] = True
         self.item = np.array(self.item, np.int64)
 
-    def regions(self, point: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Segment, row and lowest diagonal of each band that reaches the segment's bound."""
-        none = np.zeros(0, np.int64)
+    def regions(self, point: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Segment, row, lowest diagonal, and whether it's an exact copy on that diagonal, of each band that reaches the segment's bound."""
+        none = np.zeros((4, 0), np.int64)
         g = grams(point)
         hit = np.flatnonzero(self.table[(g >> U64(64 - TABLE_BITS)).astype(np.int64)])
         if not len(hit) or not len(self.gram):
-            return none, none, none
+            return none
         k = np.minimum(np.searchsorted(self.gram, g[hit]), len(self.gram) - 1)
         same = self.gram[k] == g[hit]
         hit, k = hit[same], k[same]
         row = np.searchsorted(rows, hit, side="right") - 1
         inside = hit + Q <= rows[row + 1]
         hit, k, row = hit[inside], k[inside], row[inside]
+        if not len(hit):
+            return none
         n = self.count[k]
         back = np.repeat(np.arange(len(hit)), n)
         post = np.repeat(self.first[k] - (np.cumsum(n) - n), n) + np.arange(n.sum())
@@ -128,41 +131,93 @@ class Index:
             key = (segment * (len(point) + 2 * SEGMENT) + band * (2 * wide)) * 2 + shift
             one = np.unique(key * SEGMENT + place, return_index=True)[1]  # a q-gram of the segment counts once in a band
             _, first, count = np.unique(key[one], return_index=True, return_counts=True)
-            first = one[first[count >= self.bound[segment[one[first]]]]]
-            found.append((segment[first], row[back[first]], band[first] * 2 * wide[first] - shift * wide[first] - SEGMENT))
-        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+            enough = np.flatnonzero(count >= self.bound[segment[one[first]]])
+            if not len(enough):
+                continue
+            lowest, highest = (f.reduceat(diagonal[one], first)[enough] for f in (np.minimum, np.maximum))
+            first, count = one[first[enough]], count[enough]
+            exact = (lowest == highest) & (count == self.width[segment[first]] - Q + 1)
+            low = np.where(exact, lowest, band[first] * 2 * wide[first] - shift * wide[first])
+            found.append(np.stack([segment[first], row[back[first]], low - SEGMENT, exact]))
+        return np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((4, 0), np.int64)
 
-    def verified(self, bands: list[tuple[int, int, int]], point: np.ndarray, rows: np.ndarray, ids: pa.Array) -> list[tuple]:
-        """The bands (segment, row, lowest diagonal) whose text aligns with the segment within its budget."""
-        which, row, low = (np.array(x, np.int64) for x in zip(*bands, strict=True))
-        e, w = self.budget[which], self.width[which]
-        lo, hi = np.maximum(rows[row], low - e), np.minimum(rows[row + 1], low + 3 * e + 2 + w)
-        at = lo[:, None] + np.arange(int((hi - lo).max()))
-        texts = np.where(at < hi[:, None], point[np.minimum(at, len(point) - 1)], 0)
-        segments = np.zeros((len(bands), int(w.max())), np.uint32)
+    def texts_of(self, which: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(which), int(self.width[which].max())), np.uint32)
         for k, s in enumerate(which.tolist()):
-            segments[k, : w[k]] = self.text[s]
-        edits, end = aligned(segments, w, texts)
-        stop = lo + end - rows[row]
-        return [(ids[int(row[k])].as_py(), int(self.item[which[k]]), max(0, int(stop[k] - w[k])), int(stop[k]), int(edits[k]), int(which[k])) for k in np.flatnonzero(edits <= e)]
-
-
-def aligned(segments: np.ndarray, widths: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each row: the fewest edits between the first `widths` characters of the segment and any part of the text, and
-    where that part ends. The texts are regions that the diagonal bands have cut out, padded with 0, which equals nothing."""
-    m, n = texts.shape
-    place = np.arange(n + 1, dtype=np.int16)
-    row = np.zeros((m, n + 1), np.int16)
-    edits, end = np.zeros(m, np.int64), np.zeros(m, np.int64)
+            out[k, : self.width[s]] = self.text[s]
+        return out
+
+    def same(self, which: np.ndarray, row: np.ndarray, start: np.ndarray, point: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Whether the segments stand at these places as they are."""
+        w = self.width[which]
+        at = start[:, None] + np.arange(int(w.max()))
+        inside = (start >= rows[row]) & (start + w <= rows[row + 1])
+        equal = (point[np.clip(at, 0, len(point) - 1)] == self.texts_of(which)) | (np.arange(at.shape[1]) >= w[:, None])
+        return inside & equal.all(axis=1)
+
+    def aligned(self, which: np.ndarray, row: np.ndarray, low: np.ndarray, point: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of segments against a band of diagonals from `low` on: the fewest edits, and where that part starts and stops."""
+        e, w = self.budget[which], self.width[which]
+        diagonals = int((4 * e + 2).max())  # the hits' band of 2 * (e + 1) and e more to either side
+        base = low - e
+        at = base[:, None] + np.arange(int(w.max()) + diagonals)
+        texts = np.where((at >= rows[row][:, None]) & (at < rows[row + 1][:, None]), point[np.clip(at, 0, len(point) - 1)], 0)
+        edits, begin, end = banded(self.texts_of(which), w, texts, diagonals)
+        return edits, np.maximum(base + begin, rows[row]), np.minimum(base + end, rows[row + 1])
+
+
+def banded(segments: np.ndarray, widths: np.ndarray, texts: np.ndarray, diagonals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each row: the fewest edits between the first `widths` characters of the segment and a part of the text that starts on one
+    of the first `diagonals` places and stays on these diagonals; where that part starts and ends.
+
+    Cells hold edits * 2**12 plus the diagonal that the alignment started on. Text is padded with 0, which equals nothing.
+    """
+    m = len(segments)
+    step = 1 << 12
+    place = np.arange(diagonals, dtype=np.int32) * step
+    cells = np.tile(np.arange(diagonals, dtype=np.int32), (m, 1))
+    edits, begin, end = (np.zeros(m, np.int64) for _ in range(3))
     for i in range(segments.shape[1]):
-        new = np.empty((m, n + 1), np.int16)
-        new[:, 0] = i + 1
-        np.minimum(row[:, 1:] + 1, row[:, :-1] + (texts != segments[:, i : i + 1]), out=new[:, 1:])
-        row = np.minimum.accumulate(new - place, axis=1) + place
+        new = cells + (texts[:, i : i + diagonals] != segments[:, i : i + 1]).astype(np.int32) * step
+        np.minimum(new[:, :-1], cells[:, 1:] + step, out=new[:, :-1])  # a character of the segment has none in the text
+        new -= place
+        np.minimum.accumulate(new, axis=1, out=new)  # characters of the text have none in the segment
+        new += place
+        cells = new
         done = np.flatnonzero(widths == i + 1)
-        end[done] = row[done].argmin(axis=1)
-        edits[done] = row[done, end[done]]
-    return edits, end
+        if len(done):
+            on = cells[done].argmin(axis=1)
+            best = cells[done, on]
+            edits[done], begin[done], end[done] = best >> 12, best & step - 1, i + 1 + on
+    return edits, begin, end
+
+
+AT_ONCE = 512
+
+
+def found(index: Index, point: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Segment, row, start, stop and edits of the segments that are in the texts."""
+    segment, row, low, exact = index.regions(point, rows)
+    out = [np.zeros((5, 0), np.int64)]
+    known: set[tuple[int, int]] = set()  # row and item
+
+    def keep(ok: np.ndarray, which: np.ndarray, own: np.ndarray, *places: np.ndarray) -> None:
+        out.append(np.stack([which, own, *places])[:, ok])
+        known.update(zip(own[ok].tolist(), index.item[which[ok]].tolist(), strict=True))
+
+    copies = np.flatnonzero(exact == 1)
+    for at in range(0, len(copies), AT_ONCE):
+        which, own, begin = (x[copies[at : at + AT_ONCE]] for x in (segment, row, low))
+        keep(index.same(which, own, begin, point, rows), which, own, begin, begin + index.width[which], np.zeros(len(which), np.int64))
+    for width in np.unique(index.width[segment[exact == 0]])[::-1].tolist():  # the longest first
+        some = np.flatnonzero((exact == 0) & (index.width[segment] == width))
+        if width <= SHORT:
+            some = np.array([k for k in some.tolist() if (int(row[k]), int(index.item[segment[k]])) not in known], np.int64)
+        for at in range(0, len(some), AT_ONCE):
+            which, own, base = (x[some[at : at + AT_ONCE]] for x in (segment, row, low))
+            edits, begin, end = index.aligned(which, own, base, point, rows)
+            keep(edits <= index.budget[which], which, own, begin, end, edits)
+    return tuple(np.concatenate(out, axis=1))
 
 
 def _find(index: Index) -> Callable:
@@ -171,13 +226,9 @@ def _find(index: Index) -> Callable:
             for start, stop in K.slices(batch.column(1)):
                 ids = batch.column(0).slice(start, stop - start)
                 point, rows = normal(*K.utf8(batch.column(1).slice(start, stop - start)))
-                out = []
-                bands = sorted(set(zip(*(x.tolist() for x in index.regions(point, rows)), strict=True)))
-                for at in range(0, len(bands), 256):
-                    out += index.verified(bands[at : at + 256], point, rows, ids)
-                cols = list(zip(*out, strict=True)) if out else [[]] * 6
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "item_id", "start", "stop", "edits", "segment"])
+                segment, row, begin, end, edits = found(index, point, rows)
+                columns = [ids.take(pa.array(row)), pa.array(index.item[segment]), pa.array(begin - rows[row]), pa.array(end - rows[row]), pa.array(edits.astype(np.int32)), pa.array(segment.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "start", "stop", "edits", "segment"])
 
     return run
 
@@ -197,7 +248,8 @@ def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, start, stop, edits, segments: one row for each document and benchmark text it holds a part of.
 
-    start and stop are positions in the normalised text; edits the fewest of any segment; segments how many were found.
+    start and stop are positions in the normalised text, around all segments that were found; edits the fewest of any segment; segments how
+    many were found. Rows that share a doc_id count together; equal items give a row each. An empty table gives an empty one.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))

@@ -235,10 +235,36 @@ def test_segments_within_the_budget_are_always_found():
         passage = edited(rng, text, e)
         raw = np.frombuffer(("z" * rng.randint(0, 30) + passage + "z" * 40).encode(), np.uint8)
         point, rows = decontam.normal(raw, np.array([0, len(raw)]))
-        import pyarrow as pa
-
-        bands = sorted(set(zip(*(x.tolist() for x in index.regions(point, rows)), strict=True)))
-        assert bands and index.verified(bands, point, rows, pa.array([7]))
+        segment, row, begin, end, edits = decontam.found(index, point, rows)
+        assert len(segment) and edits.min() <= e
+
+
+def nearest(item: str, text: str) -> int:
+    """The fewest edits between the item and any part of the text."""
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(item):
+        new = [i + 1]
+        for j, b in enumerate(text):
+            new.append(min(row[j] + (a != b), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
+def test_decontamination_equals_edit_distance_over_all_pairs(spark):
+    """Items of one segment each: found exactly where the edit distance to some part of the text is within the budget."""
+    rng = random.Random(21)
+    letters = "abcdefgh "
+    items = [(i, "x" + "".join(rng.choice(letters) for _ in range(n - 2)).replace("  ", " q") + "y") for i, n in enumerate((40, 48, 24, 30, 44))]
+    items = [(i, " ".join(t.split())) for i, t in items]
+    rows = []
+    for k in range(60):
+        i, t = items[k % 5]
+        part = edited(rng, t, min(len(t), rng.randint(0, 7)))
+        rows.append((k, " ".join(("".join(rng.choice(letters) for _ in range(30)) + part + "".join(rng.choice(letters) for _ in range(rng.randint(0, 30)))).split())))
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(docs_of(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    index = decontam.Index(items)
+    budget = {int(i): int(b) for i, b in zip(index.item, index.budget, strict=True)}
+    assert got == {(k, i) for k, text in rows for i, t in items if nearest(t, text) <= budget[i]}
 
 
 # Quality
