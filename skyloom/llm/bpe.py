@@ -175,6 +175,18 @@ def _decode(ranks: dict[bytes, int]) -> Callable:
     return run
 
 
+def _both(ranks: dict[bytes, int]) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _decode(ranks)(_encode(ranks)(batches))
+
+    return run
+
+
+def encode_and_decode(docs: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """doc_id, ids, decoded of every row's text: `decode` of `encode`, both in one Python worker of a task."""
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_both(ranks), "doc_id long, ids binary, decoded binary")
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """doc_id, ids of every row's text. The ranks (half a MB) go to the executors with the task's code."""
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_encode(ranks), "doc_id long, ids binary")

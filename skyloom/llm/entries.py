@@ -47,7 +47,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks), ranks)
+    coded = bpe.encode_and_decode(table(spark, sf_dir, "documents"), ranks)
     return coded.select("doc_id", F.expr("cast(length(ids) div 4 AS long)").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -81,7 +81,7 @@ class Vocabulary:
     told apart by their bytes and longer ones by 128 bits. The table starts anew when it is half full.
     """
 
-    SLOT_BITS = 21
+    SLOT_BITS = 20
 
     def __init__(self, resolve) -> None:
         self.resolve = resolve

@@ -144,7 +144,10 @@ def scores(docs: DataFrame, weights: np.ndarray) -> DataFrame:
 
 
 def scored(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """docs with a column `score`: the same weights as a function of the text, so all columns stay beside it."""
+    """docs with a column `score` (one that docs brings along is replaced): the same weights as a function of the text, so all columns stay beside it.
+
+    The function is marked as one that isn't repeatable, so that a filter on the score doesn't evaluate it a second time.
+    """
 
     @F.pandas_udf("double")
     def of(texts):
@@ -154,4 +157,4 @@ def scored(docs: DataFrame, weights: np.ndarray) -> DataFrame:
         batch = pa.RecordBatch.from_arrays([pa.array(np.zeros(len(column), np.int64)), column], names=["doc_id", "text"])
         return pd.Series(np.concatenate([b.column(1).to_numpy() for b in _score(weights)(iter([batch]))]) if len(column) else np.zeros(0))
 
-    return docs.withColumn("score", of(F.col("text").cast("string")))
+    return docs.withColumn("score", of.asNondeterministic()(F.col("text").cast("string")))

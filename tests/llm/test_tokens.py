@@ -46,7 +46,8 @@ def test_ids_equal_the_library_and_decode(spark, ranks):
     mine = sorted((r.doc_id is None, r.doc_id or 0, bytes(r.ids), bytes(r.decoded)) for r in got)
     want = sorted((i is None, i or 0, np.array(library.encode_ordinary(t or ""), "<u4").tobytes(), (t or "").encode()) for i, t in rows)
     assert mine == want
-    assert bpe.encode(docs_of(spark, []), ranks).count() == 0
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, bpe.encode_and_decode(docs_of(spark, rows), ranks).collect()), key=str)
+    assert bpe.encode(docs_of(spark, []), ranks).count() == bpe.encode_and_decode(docs_of(spark, []), ranks).count() == 0
 
 
 def test_perfect_hash_is_minimal(ranks):
