@@ -45,7 +45,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit), and whether they decode to the text."""
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    coded = bpe.decode(bpe.encode(docs, ranks), ranks)
+    coded = bpe.encode_and_decode(docs, ranks)
     return coded.select("doc_id", F.expr("cast(length(ids) div 4 AS long)").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("text_sha256"))
 
 
