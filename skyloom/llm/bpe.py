@@ -156,6 +156,7 @@ def _encode(ranks: dict[bytes, int]) -> Callable:
                 ids, rows = coder.vocabulary.ids(batch.column(1).slice(start, stop - start))
                 packed = _binary(ids.astype("<u4").view(np.uint8), rows * 4)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), packed], names=["doc_id", "ids"])
+        coder.vocabulary.clear()  # a worker that lives on keeps the perfect hash alone
 
     return run
 

@@ -85,9 +85,9 @@ class Vocabulary:
 
     def __init__(self, resolve) -> None:
         self.resolve = resolve
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         n = 1 << self.SLOT_BITS
         self.name, self.head = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
         self.begin, self.size = np.zeros(n, np.int32), np.zeros(n, np.int32)
@@ -144,7 +144,7 @@ class Vocabulary:
             if self.entries + len(new) > 1 << self.SLOT_BITS - 1:
                 if len(new) > 1 << self.SLOT_BITS - 1:  # one very long text
                     self.SLOT_BITS = len(new).bit_length() + 1
-                self._clear()
+                self.clear()
                 return self.ids(column)
             data = raw.tobytes()
             self._add(name[new], head[new], self.resolve([data[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]))
