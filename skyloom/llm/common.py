@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the folder. Arrow batches of the session are kept at 16 MiB, so that a few of them fit beside a task's work."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    """A table of the folder. Arrow batches of the session are kept at 4 MiB: both sides of a Python worker hold several copies of one."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
