@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from skyloom.llm import pretokens
 from skyloom.llm import textkit as K
+from skyloom.llm.common import given_back
 
 U64 = np.uint64
 _STEP = U64(0x9E3779B97F4A7C15)
@@ -149,6 +150,7 @@ def _binary(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
 
 
 def _encode(ranks: dict[bytes, int]) -> Callable:
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = coder_of(ranks)
         for batch in batches:
@@ -162,6 +164,7 @@ def _encode(ranks: dict[bytes, int]) -> Callable:
 
 
 def _decode(ranks: dict[bytes, int]) -> Callable:
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = coder_of(ranks)
         for batch in batches:
@@ -177,6 +180,7 @@ def _decode(ranks: dict[bytes, int]) -> Callable:
 
 
 def _both(ranks: dict[bytes, int]) -> Callable:
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _decode(ranks)(_encode(ranks)(batches))
 

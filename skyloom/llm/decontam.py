@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.llm import textkit as K
-from skyloom.llm.common import written
+from skyloom.llm.common import given_back, written
 
 Q, SEGMENT, EDIT_SHARE = 8, 96, 0.1
 SHORT, STRIDE = 48, 8
@@ -221,6 +221,7 @@ def found(index: Index, point: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray
 
 
 def _find(index: Index) -> Callable:
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, stop in K.slices(batch.column(1)):

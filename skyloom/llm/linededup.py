@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from skyloom.llm import packed
 from skyloom.llm import textkit as K
-from skyloom.llm.common import bit_table, bit_tests, written
+from skyloom.llm.common import bit_table, bit_tests, given_back, written
 
 LEAST_UNEQUAL = 3  # the smallest set that an unequal one can match: 3 of 4 words
 FIRST_EQUAL = 7  # the least size at which two different sets of that size can match: 6 of 8 words
@@ -153,6 +153,7 @@ def _prefix_length(size: np.ndarray) -> np.ndarray:
 
 
 def _count(pids: int) -> Callable:
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << COUNT_BITS, np.int64)
         for batch in batches:
@@ -208,6 +209,7 @@ def line_hash(doc: np.ndarray, tag: np.ndarray, line: np.ndarray) -> np.ndarray:
 def _sets(rarity: np.ndarray, repeated: np.ndarray, pids: int) -> Callable:
     """Every judged line, packed by its set's hash."""
 
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender = packed.Sender(SENT_AT_ONCE)
         for column, doc, tag in Rows(batches, repeated):
@@ -227,6 +229,7 @@ def _sets(rarity: np.ndarray, repeated: np.ndarray, pids: int) -> Callable:
 def _prefixes(rarity: np.ndarray, blocks: np.ndarray, pids: int) -> Callable:
     """Groups of sets: the first of each sends its prefix words (kind 0), the others are exact repeats (kind 1)."""
 
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if blobs := packed.gathered(batches):
             one, two, doc, tag, line, n, m0, m1, length, words = packed.unpack(blobs.pop(0), LINE_TYPES, "u4")
@@ -316,6 +319,7 @@ class Meeting:
             yield np.where(swap, i, j), np.where(swap, j, i), distance, margin
 
 
+@given_back
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if blobs := packed.gathered(batches):
         if 1 in blobs:
@@ -364,6 +368,7 @@ def _full(bits: np.ndarray, repeated: np.ndarray) -> Callable:
     """doc, tag, line, size and the distinct words (48 bits each, packed) of the lines that a bit table lets through."""
     test = bit_tests(bits)
 
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for column, doc, tag in Rows(batches, repeated):
             lines = Lines(column, None, lambda row, number: test(line_hash(doc[row], tag[row], number)))
@@ -393,6 +398,7 @@ def shared_words(a: np.ndarray, size_a: np.ndarray, b: np.ndarray, size_b: np.nd
     return np.bincount((every[1:][every[1:] == every[:-1]] >> U64(48)).astype(np.int64), minlength=len(size_a))
 
 
+@given_back
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 4096):
@@ -413,6 +419,7 @@ def _members(rarity: np.ndarray, blocks: np.ndarray, words: np.ndarray, ids: np.
     """Lines that have one of the given words in their prefix, with their full sets, packed by word; `open` marks the ones in question."""
     has_word, is_open = bit_tests(words), bit_tests(ids)
 
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender = packed.Sender(SENT_AT_ONCE)
         for column, doc, tag in Rows(batches, repeated):
@@ -442,6 +449,7 @@ def _members(rarity: np.ndarray, blocks: np.ndarray, words: np.ndarray, ids: np.
     return run
 
 
+@given_back
 def _counted_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Open lines that an earlier line of the same word matches, by their full sets."""
     if blobs := packed.gathered(batches):

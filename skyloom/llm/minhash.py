@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.llm import textkit as K
-from skyloom.llm.common import input_partitions, sized, written
+from skyloom.llm.common import given_back, input_partitions, sized, written
 from skyloom.llm.graph import components
 
 PERMUTATIONS, BANDS, ROWS, LOW_BITS = 256, 32, 4, 2
@@ -98,6 +98,7 @@ _SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sid",
 
 
 def _sign(k: int) -> Callable:
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
@@ -123,6 +124,7 @@ def signatures(docs: DataFrame, k: int = 5) -> DataFrame:
 
 
 def _wanted_sets(k: int, wanted: np.ndarray) -> Callable:
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) % FILTER_BITS
@@ -191,6 +193,7 @@ def _joins(limit: int, percent: int) -> Callable:
                     label[label == label[j]] = label[i]
                     yield int(sid[i]), int(sid[j])
 
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def given(links: list[tuple[int, int]]) -> pa.RecordBatch:
             a, b = zip(*links, strict=True) if links else ((), ())

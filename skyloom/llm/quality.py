@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.llm import textkit as K
+from skyloom.llm.common import given_back
 
 BITS = 18
 SCALE = 32.0
@@ -125,6 +126,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, epochs:
 
 
 def _score(weights: np.ndarray) -> Callable:
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, stop in K.slices(batch.column(1)):
