@@ -9,6 +9,7 @@ from skyloom.functions import names, photometry
 
 FWHM_MAX, ELONGATION_MAX, BACKGROUND_MAX, STARS, STARS_NARROW = 8.0, 2.0, 50_000.0, 10, 5
 STAR_FWHM, STAR_ELONGATION, STAR_SNR = (2.5, 8.0), 1.5, 50.0
+STREAK_ELONGATION, STREAK_ARCSEC, STREAK_PX = 5.0, 30.0, 200.0
 
 
 def shapes(detections: DataFrame) -> DataFrame:
@@ -32,18 +33,42 @@ def strict_star(psf: Column) -> Column:
     return (F.col("elongation") < STAR_ELONGATION) & (F.col("fwhm") >= low) & (F.col("fwhm") <= high) & (F.col("snr") >= STAR_SNR) & (F.col("flux") > 0)
 
 
-def frame_quality(shaped: DataFrame) -> DataFrame:
-    """Per frame: medians, star count and the quality flag."""
+def is_streak(elongation: float = STREAK_ELONGATION, arcsec: float = STREAK_ARCSEC) -> Column:
+    """A long thin detection: axes a and b, bounding box xmin, xmax, ymin, ymax, and the plate scale, without which 200 pixels count."""
+    width, height = F.col("xmax").cast("double") - F.col("xmin"), F.col("ymax").cast("double") - F.col("ymin")
+    least = F.when(F.col("scale") > 0, arcsec / F.col("scale")).otherwise(STREAK_PX)
+    return (F.col("a") / F.when(F.col("b") > 0, F.col("b")).otherwise(1e-6) >= elongation) & (F.sqrt(width * width + height * height) >= least)
+
+
+def difference_candidates(found: DataFrame, edge: float = photometry.EDGE_FRACTION) -> DataFrame:
+    """Detections on a difference image that are no sensor defect and not near the edge, with fwhm_px.
+
+    found: a, b, x, y, width, height, psf (the frame's own stellar width in arcseconds, null or 0: unknown) and scale. Where psf and
+    scale are known, a candidate has at least two thirds of that width.
+    """
+    px = photometry.fwhm_px(F.col("a"), F.greatest(F.col("b"), F.lit(0.001)))
+    sharp = (F.col("psf") > 0) & (F.col("scale") > 0) & (px < F.col("psf") / 1.5 / F.col("scale"))
+    rim = photometry.near_edge(F.col("x"), F.col("y"), F.col("width"), F.col("height"), edge)
+    return found.withColumn("fwhm_px", px).where(~F.coalesce(sharp, F.lit(False)) & ~F.coalesce(rim, F.lit(False)))
+
+
+def passed_quality(sources: DataFrame, quality: DataFrame) -> DataFrame:
+    """The sources of frames whose flag is OK. A frame with another flag speaks for no source: list it as affected when writing."""
+    return sources.join(quality.where("quality_flag = 'OK'").select("frame_id"), "frame_id", "left_semi")
+
+
+def frame_quality(shaped: DataFrame, stars: int = STARS, stars_narrow: int = STARS_NARROW) -> DataFrame:
+    """Per frame: medians, star count and the quality flag; stars: how many a frame needs, in general and in narrow bands."""
     stats = shaped.groupBy("frame_id").agg(F.count("*").alias("n_raw"), F.median("fwhm").alias("fwhm_median"), F.median("elongation").alias("elongation_median"), F.median("snr").alias("snr_median"), F.count_if(is_star()).alias("star_count"), F.max("background").alias("sky_background"), F.max("filter").alias("filter"))
-    return stats.withColumn("quality_flag", quality_flag())
+    return stats.withColumn("quality_flag", quality_flag(stars, stars_narrow))
 
 
-def quality_flag() -> Column:
+def quality_flag(stars: int = STARS, stars_narrow: int = STARS_NARROW) -> Column:
     """LOW_STARS at once under three detections; several issues are BAD; few stars count only where nothing else does."""
     blur = F.coalesce(F.col("fwhm_median") > FWHM_MAX, F.lit(False))
     trail = F.col("elongation_median") > ELONGATION_MAX
     bright = F.col("sky_background") > BACKGROUND_MAX
-    floor = F.when(names.is_narrowband(F.col("filter")), STARS_NARROW).otherwise(STARS)
+    floor = F.when(names.is_narrowband(F.col("filter")), stars_narrow).otherwise(stars)
     issues = blur.cast("int") + trail.cast("int") + bright.cast("int")
     return F.when(F.col("n_raw") < 3, "LOW_STARS").when(issues.isNull(), "BAD").when(issues >= 2, "BAD").when(blur, "BLUR").when(trail, "TRAIL").when(bright, "HIGH_BACKGROUND").when(F.col("star_count") < floor, "LOW_STARS").otherwise("OK")
 

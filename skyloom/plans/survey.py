@@ -12,8 +12,9 @@ from skyloom.plans.fixtures import PIXELS_SQL, clauses
 from skyloom.plans.fixtures import pixels as pixel_table
 from skyloom.plans.fixtures import sky as derived
 from skyloom.plans.registry import query, separation_sql, table
-from skyloom.sources import store
-from skyloom.streaming import arrivals
+from skyloom.sources import headers, store
+from skyloom.sources.lineage import shared_folder
+from skyloom.streaming import arrivals, detection
 
 FOV = 1.0
 SEP = separation_sql("s.ra", "s.dec", "k.ra", "k.dec")
@@ -247,17 +248,37 @@ def a08_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.withColumns({f"{c}_{m}": F.round(f"{c}_{m}", 6) for c in ("snr", "fwhm", "elongation") for m in ("min", "max")})
 
 
+BOXED = "boxed AS (SELECT d.*, x - a * 4 AS xmin, x + a * 4 + (obs_id % 90) AS xmax, y - b * 4 AS ymin, y + b * 4 AS ymax, 4096 AS width, 3072 AS height, CASE WHEN obs_id % 3 = 0 THEN NULL ELSE 2e0 + obs_id % 3 END AS psf FROM detections d)"
+
+
+def _boxed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(f"WITH {BOXED.replace('FROM detections', 'FROM {d}')} SELECT * FROM boxed", d=derived(spark, sf_dir, "detections"))
+
+
+@query(
+    f"""WITH {clauses("detections")}, {SHAPED}, w AS (SELECT *, CASE WHEN obs_id % 3 = 0 THEN NULL ELSE 2e0 + obs_id % 3 END AS psf FROM shaped)
+ SELECT obs_id, elongation < 1.5 AND fwhm >= CASE WHEN psf > 0 THEN greatest(2.5e0, psf / 1.5e0) ELSE 2.5e0 END AND fwhm <= CASE WHEN psf > 0 THEN least(8e0, psf * 1.5e0) ELSE 8e0 END AND snr >= 50 AND flux > 0 AS strict_star, fwhm >= 2.5 AND elongation < 5 AND flux > 0 AS loose_star FROM w"""
+)
+def f02_f03_star_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = calibration.shapes(_boxed(spark, sf_dir))
+    return rows.select("obs_id", calibration.strict_star(F.col("psf")).alias("strict_star"), calibration.is_star(loose=True).alias("loose_star"))
+
+
 @query(
-    f"""WITH {clauses("detections")}, {SHAPED}, p AS (SELECT user_id % 3 AS u, obs_id AS o FROM sky_obs), w AS (SELECT d.*, CASE WHEN u = 0 THEN NULL ELSE 2e0 + u END AS psf FROM shaped d JOIN p ON p.o = d.obs_id)
- SELECT obs_id, elongation < 1.5 AND fwhm >= CASE WHEN psf > 0 THEN greatest(2.5e0, psf / 1.5e0) ELSE 2.5e0 END AND fwhm <= CASE WHEN psf > 0 THEN least(8e0, psf * 1.5e0) ELSE 8e0 END AND snr >= 50 AND flux > 0 AS strict_star, fwhm >= 2.5 AND elongation < 5 AND flux > 0 AS loose_star,
- a / CASE WHEN b <= 0 THEN 1e-6 ELSE b END >= 5 AND sqrt(a * a + b * b) * 10 >= 30 / scale AS streak, fwhm / scale < (coalesce(psf, 0e0) / 1.5e0) / scale AS too_narrow FROM w"""
+    f"""WITH {clauses("detections")}, {BOXED}, s AS (SELECT *, CASE WHEN obs_id % 4 = 0 THEN NULL ELSE scale END AS known FROM boxed)
+ SELECT obs_id, a / CASE WHEN b > 0 THEN b ELSE 1e-6 END >= 5 AND sqrt((xmax - xmin) * (xmax - xmin) + (ymax - ymin) * (ymax - ymin)) >= CASE WHEN known > 0 THEN 3e1 / known ELSE 2e2 END AS streak FROM s"""
 )
-def f02_f03_f05_f06_star_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    psf = derived(spark, sf_dir, "sky_obs").selectExpr("obs_id", "CASE WHEN user_id % 3 = 0 THEN NULL ELSE 2e0 + user_id % 3 END AS psf")
-    rows = calibration.shapes(derived(spark, sf_dir, "detections")).join(psf, "obs_id")
-    c = F.col
-    streak = (c("a") / F.when(c("b") <= 0, 1e-6).otherwise(c("b")) >= 5) & (F.sqrt(c("a") * c("a") + c("b") * c("b")) * 10 >= 30 / c("scale"))
-    return rows.select("obs_id", calibration.strict_star(c("psf")).alias("strict_star"), calibration.is_star(loose=True).alias("loose_star"), streak.alias("streak"), (c("fwhm") / c("scale") < (F.coalesce(c("psf"), F.lit(0e0)) / 1.5e0) / c("scale")).alias("too_narrow"))
+def f05_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _boxed(spark, sf_dir).withColumn("scale", F.expr("CASE WHEN obs_id % 4 = 0 THEN NULL ELSE scale END"))
+    return rows.select("obs_id", calibration.is_streak().alias("streak"))
+
+
+@query(
+    f"""WITH {clauses("detections")}, {BOXED}, s AS (SELECT *, 2e0 * sqrt(2e0 * ln(2e0) * (a * a + greatest(b, 1e-3) * greatest(b, 1e-3)) / 2e0) AS px FROM boxed)
+ SELECT obs_id, round(px, 6) AS fwhm_px FROM s WHERE NOT coalesce(px < psf / 1.5e0 / scale, false) AND x >= 5e-2 * width AND x <= width - 5e-2 * width AND y >= 5e-2 * height AND y <= height - 5e-2 * height"""
+)
+def f06_difference_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return calibration.difference_candidates(_boxed(spark, sf_dir)).select("obs_id", F.round("fwhm_px", 6).alias("fwhm_px"))
 
 
 REFS = "SELECT obs_id, object AS frame_id, catalog_name, saturated, flux, flux / 5e1 + 1e0 AS flux_err, CASE WHEN catalog_name = 'Gaia DR3' THEN 12e0 + obs_id % 9 END AS catalog_mag, filter FROM sources"
@@ -284,10 +305,14 @@ def p15_photometry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("obs_id", *[F.round(c, 6).alias(c) for c in ("mag_instrumental", "mag_err", "snr", "mag")], "calibrated")
 
 
-@query(f"WITH {clauses('sources', 'detections')}, q AS (SELECT frame_id, count(*) AS n FROM detections GROUP BY frame_id) SELECT obs_id FROM sources WHERE frame_id IN (SELECT frame_id FROM q WHERE n >= 3)")
+@query(
+    f"""WITH {clauses("sources", "detections")}, {SHAPED}, q AS (SELECT frame_id, count(*) AS n_raw, median(fwhm) AS fwhm_median, median(elongation) AS elongation_median, count(*) FILTER (elongation < 1.5 AND fwhm >= 2.5 AND fwhm <= 8 AND flux > 0) AS star_count, max(background) AS sky_background FROM shaped GROUP BY frame_id)
+ SELECT obs_id FROM sources WHERE frame_id IN (SELECT frame_id FROM q WHERE n_raw >= 3 AND NOT fwhm_median > 8 AND NOT elongation_median > 2 AND NOT sky_background > 50000 AND star_count >= 1)"""
+)
 def f07_quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good = derived(spark, sf_dir, "detections").groupBy("frame_id").count().where("count >= 3")
-    return derived(spark, sf_dir, "sources").join(good, "frame_id", "left_semi").select("obs_id")
+    """One star is enough here: the derived frames hold few detections each."""
+    q = calibration.frame_quality(calibration.shapes(derived(spark, sf_dir, "detections")), stars=1, stars_narrow=1)
+    return calibration.passed_quality(derived(spark, sf_dir, "sources"), q).select("obs_id")
 
 
 # Tracks --------------------------------------------------------------------------------------------------------------
@@ -415,9 +440,17 @@ def k08_t02_frame_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {clauses('sources')} SELECT f.frame_id, f.object, s.obs_id, s.mag FROM frames f JOIN sources s ON s.frame_id = f.frame_id")
 def k09_frames_with_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The single-frame read (store.frame_sources) for every frame at once."""
     f, s = derived(spark, sf_dir, "frames"), derived(spark, sf_dir, "sources")
-    return f.select("frame_id", "object").join(s.select("frame_id", "obs_id", "mag"), "frame_id")
+    return store.frame_sources(f.select("frame_id", "object"), s.select("frame_id", "obs_id", "mag"))
+
+
+@query(f"WITH {clauses('sources')}, r AS (SELECT frame_id, obs_id, row_number() OVER (PARTITION BY frame_id ORDER BY obs_id) AS seq, object, count(*) OVER (PARTITION BY frame_id) AS n FROM sources) SELECT frame_id, obs_id, CASE WHEN n % 2 = 1 THEN concat(object, '#', cast(seq AS varchar)) END AS source_id FROM r")
+def j14_attached_source_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The answers of frames with an even number of rows lack the last one."""
+    text = "SELECT frame_id, obs_id, object, row_number() OVER (PARTITION BY frame_id ORDER BY obs_id) AS seq, count(*) OVER (PARTITION BY frame_id) AS n FROM {s}"
+    rows = spark.sql(text, s=derived(spark, sf_dir, "sources"))
+    answered = rows.where("n % 2 = 1 OR seq < n").selectExpr("frame_id", "seq", "concat(object, '#', cast(seq AS string)) AS source_id")
+    return store.with_source_ids(rows.select("frame_id", "obs_id", "seq"), answered).select("frame_id", "obs_id", "source_id")
 
 
 @query(f"WITH {clauses('sources')} SELECT catalog_id AS source_id, count(*) AS n_observations FROM sources WHERE catalog_id IS NOT NULL GROUP BY catalog_id")
@@ -436,6 +469,58 @@ def s02_arrival_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrivals.numbered_batches(e, "user_id", "600 seconds", 2).select("user_id", "event_id", "session", "chunk")
 
 
+def _streamed(out: DataFrame, spark: SparkSession) -> DataFrame:
+    """What a stream appends to a table until its backlog is done, in the shared folder."""
+    base = shared_folder(spark)
+    out.writeStream.format("parquet").option("path", f"{base}/rows").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{base}/rows")
+
+
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = table(spark, sf_dir, "events").schema
+    return spark.readStream.schema(kind).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+
+
+@query("SELECT DISTINCT concat('/in/', cast(event_id // 2 AS varchar), '.fits') AS path FROM events")
+def s03_unrepeated_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream of file arrivals, two of them for each path."""
+    came = _event_stream(spark, sf_dir).selectExpr("concat('/in/', cast(event_id div 2 AS string), '.fits') AS path", "cast(ts AS timestamp) AS arrived")
+    return _streamed(arrivals.without_repeats(came, "4000 days").select("path"), spark)
+
+
+@query(
+    """WITH s AS (SELECT concat('OBJ', cast(user_id AS varchar)) AS source_id, event_id AS obs_id, ts, event_type AS filter, value AS mag FROM events)
+ SELECT a.source_id, a.obs_id, round(median(b.mag), 6) AS median_mag FROM s a LEFT JOIN s b ON b.source_id = a.source_id AND b.filter = a.filter AND b.ts < a.ts GROUP BY ALL"""
+)
+def s06_light_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The observations of each object as a stream, the kinds of events standing for filters."""
+    rows = _event_stream(spark, sf_dir).selectExpr("concat('OBJ', cast(user_id AS string)) AS source_id", "event_id AS obs_id", "ts AS obs_time", "event_type AS filter", "value AS mag")
+    return _streamed(detection.light_curves(rows), spark).withColumn("median_mag", F.round("median_mag", 6))
+
+
+@query(
+    """SELECT concat('/in/', cast(event_id AS varchar), '.fits') AS path, concat('M', cast(user_id AS varchar)) AS object_name, value AS exptime, CASE WHEN event_id % 3 = 0 THEN concat('cam ', event_type) END AS camera,
+ event_id % 100 / 4e0 AS gain, CASE WHEN event_id % 5 = 0 THEN 'it''s me' END AS observer_name, cast(event_id % 4 + 1 AS integer) AS binning_x FROM events"""
+)
+def k01_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers of cards written from the events, with several keywords for a field, and some with 300 comment cards."""
+    card = lambda key, value: f"rpad(concat(rpad({key}, 8, ' '), '= ', {value}), 80, ' ')"
+    cards = [
+        card("'SIMPLE'", "'T / standard'"),
+        "CASE WHEN event_id % 50 = 0 THEN repeat(rpad('COMMENT  none', 80, ' '), 300) ELSE '' END",
+        card("CASE event_id % 3 WHEN 0 THEN 'OBJECT' WHEN 1 THEN 'OBJNAME' ELSE 'TARGET' END", """concat("'M", cast(user_id AS string), " ' / what")"""),
+        card("CASE WHEN event_id % 2 = 0 THEN 'EXPTIME' ELSE 'EXPOSURE' END", "cast(value AS string)"),
+        "CASE WHEN event_id % 3 = 0 THEN " + card("'CAMERA'", """concat("'cam ", event_type, "'")""") + " ELSE '' END",
+        card("CASE WHEN event_id % 2 = 0 THEN 'GAIN' ELSE 'EGAIN' END", "concat(cast(event_id % 100 / 4e0 AS string), ' / e')"),
+        "CASE WHEN event_id % 5 = 0 THEN " + card("'AUTHOR'", """\"'it''s me'\"""") + " ELSE '' END",
+        card("'BINNING'", "cast(event_id % 4 + 1 AS string)"),
+        "rpad('END', 80, ' ')",
+        card("'OBJECT'", "'1'"),
+    ]
+    texts = table(spark, sf_dir, "events").selectExpr("concat('/in/', cast(event_id AS string), '.fits') AS path", f"concat({', '.join(cards)}) AS header")
+    return headers.frames(texts).select("path", "object_name", "observation.exptime", "instrument.camera", "sensor.gain", "observer.observer_name", "sensor.binning_x")
+
+
 # Pixels --------------------------------------------------------------------------------------------------------------
 
 @query(

@@ -16,24 +16,24 @@ ALIASES = {
     "frame_type": ["IMAGETYP", "FRAME"],
     "airmass": ["AIRMASS"],
     "telescope": ["TELESCOP"],
-    "camera": ["INSTRUME"],
+    "camera": ["INSTRUME", "CAMERA"],
     "focal_length_mm": ["FOCALLEN"],
-    "aperture_mm": ["APTDIA"],
+    "aperture_mm": ["APTDIA", "APERTURE"],
     "temp_celsius": ["CCD-TEMP", "CCDTEMP"],
     "temp_setpoint_celsius": ["SET-TEMP"],
     "binning_x": ["XBINNING", "BINNING"],
     "binning_y": ["YBINNING", "BINNING"],
-    "gain": ["GAIN"],
+    "gain": ["GAIN", "EGAIN"],
     "offset": ["OFFSET"],
     "width_px": ["NAXIS1"],
     "height_px": ["NAXIS2"],
     "pixel_size_um": ["XPIXSZ", "PIXSIZE", "PIXSCALE1", "PIXELSZ"],
-    "observer_name": ["OBSERVER"],
-    "site_name": ["SITENAME"],
+    "observer_name": ["OBSERVER", "AUTHOR"],
+    "site_name": ["SITENAME", "OBSERVAT"],
     "site_lat": ["SITELAT"],
     "site_lon": ["SITELONG"],
     "site_elev_m": ["SITEELEV"],
-    "capture": ["SWCREATE"],
+    "capture": ["SWCREATE", "SOFTWARE"],
     "ra_text": ["RA", "OBJCTRA"],
     "dec_text": ["DEC", "OBJCTDEC"],
     "date_obs": ["DATE-OBS"],
@@ -50,17 +50,32 @@ GROUPS = {
 
 
 def header_texts(spark: SparkSession, path: str, blocks: int = 8) -> DataFrame:
-    """path, header of all .fits and .fit files below a folder; a header ends with its END card, `blocks` bounds what is kept."""
+    """path, header of all .fits and .fit files below a folder.
+
+    The header is looked for in the first `blocks` blocks, then in ever longer parts up to the whole file, until its END card is
+    found; a file without one keeps its first `blocks` blocks.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     named = files.where(F.lower("path").rlike(r"\.(fits|fit)$"))
-    return named.select("path", F.decode(F.substring("content", 1, blocks * BLOCK), "ISO-8859-1").alias("header"))
+    def start(n: int) -> Column:
+        return F.decode(F.substring("content", 1, n * BLOCK), "ISO-8859-1")
+    longer = [F.when(_end(start(n)) > 0, start(n)) for n in (blocks, 16 * blocks, 256 * blocks, (1 << 31) // BLOCK - 1)]
+    return named.select("path", F.coalesce(*longer, start(blocks)).alias("header"))
+
+
+def _all_cards(header: Column) -> Column:
+    n = F.floor(F.length(header) / CARD).cast("int")
+    return F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.substring(header, i * CARD + 1, F.lit(CARD)))
+
+
+def _end(header: Column) -> Column:
+    """The number of the END card, from 1; 0 where there is none."""
+    return F.array_position(F.transform(_all_cards(header), lambda c: F.rtrim(F.substring(c, F.lit(1), F.lit(8))) == "END"), True)
 
 
 def cards(header: Column) -> Column:
     """Keyword to value: quotes and comments taken off, doubled quotes made single, the first of repeated keywords."""
-    n = F.floor(F.length(header) / CARD).cast("int")
-    all_cards = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.substring(header, i * CARD + 1, F.lit(CARD)))
-    end = F.array_position(F.transform(all_cards, lambda c: F.rtrim(F.substring(c, F.lit(1), F.lit(8))) == "END"), True)
+    all_cards, end = _all_cards(header), _end(header)
     used = F.when(end > 0, F.slice(all_cards, F.lit(1), (end - 1).cast("int"))).otherwise(all_cards)
     with_value = F.filter(used, lambda c: F.substring(c, F.lit(9), F.lit(2)) == "= ")
     quoted = r"^= +'((?:[^']|'')*)'"

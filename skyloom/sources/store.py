@@ -2,17 +2,18 @@
 
 Every write is a function from snapshots to snapshots and is the same when it is repeated, so a replayed batch changes
 nothing. `publish` writes a snapshot under a new version and moves the pointer last; `publish_frames` overwrites the
-partitions of the frames that a batch holds. A frame whose batch is empty has no partition to overwrite: the snapshot
-functions take an explicit list of affected frames.
+partitions of the affected frames, a frame without rows included; `published` reads them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 KEEP_FIRST = ("pointing_error_arcsec", "pointing_error_ra_arcsec", "pointing_error_dec_arcsec")
 MAX_PAGE = 1000
+MARK = "_no_rows"
 
 
 def upsert_frames(stored: DataFrame, new: DataFrame, keep_first: tuple[str, ...] = KEEP_FIRST) -> DataFrame:
@@ -78,19 +79,44 @@ def list_frames(frames: DataFrame, obj: str | None = None, date_from: str | None
     return out.orderBy(time, "frame_id").offset(offset).limit(min(limit, MAX_PAGE))
 
 
-def frame_sources(frames: DataFrame, observations: DataFrame, frame_id: str) -> DataFrame:
-    """One frame's sources beside the frame's own columns."""
-    own = frames.where(F.col("frame_id") == frame_id)
-    return own.join(observations.where(F.col("frame_id") == frame_id).select("frame_id", *[c for c in observations.columns if c not in frames.columns]), "frame_id")
+def frame_sources(frames: DataFrame, observations: DataFrame, frame_id: str | None = None) -> DataFrame:
+    """One frame's sources beside the frame's own columns, or every frame's; a column that both have is the frame's."""
+    if frame_id is not None:
+        frames, observations = (t.where(F.col("frame_id") == frame_id) for t in (frames, observations))
+    return frames.join(observations.select("frame_id", *[c for c in observations.columns if c not in frames.columns]), "frame_id")
+
+
+def with_source_ids(rows: DataFrame, answered: DataFrame) -> DataFrame:
+    """rows(frame_id, seq, ...) with the source_id that was answered for the frame and place; answered: frame_id, seq, source_id.
+
+    Only where a frame has as many answers as rows: else all its rows get null. A source_id that rows bring along is replaced.
+    """
+    rows = rows.drop("source_id")
+    sent, got = (t.groupBy("frame_id").agg(F.count("*").alias(c)) for t, c in ((rows, "n_sent"), (answered, "n_got")))
+    whole = sent.join(got, "frame_id").where("n_sent = n_got").select("frame_id")
+    return rows.join(answered.join(whole, "frame_id", "left_semi").select("frame_id", "seq", "source_id"), ["frame_id", "seq"], "left")
 
 
 def observation_counts(observations: DataFrame) -> DataFrame:
     return observations.where("source_id IS NOT NULL").groupBy("source_id").agg(F.count("*").alias("n_observations"))
 
 
-def publish_frames(batch: DataFrame, path: str) -> None:
-    """Overwrites the partitions of the batch's frames and no others."""
-    batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("frame_id").parquet(path)
+def publish_frames(batch: DataFrame, path: str, affected: DataFrame | None = None) -> None:
+    """Overwrites the partitions of the affected frames (the batch's own, where none are given) and no others.
+
+    An affected frame without rows gets a row that only marks it, since a partition is overwritten by rows alone.
+    """
+    rows = batch.withColumn(MARK, F.lit(False))
+    if affected is not None:
+        empty = affected.select("frame_id").distinct().join(batch.select("frame_id").distinct(), "frame_id", "left_anti")
+        rows = rows.unionByName(empty.withColumn(MARK, F.lit(True)), allowMissingColumns=True)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("frame_id").parquet(path)
+
+
+def published(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows that `publish_frames` wrote, without its marks."""
+    stored = StructType([*schema.fields]).add(MARK, "boolean")
+    return spark.read.schema(stored).parquet(path).where(~F.coalesce(MARK, F.lit(False))).select(*schema.names)
 
 
 def publish(snapshot: DataFrame, path: str, version: int) -> None:

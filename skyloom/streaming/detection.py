@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,50 +17,64 @@ from skyloom.sources import store
 def detect_batch(spark: SparkSession, observations_path: str, anomalies_path: str, max_fov_deg: float):
     """Work for `arrivals.each_batch`: a batch of source rows is stored by frame, then classified against all before its time.
 
-    Both writes overwrite the batch's own frames, so a replay changes nothing, and a re-analysed frame replaces its rows.
+    Both writes overwrite the batch's own frames, so a replay changes nothing, and a re-analysed frame replaces its rows, also where
+    it has no anomaly left. A frame without any source comes as one row with a null obs_id. Read both with `store.published`.
     Later frames aren't classified anew; run the batch classification of the object for that.
     """
 
     def work(batch: DataFrame, _: int) -> None:
         if batch.isEmpty():
             return
-        store.publish_frames(batch, observations_path)
-        history = spark.read.schema(batch.schema).parquet(observations_path)
+        affected = batch.select("frame_id").distinct()
+        rows = batch.where("obs_id IS NOT NULL")
+        store.publish_frames(rows, observations_path, affected)
+        history = store.published(spark, observations_path, batch.schema)
         frames = history.groupBy("frame_id").agg(F.min("obs_time").alias("obs_time"), F.min("ra_center").alias("ra_center"), F.min("dec_center").alias("dec_center"), F.max("fov_deg").alias("fov_deg"))
-        found = classify.anomalies(classify.classified(batch, history, frames, max_fov_deg))
-        store.publish_frames(found, anomalies_path)
+        found = classify.anomalies(classify.classified(rows, history, frames, max_fov_deg))
+        store.publish_frames(found, anomalies_path, affected)
 
     return work
 
 
 class _LightCurve(StatefulProcessor):
-    """Magnitudes seen per source and filter, and the median before each new one."""
+    """Magnitudes seen per source with their times, and the median before each new one."""
 
     def __init__(self, ttl_ms: int | None) -> None:
         self.ttl = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", "filter string", "mags array<double>", ttlDurationMs=self.ttl)
+        self.seen = handle.getListState("seen", "obs_id long, at long, filter string, mag double", ttlDurationMs=self.ttl)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(rows)).sort_values(["obs_time", "obs_id"])
-        out = []
-        for _, same_time in frame.groupby("obs_time", sort=True):
-            for r in same_time.itertuples():
-                filt = None if pd.isna(r.filter) else r.filter
-                before = list(self.seen.getValue((filt,))[0]) if filt is not None and self.seen.containsKey((filt,)) else []
-                out.append((key[0], r.obs_id, float(pd.Series(before).median()) if before else None))
-            for r in same_time.itertuples():
-                if not pd.isna(r.filter) and not pd.isna(r.mag):
-                    before = list(self.seen.getValue((r.filter,))[0]) if self.seen.containsKey((r.filter,)) else []
-                    self.seen.updateValue((r.filter,), ([*before, float(r.mag)],))
-        yield pd.DataFrame(out, columns=["source_id", "obs_id", "median_mag"])
+        new = pd.concat(list(rows), ignore_index=True)
+        held = list(self.seen.get())
+        known = {h[0] for h in held}
+        fresh = new[new["at"].notna() & new["filter"].notna() & new["mag"].notna() & ~new["obs_id"].isin(known)].drop_duplicates("obs_id")
+        added = [(int(i), int(t), f, float(m)) for i, t, f, m in fresh[["obs_id", "at", "filter", "mag"]].itertuples(index=False)]
+        if added:
+            self.seen.appendList(added)
+        every = pd.DataFrame(held + added, columns=["obs_id", "at", "filter", "mag"]).sort_values("at", kind="stable")
+        median = pd.Series(np.nan, index=new.index)
+        for name, own in every.groupby("filter"):
+            times, mags = own["at"].to_numpy(np.int64), own["mag"].to_numpy(np.float64)
+            mine = new.index[(new["filter"] == name) & new["at"].notna()]
+            before = np.searchsorted(times, new.loc[mine, "at"].to_numpy(np.int64), side="left")
+            median[mine] = [np.median(mags[:n]) if n else np.nan for n in before.tolist()]
+        values = [None if np.isnan(m) else float(m) for m in median]
+        yield pd.DataFrame({"source_id": key[0], "obs_id": new["obs_id"], "median_mag": pd.Series(values, index=new.index, dtype=object)})
 
     def close(self) -> None:
         pass
 
 
 def light_curves(observations: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """source_id, obs_id, median_mag: the median of earlier magnitudes of the same filter, as a stream with state per source."""
-    rows = observations.where("source_id IS NOT NULL").select("source_id", "obs_id", "obs_time", "filter", "mag")
-    return rows.groupBy("source_id").transformWithStateInPandas(_LightCurve(ttl_ms), "source_id string, obs_id long, median_mag double", "Append", "None")
+    """source_id, obs_id, median_mag: the median of magnitudes of the same source and filter at strictly earlier times, as a stream.
+
+    The state per source holds (obs_id, time, filter, mag), so a late row is compared with what was before its own time; what came
+    earlier in the stream but is later in time isn't judged anew. A repeated obs_id adds nothing to the state. Rows without a
+    source go; without a time, a filter or earlier magnitudes the median is null. Needs the RocksDB state store and sets it.
+    """
+    observations.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    at = F.unix_micros(F.col("obs_time").cast("timestamp")).alias("at")
+    rows = observations.where("source_id IS NOT NULL").select("source_id", F.col("obs_id").cast("long").alias("obs_id"), at, "filter", F.col("mag").cast("double").alias("mag"))
+    return rows.groupBy("source_id").transformWithStateInPandas(_LightCurve(ttl_ms), "source_id string, obs_id long, median_mag double", "Append", "None" if ttl_ms is None else "ProcessingTime")

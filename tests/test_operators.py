@@ -125,6 +125,10 @@ def test_headers(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "sub" / "a.FITS").write_bytes(text.encode())
     (tmp_path / "b.txt").write_text("no")
+    (tmp_path / "long.fit").write_bytes((card("SIMPLE", "T") + "COMMENT".ljust(80) * 700 + card("OBJECT", "'late one'") + "END".ljust(80)).encode() + b"\xff" * 9999)
+    late = {r.path[-8:]: r.object_name for r in headers.frames(headers.header_texts(spark, str(tmp_path))).collect()}
+    assert late["long.fit"] == "late_one"
+    (tmp_path / "long.fit").unlink()
     r = headers.frames(headers.header_texts(spark, str(tmp_path))).collect()
     assert len(r) == 1
     r = r[0]

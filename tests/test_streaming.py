@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from skyloom.operators import classify
 from skyloom.plans.fixtures import sky as derived
+from skyloom.sources import store
 from skyloom.streaming import arrivals, detection
 
 
@@ -41,5 +44,35 @@ def test_incremental_detection_equals_batch(spark, sf_dir, tmp_path):
     work(back, 0)  # a replay
     kept = ["frame_id", "obs_id", "anomaly_type"]
     want = classify.anomalies(classify.classified(back, back, back.groupBy("frame_id").agg(F.min("obs_time").alias("obs_time"), F.min("ra_center").alias("ra_center"), F.min("dec_center").alias("dec_center"), F.max("fov_deg").alias("fov_deg")), 1.0))
-    got = spark.read.parquet(str(tmp_path / "found"))
+    got = store.published(spark, str(tmp_path / "found"), want.schema)
     assert sorted(got.select([F.col(c).cast("string") for c in kept]).collect()) == sorted(want.select([F.col(c).cast("string") for c in kept]).collect())
+
+
+def test_a_frame_without_anomalies_or_sources_keeps_none(spark, tmp_path):
+    kind = "frame_id string, source_id string"
+    path = str(tmp_path / "t")
+    make = lambda rows: spark.createDataFrame(rows, kind)
+    store.publish_frames(make([("a", "x"), ("a", "y"), ("b", "z")]), path)
+    for _ in range(2):
+        store.publish_frames(make([]), path, make([("a", None)]).select("frame_id"))
+    got = store.published(spark, path, make([]).schema)
+    assert [tuple(r) for r in got.collect()] == [("b", "z")]
+    store.publish_frames(make([("a", "x")]), path, make([("a", None)]).select("frame_id"))
+    assert sorted(map(tuple, store.published(spark, path, make([]).schema).collect())) == [("a", "x"), ("b", "z")]
+
+
+def test_light_curves_with_late_and_repeated_rows(spark, tmp_path):
+    kind = "source_id string, obs_id long, obs_time timestamp_ntz, filter string, mag double"
+    day = lambda d: datetime(2024, 1, d)
+    first = [("s", 1, day(1), "L", 10.0), ("s", 2, day(5), "L", 12.0), ("s", 3, day(5), "L", 20.0), ("s", 4, day(6), None, 9.0), (None, 5, day(7), "L", 1.0)]
+    second = [("s", 6, day(3), "L", 30.0), ("s", 2, day(5), "L", 12.0), ("s", 7, day(6), "L", None), ("s", 8, None, "L", 5.0), ("t", 9, day(6), "L", 5.0)]
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for rows in (first, second):
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(kind).parquet(source)
+        q = detection.light_curves(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        q.awaitTermination()
+    got = sorted(((r.source_id, r.obs_id, r.median_mag) for r in spark.read.parquet(out).collect()), key=repr)
+    # the late row 6 is compared with row 1 alone; row 7 with 1, 2, 3 and 6, row 2 counted once
+    want = [("s", 1, None), ("s", 2, 10.0), ("s", 2, 20.0), ("s", 3, 10.0), ("s", 4, None), ("s", 6, 10.0), ("s", 7, 16.0), ("s", 8, None), ("t", 9, None)]
+    assert got == sorted(want, key=repr)
