@@ -9,8 +9,12 @@ prompt, instruction and message layouts into canonical turns (role, text). The t
 in which control strings that occur inside texts are broken by a backslash after their first character and backslashes
 are doubled, so the string reads back exactly. `loss_spans` are code-point ranges of the assistant texts.
 
-Null texts and roles are empty. A layout that no mapping knows gives null turns and its fingerprint, and is kept. Turns
-with one number are ordered by role and text. A conversation is one row of the result, so it has to fit in memory.
+Null texts and roles are empty; numbers and truth values are written as in JSON. A message's content may be a list of text
+parts, which are joined. A record that no mapping knows, or whose values aren't what its mapping reads (turns that aren't a
+list of objects, parts that aren't text), gives null turns and its fingerprint, and is kept; so is text that isn't JSON, with a
+null fingerprint. Lone surrogates become U+FFFD. Repeated rows give repeated rows, columns other than conv_id and record
+don't come along, and an empty table gives none. Turns with one number are ordered by role and text. A conversation is one row of
+the result, so it has to fit in memory.
 """
 
 from __future__ import annotations
@@ -30,12 +34,13 @@ OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 CONTROL = [OPEN, CLOSE, "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
 _ESCAPE = re.compile(r"\\|" + "|".join(map(re.escape, sorted(CONTROL, key=len, reverse=True))))
 _TURN = re.compile(re.escape(OPEN) + r"(.*?)\n(.*?)" + re.escape(CLOSE) + r"\n", re.DOTALL)
+_LONE = re.compile("[\ud800-\udfff]")
 TURNS = "array<struct<role:string,text:string>>"
 
 #: The layouts that are known. `each` walks a list; `turns` names fields one by one.
 MAPPINGS = [
     {"name": "turn rows", "required": ["turns"], "optional": ["turns[].turn", "turns[].role", "turns[].text"], "each": "turns", "role": "role", "text": "text"},
-    {"name": "messages", "required": ["messages"], "optional": ["messages[].role", "messages[].content"], "each": "messages", "role": "role", "text": "content"},
+    {"name": "messages", "required": ["messages"], "optional": ["messages[].role", "messages[].content", "messages[].content[].type", "messages[].content[].text"], "each": "messages", "role": "role", "text": "content"},
     {"name": "conversations", "required": ["conversations"], "optional": ["conversations[].from", "conversations[].value"], "each": "conversations", "role": "from", "text": "value", "roles": {"human": "user", "gpt": "assistant"}},
     {"name": "prompt", "required": ["prompt"], "optional": ["system", "response", "completion"], "turns": [("system", ["system"]), ("user", ["prompt"]), ("assistant", ["response", "completion"])]},
     {"name": "instruction", "required": ["instruction"], "optional": ["input", "output"], "turns": [("user", ["instruction", "input"]), ("assistant", ["output"])]},
@@ -53,7 +58,7 @@ def field_paths(value: object, at: str = "") -> set[str]:
 
 
 def fingerprint(paths: set[str]) -> str:
-    return xxhash.xxh64_hexdigest("\n".join(sorted(paths)))
+    return xxhash.xxh64_hexdigest("\n".join(sorted(paths)).encode("utf-8", "surrogatepass"))
 
 
 class Layouts:
@@ -71,21 +76,45 @@ class Layouts:
         return key, self.known[key]
 
 
-def turns_of(record: dict, mapping: dict) -> list[tuple[str, str]]:
-    """Canonical turns; fields that are missing or null give none, nulls inside a list's item are empty."""
+def said(value: object) -> str | None:
+    """The text of a field's value; None where it has none that turns could hold."""
+    if value is None:
+        return ""
+    if isinstance(value, str):
+        return _LONE.sub("\ufffd", value)
+    if isinstance(value, list):
+        parts = [x.get("text") if isinstance(x, dict) and x.get("type", "text") == "text" else x for x in value]
+        return "".join(map(said, parts)) if all(isinstance(x, str) for x in parts) else None
+    return None if isinstance(value, dict) else json.dumps(value)
+
+
+def turns_of(record: dict, mapping: dict) -> list[tuple[str, str]] | None:
+    """Canonical turns; fields that are missing or null give none, nulls inside a list's item are empty. None: they can't be read."""
     if "each" in mapping:
-        names = mapping.get("roles", {})
-        items = [x if isinstance(x, dict) else {} for x in record.get(mapping["each"]) or []]
-        roles = [str(x.get(mapping["role"]) or "") for x in items]
-        return [(names.get(r, r), str(x.get(mapping["text"]) or "")) for r, x in zip(roles, items, strict=True)]
+        names, items = mapping.get("roles", {}), record.get(mapping["each"])
+        items = [] if items is None else items
+        if not isinstance(items, list) or not all(x is None or isinstance(x, dict) for x in items):
+            return None
+        pairs = [(said((x or {}).get(mapping["role"])), said((x or {}).get(mapping["text"]))) for x in items]
+        return None if any(None in p for p in pairs) else [(names.get(r, r), t) for r, t in pairs]
     out = []
     for role, fields in mapping["turns"]:
-        given = [str(record[f]) for f in fields if record.get(f) not in (None, "")]
-        if given:
-            out.append((role, "\n".join(given)))
+        given = [said(record.get(f)) for f in fields]
+        if None in given:
+            return None
+        if any(given):
+            out.append((role, "\n".join(filter(None, given))))
     return out
 
 
+def read_json(text: str | None) -> tuple[object, bool]:
+    """The value, and whether the text could be read at all."""
+    try:
+        return (None, False) if text is None else (json.loads(text), True)
+    except (ValueError, RecursionError):
+        return None, False
+
+
 def escaped(text: str) -> str:
     return _ESCAPE.sub(lambda m: "\\\\" if m[0] == "\\" else f"{m[0][0]}\\{m[0][1:]}", text)
 
@@ -111,17 +140,18 @@ def parsed(text: str) -> list[tuple[str, str]]:
 
 
 def format_records(records: DataFrame, mappings: list[dict] = MAPPINGS) -> DataFrame:
-    """records(conv_id, record: JSON text) -> conv_id, layout, schema_hash, formatted, loss_spans."""
+    """records(conv_id, record: JSON text) -> conv_id, layout, schema_hash, formatted, loss_spans. A null record is like text that isn't JSON."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         layouts = Layouts(mappings)
         for frame in frames:
             rows = []
             for record in frame["record"]:
-                value = json.loads(record) if record is not None else None
-                key, mapping = layouts.select(value)
-                text, spans = formatted(turns_of(value, mapping)) if mapping else (None, [])
-                rows.append((mapping and mapping["name"], key, text, [{"start": a, "stop": b} for a, b in spans]))
+                value, readable = read_json(record)
+                key, mapping = layouts.select(value) if readable else (None, None)
+                turns = turns_of(value, mapping) if mapping else None
+                text, spans = formatted(turns) if turns is not None else (None, [])
+                rows.append((mapping["name"] if turns is not None else None, key, text, [{"start": a, "stop": b} for a, b in spans]))
             made = pd.DataFrame(rows, columns=["layout", "schema_hash", "formatted", "loss_spans"], dtype=object)
             made.insert(0, "conv_id", frame["conv_id"].to_numpy())
             yield made

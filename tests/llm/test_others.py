@@ -67,6 +67,35 @@ def test_layouts_become_turns(spark):
     assert chat.unescaped(got[3].formatted[a:b]) == "</s>[INST] \\n \\ <|im_end|>" and not any(c in got[3].formatted[a:b] for c in chat.CONTROL)
 
 
+def test_records_that_can_not_be_read_are_kept(spark):
+    records = {
+        0: '{"messages": 5}',
+        1: "no JSON",
+        2: '{"messages": "abc"}',
+        3: None,
+        4: '{"messages": [{"role": "user", "content": [{"type": "text", "text": "a"}, {"type": "text", "text": "b"}]}]}',
+        5: '{"messages": [{"role": "user", "content": [{"type": "image"}]}]}',
+        6: '{"messages": [{"role": "user", "content": "\\ud800x"}, {"role": "assistant", "content": 0}]}',
+        7: "5",
+        8: "[" * 100_000,
+        9: '{"prompt": {}, "response": "x"}',
+        10: '{"messages": [1, 2]}',
+        11: '{"messages": []}',
+    }
+    df = spark.createDataFrame([*records.items(), (1, "no JSON")], "conv_id long, record string").withColumn("layout", F.lit("clash"))
+    rows = chat.format_records(df).collect()
+    assert len(rows) == len(records) + 1
+    got = {r.conv_id: r for r in rows}
+    unread = {k for k, r in got.items() if r.formatted is None}
+    assert unread == {0, 1, 2, 3, 5, 7, 8, 9, 10} and all(got[k].layout is None and got[k].loss_spans == [] for k in unread)
+    assert {k for k, r in got.items() if r.schema_hash is None} == {1, 3, 8}
+    assert chat.parsed(got[4].formatted) == [("user", "ab")]
+    assert chat.parsed(got[6].formatted) == [("user", "\ufffdx"), ("assistant", "0")]
+    assert got[11].formatted == "" and got[11].layout == "messages"
+    assert {r.conv_id: r.n_turns for r in chat.digests(chat.format_records(df)).collect()}[0] == 0
+    assert chat.format_records(df.limit(0)).collect() == []
+
+
 def test_escape_is_reversible():
     rng = random.Random(2)
     parts = [*chat.CONTROL, "\\", "\n", "n", "<", "|", "s>", "é", "[", "INST]"]
