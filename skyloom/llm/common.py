@@ -90,15 +90,29 @@ def _trim() -> Callable[[int], int] | None:
     return getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
+#: Bytes of a batch that a task hands to the JVM: it holds each in native memory of the next power of two, beside the one before.
+PIECE_BYTES = 1 << 20
+
+
+def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch's rows in batches of about PIECE_BYTES, at least one row each."""
+    rows = max(1, batch.num_rows * PIECE_BYTES // max(1, batch.nbytes))
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def given_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The same function of a task's batches; when they're done, memory that it freed goes back to the system.
+    """The same function of a task's batches, in small batches; when they're done, memory that it freed goes back to the system.
 
-    Python workers live on for other tasks, and what an earlier one freed would else stay theirs.
+    Python workers live on for other tasks, and what an earlier one freed would else stay theirs. So Arrow takes its memory
+    from the C library too, whose free pages are given back wherever they lie.
     """
 
     @wraps(run)
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from run(batches)
+        pa.set_memory_pool(pa.system_memory_pool())
+        for batch in run(batches):
+            yield from pieces(batch)
         pa.default_memory_pool().release_unused()
         if trim := _trim():
             trim(0)

@@ -41,7 +41,7 @@ COUNT_BITS = 20
 BLOCK_ROWS = 200_000
 PASSED_ON, DOUBTFUL, MOST_PASSED_ON = 2, 4, 16
 PAIRS_AT_ONCE = 200_000
-SENT_AT_ONCE = 300_000
+SENT_AT_ONCE = 150_000
 SETS_AT_ONCE = 1 << 14
 FIRST = -(1 << 63)
 ID, EARLY = ["doc", "tag", "line"], ["early_doc", "early_tag", "early_line"]
