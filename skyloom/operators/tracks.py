@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyloom.functions import names, sky
@@ -37,11 +37,20 @@ def kinematics(track: DataFrame) -> DataFrame:
 
 
 def previous_frame(frames: DataFrame, of: DataFrame) -> DataFrame:
-    """For each row of `of` (frame_id, object, obs_time): the nearest earlier frame of its object (strictly earlier)."""
-    before = frames.select(F.col("object").alias("p_object"), F.col("frame_id").alias("previous_id"), F.col("obs_time").alias("previous_time"))
-    met = of.join(before, (F.col("object") == F.col("p_object")) & (F.col("previous_time") < F.col("obs_time")))
-    last = F.max(F.struct("previous_time", "previous_id")).alias("p")
-    return met.groupBy("frame_id").agg(last).select("frame_id", "p.previous_id", "p.previous_time")
+    """For each row of `of` (frame_id, object, obs_time): the nearest earlier frame of its object (strictly earlier).
+
+    Of frames with one time the last by id. Rows without an object, a time or an earlier frame have none. No pairs are made:
+    an object's months are windows of their own, so one that is observed all the time isn't one task, and a month's last
+    frame is handed on to the later ones.
+    """
+    frame = F.when(F.col("archived"), F.struct(F.col("obs_time").alias("previous_time"), F.col("frame_id").alias("previous_id")))
+    both = of.select("frame_id", "object", "obs_time", F.lit(False).alias("archived")).unionByName(frames.select("frame_id", "object", "obs_time", F.lit(True).alias("archived")))
+    rows = both.where("object IS NOT NULL AND obs_time IS NOT NULL").withColumns({"month": F.date_trunc("month", "obs_time"), "p": frame})
+    months = Window.partitionBy("object").orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy("object", "month").agg(F.max("p").alias("last")).withColumn("before", F.max("last").over(months)).drop("last")
+    order = Window.partitionBy("object", "month").orderBy("obs_time", "archived", "frame_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = rows.withColumn("own", F.last("p", ignorenulls=True).over(order)).where("NOT archived").join(before, ["object", "month"])
+    return found.withColumn("p", F.coalesce("own", "before")).where("p IS NOT NULL").select("frame_id", "p.previous_id", "p.previous_time")
 
 
 def types_of_sources(anomalies: DataFrame) -> DataFrame:
@@ -76,23 +85,33 @@ def track_report(anomalies: DataFrame, sources: DataFrame, observations: DataFra
     return rows.select("source_id", "epoch", "n_epochs", "obs_id", "frame_id", "shift_arcsec", "gap_hours", "velocity", motion.alias("motion"), names.moving_label(F.col("representative"), F.col("designation"), F.col("source_id")).alias("label"), names.presentation(F.col("n_epochs"), F.col("representative")).alias("presentation"))
 
 
+def _newest(archive: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key the newest RANKED frames in order, and how many there are in all; a task keeps no more than that of a key."""
+    order = Window.partitionBy(*keys).orderBy(F.col("obs_time").desc(), "frame_id")
+    top = archive.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= RANKED)
+    refs = F.array_sort(F.collect_list(F.struct("nth", F.col("frame_id").alias("reference_id"), F.col("position_angle").alias("pa"))))
+    return top.groupBy(*keys).agg(refs.alias("refs")).join(archive.groupBy(*keys).agg(F.count("*").alias("n")), keys)
+
+
 def reference_frames(new: DataFrame, archive: DataFrame) -> DataFrame:
     """frame_id, reference_id, place: frames to subtract from each new one.
 
     Same object, newest first; those of the same filter if there are three, else all. More than ten and a known position
     angle: the newest thirty by circular distance of the angle (unknown counts as 180). The frame itself leaves after the
-    cut to ten; fewer than three left means none.
+    cut to ten; fewer than three left means none. The archive is ranked once, and a new frame meets thirty rows of it.
     """
-    a = archive.select(F.col("object").alias("r_object"), F.col("frame_id").alias("reference_id"), F.col("obs_time").alias("r_time"), F.col("filter").alias("r_filter"), F.col("position_angle").alias("r_pa"))
-    met = new.select("frame_id", "object", "filter", "position_angle").join(a, F.col("object") == F.col("r_object"))
-    own = Window.partitionBy("frame_id")
-    same = F.coalesce(F.col("filter") == F.col("r_filter"), F.lit(False))
-    pool = met.withColumn("n_same", F.count_if(same).over(own)).where((F.col("n_same") < MIN_REFERENCES) | same)
-    newest = own.orderBy(F.col("r_time").desc(), F.col("reference_id"))
-    pool = pool.withColumns({"nth": F.row_number().over(newest), "n": F.count("*").over(own)})
-    by_angle = (F.col("n") > MAX_REFERENCES) & F.col("position_angle").isNotNull()
-    off = F.coalesce(F.abs(sky.wrap180(F.col("r_pa") - F.col("position_angle"))), F.lit(180e0))
-    pool = pool.where(~by_angle | (F.col("nth") <= RANKED)).withColumn("off", F.when(by_angle, off).otherwise(0e0))
-    ten = pool.withColumn("place", F.row_number().over(own.orderBy("off", "nth"))).where(F.col("place") <= MAX_REFERENCES)
-    left = ten.where("reference_id <> frame_id").withColumn("left", F.count("*").over(own)).where(F.col("left") >= MIN_REFERENCES)
-    return left.select("frame_id", "reference_id", F.col("place").cast("long").alias("place"))
+    a = archive.select("object", "filter", "frame_id", "obs_time", "position_angle").where("object IS NOT NULL")
+    every = _newest(a, ["object"]).select("object", F.struct("n", "refs").alias("every"))
+    same = _newest(a.where("filter IS NOT NULL"), ["object", "filter"]).where(F.col("n") >= MIN_REFERENCES).select("object", "filter", F.struct("n", "refs").alias("same"))
+    rows = new.select("frame_id", "object", "filter", "position_angle").join(every, "object").join(same, ["object", "filter"], "left")
+    pool = rows.select("frame_id", "position_angle", F.coalesce("same", "every").alias("pool"))
+    by_angle = (F.col("pool.n") > MAX_REFERENCES) & F.col("position_angle").isNotNull()
+
+    def ranked(r: Column) -> Column:
+        off = F.coalesce(F.abs(sky.wrap180(r["pa"] - F.col("position_angle"))), F.lit(180e0))
+        return F.struct(F.when(by_angle, off).otherwise(0e0).alias("off"), r["nth"], r["reference_id"])
+
+    ten = F.slice(F.array_sort(F.transform("pool.refs", ranked)), 1, MAX_REFERENCES)
+    placed = F.transform(ten, lambda r, at: F.struct(r["reference_id"].alias("reference_id"), (at + 1).cast("long").alias("place")))
+    left = pool.select("frame_id", F.filter(placed, lambda r: r["reference_id"] != F.col("frame_id")).alias("left"))
+    return left.where(F.size("left") >= MIN_REFERENCES).select("frame_id", F.inline("left"))

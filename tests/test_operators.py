@@ -174,3 +174,27 @@ def test_sql_functions(spark):
         assert one(spark, mine) == one(spark, F.call_function("normalize_object_name", F.lit(raw).cast("string")))
     r = spark.sql("SELECT haversine_arcsec(10, 0, 10, 1) AS h, sky_tile(0.25) AS t, wrap180(-180) AS w, normalize_filter(' H-Alpha ') AS f, normalize_filter('x') AS x").first()
     assert r.h == pytest.approx(3600) and r.t == pytest.approx(0.2) and r.w == 180 and (r.f, r.x) == ("Ha", "x")
+
+
+def test_previous_frame_over_months(spark):
+    rows = [("a", "X", "2024-01-05"), ("b", "X", "2024-01-05"), ("c", "X", "2024-03-01"), ("d", "X", "2024-03-01"), ("e", "X", "2024-03-02"), ("f", "Y", "2024-03-02"), ("g", None, "2024-03-02"), ("h", "X", None)]
+    frames = spark.createDataFrame(rows, "frame_id string, object string, obs_time string").withColumn("obs_time", F.col("obs_time").cast("timestamp_ntz"))
+    got = {r.frame_id: r.previous_id for r in tracks.previous_frame(frames, frames).collect()}
+    assert got == {"c": "b", "d": "b", "e": "d"}
+    assert tracks.previous_frame(frames.limit(0), frames).count() == 0
+
+
+def test_reference_frames_are_ranked(spark):
+    archive = [(f"r{k:02d}", "X", "L" if k < 2 else None, f"2024-01-{k + 1:02d}", float(k * 10) if k % 5 else None) for k in range(20)] + [("y0", "Y", "L", "2024-01-01", 1.0), ("y1", "Y", "L", "2024-01-02", 2.0)]
+    schema = "frame_id string, object string, filter string, obs_time string, position_angle double"
+    archive = spark.createDataFrame(archive, schema)
+    new = spark.createDataFrame([("n0", "X", "L", "2024-02-01", None), ("n1", "X", None, "2024-02-01", 355.0), ("y0", "Y", "L", "2024-02-01", 1.0), ("n2", None, "L", "2024-02-01", 1.0), ("r19", "X", "R", "2024-01-20", None)], schema)
+    got = {}
+    for r in sorted(tracks.reference_frames(new, archive).collect(), key=lambda r: (r.frame_id, r.place)):
+        got.setdefault(r.frame_id, []).append((r.place, r.reference_id))
+    newest = [f"r{k:02d}" for k in range(19, 9, -1)]
+    assert got["n0"] == list(enumerate(newest, 1))
+    assert got["r19"] == list(enumerate(newest, 1))[1:]
+    off = lambda k: abs((k * 10 - 355 + 180) % 360 - 180) if k % 5 else 180
+    assert [x for _, x in got["n1"]] == [f"r{k:02d}" for k in sorted(range(20), key=lambda k: (off(k), -k))[:10]]
+    assert set(got) == {"n0", "n1", "r19"}
