@@ -37,7 +37,11 @@ def coverage(current: DataFrame, frames: DataFrame, max_fov_deg: float, coverage
 
 def vacated(pairs: DataFrame, current: DataFrame, radius: float = MATCH_CONE) -> DataFrame:
     """obs_id of rows with no narrow history and a wide history position at which their own frame has no source now."""
-    candidates = pairs.join(pairs.where(F.col("sep_arcsec") <= radius).select("obs_id").distinct(), "obs_id", "left_anti")
+    return vacated_among(pairs.join(pairs.where(F.col("sep_arcsec") <= radius).select("obs_id").distinct(), "obs_id", "left_anti"), current, radius)
+
+
+def vacated_among(candidates: DataFrame, current: DataFrame, radius: float = MATCH_CONE) -> DataFrame:
+    """`vacated` for wide history pairs of rows that have no narrow history."""
     held = candidates.select(F.col("obs_id").alias("of"), F.col("frame_id").alias("of_frame"), "h_obs_id", F.col("h_ra"), F.col("h_dec"))
     places = held.select("of_frame", "h_obs_id", "h_ra", "h_dec").distinct()
     here = renamed(current, "c_", "obs_id", "frame_id", "ra", "dec")

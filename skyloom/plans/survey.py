@@ -13,7 +13,7 @@ from skyloom.plans.fixtures import pixels as pixel_table
 from skyloom.plans.fixtures import sky as derived
 from skyloom.plans.registry import query, separation_sql, table
 from skyloom.sources import headers, store
-from skyloom.sources.lineage import shared_folder
+from skyloom.sources.lineage import shared_folder, written
 from skyloom.streaming import arrivals, detection
 
 FOV = 1.0
@@ -150,8 +150,8 @@ def j08_vacated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = derived(spark, sf_dir, "sources")
-    return classify.classified(s, s, derived(spark, sf_dir, "frames"), FOV)
+    s = written(derived(spark, sf_dir, "sources"))
+    return classify.classified(s, s, written(derived(spark, sf_dir, "frames")), FOV)
 
 
 @query(f"WITH {clauses('sources')}, {OUTCOME} SELECT obs_id, frame_id, n_history, n_covering, vacated, round(delta_mag, 6) AS delta_mag, outcome FROM outcomes")

@@ -23,3 +23,10 @@ def shared_folder(spark: SparkSession) -> str:
         base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/skyloom-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows as files in the shared folder, read back: for tables that a plan uses several times."""
+    path = shared_folder(df.sparkSession)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
