@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import bpe, chat, decontam, linededup, minhash, quality, shards, simhash, tokenfile, urlrules
+from skyloom.llm import bpe, centroids, chat, decontam, hamming, linededup, minhash, quality, shards, simhash, tokenfile, urlrules, vectorcodes
 from skyloom.llm.common import shared_dir, table
 
 END_ID = 2
@@ -106,5 +106,61 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_virtual_slots, op3_chat_format, op4_simhash, op5_byte_bpe, op6_url_rules, op7_line_dedup, op8_minhash_near_dedup, op9_token_files, op10_quality)}
-ORACLE_SQL: dict[str, str] = {"op6_url_rules": OP6_SQL}
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.compressed(table(spark, sf_dir, "embeddings"))
+
+
+_KEPT_SQL = """kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, *, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+x AS MATERIALIZED (SELECT r, d, v[d] AS x FROM kept, range(1, 65) AS t(d))"""
+
+
+def op12_sql(k: int = centroids.CLUSTERS, rounds: int = centroids.ROUNDS) -> str:
+    """The rounds one after the other, every distance computed."""
+    steps = [
+        _KEPT_SQL,
+        f"""c0 AS MATERIALIZED (SELECT k, d, v[d] AS c
+  FROM (SELECT row_number() OVER (ORDER BY sha256('{centroids.SALT}:' || vec_id), v) - 1 AS k, v FROM kept QUALIFY k < {k}), range(1, 65) AS t(d))""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT r, k, s FROM (SELECT r, k, CAST(sum((x - c) * (x - c)) AS BIGINT) AS s FROM x JOIN c{i} USING (d) GROUP BY r, k)
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY s, k) = 1)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (SELECT c.k, c.d, CASE WHEN n IS NULL THEN c ELSE (t - (t % n + n) % n) // n END AS c FROM c{i} AS c
+  LEFT JOIN (SELECT k, d, CAST(sum(x) AS BIGINT) AS t, count(*) AS n FROM x JOIN a{i} USING (r) GROUP BY k, d) AS m ON m.k = c.k AND m.d = c.d)""")
+    last = f"""SELECT vec_id, CAST(k AS INTEGER) AS cluster, s AS distance, CAST(sum(s) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(s) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN kept USING (r) JOIN (SELECT k, sha256(string_agg(c, ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY k) USING (k)"""
+    return "WITH " + ",\n".join(steps) + "\n" + last
+
+
+def op13_sql(entries: int = vectorcodes.ENTRIES, rounds: int = vectorcodes.ROUNDS) -> str:
+    """The rounds one after the other; p is the part, d the place in the vector."""
+    width = 64 // vectorcodes.PARTS
+    steps = [
+        _KEPT_SQL,
+        "y AS MATERIALIZED (SELECT r, d, (d - 1) // " + str(width) + " AS p, x FROM x)",
+        f"c0 AS MATERIALIZED (SELECT k, d, v[d] AS c FROM (SELECT row_number() OVER (ORDER BY vec_id, v) - 1 AS k, v FROM kept QUALIFY k < {entries}), range(1, 65) AS t(d))",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT r, p, k, s FROM (SELECT r, p, k, CAST(sum((x - c) * (x - c)) AS BIGINT) AS s FROM y JOIN c{i} USING (d) GROUP BY r, p, k)
+  QUALIFY row_number() OVER (PARTITION BY r, p ORDER BY s, k) = 1)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (SELECT c.k, c.d, CASE WHEN n IS NULL THEN c ELSE (t - (t % n + n) % n) // n END AS c FROM c{i} AS c
+  LEFT JOIN (SELECT k, d, CAST(sum(x) AS BIGINT) AS t, count(*) AS n FROM y JOIN a{i} USING (r, p) GROUP BY k, d) AS m ON m.k = c.k AND m.d = c.d)""")
+    last = f"""SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN (SELECT r, string_agg(printf('%02x', k), '' ORDER BY p) AS code, CAST(sum(s) AS BIGINT) AS error FROM a{rounds} GROUP BY r) USING (r),
+     (SELECT sha256(string_agg(c, ',' ORDER BY (d - 1) // {width}, k, d)) AS codebooks_sha256 FROM c{rounds})"""
+    return "WITH " + ",\n".join(steps) + "\n" + last
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_virtual_slots, op3_chat_format, op4_simhash, op5_byte_bpe, op6_url_rules, op7_line_dedup, op8_minhash_near_dedup, op9_token_files, op10_quality, op11_simhash_near_dedup, op12_centroid_clusters, op13_vector_codes)}
+ORACLE_SQL: dict[str, str] = {"op6_url_rules": OP6_SQL, "op12_centroid_clusters": op12_sql(), "op13_vector_codes": op13_sql()}
