@@ -80,6 +80,26 @@ def bit_tests(table: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
     return test
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs but for the rows that gone(doc_id, tag) names; tag is the xxhash64 of a row's text. A doc_id may be null.
+
+    A bit table of bounded size says which rows may be named: only these are moved to meet the names, the others stay where they are.
+    """
+    tag = F.xxhash64(F.col("text").cast("string"))
+    key = lambda t: F.xxhash64(F.coalesce("doc_id", F.lit(-1)), t)
+    named = written(gone.select(F.col("doc_id").cast("long").alias("doc_id"), "tag").distinct())
+    test = bit_tests(bit_table(named.select(key(F.col("tag")).alias("h"))))
+
+    @F.arrow_udf("boolean")
+    def may(hashes: pa.Array) -> pa.Array:
+        return pa.array(test(hashes.to_numpy()))
+
+    rows = docs.withColumn("_may", may.asNondeterministic()(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), tag)))
+    some, rest = rows.where("_may").drop("_may"), rows.where("NOT _may").drop("_may")
+    other = named.withColumnsRenamed({"doc_id": "_of", "tag": "_tag"}).hint("merge")  # nothing bounds their number
+    return rest.unionByName(some.join(other, F.col("doc_id").cast("long").eqNullSafe(F.col("_of")) & (tag == F.col("_tag")), "left_anti"))
+
+
 def record_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
 

@@ -11,7 +11,8 @@
    and then on full sets, beside each other in one task (a large key in pairs of blocks). A task passes on a link only where
    it joins two components, so no such link is lost and no group emits its pairs.
 
-Nulls and empty texts have no set and are linked with nothing. Rows with one doc_id are separate rows of one document.
+Nulls and empty texts have no set and are linked with nothing. Rows with one doc_id are separate rows of one document, told apart by
+`tag`, the hash of their text. An empty table gives an empty one; texts are taken whole; ties go to the smaller doc_id, then the smaller tag.
 """
 
 from __future__ import annotations
@@ -94,7 +95,7 @@ def _set_id(grams: np.ndarray) -> int:
         return int(K.mix64(np.array([(K.mix64(grams) * np.uint64(3)).sum() + np.uint64(len(grams))]))[0].astype(np.int64))
 
 
-_SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.int64()), *((f"s{i}", pa.int64()) for i in range(WORDS)), ("bands", pa.list_(pa.int64()))])
+_SIGNED = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.int64()), *((f"s{i}", pa.int64()) for i in range(WORDS)), ("bands", pa.list_(pa.int64()))])
 
 
 def _sign(k: int) -> Callable:
@@ -112,15 +113,16 @@ def _sign(k: int) -> Callable:
             none = size == 0
             words, keys = packed(least).astype(np.int64), band_keys(least).astype(np.int64)
             bands = pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * BANDS, pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.array(sid, mask=none), *(pa.array(words[:, i]) for i in range(WORDS)), bands], schema=_SIGNED)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(size), pa.array(sid, mask=none), *(pa.array(words[:, i]) for i in range(WORDS)), bands], schema=_SIGNED)
 
     return run
 
 
 def signatures(docs: DataFrame, k: int = 5) -> DataFrame:
-    """doc_id, n_shingles, sid (null for an empty set), packed words s0.., bands: one key per band."""
+    """doc_id, tag, n_shingles, sid (null for an empty set), packed words s0.., bands: one key per band."""
     kinds = ", ".join(f"s{i} long" for i in range(WORDS))
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_sign(k), f"doc_id long, n_shingles long, sid long, {kinds}, bands array<long>")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tag")).mapInArrow(_sign(k), f"doc_id long, tag long, n_shingles long, sid long, {kinds}, bands array<long>")
 
 
 def _wanted_sets(k: int, wanted: np.ndarray) -> Callable:
@@ -231,15 +233,21 @@ def _across(placed: DataFrame, docs: DataFrame, reps: DataFrame, k: int, limit:
     return met.mapInArrow(_joins(limit, percent), "a long, b long").distinct()
 
 
+def _rank() -> Column:
+    """A row's place among the rows of its component; no part of it is null."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("tag").alias("tag"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
-    """Returns, for every row, doc_id, n_shingles, sid, component_id, kept.
+    """Returns, for every row, doc_id, tag, n_shingles, sid, component_id, kept, first.
 
     component_id is the least doc_id reachable over links (percent: the least Jaccard similarity, as a hundredth),
-    the document itself included; kept where it is the document's own.
+    the document itself included; kept where it is the document's own. first: whether the row is its component's first by doc_id (nulls
+    last), then tag; rows that are equal in both are first together.
     """
     sign = written(signatures(docs, k).withColumn("row", F.monotonically_increasing_id()))  # numbers that stay, since they're written
     words = [f"s{i}" for i in range(WORDS)]
-    reps = written(sign.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row")))
+    reps = written(sign.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row"), F.min(_rank()).alias("rank")))
     cards = sign.join(reps.select("row"), "row", "left_semi")  # one row for each set, however often it or its document is given
     entries = cards.select("sid", *words, F.explode("bands").alias("band"))
     several = written(entries.groupBy("band").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low <> high").select("band"))
@@ -267,9 +275,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
             if not (rows := placed.count()):
                 break
     named = comps.join(reps.withColumnRenamed("sid", "node"), "node")
-    least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    groups = written(comps.join(least, "comp").select(F.col("node").alias("sid"), "component_id"))
-    own = reps.select("sid", F.col("doc_id").alias("first_id"))
-    out = sign.select("doc_id", "n_shingles", "sid").join(own, "sid", "left").join(groups, "sid", "left")
-    out = out.withColumn("component_id", F.coalesce("component_id", "first_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", "sid", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"), F.min("rank").alias("least"))
+    groups = written(comps.join(least, "comp").select(F.col("node").alias("sid"), "component_id", "least"))
+    own = reps.select("sid", F.col("doc_id").alias("first_id"), "rank")
+    out = sign.select("doc_id", "tag", "n_shingles", "sid").join(own, "sid", "left").join(groups, "sid", "left")
+    out = out.withColumns({"component_id": F.coalesce("component_id", "first_id", "doc_id"), "least": F.coalesce("least", "rank")})
+    first = F.col("least").isNull() | (F.col("least") == _rank())
+    return out.select("doc_id", "tag", "n_shingles", "sid", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), first.alias("first"))

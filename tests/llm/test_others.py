@@ -296,6 +296,88 @@ def test_decontamination_equals_edit_distance_over_all_pairs(spark):
     assert got == {(k, i) for k, text in rows for i, t in items if nearest(t, text) <= budget[i]}
 
 
+def segment_oracle(items, text, width=96, short=48):
+    """Items of which some segment is within its budget of some part of the text, by edit distance."""
+    out = set()
+    for i, t in items:
+        n = len(t)
+        for w, step in {(min(n, width), width // 2), (min(n, short), 8)}:
+            e = min(int(w * 0.1), (w - 8) // 8)
+            if any(nearest(t[a : a + w], text) <= e for a in (*range(0, n - w + 1, step), n - w)):
+                out.add(i)
+    return out
+
+
+@pytest.mark.parametrize(("portion", "at_once"), [(1 << 19, 512), (1, 3)])
+def test_long_items_equal_edit_distance_over_all_segments(spark, monkeypatch, portion, at_once):
+    """Items of several segments, excerpts with edits, in portions of any size."""
+    monkeypatch.setattr(decontam, "PORTION", portion)
+    monkeypatch.setattr(decontam, "AT_ONCE", at_once)
+    rng = random.Random(31)
+    letters = "abcdefgh "
+    made = lambda n: " ".join(("x" + "".join(rng.choice(letters) for _ in range(n - 2)).replace("  ", " q") + "y").split())
+    items = [(i, made(n)) for i, n in enumerate((60, 75, 100, 130))]
+    items += [(10, items[3][1]), (11, items[3][1][:70])]  # an equal item, and one whose segments are mostly another's
+    rows = []
+    for k in range(40):
+        _, t = items[k % 4]
+        at = rng.randrange(len(t) - 50)
+        part = edited(rng, t[at : at + rng.randint(45, 110)], rng.randint(0, 12))
+        rows.append((k, " ".join((made(20)[1:] + part + made(rng.randint(3, 30))).split())))
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(docs_of(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = {(k, i) for k, text in rows for i in segment_oracle(items, text)}
+    assert got == want and 0 < len(want) < 6 * len(rows)
+
+
+def test_items_shorter_than_a_q_gram(spark):
+    bench = spark.createDataFrame([(1, "abc def"), (2, "X"), (3, " yes\n"), (4, "yes"), (5, "   "), (None, "no")], "item_id long, text string")
+    docs = docs_of(spark, [(1, "abc def"), (2, "zabc def"), (3, "say YES now"), (4, "yesterday x"), (5, ""), (6, "abc  DEF\n"), (7, "no"), (8, None)])
+    got = {(r.doc_id, r.item_id, r.start, r.stop) for r in decontam.leaks(docs, bench).collect()}
+    assert got == {(1, 1, 0, 7), (6, 1, 0, 7), (3, 3, 4, 7), (3, 4, 4, 7), (4, 2, 10, 11), (7, None, 0, 2)}
+
+
+def test_repeated_characters_stay_small():
+    """Ruled lines in the benchmark and in documents: neither memory nor places grow with their product."""
+    import time
+    import tracemalloc
+
+    import numpy as np
+
+    index = decontam.Index([(1, "-" * 600), (2, "=-" * 300), (3, "a" + "_" * 700)])
+    assert len(index.start) < 400 and len(index.place) < 3000
+    texts = ["-" * 1_000_000, "x" * 500 + "-" * 40_000 + "y" * 300 + "=-" * 20_000, "_" * 50_000]
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    point, rows = decontam.normal(raw, np.append(0, np.cumsum([len(t) for t in texts])))
+    tracemalloc.start()
+    began = time.time()
+    segment, row, begin, end, edits = decontam.found(index, point, rows)
+    assert tracemalloc.get_traced_memory()[1] < 600e6 and time.time() - began < 120
+    tracemalloc.stop()
+    dashes = (index.item[segment] == 1) & (row == 0)
+    assert begin[dashes].min() == 0 and end[dashes].max() == 1_000_000 and edits[dashes].min() == 0
+    middle = (index.item[segment] == 1) & (row == 1)
+    # a segment's first start and last stop, each with some edits
+    assert 490 <= begin[middle].min() - rows[1] <= 500 and 40_500 <= end[middle].max() - rows[1] <= 40_510 and edits[middle].min() == 0
+    assert {3} <= set(index.item[segment[row == 2]].tolist()) and 2 in index.item[segment[row == 1]]
+
+
+def test_a_long_item_comes_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "BLOCK_CHARS", 300)
+    rng = random.Random(8)
+    item = " ".join(f"word{rng.randrange(10**6)}" for _ in range(150))
+    docs = docs_of(spark, [(at, "head " + item[at : at + 56] + " tail") for at in range(0, len(item) - 56, 37)])
+    got = decontam.leaks(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert got.count() == docs.count()
+
+
+def test_rows_of_one_doc_id_are_told_apart(spark):
+    text = "a passage of the benchmark that somebody copied into a document"
+    bench = spark.createDataFrame([(1, text)], "item_id long, text string")
+    rows = [(5, "some clean text"), (5, "before " + text), (None, text), (None, "clean")]
+    got = decontam.passages(docs_of(spark, rows), bench).join(docs_of(spark, rows).select("text", F.xxhash64("text").alias("tag")), "tag").select("text").distinct().collect()
+    assert {r.text for r in got} == {"before " + text, text}
+
+
 # Quality
 
 def test_quality_on_held_out_labels(spark):
