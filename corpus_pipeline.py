@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.llm import bpe, decontam, entries, linededup, minhash, quality
-from skyloom.llm.common import table, written
+from skyloom.llm.common import table, without, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -31,15 +31,26 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the least doc_id."""
-    gone = minhash.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, docs.doc_id.eqNullSafe(gone.doc_id), "left_anti").select(*COLUMNS)
+    """One row of each near-duplicate group: the one with the least doc_id, then the least hash of its text.
+
+    Rows are told apart by doc_id and text, so another text under a doc_id that goes stays. Of rows that are equal in both, one stays
+    if they hold a word.
+    """
+    docs = docs.select(*COLUMNS)
+    found = written(minhash.near_duplicates(docs).select("doc_id", "tag", "n_shingles", "first"))
+    left = without(docs, found.where("NOT first"))
+    again = written(found.where("first AND n_shingles > 0").groupBy("doc_id", "tag").count().where("count > 1").select("doc_id", "tag"))
+    if again.isEmpty():
+        return left
+    # rows given several times: the same table without them, and one of each
+    twice = left.withColumn("_tag", F.xxhash64(F.col("text").cast("string"))).join(again.withColumnsRenamed({"doc_id": "_of", "tag": "_as"}), F.col("doc_id").cast("long").eqNullSafe(F.col("_of")) & (F.col("_tag") == F.col("_as")), "left_semi")
+    return without(left, again).unionByName(twice.dropDuplicates(["doc_id", "_tag"]).drop("_tag"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark."""
-    leaked = decontam.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaked, docs.doc_id.eqNullSafe(leaked.doc_id), "left_anti").select(*COLUMNS)
+    """Rows that hold no passage of the benchmark; another text under the doc_id of one that does stays."""
+    docs = docs.select(*COLUMNS)
+    return without(docs, decontam.passages(docs, table(spark, sf_dir, "benchmark")))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
