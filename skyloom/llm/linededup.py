@@ -6,7 +6,8 @@ without one (empty or white space alone) have no set to compare and stay.
 
 1. Words are counted over all texts in a hashed table of fixed size: the rarity order. It needs to be the same for all
    lines, not exact, so hashing costs no result.
-2. Lines with equal sets (by 128 bits) are one: they meet by the set's hash, the first stands for all, and the later ones go.
+2. Lines with equal sets (by 128 bits) are one: they meet by the set's hash, the first stands for all, and the later ones go. A sending
+   task keeps back the lines that it knows an earlier one of the same set for, so a line that stands everywhere meets once a task or so.
 3. Sets of one or two words match equal ones alone. Each other distinct set sends one row per word of its prefix (the
    rarest quarter of its words and one more): two sets that are similar enough share one of them. Rows of a word meet, sorted
    by set size, and are compared by length, by the position of the shared word, and by a 128-bit parity map of their words, whose
@@ -42,7 +43,7 @@ BLOCK_ROWS = 200_000
 PASSED_ON, DOUBTFUL, MOST_PASSED_ON = 2, 4, 16
 PAIRS_AT_ONCE = 200_000
 SENT_AT_ONCE = 150_000
-SETS_AT_ONCE = 1 << 14
+SETS_AT_ONCE, MOST_KNOWN = 1 << 14, 1 << 15
 FIRST = -(1 << 63)
 ID, EARLY = ["doc", "tag", "line"], ["early_doc", "early_tag", "early_line"]
 U64 = np.uint64
@@ -206,12 +207,55 @@ def line_hash(doc: np.ndarray, tag: np.ndarray, line: np.ndarray) -> np.ndarray:
     return K.mix64(K.mix64(doc.astype(U64) + tag.astype(U64) * U64(K.BASE)) + line.astype(U64))
 
 
+class Firsts(packed.Sender):
+    """Sends lines by their set's hash, but those that an earlier line of the task has the set of, as exact repeats (kind 1), anywhere.
+
+    It knows the first lines of the portion at hand, and of up to MOST_KNOWN sets that portions before repeated.
+    """
+
+    def __init__(self, at_once: int, pids: int) -> None:
+        super().__init__(at_once)
+        self.pids = pids
+        self.known = [np.zeros(0, t) for t in (U64, U64, np.int64, np.int64, np.int32)]  # one, two, doc, tag, line; by one, two
+
+    def made(self, pid: np.ndarray, columns: list[np.ndarray], lists: tuple[np.ndarray, np.ndarray] | None) -> Iterator[pa.RecordBatch]:
+        ids = [np.concatenate([k, c]) for k, c in zip(self.known, columns[:5], strict=True)]
+        held, n = len(self.known[0]), len(pid)
+        by = np.argsort(ids[0], kind="stable")
+        alike = ids[0][by[1:]] == ids[0][by[:-1]]
+        some = by[np.append(alike, False) | np.append(False, alike)] if n else by  # the rest are alone with their set here
+        some = some[np.lexsort([ids[k][some] for k in (4, 3, 2, 1, 0)])]
+        one, two, doc, tag, line = (x[some] for x in ids)
+        new = np.ones(len(some), bool)
+        new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+        first = np.flatnonzero(new)[np.cumsum(new) - 1]
+        same = (doc == doc[first]) & (tag == tag[first]) & (line == line[first])  # as the first, or a row given several times
+        mine = some >= held
+        dropped = np.zeros(n, bool)
+        dropped[some[mine & ~(new & mine)] - held] = True
+        late = some[mine & ~same] - held
+        count = np.bincount(np.cumsum(new) - 1)[: new.sum()] if len(some) else np.zeros(0, np.int64)
+        keep = some[new][count > 1]
+        alone = np.setdiff1d(np.arange(held), some)  # known sets that this portion doesn't have
+        keep = np.concatenate([keep, alone])[:MOST_KNOWN]
+        self.known = [x[keep] for x in ids]
+        if len(late):
+            row = [columns[k][late] for k in (2, 3, 4)]
+            yield packed.pack((line_hash(*row) % U64(self.pids)).astype(np.int64), row, 1)
+        left = np.flatnonzero(~dropped)
+        if len(left):
+            if lists and dropped.any():
+                length = lists[0]
+                lists = (length[left], lists[1][np.repeat(~dropped, length)])
+            yield packed.pack(pid[left], [c[left] for c in columns], 0, lists)
+
+
 def _sets(rarity: np.ndarray, repeated: np.ndarray, pids: int) -> Callable:
     """Every judged line, packed by its set's hash."""
 
     @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sender = packed.Sender(SENT_AT_ONCE)
+        sender = Firsts(SENT_AT_ONCE, pids)
         for column, doc, tag in Rows(batches, repeated):
             lines = Lines(column, rarity)
             at = np.flatnonzero(lines.size)
@@ -227,11 +271,15 @@ def _sets(rarity: np.ndarray, repeated: np.ndarray, pids: int) -> Callable:
 
 
 def _prefixes(rarity: np.ndarray, blocks: np.ndarray, pids: int) -> Callable:
-    """Groups of sets: the first of each sends its prefix words (kind 0), the others are exact repeats (kind 1)."""
+    """Groups of sets: the first of each sends its prefix words (kind 0), the others are exact repeats (kind 1), as some are already."""
 
     @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if blobs := packed.gathered(batches):
+        blobs = packed.gathered(batches)
+        if repeats := blobs.pop(1, []):
+            doc, tag, line = packed.unpack(repeats, ["i8", "i8", "i4"])
+            yield packed.pack((line_hash(doc, tag, line) % U64(pids)).astype(np.int64), [doc, tag, line], 1)
+        if blobs:
             one, two, doc, tag, line, n, m0, m1, length, words = packed.unpack(blobs.pop(0), LINE_TYPES, "u4")
             order = np.lexsort((line, tag, doc, two, one))
             new = np.ones(len(order), bool)
@@ -240,7 +288,7 @@ def _prefixes(rarity: np.ndarray, blocks: np.ndarray, pids: int) -> Callable:
             same[1:] = ~new[1:] & (np.diff(doc[order]) == 0) & (np.diff(tag[order]) == 0) & (np.diff(line[order]) == 0)
             late, first = order[~new & ~same], order[new]
             if len(late):
-                yield packed.pack((one[late] % U64(pids)).astype(np.int64), [doc[late], tag[late], line[late]], 1)
+                yield packed.pack((line_hash(doc[late], tag[late], line[late]) % U64(pids)).astype(np.int64), [doc[late], tag[late], line[late]], 1)
             begin, length = (np.cumsum(length, dtype=np.int64) - length)[first], length[first].astype(np.int64)
             sender = packed.Sender(SENT_AT_ONCE)
             for a in range(0, len(first), SETS_AT_ONCE):
@@ -421,7 +469,7 @@ def _members(rarity: np.ndarray, blocks: np.ndarray, words: np.ndarray, ids: np.
 
     @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sender = packed.Sender(SENT_AT_ONCE)
+        sender = Firsts(SENT_AT_ONCE, pids)
         for column, doc, tag in Rows(batches, repeated):
             lines = Lines(column, rarity)
             at = np.flatnonzero(lines.size)

@@ -16,12 +16,11 @@ from pyspark.sql import functions as F
 from skyloom.llm.common import input_partitions
 
 KIND = "pid int, kind int, rows binary"
-MOST_GROUPS = 1 << 15
 
 
 def groups(df: DataFrame) -> int:
     """A group is what one task unpacks: as many as the session's shuffle partitions, which whoever runs the job sizes."""
-    return min(MOST_GROUPS, input_partitions(df.sparkSession))
+    return input_partitions(df.sparkSession)
 
 
 def _planes(column: np.ndarray) -> bytes:
@@ -29,8 +28,8 @@ def _planes(column: np.ndarray) -> bytes:
 
 
 def pack(pid: np.ndarray, columns: list[np.ndarray], kind: int = 0, lists: tuple[np.ndarray, np.ndarray] | None = None) -> pa.RecordBatch:
-    """One packed row per distinct pid (below MOST_GROUPS). lists: lengths and values of a list column, which comes last."""
-    order = np.argsort(pid.astype(np.uint16), kind="stable")
+    """One packed row per distinct pid. lists: lengths and values of a list column, which comes last."""
+    order = np.argsort(pid.astype(np.uint16) if len(pid) and pid.max() < 1 << 16 else pid, kind="stable")
     columns = [c[order] for c in columns]
     cuts = np.append(np.flatnonzero(np.diff(pid[order], prepend=-1)), len(order))
     if lists:
@@ -97,6 +96,9 @@ class Sender:
         if self.held:
             columns = [np.concatenate(c) for c in zip(*(h[1] for h in self.held), strict=True)]
             lists = tuple(np.concatenate([h[2][k] for h in self.held]) for k in (0, 1)) if self.held[0][2] else None
-            made = pack(np.concatenate([h[0] for h in self.held]), columns, self.kind, lists)
+            pid = np.concatenate([h[0] for h in self.held])
             self.held, self.size = [], 0
-            yield made
+            yield from self.made(pid, columns, lists)
+
+    def made(self, pid: np.ndarray, columns: list[np.ndarray], lists: tuple[np.ndarray, np.ndarray] | None) -> Iterator[pa.RecordBatch]:
+        yield pack(pid, columns, self.kind, lists)

@@ -172,3 +172,48 @@ def test_blocks_of_a_large_band(spark, monkeypatch):
     rows = [(i, t) for i, (_, t) in enumerate(near_copies(11))]
     got = minhash.near_duplicates(docs_of(spark, rows)).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(components(rows))
+
+
+@pytest.mark.parametrize(("sent", "known"), [(200, 1 << 15), (60, 3), (150_000, 0)])
+def test_lines_that_stand_everywhere(spark, monkeypatch, sent, known):
+    """Repeats are kept back by the sender, within a portion and over portions; rows given twice stay one row."""
+    monkeypatch.setattr(linededup, "SENT_AT_ONCE", sent)
+    monkeypatch.setattr(linededup, "MOST_KNOWN", known)
+    rng = random.Random(6)
+    menu = ["home about contact imprint", "About HOME imprint contact", "read more here", "x"]
+    rows = [(rng.randrange(400), "\n".join([rng.choice(menu), f"own line number {i} of this text", rng.choice(menu)])) for i in range(300)]
+    rows += rows[:30] + [(None, "home about contact imprint\nx")]
+    want = removed(rows)
+    got = linededup.deduplicated(docs_of(spark, rows).coalesce(2)).collect()
+    assert by_row((r.doc_id, r.text) for r in got) == by_row(cut(rows, want))
+
+
+def test_a_line_in_all_texts_is_sent_once_a_task():
+    import numpy as np
+    import pyarrow as pa
+
+    from skyloom.llm import packed
+
+    text = "home about contact imprint"
+    batches = [pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([i], pa.int64()), pa.array([0], pa.int64()), pa.array([text])], names=["d", "k", "t", "x"]) for i in range(500)]
+    linededup_sent = linededup.SENT_AT_ONCE
+    linededup.SENT_AT_ONCE = 50
+    try:
+        out = list(linededup._sets(np.zeros(1 << linededup.COUNT_BITS, np.uint8), np.zeros(1 << 10, np.uint64), 7)(iter(batches)))
+    finally:
+        linededup.SENT_AT_ONCE = linededup_sent
+    held = packed.gathered(iter(out))
+    assert len(packed.unpack(held[0], linededup.LINE_TYPES, "u4")[0]) == 1
+    late = packed.unpack(held[1], ["i8", "i8", "i4"])
+    assert sorted(late[0].tolist()) == list(range(1, 500))
+
+
+def test_packs_of_any_number_of_groups():
+    import numpy as np
+
+    from skyloom.llm import packed
+
+    pid = np.array([70_000, 3, 65_536, 70_000, 3, 1 << 20])
+    batch = packed.pack(pid, [np.arange(6)])
+    assert batch.column(0).to_pylist() == [3, 65_536, 70_000, 1 << 20]
+    assert [packed.unpack([b], ["i8"])[0].tolist() for b in batch.column(2).to_pylist()] == [[1, 4], [2], [0, 3], [5]]

@@ -174,6 +174,17 @@ def test_url_rules(spark):
     assert urlrules.judge(pages.limit(0), rules).count() == 0
 
 
+@pytest.mark.parametrize("at_once", [100_000, 3, 1])
+def test_rules_in_parts_and_without_a_literal_token(spark, monkeypatch, at_once):
+    monkeypatch.setattr(urlrules, "AT_ONCE", at_once)
+    urls = ["http://a.net/x", "http://example.net/en/1", "http://q.org/fr/?sessionid=1", "http://q.org/login", "http://z.com/......", "http://z.com/cart/....", None, "mailto:x", "HTTP://A.NET"]
+    pages = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)] + [(0, urls[0], "x")], "page_id long, url string, rule string")
+    rules = [urlrules.site_rule(*r) for r in entries.SITE_RULES] + urlrules.PATTERNS + [urlrules.block_pattern("dots", r"\.{4}")]
+    got = sorted((r.page_id, r.rule, r.pattern, r.verdict) for r in urlrules.judge(pages, rules).collect())
+    want = [(0, "net/", None, "block")] * 2 + [(1, "example.net/en/", None, "allow"), (2, "org/fr/", None, "allow"), (3, None, "login", "block"), (4, None, "dots", "block"), (5, None, "cart", "block")]
+    assert got == want + [(6, None, None, "allow"), (7, None, None, "allow"), (8, None, None, "allow")]
+
+
 def test_url_query_equals_sql(spark, sf_dir):
     import duckdb
 
