@@ -8,7 +8,9 @@ map side: one row per text is shuffled, however long it is. A bit is set where m
 Null and empty texts have no terms and the fingerprint 0. A tie is no majority. Equal texts have equal fingerprints.
 
 `near` finds all pairs within a Hamming radius by permuted block tables: with radius r the 64 bits are cut into 2r blocks
-and each choice of r of them is a table keyed by these blocks, since r differing bits leave r blocks alike.
+and each choice of r of them is a table keyed by these blocks, since r differing bits leave r blocks alike. `neighbours` counts, for
+the fingerprints of a stated query set, all others within the radius: the queries' keys meet all fingerprints' in one equi-join, whose
+condition holds the distance, so that pairs that are too far leave no row; adaptive execution splits a crowded key.
 """
 
 from __future__ import annotations
@@ -51,17 +53,49 @@ def likeness(a: Column, b: Column) -> Column:
     return 1 - F.bit_count(a.bitwiseXOR(b)) / 64
 
 
-def near(prints: DataFrame, radius: int = 3) -> DataFrame:
-    """prints(bits) -> a, b, distance: all pairs of different fingerprints within the radius, a < b, each once."""
+RADIUS = 3
+#: Which rows of a corpus ask for their neighbours.
+EVERY = 20
+
+
+def tables(radius: int) -> Column:
+    """t and key of `bits` in each block table."""
     blocks = 2 * radius
     edges = [64 * k // blocks for k in range(blocks + 1)]
     masks = [sum(((1 << (edges[k + 1] - edges[k])) - 1) << edges[k] for k in chosen) for chosen in combinations(range(blocks), blocks - radius)]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    keys = F.array(*[F.struct(F.lit(t).alias("t"), F.col("bits").bitwiseAND(F.lit(m)).alias("key")) for t, m in enumerate(signed)])
-    rows = written(prints.select("bits").where("bits is not null").distinct()).select("bits", F.explode(keys).alias("k")).select("bits", "k.t", "k.key")
-    left, right = rows.withColumnRenamed("bits", "a"), rows.withColumnRenamed("bits", "b")
+    return F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col("bits").bitwiseAND(F.lit(m)).alias("key")) for t, m in enumerate(signed)]))
+
+
+def _met(left: DataFrame, right: DataFrame, radius: int, which: Column) -> DataFrame:
+    keyed = lambda rows, name: rows.select("bits", tables(radius).alias("k")).select(F.col("bits").alias(name), "k.t", "k.key")
     distance = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    return left.join(right, ["t", "key"]).where("a < b").withColumn("distance", distance).where(F.col("distance") <= radius).select("a", "b", "distance").distinct()
+    a, b = keyed(left, "a"), keyed(right, "b").withColumnsRenamed({"t": "u", "key": "of"})
+    return a.join(b, (F.col("t") == F.col("u")) & (F.col("key") == F.col("of")) & which & (distance <= radius)).select("a", "b", distance.alias("distance")).distinct()
+
+
+def near(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """prints(bits) -> a, b, distance: all pairs of different fingerprints within the radius, a < b, each once."""
+    rows = written(prints.select("bits").where("bits is not null").distinct())
+    return _met(rows, rows, radius, F.col("a") < F.col("b"))
+
+
+def neighbours(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """prints(bits), queries(bits) -> bits, n_near: how many other different fingerprints lie within the radius of each different query that has any."""
+    every, asked = (written(x.select("bits").where("bits is not null").distinct()) for x in (prints, queries))
+    return _met(asked, every, radius, F.col("a") != F.col("b")).groupBy(F.col("a").alias("bits")).agg(F.count("*").alias("n_near"))
+
+
+def _rank(bounds: list[int], key: Column) -> Column:
+    """How many of the ascending bounds are at most the key, in two steps of about the root of their number."""
+    if not bounds:
+        return F.lit(0)
+    step = int(len(bounds) ** 0.5) + 1
+    parts = [bounds[a : a + step] for a in range(0, len(bounds), step)]
+    reached = lambda values: F.size(F.filter(values, lambda b: b <= key))
+    longs = lambda values: F.array(*[F.lit(b).cast("long") for b in values])
+    part = reached(longs([p[0] for p in parts]))
+    return F.when(part == 0, 0).otherwise((part - 1) * step + reached(F.get(F.array(*[longs(p) for p in parts]), part - 1)))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -78,8 +112,7 @@ def with_next(docs: DataFrame) -> DataFrame:
         bounds, first = [], FIRST
     else:
         first, bounds = cuts["first"], sorted({*cuts["at"]} - {cuts["first"]})
-    rank = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]).cast("array<long>"), lambda b: b <= F.col("k"))) if bounds else F.lit(0)
-    real = rows.withColumn("bucket", rank).withColumn("late", F.lit(0))
+    real = rows.withColumn("bucket", _rank(bounds, F.col("k"))).withColumn("late", F.lit(0))
     ghosts = real.where(F.col("k").isin([first, *bounds])).withColumn("bucket", F.when(F.col("bucket") == 0, len(bounds)).otherwise(F.col("bucket") - 1)).withColumn("late", F.lit(1))
     order = Window.partitionBy("bucket").orderBy("late", "k", F.xxhash64("text"))
     return real.unionByName(ghosts).withColumns({"place": F.row_number().over(order), "next": F.lead("text").over(order)}).drop("k")
@@ -93,7 +126,10 @@ def edited(text: Column, following: Column) -> Column:
 
 
 def compared(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row."""
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next and n_near of every row.
+
+    n_near: how many other different fingerprints of the table lie within RADIUS bits, for rows whose doc_id EVERY divides; else null.
+    """
     rows = with_next(docs).withColumn("edited", F.when(F.col("late") == 0, edited(F.col("text"), F.col("next"))))
     keys = ["bucket", "place", "late", "doc_id", "n_chars", "sha", "side"]
     facts = rows.select("bucket", "place", "late", "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.unhex(F.sha2("edited", 256)).alias("sha"), F.array(F.struct(F.lit(0).alias("side"), F.col("text").alias("of")), F.struct(F.lit(1).alias("side"), F.col("edited").alias("of"))).alias("both"))
@@ -101,5 +137,9 @@ def compared(docs: DataFrame) -> DataFrame:
     prints = fingerprints(texts, keys)
     row = prints.groupBy("bucket", "place").agg(F.min("late").alias("late"), F.min("doc_id").alias("doc_id"), F.min("n_chars").alias("n_chars"), F.max("sha").alias("sha"), F.max(F.when(F.col("side") == 0, F.col("bits"))).alias("own"), F.max(F.when(F.col("side") == 1, F.col("bits"))).alias("other"))
     order = Window.partitionBy("bucket").orderBy("place")
-    out = row.withColumn("next", F.lead("own").over(order)).where("late = 0")
-    return out.select("doc_id", "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), as_text(F.col("own")).alias("fingerprint"), as_text(F.col("other")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), F.col("next")).alias("near_next"))
+    out = written(row.withColumn("next", F.lead("own").over(order)).where("late = 0").select("doc_id", "n_chars", "sha", "own", "other", "next"))
+    asks = F.col("doc_id") % EVERY == 0
+    counts = neighbours(out.select(F.col("own").alias("bits")), out.where(asks).select(F.col("own").alias("bits")))
+    asked = out.where(asks).join(counts, F.col("own") == F.col("bits"), "left").withColumn("n_near", F.coalesce("n_near", F.lit(0))).drop("bits")
+    out = asked.unionByName(out.where(~F.coalesce(asks, F.lit(False))).withColumn("n_near", F.lit(None).cast("long")))
+    return out.select("doc_id", "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), as_text(F.col("own")).alias("fingerprint"), as_text(F.col("other")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), F.col("next")).alias("near_next"), "n_near")

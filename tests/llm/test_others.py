@@ -148,6 +148,44 @@ def test_simhash_query_equals_brute_force(spark):
     assert simhash.compared(docs_of(spark, [(1, "a b c d")])).first().near_next == 1.0
 
 
+def simhash_of(text) -> int:
+    """The votes one by one; a term's hash is Spark's, each word seeding the next."""
+    import re
+
+    import xxhash
+
+    w = [x for x in re.split("[\x20\x09-\x0d]+", (text or "").lower()) if x]
+    terms = []
+    for i in range(len(w)):
+        h = 42
+        for word in w[i : i + simhash.SHINGLE]:
+            h = xxhash.xxh64_intdigest(word.encode(), h)
+        terms.append(h)
+    return sum(1 << b for b in range(64) if 2 * sum(t >> b & 1 for t in terms) > len(terms))
+
+
+def test_simhash_bits_and_neighbours_equal_brute_force(spark):
+    rng = random.Random(14)
+    base = ["one two three four five six seven eight nine ten " * k + "é Ü" for k in (1, 2, 3)]
+    rows = [(i, " ".join(rng.choice(["", "zz", "qq"]) if rng.random() < 0.02 else x for x in rng.choice(base).split())) for i in range(200)]
+    rows += [(200, ""), (220, None), (40, "another text"), (None, "one two")]
+    got = simhash.compared(docs_of(spark, rows, clash=True)).collect()
+    want = {(i, f"{simhash_of(t):016x}") for i, t in rows}
+    assert {(r.doc_id, r.fingerprint) for r in got} == want and len(got) == len(rows)
+    prints = {int(f, 16) for _, f in want}
+    for r in got:
+        near = sum(0 < (int(r.fingerprint, 16) ^ p).bit_count() <= simhash.RADIUS for p in prints)
+        assert r.n_near == (near if r.doc_id is not None and r.doc_id % 20 == 0 else None)
+    assert any(r.n_near for r in got)
+
+
+def test_rank_among_bounds(spark):
+    for n in (0, 1, 2, 9, 10, 50):
+        bounds = [3 * k - 20 for k in range(n)]
+        got = spark.range(-30, 160).select("id", simhash._rank(bounds, F.col("id")).alias("r")).collect()
+        assert all(r.r == sum(b <= r.id for b in bounds) for r in got)
+
+
 def test_block_tables_find_all_near_prints(spark):
     rng = random.Random(6)
     base = [rng.getrandbits(64) for _ in range(60)]
