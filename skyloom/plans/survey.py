@@ -481,6 +481,24 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(kind).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
+@query(
+    """WITH a AS (SELECT cast(user_id AS varchar) AS user_id, concat('/in/', cast(event_id % 40 AS varchar), '.fits') AS path, ts, event_id FROM events),
+ o AS (SELECT user_id, path, ts FROM a QUALIFY row_number() OVER (PARTITION BY user_id, path ORDER BY ts) = 1),
+ g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w < INTERVAL 2 DAY THEN 0 ELSE 1 END AS fresh FROM o WINDOW w AS (PARTITION BY user_id ORDER BY ts, path)),
+ s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, path ROWS UNBOUNDED PRECEDING) AS session FROM g),
+ c AS (SELECT *, (row_number() OVER (PARTITION BY user_id, session ORDER BY ts, path) - 1) // 3 AS chunk FROM s),
+ b AS (SELECT user_id, session, chunk, count(*) = 3 AS whole, max(ts) AS last FROM c GROUP BY ALL),
+ f AS (SELECT *, CASE WHEN whole THEN last ELSE last + INTERVAL 2 DAY END AS flushed, row_number() OVER (PARTITION BY user_id ORDER BY session, chunk) AS batch FROM b)
+ SELECT user_id, batch, row_number() OVER (PARTITION BY user_id, batch ORDER BY ts, path) - 1 AS seq, path, epoch_us(ts) AS arrived_us, epoch_us(flushed) AS flushed_us, CASE WHEN whole THEN 'full' ELSE 'quiet' END AS reason
+ FROM c JOIN f USING (user_id, session, chunk) WHERE flushed <= (SELECT max(ts) FROM events)"""
+)
+def s02_streamed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream of arrivals by user: batches of three files, or after two quiet days; forty paths a user, so most arrivals are of files in flight."""
+    came = _event_stream(spark, sf_dir).selectExpr("user_id", "concat('/in/', cast(event_id % 40 AS string), '.fits') AS path", "cast(ts AS timestamp) AS arrived", "false AS done")
+    out = _streamed(arrivals.stream_batches(came, "user_id", "2 days", 3, "0 seconds"), spark)
+    return out.select("user_id", "batch", "seq", "path", F.unix_micros("arrived").alias("arrived_us"), F.unix_micros("flushed").alias("flushed_us"), "reason")
+
+
 @query("SELECT DISTINCT concat('/in/', cast(event_id // 2 AS varchar), '.fits') AS path FROM events")
 def s03_unrepeated_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a stream of file arrivals, two of them for each path."""

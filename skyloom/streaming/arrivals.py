@@ -1,11 +1,13 @@
-"""File arrivals as streams: ingestion, duplicate suppression, batches after a quiet time, late frames."""
+"""File arrivals as streams: ingestion, duplicate suppression, batches after a quiet time or when they're full, late frames."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 QUIET, MAX_BATCH = "5 seconds", 200
 
@@ -38,6 +40,102 @@ def numbered_batches(arrivals: DataFrame, by: str, gap: str = QUIET, size: int =
     return held.withColumn("chunk", F.floor((F.row_number().over(inside) - 1) / size)).drop("_new")
 
 
+class _Batcher(StatefulProcessor):
+    """One key's batches. Rows wait in `early` until the watermark reaches them, so they're taken in the order of their times."""
+
+    def __init__(self, gap_us: int, size: int) -> None:
+        self.gap, self.size = gap_us, size
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.early = handle.getListState("early", "at long, done boolean, path string")
+        self.pending = handle.getListState("pending", "at long, path string")
+        self.flying = handle.getMapState("flying", "path string", "batch long")
+        self.count = handle.getValueState("count", "n long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        new = [(int(at), bool(done), path) for part in rows for at, done, path in part[["at", "done", "path"]].itertuples(index=False)]
+        if new:
+            self.early.appendList(new)
+        yield self._advance(key, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield self._advance(key, timerValues.getCurrentWatermarkInMs())
+
+    def _advance(self, key, watermark_ms: int) -> pd.DataFrame:
+        """Takes what the watermark has reached, and gives the batches that this closes."""
+        now = watermark_ms * 1000
+        held = sorted(self.early.get(), key=lambda r: (r[0], not r[1], r[2]))
+        ready = [r for r in held if r[0] <= now]
+        pending = [(r[0], r[1]) for r in self.pending.get()]
+        waiting = {path for _, path in pending}
+        number = self.count.get()[0] if self.count.exists() else 0
+        out: list[tuple] = []
+
+        def flush(at: int, reason: str) -> None:
+            nonlocal number
+            number += 1
+            for seq, (came, path) in enumerate(pending):
+                out.append((key[0], number, seq, path, came, at, reason))
+                self.flying.updateValue((path,), (number,))
+            pending.clear()
+            waiting.clear()
+
+        for at, done, path in ready:
+            if pending and at - pending[-1][0] >= self.gap:
+                flush(pending[-1][0] + self.gap, "quiet")
+            if done:
+                self.flying.removeKey((path,))
+            elif path not in waiting and not self.flying.containsKey((path,)):
+                pending.append((at, path))
+                waiting.add(path)
+                if len(pending) == self.size:
+                    flush(at, "full")
+        if pending and pending[-1][0] + self.gap <= now:
+            flush(pending[-1][0] + self.gap, "quiet")
+        if ready:
+            self.early.clear()
+            if len(ready) < len(held):
+                self.early.put(held[len(ready) :])
+        if ready or out:
+            self.pending.clear()
+            if pending:
+                self.pending.put(pending)
+            self.count.update((number,))
+        due = [r[0] for r in held[len(ready) : len(ready) + 1]] + [at + self.gap for at, _ in pending[-1:]]
+        if due:
+            wanted = -(-min(due) // 1000)
+            for t in list(self.handle.listTimers()):
+                if t != wanted:
+                    self.handle.deleteTimer(t)
+            self.handle.registerTimer(wanted)
+        return pd.DataFrame(out, columns=["by", "batch", "seq", "path", "arrived", "flushed", "reason"])
+
+    def close(self) -> None:
+        pass
+
+
+def stream_batches(events: DataFrame, by: str, gap: str = QUIET, size: int = MAX_BATCH, late: str = "10 seconds") -> DataFrame:
+    """Batches of files as a stream: a batch is handed on when its key was quiet for the gap, or at once when it holds `size` files.
+
+    events: the key, path, arrived (timestamp), done (boolean). A row with done says that the file's work has ended. A path that is
+    pending, or in flight (handed on and not yet done), is left out and doesn't prolong the wait. Returns one row for each file handed on:
+    the key, batch (from 1), seq (from 0), path, arrived, flushed (when the batch closed), reason: `quiet` or `full`.
+
+    Time is the events' own: rows may come up to `late` behind the newest, and are taken in order of arrived, then done first, then
+    path, once the watermark reaches them, so the batches don't depend on how the stream is cut. What is pending at the end waits in
+    the state for later events, over restarts too. A row without key, path or time goes; a null `done` is false. State for each key: the
+    files pending (at most `size`), those in flight, and the rows ahead of the watermark. Needs the RocksDB state store and sets it.
+    """
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    rows = events.where(F.col(by).isNotNull() & F.col("path").isNotNull() & F.col("arrived").isNotNull())
+    rows = rows.select(F.col(by).cast("string").alias("by"), F.col("path").cast("string").alias("path"), F.col("arrived").cast("timestamp").alias("arrived"), F.coalesce("done", F.lit(False)).alias("done"))
+    rows = rows.withWatermark("arrived", late).withColumn("at", F.unix_micros("arrived"))
+    micros = int(pd.Timedelta(gap) / pd.Timedelta("1us"))
+    out = rows.groupBy("by").transformWithStateInPandas(_Batcher(micros, size), "by string, batch long, seq long, path string, arrived long, flushed long, reason string", "Append", "EventTime")
+    return out.select(F.col("by").alias(by), "batch", "seq", "path", F.timestamp_micros("arrived").alias("arrived"), F.timestamp_micros("flushed").alias("flushed"), "reason")
+
+
 def each_batch(frames: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str):
     """Runs `work` on every micro-batch until the backlog is done; work has to be the same when a batch is replayed."""
     return frames.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -76,3 +77,50 @@ def test_light_curves_with_late_and_repeated_rows(spark, tmp_path):
     # the late row 6 is compared with row 1 alone; row 7 with 1, 2, 3 and 6, row 2 counted once
     want = [("s", 1, None), ("s", 2, 10.0), ("s", 2, 20.0), ("s", 3, 10.0), ("s", 4, None), ("s", 6, 10.0), ("s", 7, 16.0), ("s", 8, None), ("t", 9, None)]
     assert got == sorted(want, key=repr)
+
+
+def simulated(rows, gap, size, now):
+    """Batches of (key, at, done, path) rows taken in order; seconds."""
+    out = []
+    for key in {r[0] for r in rows}:
+        pending, flying, number = [], set(), 0
+
+        def flush(at, reason):
+            nonlocal number
+            number += 1
+            out.extend((key, number, k, p, reason, at) for k, (_, p) in enumerate(pending))
+            flying.update(p for _, p in pending)
+            pending.clear()
+
+        for _, at, done, path in sorted((r for r in rows if r[0] == key), key=lambda r: (r[1], not r[2], r[3])):
+            if pending and at - pending[-1][0] >= gap:
+                flush(pending[-1][0] + gap, "quiet")
+            if done:
+                flying.discard(path)
+            elif path not in flying and path not in [p for _, p in pending]:
+                pending.append((at, path))
+                if len(pending) == size:
+                    flush(at, "full")
+        if pending and pending[-1][0] + gap <= now:
+            flush(pending[-1][0] + gap, "quiet")
+    return sorted(out)
+
+
+def test_streamed_batches_over_restarts(spark, tmp_path):
+    """Late rows, repeats, files done and come again; the stream stops after each file and goes on from its checkpoint."""
+    rng = random.Random(5)
+    rows = [(rng.choice("ab"), t := rng.randrange(600), rng.random() < 0.4, f"p{rng.randrange(30)}") for _ in range(300)]
+    rows = sorted({*rows}, key=lambda r: r[1] + rng.uniform(0, 20))  # up to 20 seconds behind
+    rows.append(("z", 700, False, "last"))
+    kind = "scope string, path string, arrived timestamp, done boolean"
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    begin = datetime(2024, 1, 1)
+    for a in range(0, len(rows), 60):
+        part = [(k, p, begin + timedelta(seconds=t), d if d or a % 120 else None) for k, t, d, p in rows[a : a + 60]]
+        spark.createDataFrame(part + [(None, "x", begin, False), ("a", None, begin, False)] * (a == 0), kind).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(kind).parquet(source)
+        made = arrivals.stream_batches(stream, "scope", "7 seconds", 3, "30 seconds")
+        made.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    got = [(r.scope, r.batch, r.seq, r.path, r.reason, (r.flushed - begin).total_seconds()) for r in spark.read.parquet(out).collect()]
+    want = simulated(rows, 7, 3, 670)
+    assert sorted(got) == [w for w in want if w[0] != "z"] and {r[4] for r in got} == {"quiet", "full"}
