@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.functions import names
-from skyloom.operators import history
-from skyloom.operators.matching import MATCH_CONE
+from skyloom.operators import epochs, history
 from skyloom.sources.lineage import written
 
 DELTA_MAG, DEBRIS_ELONGATION, DEBRIS_EDGE_ELONGATION = 0.5, 3.0, 6.0
@@ -43,17 +42,18 @@ def outcome() -> Column:
     )
 
 
-def classified(current: DataFrame, past: DataFrame, frames: DataFrame, max_fov_deg: float) -> DataFrame:
+def classified(current: DataFrame, past: DataFrame, frames: DataFrame, max_fov_deg: float, own: DataFrame | None = None) -> DataFrame:
     """obs_id, frame_id, n_history, n_covering, vacated, delta_mag, outcome of every current row.
 
-    `current` may be one frame's sources or the whole history: the same joins classify all of it at once. The wide cone is
-    joined only for rows without narrow history, the ones that can have left a place. What several joins use is written
-    once to the shared folder; current and past should be tables themselves, since they are read several times.
+    `current` may be one frame's sources or the whole history: the same joins classify all of it at once. History and coverage are counted
+    without pairs. The wide cone is joined only for rows without narrow history, the ones that can have left a place; `own` (current, where it
+    isn't given) holds all sources of the current rows' frames, which may have stayed there. What several joins use is written once
+    to the shared folder; current and past should be tables themselves, since they are read several times.
     """
-    narrow = written(history.narrow_history(history.history_pairs(current, past, MATCH_CONE)))
+    narrow = written(epochs.narrow(current, past))
     covered = history.coverage(current, frames, max_fov_deg)
     fresh = current.join(narrow.select("obs_id"), "obs_id", "left_anti")
-    moved = history.vacated_among(written(history.history_pairs(fresh, past)), current).withColumn("vacated", F.lit(True))
+    moved = history.vacated_among(written(history.history_pairs(fresh, past)), current if own is None else own).withColumn("vacated", F.lit(True))
     rows = current.join(narrow, "obs_id", "left").join(covered, "obs_id", "left").join(moved, "obs_id", "left")
     rows = rows.withColumns({"n_history": F.coalesce("n_history", F.lit(0)).cast("long"), "n_covering": F.coalesce("n_covering", F.lit(0)).cast("long"), "vacated": F.coalesce("vacated", F.lit(False)), "delta_mag": F.col("mag") - F.col("median_mag")})
     return rows.withColumn("outcome", outcome())

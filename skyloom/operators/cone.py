@@ -18,7 +18,8 @@ from skyloom.functions import sky
 CELLS_PER_RADIUS = 4
 
 
-def _edge(radius_arcsec: float) -> tuple[float, float]:
+def cell_edge(radius_arcsec: float) -> tuple[float, float]:
+    """How wide a cell is, and how far a ball of the radius reaches, on the unit sphere."""
     chord = 2 * sin(radians(radius_arcsec / 3600) / 2)
     return chord * CELLS_PER_RADIUS, chord * (1 + 1e-9)
 
@@ -28,7 +29,7 @@ def cone_pairs(left: DataFrame, right: DataFrame, radius_arcsec: float, inclusiv
 
     on: further equal columns (left, right); condition: a further predicate over both sides' columns.
     """
-    edge, reach = _edge(radius_arcsec)
+    edge, reach = cell_edge(radius_arcsec)
     lx, rx = sky.unit_vector(*left_at), sky.unit_vector(*right_at)
     cell = lambda v: F.floor(v / edge)
     spans = [F.sequence(cell(v - reach), cell(v + reach)) for v in lx]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyloom.functions import sky
@@ -25,13 +25,22 @@ def narrow_history(pairs: DataFrame, radius: float = MATCH_CONE) -> DataFrame:
 
 
 def coverage(current: DataFrame, frames: DataFrame, max_fov_deg: float, coverage_at: str = "tile") -> DataFrame:
-    """obs_id, n_covering: earlier frames whose field holds the row's tile centre (or the row itself). Rows without any are left out."""
+    """obs_id, n_covering: earlier frames whose field holds the row's tile centre (or the row itself). Rows without any are left out.
+
+    Frames are joined with places alone, whatever the times. Then frames and questions of a place stand in one order of time, and a running count answers
+    each question, so a place asked n times with n frames takes 2n rows instead of n * n pairs.
+    """
     at = {"tile": (sky.tile("ra"), sky.tile("dec")), "source": (F.col("ra"), F.col("dec"))}[coverage_at]
     rows = current.where(F.col("ra").isNotNull() & F.col("dec").isNotNull()).select("obs_id", "obs_time", at[0].alias("t_ra"), at[1].alias("t_dec"))
-    places = rows.select("t_ra", "t_dec", "obs_time").distinct()
+    places = rows.select("t_ra", "t_dec").distinct()
     fields = renamed(frames, "f_", "frame_id", "obs_time", "ra_center", "dec_center", "fov_deg")
-    pairs = cone_pairs(places, fields, max_fov_deg / 2 * 3600, inclusive=True, left_at=("t_ra", "t_dec"), right_at=("f_ra_center", "f_dec_center"), condition=F.col("f_obs_time") < F.col("obs_time"))
-    covered = pairs.where(F.col("sep_arcsec") <= F.col("f_fov_deg") / 2 * 3.6e3).groupBy("t_ra", "t_dec", "obs_time").agg(F.count("*").alias("n_covering"))
+    pairs = cone_pairs(places, fields, max_fov_deg / 2 * 3600, inclusive=True, left_at=("t_ra", "t_dec"), right_at=("f_ra_center", "f_dec_center"))
+    held = pairs.where((F.col("sep_arcsec") <= F.col("f_fov_deg") / 2 * 3.6e3) & F.col("f_obs_time").isNotNull())
+    came = held.groupBy("t_ra", "t_dec", F.col("f_obs_time").alias("obs_time")).agg(F.count("*").alias("n"))
+    asked = rows.where(F.col("obs_time").isNotNull()).select("t_ra", "t_dec", "obs_time").distinct()
+    line = came.unionByName(asked.withColumn("n", F.lit(0).cast("long"))).groupBy("t_ra", "t_dec", "obs_time").agg(F.sum("n").alias("n"))
+    before = Window.partitionBy("t_ra", "t_dec").orderBy("obs_time").rowsBetween(Window.unboundedPreceding, -1)
+    covered = line.withColumn("n_covering", F.sum("n").over(before)).where("n_covering > 0").select("t_ra", "t_dec", "obs_time", "n_covering")
     return rows.join(covered, ["t_ra", "t_dec", "obs_time"]).select("obs_id", "n_covering")
 
 

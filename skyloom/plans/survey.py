@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.functions import names, sky
-from skyloom.operators import calibration, classify, dedup, history, matching, pixels, tracks
+from skyloom.operators import calibration, classify, dedup, epochs, history, matching, pixels, tracks
 from skyloom.operators.cone import cone_pairs, renamed
 from skyloom.plans.fixtures import PIXELS_SQL, clauses
 from skyloom.plans.fixtures import pixels as pixel_table
@@ -135,7 +135,7 @@ def j06_narrow_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {clauses('sources')}, {HISTORY} SELECT obs_id, n_history, median_mag FROM narrow")
 def a06_historical_magnitude(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = derived(spark, sf_dir, "sources")
-    return history.narrow_history(history.history_pairs(s, s, matching.MATCH_CONE))
+    return epochs.narrow(s, s)
 
 
 @query(f"WITH {clauses('sources')}, {TILES} SELECT obs_id, n_covering FROM covered")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyloom.functions import names, sky
-from skyloom.operators import calibration, classify, dedup, history, matching, pixels, tracks
+from skyloom.operators import calibration, classify, dedup, epochs, history, matching, pixels, tracks
 from skyloom.operators.cone import cone_pairs, renamed
 from skyloom.sources import catalogs, headers, settings, store
 
@@ -198,3 +198,66 @@ def test_reference_frames_are_ranked(spark):
     off = lambda k: abs((k * 10 - 355 + 180) % 360 - 180) if k % 5 else 180
     assert [x for _, x in got["n1"]] == [f"r{k:02d}" for k in sorted(range(20), key=lambda k: (off(k), -k))[:10]]
     assert set(got) == {"n0", "n1", "r19"}
+
+
+def epochs_rows(seed, n=400):
+    """Stars with many epochs, close pairs at about the radius, across RA 0 and near a pole."""
+    import random
+    from datetime import datetime, timedelta
+
+    rng = random.Random(seed)
+    stars = [(0.0003, 10.0), (359.9995, 10.0), (120.0, 89.9995), (300.0, 89.9993), (50.0, -20.0), (50.0 + 5 / 3600, -20.0), (50.0, -20.0 + 4.6 / 3600)]
+    rows = []
+    for i in range(n):
+        ra, dec = rng.choice(stars)
+        ra, dec = ra + rng.gauss(0, 0.6) / 3600, dec + rng.gauss(0, 0.6) / 3600
+        rows.append((i, f"f{i % 40}", datetime(2024, 1, 1) + timedelta(hours=i % 40 // 2), ra % 360, dec, rng.choice([None, "L", "L", "R"]), rng.choice([None, round(rng.gauss(14, 1), 2), round(rng.gauss(14, 1), 1)])))
+    rows += [(n, "x", None, 50.0, -20.0, "L", 1.0), (n + 1, "x", datetime(2025, 1, 1), None, 1.0, "L", 1.0), (n + 2, "x", datetime(2025, 1, 1), 50.0, -20.0, "L", None)]
+    return rows
+
+
+@pytest.mark.parametrize("direct", [1 << 14, 0, 200])
+def test_history_without_pairs_equals_pairs(spark, direct):
+    kind = "obs_id long, frame_id string, obs_time timestamp_ntz, ra double, dec double, filter string, mag double"
+    s = spark.createDataFrame(epochs_rows(3), kind)
+    want = {r.obs_id: (r.n_history, r.median_mag) for r in history.narrow_history(history.history_pairs(s, s, 5.0)).collect()}
+    rows = s.where("obs_id % 3 = 0")
+    for asked, expected in ((s, want), (rows, {k: v for k, v in want.items() if k % 3 == 0})):
+        got = {r.obs_id: (r.n_history, r.median_mag) for r in epochs.narrow(asked, s, direct=direct).collect()}
+        assert {k: n for k, (n, _) in got.items()} == {k: n for k, (n, _) in expected.items()}
+        assert all((m is None) == (expected[k][1] is None) and (m is None or abs(m - expected[k][1]) < 1e-9) for k, (_, m) in got.items())
+    assert epochs.narrow(s.limit(0), s).count() == epochs.narrow(s, s.limit(0)).count() == 0
+
+
+def test_pairs_of_a_place_do_not_grow_with_its_epochs():
+    """A star seen n times: no pair is compared, whatever n; two stars a radius apart meet at the rim alone."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    for n in (500, 4000):
+        ra, dec = 10 + rng.normal(0, 0.3, n) / 3600, 5 + rng.normal(0, 0.3, n) / 3600
+        twice = lambda x: np.concatenate([x, x])
+        mag = rng.normal(14, 1, n)
+        cells = epochs.Cells(np.zeros(2 * n, np.int64), np.repeat([0, 1], n), twice(np.arange(n)), twice(ra), twice(dec), twice(mag), np.zeros(2 * n, np.int64), 5.0)
+        assert cells.compared == 0 and (cells.n == np.arange(n)).all()
+        assert all(cells.median[k] == np.median(mag[:k]) for k in (1, 2, 77, n - 1)) and np.isnan(cells.median[0])
+
+
+def test_cells_in_portions(monkeypatch):
+    """The same rows in one portion and in many, with groups that go on over batches."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    n = 600
+    cell = np.sort(rng.integers(0, 9, n))
+    table = pa.table({"cx": cell, "cy": cell, "cz": -cell, "kind": rng.integers(0, 2, n), "obs_id": np.arange(n), "at": rng.integers(0, 50, n), "ra": 10 + cell + rng.normal(0, 2, n) / 3600, "dec": rng.normal(0, 2, n) / 3600, "mag": pa.array(rng.normal(14, 1, n), mask=rng.random(n) < 0.2), "filter": pa.array(rng.choice(["L", "R"], n), mask=rng.random(n) < 0.2)})
+    whole = list(epochs._counted(5.0, 1 << 14)(iter(table.to_batches())))
+    assert len(whole) == 1 and whole[0].num_rows > 100
+    monkeypatch.setattr(epochs, "PAIRS_AT_ONCE", 40)
+    monkeypatch.setattr(epochs, "ROWS_AT_ONCE", 30)
+    for direct in (0, 300):
+        parts = pa.Table.from_batches(epochs._counted(5.0, direct)(iter(table.to_batches(max_chunksize=17))))
+        one, other = (sorted(zip(*t.to_pydict().values(), strict=True)) for t in (pa.Table.from_batches(whole), parts))
+        assert [x[:2] for x in one] == [x[:2] for x in other]
+        assert all(a == b or abs(a - b) < 1e-9 for (_, _, a), (_, _, b) in zip(one, other, strict=True))
