@@ -217,3 +217,16 @@ def test_packs_of_any_number_of_groups():
     batch = packed.pack(pid, [np.arange(6)])
     assert batch.column(0).to_pylist() == [3, 65_536, 70_000, 1 << 20]
     assert [packed.unpack([b], ["i8"])[0].tolist() for b in batch.column(2).to_pylist()] == [[1, 4], [2], [0, 3], [5]]
+
+
+def test_lines_with_very_many_near_misses_are_counted_out(spark, monkeypatch):
+    """Enough candidates that are no matches for the last round to run with its own limits."""
+    rng = random.Random(13)
+    core = [f"c{i}" for i in range(200)]
+    rows = [(i, " ".join(rng.sample(core, 160) + rng.sample([f"t{k}" for k in range(100)], 40))) for i in range(100)]
+    rows += [(100 + i, rows[i * 7][1] + " more") for i in range(5)]
+    asked, real = [], linededup._members
+    monkeypatch.setattr(linededup, "_members", lambda *a: asked.append(1) or real(*a))
+    got = linededup.deduplicated(docs_of(spark, rows)).collect()
+    assert {(r.doc_id, k) for r in got for k in r.removed} == removed(rows)
+    assert asked

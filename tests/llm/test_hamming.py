@@ -115,6 +115,20 @@ def test_a_group_passes_on_few_links():
     assert len(bits) - 1 <= len(a) < 3 * len(bits)
 
 
+def test_lists_in_portions(monkeypatch):
+    """Lists that go on over portions are compared whole."""
+    rng = random.Random(11)
+    bits = np.array(clouds(5, 3, 30, 4), np.uint64)
+    at = np.sort(np.array([rng.randrange(6) for _ in bits]))
+    batch = pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.zeros(len(bits), np.int32)), pa.array(bits.view(np.int64))], names=["at", "ab", "bits"])
+    ends = []
+    for size in (1 << 17, 5):
+        monkeypatch.setattr(hamming, "AT_ONCE", size)
+        out = pa.Table.from_batches(hamming._compared(4)(iter([batch.slice(k, 7) for k in range(0, len(bits), 7)])))
+        ends.append({*zip(out["a"].to_pylist(), out["b"].to_pylist(), strict=True)})
+    assert ends[0] == ends[1] and ends[0]
+
+
 def test_radius_beyond_the_guarantee(spark):
     with pytest.raises(ValueError):
         hamming.linked(spark.createDataFrame([], "bits long"), 5)

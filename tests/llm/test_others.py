@@ -378,6 +378,26 @@ def test_long_items_equal_edit_distance_over_all_segments(spark, monkeypatch, po
     assert got == want and 0 < len(want) < 6 * len(rows)
 
 
+def test_portions_give_the_same(monkeypatch):
+    """Hits worked through one position at a time, and regions three at a time."""
+    import numpy as np
+
+    rng = random.Random(41)
+    letters = "abcdef "
+    items = [(i, "".join(rng.choice(letters) for _ in range(n))) for i, n in enumerate((40, 60, 130, 300))]
+    texts = ["".join(rng.choice(letters) for _ in range(30)) + edited(rng, t[10:200], 6) + "-" * 500 + t[:70] for _, t in items for _ in range(4)]
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    point, rows = decontam.normal(raw, np.append(0, np.cumsum([len(t) for t in texts])))
+    index = decontam.Index(items)
+    want = {tuple(x) for x in np.stack(decontam.found(index, point, rows)).T.tolist()}
+    monkeypatch.setattr(decontam, "PORTION", 1)
+    got = {tuple(x) for x in np.stack(decontam.found(index, point, rows)).T.tolist()}
+    assert got == want and len(want) > 50
+    monkeypatch.setattr(decontam, "AT_ONCE", 3)
+    some = {x[:2] for x in (tuple(x) for x in np.stack(decontam.found(index, point, rows)).T.tolist())}
+    assert some <= {x[:2] for x in want} and {(r, int(index.item[s])) for s, r in some} == {(r, int(index.item[s])) for s, r, *_ in want}
+
+
 def test_items_shorter_than_a_q_gram(spark):
     bench = spark.createDataFrame([(1, "abc def"), (2, "X"), (3, " yes\n"), (4, "yes"), (5, "   "), (None, "no")], "item_id long, text string")
     docs = docs_of(spark, [(1, "abc def"), (2, "zabc def"), (3, "say YES now"), (4, "yesterday x"), (5, ""), (6, "abc  DEF\n"), (7, "no"), (8, None)])
