@@ -55,6 +55,13 @@ def classified(current: DataFrame, past: DataFrame, frames: DataFrame, max_fov_d
     fresh = current.join(narrow.select("obs_id"), "obs_id", "left_anti")
     moved = history.vacated_among(written(history.history_pairs(fresh, past)), current if own is None else own).withColumn("vacated", F.lit(True))
     rows = current.join(narrow, "obs_id", "left").join(covered, "obs_id", "left").join(moved, "obs_id", "left")
+    return described(rows)
+
+
+def described(rows: DataFrame) -> DataFrame:
+    """Rows with the outcome that their history, coverage and vacated place give; where these columns are missing, nothing came before."""
+    kinds = {"n_history": "long", "n_covering": "long", "vacated": "boolean", "median_mag": "double"}
+    rows = rows.withColumns({c: F.lit(None).cast(k) for c, k in kinds.items() if c not in rows.columns})
     rows = rows.withColumns({"n_history": F.coalesce("n_history", F.lit(0)).cast("long"), "n_covering": F.coalesce("n_covering", F.lit(0)).cast("long"), "vacated": F.coalesce("vacated", F.lit(False)), "delta_mag": F.col("mag") - F.col("median_mag")})
     return rows.withColumn("outcome", outcome())
 

@@ -1,19 +1,21 @@
 """The survey's tables as snapshots: upserts, reconciling writes, deletion cascades, reads.
 
 Every write is a function from snapshots to snapshots and is the same when it is repeated, so a replayed batch changes
-nothing. `publish` writes a snapshot under a new version and moves the pointer last; `publish_frames` overwrites the
-partitions of the affected frames, a frame without rows included; `published` reads them.
+nothing. `publish` writes a snapshot in a new folder and puts the pointer to it last; `load` reads what the newest pointer names. Tables that
+are replaced frame by frame and read by place are in `skyhistory`.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+
+from skyloom.sources.manifest import Manifest
 
 KEEP_FIRST = ("pointing_error_arcsec", "pointing_error_ra_arcsec", "pointing_error_dec_arcsec")
 MAX_PAGE = 1000
-MARK = "_no_rows"
 
 
 def upsert_frames(stored: DataFrame, new: DataFrame, keep_first: tuple[str, ...] = KEEP_FIRST) -> DataFrame:
@@ -101,28 +103,35 @@ def observation_counts(observations: DataFrame) -> DataFrame:
     return observations.where("source_id IS NOT NULL").groupBy("source_id").agg(F.count("*").alias("n_observations"))
 
 
-def publish_frames(batch: DataFrame, path: str, affected: DataFrame | None = None) -> None:
-    """Overwrites the partitions of the affected frames (the batch's own, where none are given) and no others.
+def publish(make: Callable[[DataFrame | None], DataFrame], spark: SparkSession, path: str) -> int:
+    """Writes make(the current snapshot, or None) as the next one, and returns its version.
 
-    An affected frame without rows gets a row that only marks it, since a partition is overwritten by rows alone.
+    Readers see the old snapshot or the new one, never a part. Where another writer was first, `make` is asked again with what that one wrote, so no write
+    is lost. A crash before the pointer is put changes nothing.
     """
-    rows = batch.withColumn(MARK, F.lit(False))
-    if affected is not None:
-        empty = affected.select("frame_id").distinct().join(batch.select("frame_id").distinct(), "frame_id", "left_anti")
-        rows = rows.unionByName(empty.withColumn(MARK, F.lit(True)), allowMissingColumns=True)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("frame_id").parquet(path)
+    pointer = Manifest(spark, path)
+
+    def change(state: dict) -> dict:
+        name, folder = pointer.folder()
+        make(_snapshot(spark, pointer, state) if state else None).write.parquet(folder)
+        return {"snapshot": name}
+
+    return pointer.commit(change)
 
 
-def published(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The rows that `publish_frames` wrote, without its marks."""
-    stored = StructType([*schema.fields]).add(MARK, "boolean")
-    return spark.read.schema(stored).parquet(path).where(~F.coalesce(MARK, F.lit(False))).select(*schema.names)
+def _snapshot(spark: SparkSession, pointer: Manifest, state: dict) -> DataFrame:
+    return spark.read.parquet(f"{pointer.path}/parts/{state['snapshot']}")
 
 
-def publish(snapshot: DataFrame, path: str, version: int) -> None:
-    """A snapshot under its version; readers go by `current`."""
-    snapshot.write.mode("errorifexists").parquet(f"{path}/version={version}")
+def load(spark: SparkSession, path: str) -> DataFrame:
+    """The current snapshot."""
+    pointer = Manifest(spark, path)
+    number, state = pointer.current()
+    if not number:
+        raise ValueError(f"nothing was published at {path}")
+    return _snapshot(spark, pointer, state)
 
 
-def load(spark: SparkSession, path: str, version: int) -> DataFrame:
-    return spark.read.parquet(f"{path}/version={version}")
+def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Deletes all but the newest `keep` snapshots; only while no writer is at work."""
+    return Manifest(spark, path).vacuum(lambda state: {state["snapshot"]}, keep)

@@ -9,29 +9,66 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-from skyloom.operators import classify
-from skyloom.sources import store
-
-
-def detect_batch(spark: SparkSession, observations_path: str, anomalies_path: str, max_fov_deg: float):
-    """Work for `arrivals.each_batch`: a batch of source rows is stored by frame, then classified against all before its time.
-
-    Both writes overwrite the batch's own frames, so a replay changes nothing, and a re-analysed frame replaces its rows, also where
-    it has no anomaly left. A frame without any source comes as one row with a null obs_id. Read both with `store.published`.
-    Later frames aren't classified anew; run the batch classification of the object for that.
-    """
+from pyspark.sql.types import StructType
+
+from skyloom.operators import classify, recompute
+from skyloom.operators.matching import MOVING_CONE
+from skyloom.sources.lineage import written
+from skyloom.sources.skyhistory import SkyHistory, cells_near
+
+
+FRAMES = StructType().add("frame_id", "string").add("obs_time", "timestamp_ntz").add("ra_center", "double").add("dec_center", "double").add("fov_deg", "double")
+#: How far a tile's centre may be from a row in it, in arcseconds.
+TILE_REACH = 300.0
+
+
+def frames_of(rows: DataFrame) -> DataFrame:
+    """The frames that rows with ra_center, dec_center and fov_deg belong to."""
+    made = rows.groupBy("frame_id").agg(F.min("obs_time").alias("obs_time"), F.min("ra_center").alias("ra_center"), F.min("dec_center").alias("dec_center"), F.max("fov_deg").alias("fov_deg"))
+    return made.select(*[F.col(f.name).cast(f.dataType) for f in FRAMES.fields])
+
+
+class Survey:
+    """Sources, frames and anomalies of a survey by sky cell, below one folder. schema: that of the source rows that come in."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, max_fov_deg: float) -> None:
+        self.spark, self.max_fov = spark, max_fov_deg
+        self.sources = SkyHistory(spark, f"{path}/sources", schema)
+        self.frames = SkyHistory(spark, f"{path}/frames", FRAMES, "ra_center", "dec_center")
+        empty = spark.createDataFrame([], schema)
+        self.anomalies = SkyHistory(spark, f"{path}/anomalies", classify.anomalies(classify.described(empty)).schema, time=None)
+
+    def take(self, batch: DataFrame) -> DataFrame:
+        """Stores a batch of source rows by frame, and brings the anomalies of all frames that this touches up to date. Returns these frames (frame_id).
+
+        The batch speaks for its frames: their former rows go. A frame without any source (or a demoted one) comes as one row with a null
+        obs_id. Frames may come in any order: later ones that rest on the batch's are classified anew, and only those. All reads are of the
+        cells around the changes; a replay writes the same.
+        """
+        ids = written(batch.select("frame_id").distinct())
+        rows = written(batch.where("obs_id IS NOT NULL"))
+        before = written(self.sources.read(self.sources.homes(ids)).join(ids, "frame_id", "left_semi"))
+        fields_before = written(self.frames.read(self.frames.homes(ids)).join(ids, "frame_id", "left_semi"))
+        self.sources.publish(rows, ids)
+        self.frames.publish(frames_of(rows), ids)
+        changed, fields = before.unionByName(rows), fields_before.unionByName(frames_of(rows))
+        half = self.max_fov / 2 * 3600 + TILE_REACH
+        around = cells_near(changed, MOVING_CONE) | cells_near(fields, half, "ra_center", "dec_center")
+        touched = written(recompute.affected_frames(self.sources.read(around), changed, fields, self.max_fov).union(ids).distinct())
+        current = written(self.sources.read(self.sources.homes(touched)).join(touched, "frame_id", "left_semi"))
+        past = written(self.sources.read(cells_near(current, MOVING_CONE)))
+        covering = written(self.frames.read(cells_near(current, half)))
+        found = classify.anomalies(classify.classified(current, past, covering, self.max_fov))
+        self.anomalies.publish(found, touched)
+        return touched
+
+
+def detect_batch(spark: SparkSession, path: str, schema: StructType, max_fov_deg: float):
+    """Work for `arrivals.each_batch`: every micro-batch goes into the survey below `path`; read its tables by `Survey`."""
 
     def work(batch: DataFrame, _: int) -> None:
-        if batch.isEmpty():
-            return
-        affected = batch.select("frame_id").distinct()
-        rows = batch.where("obs_id IS NOT NULL")
-        store.publish_frames(rows, observations_path, affected)
-        history = store.published(spark, observations_path, batch.schema)
-        frames = history.groupBy("frame_id").agg(F.min("obs_time").alias("obs_time"), F.min("ra_center").alias("ra_center"), F.min("dec_center").alias("dec_center"), F.max("fov_deg").alias("fov_deg"))
-        found = classify.anomalies(classify.classified(rows, history, frames, max_fov_deg))
-        store.publish_frames(found, anomalies_path, affected)
+        if not batch.isEmpty():
+            Survey(spark, path, schema, max_fov_deg).take(batch)
 
     return work
 

@@ -5,11 +5,14 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from skyloom.operators import classify
 from skyloom.plans.fixtures import sky as derived
 from skyloom.sources import store
+from skyloom.sources.manifest import Conflict, Manifest
+from skyloom.sources.skyhistory import SkyHistory, cells_near
 from skyloom.streaming import arrivals, detection
 
 
@@ -34,32 +37,121 @@ def test_image_files_stream(spark, tmp_path):
     assert {r.path[-6:] for r in spark.table("files").collect()} == {"a.fits", "/b.FIT"}
 
 
-def test_incremental_detection_equals_batch(spark, sf_dir, tmp_path):
+KEPT = ["frame_id", "obs_id", "anomaly_type", "delta_mag", "notes"]
+
+
+def some_rows(spark, sf_dir, path, objects=5):
     frames = derived(spark, sf_dir, "frames")
-    rows = derived(spark, sf_dir, "sources").join(frames.select("frame_id", "ra_center", "dec_center", "fov_deg"), "frame_id").where("object IN ('OBJ1', 'OBJ2', 'OBJ3', 'OBJ4', 'OBJ5')")
-    rows.write.parquet(str(tmp_path / "in"))
-    back = spark.read.parquet(str(tmp_path / "in"))
-    work = detection.detect_batch(spark, str(tmp_path / "obs"), str(tmp_path / "found"), 1.0)
+    names = ", ".join(f"'OBJ{k}'" for k in range(1, objects + 1))
+    rows = derived(spark, sf_dir, "sources").join(frames.select("frame_id", "ra_center", "dec_center", "fov_deg"), "frame_id").where(f"object IN ({names})")
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def whole(rows):
+    return classify.anomalies(classify.classified(rows, rows, detection.frames_of(rows), 1.0))
+
+
+def records(found):
+    return sorted(map(str, found.select(KEPT).collect()))
+
+
+def test_incremental_detection_equals_batch(spark, sf_dir, tmp_path):
+    back = some_rows(spark, sf_dir, str(tmp_path / "in"))
+    work = detection.detect_batch(spark, str(tmp_path / "survey"), back.schema, 1.0)
     stream = spark.readStream.schema(back.schema).parquet(str(tmp_path / "in"))
     arrivals.each_batch(stream, work, str(tmp_path / "c")).awaitTermination()
     work(back, 0)  # a replay
-    kept = ["frame_id", "obs_id", "anomaly_type"]
-    want = classify.anomalies(classify.classified(back, back, back.groupBy("frame_id").agg(F.min("obs_time").alias("obs_time"), F.min("ra_center").alias("ra_center"), F.min("dec_center").alias("dec_center"), F.max("fov_deg").alias("fov_deg")), 1.0))
-    got = store.published(spark, str(tmp_path / "found"), want.schema)
-    assert sorted(got.select([F.col(c).cast("string") for c in kept]).collect()) == sorted(want.select([F.col(c).cast("string") for c in kept]).collect())
-
-
-def test_a_frame_without_anomalies_or_sources_keeps_none(spark, tmp_path):
-    kind = "frame_id string, source_id string"
-    path = str(tmp_path / "t")
-    make = lambda rows: spark.createDataFrame(rows, kind)
-    store.publish_frames(make([("a", "x"), ("a", "y"), ("b", "z")]), path)
+    survey = detection.Survey(spark, str(tmp_path / "survey"), back.schema, 1.0)
+    assert records(survey.anomalies.read()) == records(whole(back))
+    assert survey.sources.read().count() == back.count()
+
+
+def test_late_reanalysed_and_demoted_frames(spark, sf_dir, tmp_path):
+    """Frames in a random order; then some come again with other rows, and some are demoted. Others are classified anew only where they rest on these."""
+    back = some_rows(spark, sf_dir, str(tmp_path / "in"), 3).where("day(obs_time) < 12")
+    rows = back.where("obs_id % 9 <> 4").withColumn("mag", F.when(F.col("obs_id") % 5 == 0, F.col("mag") + 2).otherwise(F.col("mag")))
+    survey = detection.Survey(spark, str(tmp_path / "survey"), back.schema, 1.0)
+    turn = F.pmod(F.xxhash64("frame_id"), F.lit(3))
+    for k in (1, 0, 2):
+        touched = survey.take(rows.where(turn == k))
+    assert touched.count() > rows.where(turn == 2).select("frame_id").distinct().count()
+    assert records(survey.anomalies.read()) == records(whole(rows))
+    again, gone = (F.pmod(F.xxhash64("frame_id"), F.lit(11)) == k for k in (3, 5))
+    fresh = back.where(again)
+    demoted = back.where(gone).select("frame_id").distinct()
+    batch = fresh.unionByName(demoted, allowMissingColumns=True)
+    assert fresh.count() and demoted.count()
+    touched = survey.take(batch)
+    now = rows.where(~again & ~gone).unionByName(fresh)
+    assert records(survey.anomalies.read()) == records(whole(now))
+    all_frames = {r[0] for r in now.select("frame_id").distinct().collect()}
+    assert {r[0] for r in touched.collect()} & all_frames < all_frames  # not everything was classified anew
+    before = records(survey.anomalies.read())
+    for table in (survey.sources, survey.frames, survey.anomalies):
+        table.compact()
+        table.vacuum(1)
+        assert len(table._parts()) == 1
+    assert records(survey.anomalies.read()) == before and survey.sources.read().count() == now.count()
+
+
+def test_sky_history_replaces_frames_and_reads_cells(spark, tmp_path):
+    kind = "frame_id string, ra double, dec double, obs_time timestamp_ntz, v int"
+    day = datetime(2024, 1, 1)
+    make = lambda rows: spark.createDataFrame([(f, ra, dec, day, v) for f, ra, dec, v in rows], kind)
+    ids = lambda *names: spark.createDataFrame([(n,) for n in names], "frame_id string")
+    table = SkyHistory(spark, str(tmp_path / "t"), make([]).schema)
+    got = lambda cells=None: sorted((r.frame_id, r.v) for r in table.read(cells).collect())
+    assert got() == []
+    table.publish(make([("a", 0.01, 0.0, 1), ("a", 359.99, 0.0, 2), ("b", 180.0, 89.999, 3), ("b", None, 1.0, 4)]))
     for _ in range(2):
-        store.publish_frames(make([]), path, make([("a", None)]).select("frame_id"))
-    got = store.published(spark, path, make([]).schema)
-    assert [tuple(r) for r in got.collect()] == [("b", "z")]
-    store.publish_frames(make([("a", "x")]), path, make([("a", None)]).select("frame_id"))
-    assert sorted(map(tuple, store.published(spark, path, make([]).schema).collect())) == [("a", "x"), ("b", "z")]
+        table.publish(make([("a", 90.0, 45.0, 5)]))  # it moved
+    assert got() == [("a", 5), ("b", 3), ("b", 4)]
+    near = cells_near(make([("x", 200.0, 89.9995, 0)]), 10.0)
+    assert len(near) <= 8 and got(near) == [("b", 3)] and got({"1_1_1"}) == []
+    table.publish(make([]), ids("b", "c"))
+    assert got() == [("a", 5)]
+    table.publish(make([("b", 0.0, 0.0, 6), ("z", 0.0, 0.0, 7)]), ids("b"))  # z isn't spoken for
+    assert got() == [("a", 5), ("b", 6)]
+    assert cells_near(make([("x", None, 0.0, 0)]), 10.0) == set()
+    opened = {f.split("/cell=")[1].split("/")[0] for f in table.read(cells_near(make([("x", 90.0, 45.0, 0)]), 10.0)).inputFiles()}
+    assert len(opened) <= 8 and "none" not in opened
+    table.compact(1)
+    assert got() == [("a", 5), ("b", 6)]
+
+
+def test_two_writers_and_a_crash(spark, tmp_path):
+    path = str(tmp_path / "s")
+    make = lambda n: spark.createDataFrame([(n,)], "n int")
+    with pytest.raises(ValueError):
+        store.load(spark, path)
+    store.publish(lambda old: make(1), spark, path)
+    calls = []
+
+    def slow(old):
+        calls.append(old.count())
+        if len(calls) == 1:  # another writer commits meanwhile
+            store.publish(lambda o: o.union(make(2)), spark, path)
+        return old.union(make(3))
+
+    store.publish(slow, spark, path)
+    assert calls == [1, 2] and sorted(r.n for r in store.load(spark, path).collect()) == [1, 2, 3]
+
+    def crash(old):
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        store.publish(crash, spark, path)
+    (tmp_path / "s" / "manifest" / "000000000009.json").write_text("")  # a crash between creating and writing
+    assert store.load(spark, path).count() == 3
+    assert store.publish(lambda old: old.union(make(4)), spark, path) == 10
+    store.vacuum(spark, path, 1)
+    assert store.load(spark, path).count() == 4 and len(list((tmp_path / "s" / "parts").iterdir())) == 1
+    both = Manifest(spark, path)
+    number, state = both.current()
+    both.put(number, state)
+    with pytest.raises(Conflict):
+        both.put(number, state)
 
 
 def test_light_curves_with_late_and_repeated_rows(spark, tmp_path):
