@@ -506,6 +506,18 @@ def s03_unrepeated_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(arrivals.without_repeats(came, "4000 days").select("path"), spark)
 
 
+@query(f"WITH {clauses('sources')}, {ANOMALIES} SELECT frame_id, obs_id, anomaly_type, round(delta_mag, 6) AS delta_mag FROM anomalies")
+def s05_late_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frames of odd days arrive first, some with other magnitudes; then those of even days come late, and some of the odd ones again: what is kept is what a classification of everything gives."""
+    centres = derived(spark, sf_dir, "frames").select("frame_id", "ra_center", "dec_center", "fov_deg")
+    rows = written(derived(spark, sf_dir, "sources").join(centres, "frame_id"))
+    survey = detection.Survey(spark, shared_folder(spark), rows.schema, FOV)
+    odd, again = F.day("obs_time") % 2 == 1, F.pmod(F.xxhash64("frame_id"), F.lit(3)) == 0
+    survey.take(rows.where(odd).withColumn("mag", F.when(again, F.col("mag") + 3).otherwise(F.col("mag"))))
+    survey.take(rows.where(~odd | again))
+    return survey.anomalies.read().select("frame_id", "obs_id", "anomaly_type", F.round("delta_mag", 6).alias("delta_mag"))
+
+
 @query(
     """WITH s AS (SELECT concat('OBJ', cast(user_id AS varchar)) AS source_id, event_id AS obs_id, ts, event_type AS filter, value AS mag FROM events)
  SELECT a.source_id, a.obs_id, round(median(b.mag), 6) AS median_mag FROM s a LEFT JOIN s b ON b.source_id = a.source_id AND b.filter = a.filter AND b.ts < a.ts GROUP BY ALL"""

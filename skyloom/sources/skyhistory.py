@@ -1,9 +1,10 @@
 """A table of frames' rows that is read by place: coarse sky cells and months as partitions, replaced frame by frame.
 
-Rows lie in cubic cells of the unit sphere of about CELL_DEG degrees (some 15 000 in all, whatever the history's length), then by month. A write
-adds a part with the rows of the frames it speaks for, and names these frames in each cell in which they have rows now or had some before; a frame's rows in a
-cell are those of the newest part that names it there. So replacing or emptying a frame never rewrites other frames' files, and a read
-opens the wanted cells' folders alone. `compact` merges parts, so that a cell has few files again.
+Rows lie in cubic cells of the unit sphere of about CELL_DEG degrees (some hundreds in all, whatever the history's length), then by month, sorted by
+declination, so that row groups can be skipped too. A write adds a part with the rows of the frames it speaks for, and names these frames in each cell in which
+they have rows now or had some before, in a small table sorted by cell; a frame's rows in a cell are those of the newest part that names it there. So
+replacing or emptying a frame never rewrites other frames' files, and a read opens the wanted cells' folders alone. `compact` merges parts, so that
+a cell has few files again.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql.types import StructType
 from skyloom.functions import sky
 from skyloom.sources.manifest import Manifest
 
-CELL_DEG = 2.0
+CELL_DEG = 10.0
 EDGE = 2 * sin(radians(CELL_DEG) / 2)
 NOWHERE = "none"
 
@@ -37,7 +38,6 @@ def cells_near(rows: DataFrame, radius_arcsec: float, ra: str = "ra", dec: str =
     return {r[0] for r in placed.select(F.concat_ws("_", *[F.col(f"_c{k}").cast("string") for k in range(3)])).distinct().collect()}
 
 
-IDS = StructType().add("frame_id", "string")
 HOMES = StructType().add("frame_id", "string").add("cell", "string")
 
 
@@ -54,51 +54,55 @@ class SkyHistory:
     def _at(self, folder: str, kind: str) -> str:
         return f"{self.manifest.path}/parts/{folder}/{kind}"
 
-    def _table(self, parts: list[dict], kind: str, schema: StructType, cells: set[str] | None) -> DataFrame:
-        """A table of all parts with `part`, their place in the order; only the folders of the wanted cells are opened."""
-        kinds = StructType([*schema.fields]).add("cell", "string")
+    def _speaks(self, parts: list[dict], kind: str) -> DataFrame:
+        """frame_id, cell, part: which frames each part speaks for, and in which cells. kind: sorted by `frames` or by `cells`."""
+        out = self.spark.createDataFrame([], StructType([*HOMES.fields]).add("part", "integer"))
+        for order, part in enumerate(parts):
+            out = out.unionByName(self.spark.read.schema(HOMES).parquet(self._at(part["names"], kind)).withColumn("part", F.lit(order)))
+        return out
+
+    def _rows(self, parts: list[dict], cells: set[str] | None) -> DataFrame:
+        """The rows of all parts, with cell and part; only the folders of the wanted cells are opened."""
+        kinds = StructType([*self.schema.fields]).add("cell", "string").add("month", "string")
         out = self.spark.createDataFrame([], StructType([*kinds.fields]).add("part", "integer"))
         for order, part in enumerate(parts):
-            base = self._at(part["folder"][kind], kind)
-            names = sorted(part[kind] if cells is None else cells.intersection(part[kind]))
+            base = self._at(part["rows"], "rows")
+            names = sorted(part["cells"] if cells is None else cells.intersection(part["cells"]))
             if names:
-                read = self.spark.read.schema(kinds).option("basePath", base).parquet(*[f"{base}/cell={n}" for n in names])
-                out = out.unionByName(read.withColumn("part", F.lit(order)))
+                folders = [base] if len(names) == len(part["cells"]) else [f"{base}/cell={n}" for n in names]
+                out = out.unionByName(self.spark.read.schema(kinds).option("basePath", base).parquet(*folders).withColumn("part", F.lit(order)))
         return out
 
     def _current(self, parts: list[dict], cells: set[str] | None) -> DataFrame:
-        newest = self._table(parts, "frames", IDS, cells).groupBy("cell", "frame_id").agg(F.max("part").alias("part"))
-        rows = self._table(parts, "rows", StructType([*self.schema.fields]).add("month", "string"), cells)
-        return rows.join(newest, ["cell", "frame_id", "part"], "left_semi").select(*self.schema.names)
+        names = self._speaks(parts, "cells")
+        if cells is not None:
+            names = names.where(F.col("cell").isin(sorted(cells)) if cells else F.lit(False))
+        newest = names.groupBy("cell", "frame_id").agg(F.max("part").alias("part"))
+        return self._rows(parts, cells).join(newest, ["cell", "frame_id", "part"], "left_semi").select(*self.schema.names)
 
     def read(self, cells: set[str] | None = None) -> DataFrame:
         """The current rows, of these cells or all."""
         return self._current(self._parts(), cells)
 
-    def _homes(self, parts: list[dict]) -> DataFrame:
-        """frame_id, cell: where frames have or had rows, and `none` for each."""
-        return self.spark.read.schema(HOMES).parquet(*[self._at(p["folder"]["frames"], "homes") for p in parts]) if parts else self.spark.createDataFrame([], HOMES)
-
     def homes(self, frames: DataFrame) -> set[str]:
-        """The cells of these frames' rows: names for the driver, never more than there are cells."""
-        where = self._homes(self._parts()).join(frames.select("frame_id").distinct(), "frame_id", "left_semi")
+        """The cells in which these frames have or had rows: names for the driver, never more than there are cells."""
+        where = self._speaks(self._parts(), "frames").join(frames.select("frame_id").distinct(), "frame_id", "left_semi")
         return {r[0] for r in where.select("cell").distinct().collect()}
 
     def _written_rows(self, rows: DataFrame) -> tuple[str, DataFrame]:
         folder, path = self.manifest.folder()
         month = F.coalesce(F.date_format(self.time, "yyyy-MM"), F.lit(NOWHERE)) if self.time else F.lit(NOWHERE)
-        rows.select(*self.schema.names).withColumns({"cell": cell(self.ra, self.dec), "month": month}).repartition("cell", "month").write.partitionBy("cell", "month").parquet(f"{path}/rows")
+        placed = rows.select(*self.schema.names).withColumns({"cell": cell(self.ra, self.dec), "month": month})
+        placed.repartition("cell", "month").sortWithinPartitions("cell", "month", self.dec).write.partitionBy("cell", "month").parquet(f"{path}/rows")
         back = self.spark.read.schema(StructType([*self.schema.fields]).add("cell", "string").add("month", "string")).parquet(f"{path}/rows")
         return folder, back.select("frame_id", "cell").distinct()
 
-    def _part(self, folder: str, has: DataFrame, homes: DataFrame) -> dict:
-        """Writes which frames a part speaks for, by frame and by cell."""
+    def _part(self, folder: str, cells: list[str], homes: DataFrame) -> dict:
+        """Writes which frames a part speaks for, sorted by frame and by cell."""
         names, path = self.manifest.folder()
-        homes.distinct().sort("frame_id").write.parquet(f"{path}/homes")
-        back = self.spark.read.schema(HOMES).parquet(f"{path}/homes")
-        back.repartition("cell").write.partitionBy("cell").parquet(f"{path}/frames")
-        cells = lambda t: sorted(r[0] for r in t.select("cell").distinct().collect())
-        return {"folder": {"rows": folder, "frames": names}, "rows": cells(has), "frames": cells(back)}
+        homes.distinct().sort("frame_id").write.parquet(f"{path}/frames")
+        self.spark.read.schema(HOMES).parquet(f"{path}/frames").sort("cell").write.parquet(f"{path}/cells")
+        return {"rows": folder, "names": names, "cells": cells}
 
     def publish(self, batch: DataFrame, affected: DataFrame | None = None) -> int:
         """Replaces all rows of the affected frames (the batch's own, where none are given) by the batch's; returns the version.
@@ -107,11 +111,12 @@ class SkyHistory:
         """
         ids = (affected if affected is not None else batch).select(F.col("frame_id").cast("string").alias("frame_id")).distinct()
         folder, has = self._written_rows(batch.join(ids, "frame_id", "left_semi"))
+        cells = sorted(r[0] for r in has.select("cell").distinct().collect())
 
         def change(state: dict) -> dict:
             parts = state.get("parts", [])
-            homes = has.union(self._homes(parts).join(ids, "frame_id", "left_semi")).union(ids.withColumn("cell", F.lit(NOWHERE)))
-            return {"parts": [*parts, self._part(folder, has, homes)]}
+            before = self._speaks(parts, "frames").select("frame_id", "cell").join(ids, "frame_id", "left_semi")
+            return {"parts": [*parts, self._part(folder, cells, has.union(before).union(ids.withColumn("cell", F.lit(NOWHERE))))]}
 
         return self.manifest.commit(change)
 
@@ -123,10 +128,11 @@ class SkyHistory:
             if len(parts) <= keep + 1:
                 return state
             folder, has = self._written_rows(self._current(parts[keep:], None))
-            return {"parts": [*parts[:keep], self._part(folder, has, self._homes(parts[keep:]))]}
+            cells = sorted(r[0] for r in has.select("cell").distinct().collect())
+            return {"parts": [*parts[:keep], self._part(folder, cells, self._speaks(parts[keep:], "frames").select("frame_id", "cell"))]}
 
         return self.manifest.commit(change)
 
     def vacuum(self, keep: int = 2) -> list[str]:
         """Deletes what the newest `keep` versions don't use; only while no writer is at work."""
-        return self.manifest.vacuum(lambda state: {f for p in state.get("parts", []) for f in p["folder"].values()}, keep)
+        return self.manifest.vacuum(lambda state: {p[k] for p in state.get("parts", []) for k in ("rows", "names")}, keep)

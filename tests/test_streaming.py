@@ -69,7 +69,7 @@ def test_incremental_detection_equals_batch(spark, sf_dir, tmp_path):
 
 def test_late_reanalysed_and_demoted_frames(spark, sf_dir, tmp_path):
     """Frames in a random order; then some come again with other rows, and some are demoted. Others are classified anew only where they rest on these."""
-    back = some_rows(spark, sf_dir, str(tmp_path / "in"), 3).where("day(obs_time) < 12")
+    back = some_rows(spark, sf_dir, str(tmp_path / "in"), 2).where("day(obs_time) < 12")
     rows = back.where("obs_id % 9 <> 4").withColumn("mag", F.when(F.col("obs_id") % 5 == 0, F.col("mag") + 2).otherwise(F.col("mag")))
     survey = detection.Survey(spark, str(tmp_path / "survey"), back.schema, 1.0)
     turn = F.pmod(F.xxhash64("frame_id"), F.lit(3))
@@ -114,8 +114,8 @@ def test_sky_history_replaces_frames_and_reads_cells(spark, tmp_path):
     table.publish(make([("b", 0.0, 0.0, 6), ("z", 0.0, 0.0, 7)]), ids("b"))  # z isn't spoken for
     assert got() == [("a", 5), ("b", 6)]
     assert cells_near(make([("x", None, 0.0, 0)]), 10.0) == set()
-    opened = {f.split("/cell=")[1].split("/")[0] for f in table.read(cells_near(make([("x", 90.0, 45.0, 0)]), 10.0)).inputFiles()}
-    assert len(opened) <= 8 and "none" not in opened
+    opened = {f.split("/cell=")[1].split("/")[0] for f in table.read(cells_near(make([("x", 90.0, 45.0, 0)]), 10.0)).inputFiles() if "/cell=" in f}
+    assert 0 < len(opened) <= 8 and "none" not in opened
     table.compact(1)
     assert got() == [("a", 5), ("b", 6)]
 
