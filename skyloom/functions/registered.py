@@ -20,7 +20,7 @@ FUNCTIONS = {
         ELSE coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(replace(trim(raw), ' ', '_'), r'[^A-Za-z0-9_\-+]', ''), '_+', '_'), '^_+|_+$', ''), ''), '{UNKNOWN}') END""",
     "sky_tile": "(angle DOUBLE) RETURNS DOUBLE RETURN rint(angle / 1e-1) * 1e-1",
     "wrap180": "(angle DOUBLE) RETURNS DOUBLE RETURN -(pmod(-angle + 18e1, 36e1) - 18e1)",
-    "normalize_filter": f"(raw STRING) RETURNS STRING RETURN coalesce(try_element_at({_FILTER_MAP}, lower(nullif(trim(raw), ''))), nullif(trim(raw), ''))",
+    "normalize_filter": rf"(raw STRING) RETURNS STRING RETURN coalesce(try_element_at({_FILTER_MAP}, lower(nullif(trim(raw), ''))), try_element_at({_FILTER_MAP}, lower(regexp_replace(trim(raw), r'(?i)\s*filter$', ''))), nullif(trim(raw), ''))",
 }
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skyloom.functions import names, photometry
 
+# Default limits of the quality checks.
 FWHM_MAX, ELONGATION_MAX, BACKGROUND_MAX, STARS, STARS_NARROW = 8.0, 2.0, 50_000.0, 10, 5
 STAR_FWHM, STAR_ELONGATION, STAR_SNR = (2.5, 8.0), 1.5, 50.0
 STREAK_ELONGATION, STREAK_ARCSEC, STREAK_PX = 5.0, 30.0, 200.0

@@ -45,7 +45,11 @@ def cascade(sources: DataFrame, catalog: DataFrame, radius: float = MATCH_CONE)
 def movers(sources: DataFrame, catalog: DataFrame, matched: DataFrame, radius: float = MOVING_CONE) -> DataFrame:
     """One to one: each mover takes its nearest unmatched source of a frame; of movers that take one source the nearest keeps it."""
     free = sources.join(matched.select("obs_id"), "obs_id", "left_anti").select("obs_id", "frame_id", "ra", "dec")
-    pairs = cone_pairs(free, renamed(catalog.where("catalog_name = 'MPC'"), "cat_", "catalog_id", "ra", "dec", "object_type"), radius)
+    return one_to_one(cone_pairs(free, renamed(catalog.where("catalog_name = 'MPC'"), "cat_", "catalog_id", "ra", "dec", "object_type"), radius))
+
+
+def one_to_one(pairs: DataFrame) -> DataFrame:
+    """Of pairs of sources and movers: each mover's nearest source of a frame, each source's nearest mover of those."""
     pick = F.min(F.struct("sep_arcsec", "obs_id", "cat_object_type")).alias("p")
     chosen = pairs.groupBy("frame_id", "cat_catalog_id").agg(pick).select("frame_id", "cat_catalog_id", "p.*")
     win = F.min(F.struct("sep_arcsec", "cat_catalog_id", "cat_object_type")).alias("w")

@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyloom.sources.lineage import written
+
 SATURATION = 60_000.0
 
 
 def clipped_statistics(pixels: DataFrame, sigma: float = 3.0, rounds: int = 5) -> DataFrame:
-    """Per frame: n, median, mean, stddev after rounds of clipping around the median; a round that clips nothing changes nothing."""
+    """Per frame: n, median, mean, stddev after rounds of clipping around the median; a round that clips nothing changes nothing.
+
+    Each round's limits are written (a row for each frame), so a round reads the pixels once and the plan doesn't grow with the rounds.
+    """
     state = None
     for _ in range(rounds):
         kept = pixels if state is None else pixels.join(state, "frame_id").where((F.col("adu") >= F.col("low")) & (F.col("adu") <= F.col("high")))
@@ -19,6 +24,7 @@ def clipped_statistics(pixels: DataFrame, sigma: float = 3.0, rounds: int = 5) -
             state = centre.select("frame_id", low.alias("low"), high.alias("high"))
         else:
             state = centre.join(state, "frame_id").select("frame_id", F.greatest("low", low).alias("low"), F.least("high", high).alias("high"))
+        state = written(state)
     kept = pixels.join(state, "frame_id").where((F.col("adu") >= F.col("low")) & (F.col("adu") <= F.col("high")))
     return kept.groupBy("frame_id").agg(F.count("*").alias("n"), F.median("adu").alias("median"), F.mean("adu").alias("mean"), F.stddev_pop("adu").alias("stddev"))
 

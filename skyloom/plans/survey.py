@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.functions import names, sky
-from skyloom.operators import calibration, classify, dedup, epochs, history, matching, pixels, tracks
+from skyloom.operators import calibration, classify, dedup, ephemeris, epochs, history, matching, pixels, tracks
 from skyloom.operators.cone import cone_pairs, renamed
 from skyloom.plans.fixtures import PIXELS_SQL, clauses
 from skyloom.plans.fixtures import pixels as pixel_table
@@ -63,6 +63,46 @@ def j04_movers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.movers(s, k, matching.cascade(s, k)).withColumn("sep_arcsec", F.round("sep_arcsec", 6))
 
 
+#: A mover for each user, with a knot at noon of each day that has events, half a degree of way a day; some cross RA 0.
+KNOTS = """SELECT concat('K', cast(user_id AS string)) AS designation, cast(cast(ts AS date) AS timestamp) + interval '12' hour AS knot_at,
+ (min(ra0) + (day(cast(ts AS date)) - 15) * 3e-1 + 36e1) % 36e1 AS ra, min(dec0) + (day(cast(ts AS date)) - 15) * 1e-1 AS dec, CASE WHEN user_id % 4 = 0 THEN NULL ELSE 15e0 + user_id % 8 + day(cast(ts AS date)) / 1e1 END AS mag,
+ CASE WHEN user_id % 2 = 0 THEN 'COMET' ELSE 'ASTEROID' END AS object_type FROM (SELECT *, obs_ts AS ts FROM sky_obs) GROUP BY user_id, cast(ts AS date)"""
+_W = lambda n: f"CASE WHEN w < 1e-9 THEN (1e0 - h) * {n}0 + h * {n}1 ELSE (sin((1e0 - h) * w) * {n}0 + sin(h * w) * {n}1) / sin(w) END"
+_U = lambda k: f"cos(radians(dec{k})) * cos(radians(ra{k})) AS x{k}, cos(radians(dec{k})) * sin(radians(ra{k})) AS y{k}, sin(radians(dec{k})) AS z{k}"
+PREDICTED = f"""knots AS ({KNOTS}), way AS (SELECT *, {_U(0)}, {_U(1)} FROM (SELECT designation, epoch_us(knot_at) AS t0, ra AS ra0, dec AS dec0, mag AS mag0, object_type, CASE WHEN near THEN epoch_us(at1) ELSE epoch_us(knot_at) END AS t1, CASE WHEN near THEN ra1 ELSE ra END AS ra1, CASE WHEN near THEN dec1 ELSE dec END AS dec1, CASE WHEN near THEN mag1 ELSE mag END AS mag1
+ FROM (SELECT *, coalesce(epoch_us(at1) - epoch_us(knot_at) <= 10 * 86400000000, false) AS near FROM (SELECT *, lead(knot_at) OVER v AS at1, lead(ra) OVER v AS ra1, lead(dec) OVER v AS dec1, lead(mag) OVER v AS mag1 FROM knots WINDOW v AS (PARTITION BY designation ORDER BY knot_at))))),
+ turned AS (SELECT frame_id, ra_center, dec_center, fov_deg, way.*, CASE WHEN t1 > t0 THEN (epoch_us(obs_time) - t0) / (t1 - t0) ELSE 0e0 END AS h, 2e0 * asin(least(1e0, sqrt((x1 - x0) ** 2 + (y1 - y0) ** 2 + (z1 - z0) ** 2) / 2e0)) AS w
+ FROM frames JOIN way ON epoch_us(obs_time) >= t0 AND (epoch_us(obs_time) < t1 OR t0 = t1 AND epoch_us(obs_time) = t0) AND abs(dec_center - dec0) < 5),
+ spot AS (SELECT *, {_W("x")} AS x, {_W("y")} AS y, {_W("z")} AS z FROM turned),
+ there AS (SELECT frame_id, designation AS catalog_id, (degrees(atan2(y, x)) + 36e1) % 36e1 AS ra, degrees(asin(greatest(-1e0, least(1e0, z / sqrt(x * x + y * y + z * z))))) AS dec, mag0 + (mag1 - mag0) * h AS mag, object_type, ra_center, dec_center, fov_deg FROM spot),
+ predicted AS (SELECT *, {separation_sql("ra_center", "dec_center", "ra", "dec")} AS sep_arcsec FROM there WHERE {separation_sql("ra_center", "dec_center", "ra", "dec")} <= fov_deg * 3.6e3)"""
+
+
+def _knots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = f"WITH {clauses('sky_obs')} {KNOTS}".replace("FROM events", "FROM {events}")
+    return spark.sql(text, events=table(spark, sf_dir, "events")).withColumnRenamed("knot_at", "at")
+
+
+@query(f"WITH {clauses('frames')}, {PREDICTED} SELECT frame_id, catalog_id, round(ra, 6) AS ra, round(dec, 6) AS dec, round(mag, 6) AS mag, object_type, round(sep_arcsec, 4) AS sep_arcsec FROM predicted WHERE mag IS NULL OR mag <= 19")
+def j01_predicted_movers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Movers in the field of each frame at its own time."""
+    found = ephemeris.predicted(derived(spark, sf_dir, "frames"), _knots(spark, sf_dir), FOV, mag_limit=19.0)
+    return found.select("frame_id", "catalog_id", F.round("ra", 6).alias("ra"), F.round("dec", 6).alias("dec"), F.round("mag", 6).alias("mag"), "object_type", F.round("sep_arcsec", 4).alias("sep_arcsec"))
+
+
+@query(
+    f"""WITH {clauses("frames", "catalog", "sources")}, {MATCHED}, {PREDICTED}, met AS (SELECT s.obs_id, s.frame_id, k.catalog_id, k.object_type, {separation_sql("s.ra", "s.dec", "k.ra", "k.dec")} AS sep FROM sources s JOIN predicted k ON k.frame_id = s.frame_id WHERE {separation_sql("s.ra", "s.dec", "k.ra", "k.dec")} < 1200 AND s.obs_id NOT IN (SELECT obs_id FROM first)),
+ taken AS (SELECT * FROM met QUALIFY row_number() OVER (PARTITION BY frame_id, catalog_id ORDER BY sep, obs_id) = 1)
+ SELECT obs_id, catalog_id, object_type, round(sep, 4) AS sep_arcsec FROM taken QUALIFY row_number() OVER (PARTITION BY obs_id ORDER BY sep, catalog_id) = 1"""
+)
+def j04_movers_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A wide cone of a third of a degree, since the derived movers pass by no detection on purpose."""
+    s, k = _two(spark, sf_dir)
+    there = ephemeris.predicted(derived(spark, sf_dir, "frames"), _knots(spark, sf_dir), FOV)
+    got = ephemeris.movers_in_time(s, there, matching.cascade(s, k), 1200.0)
+    return got.select("obs_id", "catalog_id", "object_type", F.round("sep_arcsec", 4).alias("sep_arcsec"))
+
+
 DX = "(CASE WHEN k.ra - s.ra > 18e1 THEN k.ra - s.ra - 36e1 WHEN k.ra - s.ra < -18e1 THEN k.ra - s.ra + 36e1 ELSE k.ra - s.ra END) * cos(radians((s.dec + k.dec) / 2e0)) * 3.6e3"
 OFFSET_PAIRS = f"pairs AS (SELECT s.obs_id, s.frame_id, k.catalog_id AS cat_catalog_id, {SEP} AS sep_arcsec, {DX} AS dx, (k.dec - s.dec) * 3.6e3 AS dy FROM sources s JOIN catalog k ON {NEAR_DEC} AND k.catalog_name = 'Gaia DR3' WHERE {SEP} < 90)"
 

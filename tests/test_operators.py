@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyloom.functions import names, sky
-from skyloom.operators import calibration, classify, dedup, epochs, history, matching, pixels, tracks
+from skyloom.sources.lineage import written
+from skyloom.operators import calibration, classify, dedup, ephemeris, epochs, history, matching, pixels, tracks
 from skyloom.operators.cone import cone_pairs, renamed
 from skyloom.sources import catalogs, headers, settings, store
 
@@ -200,6 +201,45 @@ def test_reference_frames_are_ranked(spark):
     assert set(got) == {"n0", "n1", "r19"}
 
 
+def test_a_mover_is_where_it_is_at_the_frame_time(spark):
+    """Across RA 0 between two frames, over a pole, at a knot's own time, and not in a gap that is too long."""
+    from datetime import datetime, timedelta
+
+    day = lambda d: datetime(2024, 1, 1) + timedelta(days=d)
+    knots = [("m", day(0), 359.0, 10.0, 15.0, "ASTEROID"), ("m", day(4), 3.0, 10.0, 17.0, "ASTEROID"), ("m", day(20), 3.0, 20.0, None, "ASTEROID"), ("p", day(0), 0.0, 89.0, None, "COMET"), ("p", day(2), 180.0, 89.0, None, "COMET"), (None, day(0), 1.0, 1.0, 1.0, "x"), ("q", None, 1.0, 1.0, 1.0, "x"), ("m", day(0), 359.5, 10.0, 1.0, "again")]
+    frames = [("a", day(0), 359.0, 10.0), ("b", day(1), 0.0, 10.0), ("c", day(2), 1.0, 10.0), ("d", day(3), 359.9, 10.0), ("e", day(4), 3.0, 10.0), ("f", day(10), 3.0, 13.0), ("g", day(20), 3.0, 20.0), ("h", day(1), 77.0, 90.0), ("i", day(1.5), 180.0, 89.5), ("j", day(-1), 359.0, 10.0), ("k", None, 359.0, 10.0), ("l", day(0.5), 359.5, 10.0)]
+    k = spark.createDataFrame(knots, "designation string, at timestamp_ntz, ra double, dec double, mag double, object_type string")
+    f = spark.createDataFrame(frames, "frame_id string, obs_time timestamp_ntz, ra_center double, dec_center double").withColumn("fov_deg", F.lit(0.5))
+    for hours in (1.0, 24.0, 1000.0):
+        got = {r.frame_id: r for r in ephemeris.predicted(f, k, 0.5, hours).collect()}
+        assert sorted(got) == ["a", "b", "c", "e", "g", "h", "i", "l"]
+        assert got["a"].mag == 15.0 and got["a"].object_type == "ASTEROID" and got["g"].mag is None
+        assert abs((got["b"].ra + 180) % 360 - 180) < 1e-3 and abs(got["b"].mag - 15.5) < 1e-9 and abs(got["c"].ra - 1.0) < 1e-3
+        assert abs(got["h"].dec - 90) < 1e-6 and abs(got["i"].dec - 89.5) < 1e-6 and abs(got["i"].ra - 180) < 1e-6
+    assert [r.frame_id for r in ephemeris.predicted(f, k, 0.5, mag_limit=15.2).orderBy("frame_id").collect()] == ["a", "g", "h", "i"]
+    sources = spark.createDataFrame([(1, "b", 0.001, 10.0), (2, "b", 0.002, 10.0), (3, "c", 0.001, 10.0), (4, "c", 1.0, 10.0), (5, "e", 3.0, 10.0)], "obs_id long, frame_id string, ra double, dec double")
+    matched = sources.where("obs_id = 5").select("obs_id")
+    assert {r.obs_id for r in ephemeris.movers_in_time(sources, ephemeris.predicted(f, k, 0.5), matched).collect()} == {1, 4}
+
+
+def test_filter_names_in_sql_are_the_same(spark):
+    from skyloom.functions import names, registered
+
+    registered.register(spark)
+    spellings = sorted({s for words in names.FILTERS.values() for s in words})
+    raw = [f(s) + end for s in spellings for f in (str, str.upper) for end in ("", " Filter", "filter", "  FILTER ")] + ["Red Filter", "filter", " ", "", None, "x filter"]
+    rows = spark.createDataFrame([(r,) for r in raw], "raw string").select("raw", names.filter_name(F.col("raw")).alias("a"), F.expr("normalize_filter(raw)").alias("b")).collect()
+    assert len(spellings) >= 40 and all(r.a == r.b for r in rows) and {r.raw: r.a for r in rows}["Red Filter"] == "R"
+
+
+def test_clipping_rounds_do_not_multiply_the_plan(spark):
+    rows = spark.createDataFrame([(f, i, 0, float((i * 37 + f) % 101) + (5000.0 if i == 7 else 0.0)) for f in range(3) for i in range(60)], "frame_id long, y long, x long, adu double")
+    table = written(rows)
+    out = pixels.clipped_statistics(table, 3.0, 5)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("parquet") <= 2
+    assert all(r.n == 59 for r in out.collect())
+
+
 def epochs_rows(seed, n=400):
     """Stars with many epochs, close pairs at about the radius, across RA 0 and near a pole."""
     import random
