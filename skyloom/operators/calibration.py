@@ -20,10 +20,10 @@ def shapes(detections: DataFrame) -> DataFrame:
     return detections.withColumns({"fwhm_px": px, "fwhm": px * F.col("scale"), "elongation": photometry.elongation(a, b, "quality"), "snr": photometry.ratio(F.col("flux"), F.col("err"))})
 
 
-def is_star(loose: bool = False) -> Column:
+def is_star(loose: bool = False, small: float = STAR_FWHM[0], large: float = STAR_FWHM[1], elongation: float = STAR_ELONGATION) -> Column:
     """The star filter of the quality statistics; without a plate scale only elongation and flux count."""
-    size = F.col("fwhm").isNull() | ((F.col("fwhm") >= STAR_FWHM[0]) & (F.lit(True) if loose else F.col("fwhm") <= STAR_FWHM[1]))
-    return (F.col("elongation") < (5.0 if loose else STAR_ELONGATION)) & size & (F.col("flux") > 0)
+    size = F.col("fwhm").isNull() | ((F.col("fwhm") >= small) & (F.lit(True) if loose else F.col("fwhm") <= large))
+    return (F.col("elongation") < (5.0 if loose else elongation)) & size & (F.col("flux") > 0)
 
 
 def strict_star(psf: Column) -> Column:
@@ -64,11 +64,11 @@ def frame_quality(shaped: DataFrame, stars: int = STARS, stars_narrow: int = STA
     return stats.withColumn("quality_flag", quality_flag(stars, stars_narrow))
 
 
-def quality_flag(stars: int = STARS, stars_narrow: int = STARS_NARROW) -> Column:
-    """LOW_STARS at once under three detections; several issues are BAD; few stars count only where nothing else does."""
-    blur = F.coalesce(F.col("fwhm_median") > FWHM_MAX, F.lit(False))
-    trail = F.col("elongation_median") > ELONGATION_MAX
-    bright = F.col("sky_background") > BACKGROUND_MAX
+def quality_flag(stars: Column | int = STARS, stars_narrow: Column | int = STARS_NARROW, fwhm: Column | float = FWHM_MAX, elongation: Column | float = ELONGATION_MAX, background: Column | float = BACKGROUND_MAX) -> Column:
+    """LOW_STARS at once under three detections; several issues are BAD; few stars count only where nothing else does. The limits may be columns."""
+    blur = F.coalesce(F.col("fwhm_median") > fwhm, F.lit(False))
+    trail = F.col("elongation_median") > elongation
+    bright = F.col("sky_background") > background
     floor = F.when(names.is_narrowband(F.col("filter")), stars_narrow).otherwise(stars)
     issues = blur.cast("int") + trail.cast("int") + bright.cast("int")
     return F.when(F.col("n_raw") < 3, "LOW_STARS").when(issues.isNull(), "BAD").when(issues >= 2, "BAD").when(blur, "BLUR").when(trail, "TRAIL").when(bright, "HIGH_BACKGROUND").when(F.col("star_count") < floor, "LOW_STARS").otherwise("OK")

@@ -15,8 +15,8 @@ REPORTED = ["VARIABLE_STAR", "BINARY_STAR", "SUPERNOVA_CANDIDATE", "UNKNOWN", "A
 CHANGES = ["SUPERNOVA_CANDIDATE", "BINARY_STAR", "VARIABLE_STAR"]
 
 
-def outcome() -> Column:
-    """The decision over n_history, n_covering, vacated, delta_mag and the source's own columns.
+def outcome(delta_mag: Column | float = DELTA_MAG, debris: Column | float = DEBRIS_ELONGATION, debris_edge: Column | float = DEBRIS_EDGE_ELONGATION) -> Column:
+    """The decision over n_history, n_covering, vacated, delta_mag and the source's own columns; the limits may be columns too.
 
     Outcomes that aren't reported stay visible: FIRST_OBSERVATION, KNOWN_CATALOG_NEW, SUPPRESSED_*, NONE.
     """
@@ -24,8 +24,8 @@ def outcome() -> Column:
     kind = names.object_class(c("object_type"))
     free = c("catalog_name").isNull()
     edge, none = F.coalesce(c("near_edge"), F.lit(False)), c("n_history") == 0
-    limit = F.when(edge, DEBRIS_EDGE_ELONGATION).otherwise(DEBRIS_ELONGATION)
-    change = F.abs("delta_mag") > DELTA_MAG
+    limit = F.when(edge, debris_edge).otherwise(debris)
+    change = F.abs("delta_mag") > delta_mag
     return (
         F.when(c("catalog_name") == "MPC", F.when(c("object_type") == "ASTEROID", "ASTEROID").otherwise("COMET"))
         .when(free & c("saturated"), "SUPPRESSED_SATURATED")
@@ -35,7 +35,7 @@ def outcome() -> Column:
         .when(none & kind["galaxy"], "SUPERNOVA_CANDIDATE")
         .when(none & free, F.when(edge, "SUPPRESSED_EDGE").otherwise("UNKNOWN"))
         .when(none, "KNOWN_CATALOG_NEW")
-        .when(change & (c("delta_mag") < -DELTA_MAG) & kind["galaxy"], "SUPERNOVA_CANDIDATE")
+        .when(change & (c("delta_mag") < 0) & kind["galaxy"], "SUPERNOVA_CANDIDATE")
         .when(change & kind["binary"], "BINARY_STAR")
         .when(change & kind["variable"], "VARIABLE_STAR")
         .otherwise("NONE")

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.functions import names, sky
-from skyloom.operators import calibration, classify, dedup, ephemeris, epochs, history, matching, pixels, tracks
+from skyloom.operators import calibration, classify, dedup, ephemeris, epochs, history, matching, pixels, tracks, whatif
 from skyloom.operators.cone import cone_pairs, renamed
 from skyloom.plans.fixtures import PIXELS_SQL, clauses
 from skyloom.plans.fixtures import pixels as pixel_table
 from skyloom.plans.fixtures import sky as derived
 from skyloom.plans.registry import query, separation_sql, table
-from skyloom.sources import headers, store
+from skyloom.sources import headers, settings, store
 from skyloom.sources.lineage import shared_folder, written
 from skyloom.streaming import arrivals, detection
 
@@ -205,6 +205,26 @@ def c01_known_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("obs_id", "frame_id", "object_type", F.round("delta_mag", 6).alias("delta_mag"), "outcome")
 
 
+#: Settings of what-if runs, by hand: (run, parameter, value).
+WHAT_IF = [("narrow", "MATCH_CONE_ARCSEC", "2.5"), ("narrow", "MOVING_CONE_ARCSEC", "60"), ("wide", "MATCH_CONE_ARCSEC", "25"), ("wide", "SPACE_DEBRIS_ELONGATION_MIN", "2"), ("faint", "DELTA_MAG_ALERT", "0.1"), ("faint", "SPACE_DEBRIS_EDGE_ELONGATION_MIN", "4.5"), ("as it is", "LOG_LEVEL", "debug")]
+_LIMITS = {"narrow": ("2.5e0", "60", "5e-1", "3", "6"), "wide": ("25", "120", "5e-1", "2", "6"), "faint": ("5", "120", "1e-1", "3", "45e-1"), "as it is": ("5", "120", "5e-1", "3", "6")}
+
+
+def _what_if_sql(run: str) -> str:
+    match, moving, delta, debris, edge = _LIMITS[run]
+    text = OUTCOME.replace("<= 120)", f"<= {moving})").replace("WHERE sep <= 5 GROUP", f"WHERE sep <= {match} GROUP").replace(" <= 5),", f" <= {match}),").replace("THEN 6 ELSE 3 END", f"THEN {edge} ELSE {debris} END").replace("> 5e-1", f"> {delta}").replace("< -5e-1", f"< -{delta}")
+    return f"SELECT '{run}' AS run, * FROM (WITH {text} SELECT obs_id, n_history, vacated, round(delta_mag, 6) AS delta_mag, outcome FROM outcomes)"
+
+
+@query(f"WITH {clauses('sources')} {' UNION ALL '.join(map(_what_if_sql, _LIMITS))}")
+def k10_what_if_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sources classified under four sets of settings at once."""
+    s = written(derived(spark, sf_dir, "sources"))
+    given = settings.applied(spark.createDataFrame(WHAT_IF, "run string, param string, value string"))
+    got = whatif.classified(s, s, written(derived(spark, sf_dir, "frames")), FOV, given)
+    return got.select("run", "obs_id", "n_history", "vacated", F.round("delta_mag", 6).alias("delta_mag"), "outcome")
+
+
 ANOMALIES = f"""{OUTCOME},
 anomalies AS (SELECT frame_id, outcome AS anomaly_type, obs_id, coalesce(catalog_id, concat('obs-', cast(obs_id AS string))) AS source_id, ra, dec, mag AS magnitude, CASE WHEN n_history > 0 AND outcome IN ('SUPERNOVA_CANDIDATE', 'BINARY_STAR', 'VARIABLE_STAR') THEN delta_mag END AS delta_mag, CASE WHEN catalog_name = 'MPC' THEN catalog_id END AS mpc_designation,
  outcome IN ('SUPERNOVA_CANDIDATE', 'MOVING_UNKNOWN', 'SPACE_DEBRIS', 'UNKNOWN') AS alert, obs_time FROM outcomes WHERE outcome IN ('VARIABLE_STAR', 'BINARY_STAR', 'SUPERNOVA_CANDIDATE', 'UNKNOWN', 'ASTEROID', 'COMET', 'MOVING_UNKNOWN', 'SPACE_DEBRIS'))"""

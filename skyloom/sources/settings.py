@@ -17,7 +17,14 @@ SETTINGS = {
     "STAR_FWHM_MAX_ARCSEC": ("float", "8.0"),
     "STAR_ELONGATION_MAX": ("float", "1.5"),
     "STAR_SNR_MIN": ("float", "50.0"),
+    "SEP_DETECT_THRESH": ("float", "10.0"),
+    "SEP_MIN_AREA": ("int", "15"),
+    "STREAK_DETECT_SIGMA": ("float", "3.0"),
+    "STREAK_ELONGATION_MIN": ("float", "5.0"),
+    "STREAK_MIN_LENGTH_ARCSEC": ("float", "30.0"),
+    "STREAK_MASK_DILATE_ARCSEC": ("float", "3.0"),
     "SATURATION_ADU": ("float", "60000"),
+    "SATURATION_MASK_RADIUS_ARCSEC": ("float", "10.0"),
     "MATCH_CONE_ARCSEC": ("float", "5.0"),
     "MOVING_CONE_ARCSEC": ("float", "120.0"),
     "DELTA_MAG_ALERT": ("float", "0.5"),
@@ -27,13 +34,31 @@ SETTINGS = {
     "SPACE_DEBRIS_EDGE_ELONGATION_MIN": ("float", "6.0"),
     "SUBTRACTION_MIN_FRAMES": ("int", "3"),
     "SUBTRACTION_DETECT_SIGMA": ("float", "5.0"),
+    "SUBTRACTION_PREROTATE_MIN_DEG": ("float", "2.0"),
     "FORCED_PHOTOMETRY_ENABLED": ("bool", "true"),
     "FORCED_PHOTOMETRY_MAG_LIMIT": ("float", "20.0"),
     "FORCED_PHOTOMETRY_MIN_SNR": ("float", "3.0"),
+    "SITE_LAT": ("float", "0.0"),
+    "SITE_LON": ("float", "0.0"),
+    "SITE_ELEV": ("int", "0"),
+    "CHART_ENABLED": ("bool", "true"),
+    "CHART_STAMP_SIZE_ARCSEC": ("float", "60.0"),
     "CHART_MAX_EPOCHS": ("int", "12"),
+    "CHART_GIF_ENABLED": ("bool", "true"),
+    "CHART_GIF_FRAME_DURATION_MS": ("int", "700"),
+    "CHART_PREROTATE_MIN_DEG": ("float", "2.0"),
+    "NORMALIZE_ENABLED": ("bool", "true"),
+    "CACHE_TTL_HOURS": ("float", "1.0"),
     "WATCHER_DEBOUNCE_SEC": ("float", "5.0"),
     "WATCHER_MAX_BATCH_SIZE": ("int", "200"),
+    "TASK_POLL_INTERVAL_SEC": ("float", "10.0"),
+    "TASK_POLL_BACKOFF_MAX_SEC": ("float", "60.0"),
     "LOG_LEVEL": ("upper", "INFO"),
+    "ASTAP_FOV_HINT": ("float", "0"),
+    "ASTAP_RETRY_WIDE_SEARCH": ("bool", "true"),
+    "ASTAP_WIDE_SEARCH_RADIUS_DEG": ("float", "30"),
+    "ASTAP_TIMEOUT_SEC": ("float", "60"),
+    "ASTAP_WIDE_SEARCH_TIMEOUT_SEC": ("float", "240"),
     "NARROWBAND_FILTERS": ("set", "Ha,OIII,SII,NII"),
 }
 

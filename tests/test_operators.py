@@ -240,6 +240,33 @@ def test_clipping_rounds_do_not_multiply_the_plan(spark):
     assert all(r.n == 59 for r in out.collect())
 
 
+def test_runs_of_settings_equal_single_runs(spark, sf_dir):
+    from skyloom.operators import classify, whatif
+    from skyloom.plans import survey
+    from skyloom.plans.fixtures import sky as derived
+    from skyloom.sources import settings
+
+    assert len(settings.SETTINGS) == 53 and len({*settings.SETTINGS}) == 53
+    s = written(derived(spark, sf_dir, "sources").where("object IN ('OBJ1', 'OBJ2', 'OBJ3')"))
+    f = written(derived(spark, sf_dir, "frames"))
+    given = settings.applied(spark.createDataFrame(survey.WHAT_IF, "run string, param string, value string"))
+    columns = ["obs_id", "n_history", "n_covering", "vacated", "outcome"]
+    every = whatif.classified(s, s, f, 1.0, given).collect()
+    for run in ("narrow", "wide", "faint", "as it is"):
+        alone = {tuple(r[c] for c in columns) for r in whatif.classified(s, s, f, 1.0, given.where(F.col("run") == run)).collect()}
+        assert alone == {tuple(r[c] for c in columns) for r in every if r.run == run}
+    assert alone == {tuple(r[c] for c in columns) for r in classify.classified(s, s, f, 1.0).collect()}
+    assert len({(r.obs_id, r.outcome) for r in every}) > s.count()
+    assert whatif.classified(s, s, f, 1.0, given.limit(0)).count() == 0
+    shaped = calibration.shapes(derived(spark, sf_dir, "detections"))
+    strict = settings.applied(spark.createDataFrame([("a", "QC_STARS_MIN", "1"), ("b", "QC_FWHM_MAX_ARCSEC", "2.0"), ("b", "STAR_ELONGATION_MAX", "9"), ("c", "X", "1")], "run string, param string, value string"))
+    got = {(r.run, r.frame_id): (r.star_count, r.quality_flag) for r in whatif.frame_quality(shaped, strict).collect()}
+    plain = {r.frame_id: (r.star_count, r.quality_flag) for r in calibration.frame_quality(shaped).collect()}
+    assert {f: got["c", f] for f in plain} == plain
+    assert {f: got["a", f] for f in plain} == {r.frame_id: (r.star_count, r.quality_flag) for r in calibration.frame_quality(shaped, 1).collect()}
+    assert any(got["b", f] != plain[f] for f in plain) and len(got) == 3 * len(plain)
+
+
 def epochs_rows(seed, n=400):
     """Stars with many epochs, close pairs at about the radius, across RA 0 and near a pole."""
     import random
