@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from skyloom.plans.fixtures import PIXELS_SQL, clauses
 from skyloom.plans.fixtures import pixels as pixel_table
 from skyloom.plans.fixtures import sky as derived
 from skyloom.plans.registry import query, separation_sql, table
-from skyloom.sources import headers, settings, store
+from skyloom.sources import headers, heads, settings, store
 from skyloom.sources.lineage import shared_folder, written
 from skyloom.streaming import arrivals, detection
 
@@ -611,6 +613,38 @@ def k01_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return headers.frames(texts).select("path", "object_name", "observation.exptime", "instrument.camera", "sensor.gain", "observer.observer_name", "sensor.binning_x")
 
 
+def _image_files(rows: DataFrame, folder: str) -> int:
+    """Writes an image file for each row (name, object, seconds, comments) from the tasks: a header, then zeros."""
+
+    def write(batches):
+        system, base = pafs.FileSystem.from_uri(folder)
+        system.create_dir(base, recursive=True)
+        for batch in batches:
+            for r in batch.to_pylist():
+                cards = ["SIMPLE  =                    T", *["COMMENT none"] * r["comments"], f"OBJECT  = '{r['object']}'", f"EXPTIME = {r['seconds']}", "END"]
+                head = "".join(c.ljust(80) for c in cards).encode()
+                with system.open_output_stream(f"{base}/{r['name']}.fits") as out:
+                    out.write(head + b" " * (-len(head) % heads.BLOCK) + bytes(50_000))
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    return rows.mapInArrow(write, "n long").agg(F.sum("n")).first()[0]
+
+
+@query(
+    """SELECT concat('u', cast(user_id AS varchar), '.fits') AS name, concat('M', cast(user_id AS varchar)) AS object_name, cast(min(event_id) AS double) AS exptime, cast(ceil((count(*) + 4) / 36e0) * 2880 AS bigint) AS head_bytes
+ FROM events GROUP BY user_id"""
+)
+def k01_image_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An image file for each user, with a comment card for each of their events, read again by its header alone."""
+    folder = shared_folder(spark)
+    rows = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").cast("int").alias("comments"), F.min("event_id").alias("seconds"))
+    _image_files(rows.selectExpr("concat('u', cast(user_id AS string)) AS name", "concat('M ', cast(user_id AS string)) AS object", "seconds", "comments"), folder)
+    spark.dataSource.register(heads.HeadSource)
+    found = spark.read.format("image_heads").option("path", folder).load()
+    named = headers.frames(found.select("path", "header")).select("path", "object_name", "observation.exptime")
+    return named.join(found.select("path", "head_bytes"), "path").select(F.element_at(F.split("path", "/"), -1).alias("name"), "object_name", "exptime", "head_bytes")
+
+
 # Pixels --------------------------------------------------------------------------------------------------------------
 
 @query(

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.functions import names
+from skyloom.sources.heads import CARD, HeadSource
 
-CARD, BLOCK = 80, 2880
 # Keywords of each field, the first that is there and not blank counts.
 ALIASES = {
     "object": ["OBJECT", "OBJNAME", "TARGET"],
@@ -49,18 +49,16 @@ GROUPS = {
 }
 
 
-def header_texts(spark: SparkSession, path: str, blocks: int = 8) -> DataFrame:
-    """path, header of all .fits and .fit files below a folder.
+def header_texts(spark: SparkSession, path: str) -> DataFrame:
+    """path, header of all .fits and .fit files below a folder; the header is null where a file has none. No image is read (see `heads`)."""
+    spark.dataSource.register(HeadSource)
+    return spark.read.format("image_heads").option("path", path).load().select("path", "header")
 
-    The header is looked for in the first `blocks` blocks, then in ever longer parts up to the whole file, until its END card is
-    found; a file without one keeps its first `blocks` blocks.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    named = files.where(F.lower("path").rlike(r"\.(fits|fit)$"))
-    def start(n: int) -> Column:
-        return F.decode(F.substring("content", 1, n * BLOCK), "ISO-8859-1")
-    longer = [F.when(_end(start(n)) > 0, start(n)) for n in (blocks, 16 * blocks, 256 * blocks, (1 << 31) // BLOCK - 1)]
-    return named.select("path", F.coalesce(*longer, start(blocks)).alias("header"))
+
+def header_stream(spark: SparkSession, path: str) -> DataFrame:
+    """The same as a stream of the files that come."""
+    spark.dataSource.register(HeadSource)
+    return spark.readStream.format("image_heads").option("path", path).load().select("path", F.timestamp_micros("modified").alias("modified"), "header")
 
 
 def _all_cards(header: Column) -> Column:
@@ -85,7 +83,10 @@ def cards(header: Column) -> Column:
         plain = F.trim(F.regexp_extract(body, r"^= ([^/]*)", 1))
         return F.struct(F.rtrim(F.substring(c, F.lit(1), F.lit(8))).alias("key"), F.when(body.rlike(quoted), F.rtrim(text)).otherwise(plain).alias("value"))
     entries = F.transform(with_value, entry)
-    return F.map_from_entries(F.aggregate(entries, F.array().cast("array<struct<key:string,value:string>>"), lambda got, e: F.when(F.exists(got, lambda g: g["key"] == e["key"]), got).otherwise(F.concat(got, F.array(e)))))
+    # the first of a keyword: by sorting on keyword and place, each entry is held against its neighbour alone
+    numbered = F.array_sort(F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("at"), e["value"].alias("value"))))
+    first = F.filter(numbered, lambda e, i: (i == 0) | (F.get(numbered, i - 1)["key"] != e["key"]))
+    return F.map_from_entries(F.transform(first, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))))
 
 
 def frames(headers: DataFrame) -> DataFrame:

@@ -137,6 +137,43 @@ def test_headers(spark, tmp_path):
     assert r.dec == -0.5 and r.ra == pytest.approx(202.4695833) and str(r.obs_time) == "2023-02-25 12:00:00"
 
 
+def test_heads_alone_are_read(spark, tmp_path):
+    """Bytes read are the header's blocks, however large the image; files without a header have none; a stream takes what is new."""
+    import io
+    import os
+
+    from skyloom.functions import names
+    from skyloom.sources import heads
+
+    card = lambda k, v: f"{k:<8}= {v}".ljust(80)
+    head = lambda name, n: (card("SIMPLE", "T") + "COMMENT".ljust(80) * n + card("OBJECT", f"'{name}'") + "END".ljust(80))
+    padded = lambda t: t.ljust(-(-len(t) // 2880) * 2880).encode()
+    for n, blocks in ((0, 1), (33, 1), (34, 2), (500, 14)):
+        text, size = heads.read_head(io.BytesIO(padded(head("x", n)) + bytes(10**6)))
+        assert size == 2880 * blocks and text.rstrip().endswith("END") and text.count("COMMENT") == n
+    assert heads.read_head(io.BytesIO(b"")) == (None, 0)
+    assert heads.read_head(io.BytesIO(bytes(10**6))) == (None, 2880)
+    assert heads.read_head(io.BytesIO(b"x" * 5000)) == (None, 5000)
+    folder = tmp_path / "in"
+    (folder / "deep").mkdir(parents=True)
+    for k, (name, content) in enumerate([("deep/a.fits", padded(head("M 31", 40)) + bytes(10**6)), ("b.FIT", padded(head("M 33", 0))), ("c.fits", bytes(9999)), ("d.fits", b""), ("e.txt", padded(head("no", 0)))]):
+        (folder / name).write_bytes(content)
+        os.utime(folder / name, ns=(10**18 + k, 10**18 + k))
+    rows = {r.path[-6:]: r for r in headers.frames(headers.header_texts(spark, str(folder))).collect()}
+    assert len(rows) == 4 and sorted(r.object_name for r in rows.values()) == sorted(["M31", "M33", names.UNKNOWN, names.UNKNOWN])
+    got = spark.read.format("image_heads").option("path", str(folder)).option("filesPerPartition", 1).load()
+    assert got.rdd.getNumPartitions() == 4 and {(r.length > 10**6, r.head_bytes) for r in got.where("header IS NOT NULL").collect()} == {(True, 5760), (False, 2880)}
+    seen = []
+    for turn in range(3):
+        q = headers.header_stream(spark, str(folder)).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(processingTime="1 second").start()
+        q.processAllAvailable()
+        q.stop()
+        seen.append(spark.read.parquet(str(tmp_path / "out")).count())
+        (folder / f"new{turn}.fits").write_bytes(padded(head("M 1", 1)))
+    assert seen == [4, 5, 6]
+    assert headers.header_texts(spark, str(tmp_path / "nothing")).count() == 0
+
+
 def test_catalogs(spark):
     g = spark.createDataFrame([(2**60 + 1, 1.0, 2.0, 15.0, None, None, None), (5, 1.0, 2.0, float("nan"), None, None, None)], "source_id long, ra double, dec double, phot_g_mean_mag double, pmra double, pmdec double, ref_epoch double")
     assert [r.catalog_id for r in catalogs.gaia(g).collect()] == [str(2**60 + 1)]
