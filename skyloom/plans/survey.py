@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.functions import names, sky
-from skyloom.operators import calibration, classify, dedup, ephemeris, epochs, history, matching, pixels, tracks, whatif
+from skyloom.operators import calibration, classify, dedup, ephemeris, epochs, history, matching, pixels, recovery, tracks, whatif
 from skyloom.operators.cone import cone_pairs, renamed
 from skyloom.plans.fixtures import PIXELS_SQL, clauses
 from skyloom.plans.fixtures import pixels as pixel_table
@@ -712,6 +712,36 @@ def u01_all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.unionByName(s.where("from_subtraction").select("obs_id", "frame_id", F.lit("difference").alias("origin")), allowMissingColumns=True)
 
 
+#: A frame for each vector's image, with a projection of two arcseconds a pixel, and four catalogue rows in it; a quarter has a match.
+IMAGES = """SELECT vec_id AS frame_id, cast(vec_id * 7 % 360 AS double) AS crval1, cast(vec_id * 11 % 121 AS double) - 6e1 AS crval2, 2e0 / 36e2 AS px, 2016e0 + vec_id % 10 AS epoch, CASE WHEN vec_id % 5 = 0 THEN NULL ELSE 25e0 + vec_id % 3 END AS zero_point FROM embeddings"""
+STARS = """SELECT frame_id, CASE WHEN k = 3 THEN 'MPC' ELSE 'Gaia DR3' END AS catalog_name, concat('S', cast(frame_id AS string), '-', cast(k AS string)) AS catalog_id, crval2 + (k * 3e-1 - 4e-1) * px AS dec, crval1 + (3e-1 - k * 2e-1) * px / cos(radians(crval2)) AS ra,
+ CASE WHEN k = 1 THEN NULL ELSE 4e1 * k END AS pmra, -3e1 AS pmdec, CASE WHEN k = 2 THEN 2015e0 END AS ref_epoch, 14e0 + k * 3 + frame_id % 3 AS catalog_mag, (frame_id + k) % 4 = 0 AS has_match FROM images CROSS JOIN (VALUES (0), (1), (2), (3)) AS v(k)"""
+
+
+@query(
+    f"""WITH {PIXELS_SQL}, images AS ({IMAGES}), stars AS ({STARS}), open AS (SELECT s.*, i.crval1, i.crval2, i.px, i.epoch, i.zero_point, i.epoch - coalesce(ref_epoch, 2016e0) AS dt FROM stars s JOIN images i USING (frame_id) WHERE NOT has_match AND (catalog_name = 'MPC' OR catalog_mag <= 20)),
+ moved AS (SELECT * EXCLUDE (ra, dec), CASE WHEN catalog_name = 'MPC' OR pmra IS NULL OR dt = 0 THEN ra ELSE ra + pmra / 1e3 / 3.6e3 * dt / cos(radians(dec)) END AS ra, CASE WHEN catalog_name = 'MPC' OR pmra IS NULL OR dt = 0 THEN dec ELSE dec + pmdec / 1e3 / 3.6e3 * dt END AS dec FROM open),
+ den AS (SELECT *, sin(radians(crval2)) * sin(radians(dec)) + cos(radians(crval2)) * cos(radians(dec)) * cos(radians(ra - crval1)) AS den FROM moved),
+ spot AS (SELECT *, 3.5e0 - degrees(cos(radians(dec)) * sin(radians(ra - crval1)) / den) / px AS sx, 3.5e0 + degrees((cos(radians(crval2)) * sin(radians(dec)) - sin(radians(crval2)) * cos(radians(dec)) * cos(radians(ra - crval1))) / den) / px AS sy FROM den),
+ near AS (SELECT s.*, p.adu, (p.x - sx) ** 2 + (p.y - sy) ** 2 AS d2 FROM spot s JOIN pixels p USING (frame_id) WHERE sx >= 3 AND sy >= 3 AND sx < 5 AND sy < 5),
+ g AS (SELECT frame_id, catalog_id, any_value(ra) AS ra, any_value(dec) AS dec, any_value(zero_point) AS zero_point, sum(adu) FILTER (d2 <= 1) AS total, count(*) FILTER (d2 <= 1) AS area, median(adu) FILTER (d2 >= 4 AND d2 <= 9) AS bg, stddev_pop(adu) FILTER (d2 >= 4 AND d2 <= 9) AS sigma FROM near GROUP BY ALL),
+ m AS (SELECT *, total - bg * area AS net, sqrt(abs(total - bg * area) + area * sigma * sigma) AS err FROM (SELECT frame_id, catalog_id, min(ra) AS ra, min(dec) AS dec, min(zero_point) AS zero_point, min(total) AS total, min(area) AS area, min(bg) AS bg, min(sigma) AS sigma FROM g GROUP BY 1, 2))
+ SELECT frame_id, catalog_id, 'forced' AS origin, round(ra, 6) AS ra, round(dec, 6) AS dec, round(net, 4) AS flux, round(err, 4) AS flux_err, round(zero_point - 2.5e0 * log10(net), 4) AS mag FROM m WHERE net > 0 AND err > 0 AND net / err >= 1.5 UNION ALL SELECT frame_id, catalog_id, 'detection', round(ra, 6), round(dec, 6), NULL, NULL, NULL FROM stars WHERE has_match"""
+)
+def x05_u01_forced_and_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue rows that a frame has no match for are measured at their place and join what was found."""
+    images = spark.sql(IMAGES.replace("FROM embeddings", "FROM {e}"), e=table(spark, sf_dir, "embeddings"))
+    stars = spark.sql(STARS.replace("FROM images", "FROM {i}"), i=images).withColumn("object_type", F.lit("STAR"))
+    wcs = F.struct(F.lit(4.5e0).alias("crpix1"), F.lit(4.5e0).alias("crpix2"), "crval1", "crval2", (-F.col("px")).alias("cd11"), F.lit(0e0).alias("cd12"), F.lit(0e0).alias("cd21"), F.col("px").alias("cd22"))
+    frames = images.select("frame_id", "epoch", wcs.alias("wcs"), F.lit(0.5e0).alias("fwhm_px"), "zero_point", F.lit(0.1e0).alias("zero_point_err"))
+    size = images.select("frame_id", F.lit(8).alias("width"), F.lit(8).alias("height"))
+    found = stars.where("has_match")
+    places = recovery.spots(stars.drop("has_match"), found, frames)
+    forced = recovery.recovered(places, pixel_table(spark, sf_dir), size, 1.5, block=4, margin=0)
+    rows = recovery.all_rows(found.select("frame_id", "catalog_id", "ra", "dec"), found.select("frame_id", "ra", "dec").limit(0), forced)
+    return rows.select("frame_id", "catalog_id", "origin", F.round("ra", 6).alias("ra"), F.round("dec", 6).alias("dec"), F.round("flux", 4).alias("flux"), F.round("flux_err", 4).alias("flux_err"), F.round("mag", 4).alias("mag"))
+
+
 query()(a05_offsets)
 query()(w04_cross_catalog)
 query()(track_reports)

@@ -238,6 +238,33 @@ def test_reference_frames_are_ranked(spark):
     assert set(got) == {"n0", "n1", "r19"}
 
 
+def test_forced_rows_join_the_others(spark):
+    """A star that moved is measured where it is now; matched, faint, saturated, blank and outlying ones and frames without a projection give none."""
+    from skyloom.operators import recovery
+
+    px = 2 / 3600
+    bright = {("f", 20, 20): 3000.0, ("f", 40, 20): 3000.0, ("f", 20, 40): 90_000.0, ("g", 20, 20): 3000.0}
+    pixel = [(f, y, x, 100.0 + (x + y) % 3 + bright.get((f, x, y), 0.0)) for f in "fg" for y in range(60) for x in range(60)]
+    pixel = spark.createDataFrame(pixel, "frame_id string, y long, x long, adu double")
+    at = lambda x, y: (10 - (x - 29.5) * px, 0.0 + (y - 29.5) * px)
+    rows = [("f", "Gaia DR3", "now", *at(20, 20), 0.0, 0.0, 15.0), ("f", "Gaia DR3", "moved", *at(35, 20), -1000.0, 0.0, 15.0), ("f", "Gaia DR3", "hot", *at(20, 40), None, None, 15.0), ("f", "MPC", "blank", *at(40, 40), -1000.0, 0.0, None), ("f", "Gaia DR3", "edge", *at(2, 20), None, None, 15.0), ("f", "Gaia DR3", "faint", *at(20, 20), None, None, 21.0), ("f", "Gaia DR3", "matched", *at(20, 20), None, None, 15.0), ("f", "Gaia DR3", "far", 190.0, 0.0, None, None, 15.0), ("g", "Gaia DR3", "unsolved", *at(20, 20), None, None, 15.0), ("f", "MPC", "comet", *at(20, 20), 9e5, 9e5, None)]
+    field = spark.createDataFrame([(*r[:7], 2016.0, r[7], "STAR") for r in rows], "frame_id string, catalog_name string, catalog_id string, ra double, dec double, pmra double, pmdec double, ref_epoch double, catalog_mag double, object_type string")
+    matched = spark.createDataFrame([("f", "Gaia DR3", "matched")], "frame_id string, catalog_name string, catalog_id string")
+    wcs = {"crpix1": 30.5, "crpix2": 30.5, "crval1": 10.0, "crval2": 0.0, "cd11": -px, "cd12": 0.0, "cd21": 0.0, "cd22": px}
+    frames = spark.createDataFrame([("f", 2026.0, wcs, 2.0, 25.0, 0.1), ("g", 2026.0, None, 2.0, 25.0, 0.1)], "frame_id string, epoch double, wcs struct<crpix1:double,crpix2:double,crval1:double,crval2:double,cd11:double,cd12:double,cd21:double,cd22:double>, fwhm_px double, zero_point double, zero_point_err double")
+    size = spark.createDataFrame([("f", 60, 60), ("g", 60, 60)], "frame_id string, width int, height int")
+    places = recovery.spots(field, matched, frames)
+    got = {r.catalog_id: r for r in recovery.recovered(places, pixel, size, block=16).collect()}
+    assert sorted(got) == ["comet", "moved", "now"]
+    assert got["moved"].flux == pytest.approx(3000, abs=60) and got["moved"].mag == pytest.approx(25 - 2.5 * 3.477, abs=0.05) and got["moved"].elongation == 1.0
+    assert recovery.spots(field, matched, frames, forced=False).count() == 0
+    no_zero = recovery.recovered(places.withColumn("zero_point", F.lit(None).cast("double")), pixel, size, block=16)
+    assert {r.mag for r in no_zero.collect()} == {None}
+    both = recovery.all_rows(field.select("frame_id", "catalog_id", "ra"), field.select("frame_id", "catalog_id", "ra").limit(1), recovery.recovered(places, pixel, size, block=16))
+    assert {(r.origin, r["count"]) for r in both.groupBy("origin").count().collect()} == {("detection", 10), ("difference", 1), ("forced", 3)}
+    assert both.where("origin = 'difference'").first().catalog_id is None
+
+
 def test_a_mover_is_where_it_is_at_the_frame_time(spark):
     """Across RA 0 between two frames, over a pole, at a knot's own time, and not in a gap that is too long."""
     from datetime import datetime, timedelta
