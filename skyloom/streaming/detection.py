@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right, insort
+from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,45 +73,184 @@ def detect_batch(spark: SparkSession, path: str, schema: StructType, max_fov_deg
     return work
 
 
+DAY_US = 86_400_000_000
+#: Magnitudes that a block of the ordered state holds before it's split, and days that a block of the time index spans.
+BLOCK_MAGS, BLOCK_DAYS = 512, 30
+
+
+class Magnitudes:
+    """The magnitudes of one source and filter, ordered by value in blocks and by time in others. Blocks are read when they're needed and written back once.
+
+    load(kind, block) gives a block's lists or None, and the index under block None. A value's block holds all equal ones.
+    """
+
+    def __init__(self, load: Callable[[str, int | None], tuple | None]) -> None:
+        self.load, self.changed, self.dropped = load, set(), set()
+        blocks, firsts, counts, times = load("index", None) or ([], [], [], [])
+        self.blocks, self.firsts, self.counts, self.times = list(blocks), list(firsts), list(counts), list(times)
+        self.held: dict[tuple[str, int], list[list]] = {}
+
+    def index(self) -> tuple:
+        return self.blocks, self.firsts, self.counts, self.times
+
+    def block(self, kind: str, number: int) -> list[list]:
+        if (kind, number) not in self.held:
+            self.held[kind, number] = [list(x) for x in self.load(kind, number) or ((), (), ())]
+        return self.held[kind, number]
+
+    def _at(self, mag: float) -> int:
+        return max(0, bisect_right(self.firsts, mag) - 1)
+
+    def add(self, obs_id: int, at: int, mag: float) -> None:
+        k = self._at(mag)
+        if not self.blocks:
+            self.blocks, self.firsts, self.counts = [0], [mag], [0]
+        number = self.blocks[k]
+        mags = self.block("mags", number)[0]
+        insort(mags, mag)
+        self.firsts[k] = mags[0]
+        self.counts[k] += 1
+        self.changed.add(("mags", number))
+        if len(mags) > BLOCK_MAGS and mags[0] != mags[-1]:
+            middle = mags[len(mags) // 2]
+            cut = bisect_left(mags, middle) or bisect_right(mags, middle)  # equal values stay together
+            new = max(self.blocks) + 1
+            self.held["mags", new] = [mags[cut:], [], []]
+            del mags[cut:]
+            self.blocks.insert(k + 1, new)
+            self.firsts.insert(k + 1, self.held["mags", new][0][0])
+            self.counts[k : k + 1] = [len(mags), len(self.held["mags", new][0])]
+            self.changed.add(("mags", new))
+        day = at // (BLOCK_DAYS * DAY_US)
+        if day not in self.times:
+            insort(self.times, day)
+        for column, value in zip(self.block("times", day), (at, mag, obs_id), strict=True):
+            column.append(value)
+        self.changed.add(("times", day))
+
+    def not_before(self, at: int) -> list[float]:
+        """Magnitudes held of that time and later: only blocks from that time on are read."""
+        day = at // (BLOCK_DAYS * DAY_US)
+        return sorted(m for d in self.times[bisect_left(self.times, day) :] for t, m in zip(*self.block("times", d)[:2], strict=True) if t >= at)
+
+    def median_before(self, at: int) -> float | None:
+        later = self.not_before(at)
+        n = sum(self.counts) - len(later)
+        if n <= 0:
+            return None
+        edge = [bisect_left(later, f) for f in self.firsts[1:]] + [len(later)]
+        return 0.5 * self._smallest((n - 1) // 2, later, edge) + 0.5 * self._smallest(n // 2, later, edge)
+
+    def _smallest(self, k: int, later: list[float], edge: list[int]) -> float:
+        """The k-th smallest of what is held but for `later`, whose part in each block ends at edge."""
+        begin = 0
+        for number, count, end in zip(self.blocks, self.counts, edge, strict=True):
+            left = count - (end - begin)
+            if k < left:
+                mags, gone, out = self.block("mags", number)[0], later[begin:end], 0
+                for m in mags:
+                    if out < len(gone) and gone[out] == m:
+                        out += 1
+                    elif k == 0:
+                        return m
+                    else:
+                        k -= 1
+            k -= left
+            begin = end
+        raise AssertionError("fewer magnitudes than counted")
+
+    def expire(self, before: int) -> list[int]:
+        """Drops the time blocks that end before a time; returns the observations in them."""
+        gone = []
+        while self.times and (self.times[0] + 1) * BLOCK_DAYS * DAY_US <= before:
+            day = self.times.pop(0)
+            _, mags, ids = self.block("times", day)
+            gone += ids
+            for m in mags:
+                k = self._at(m)
+                block = self.block("mags", self.blocks[k])[0]
+                del block[bisect_left(block, m)]
+                self.counts[k] -= 1
+                self.changed.add(("mags", self.blocks[k]))
+                if block:
+                    self.firsts[k] = block[0]
+                else:
+                    self.dropped.add(("mags", self.blocks[k]))
+                    del self.blocks[k], self.firsts[k], self.counts[k]
+            self.dropped.add(("times", day))
+        return gone
+
+
 class _LightCurve(StatefulProcessor):
-    """Magnitudes seen per source with their times, and the median before each new one."""
+    """Magnitudes seen per source and filter, and the median before each new one."""
 
-    def __init__(self, ttl_ms: int | None) -> None:
-        self.ttl = ttl_ms
+    def __init__(self, keep_us: int | None) -> None:
+        self.keep = keep_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getListState("seen", "obs_id long, at long, filter string, mag double", ttlDurationMs=self.ttl)
+        self.seen = handle.getMapState("seen", "obs_id long", "known boolean")
+        self.index = handle.getMapState("index", "filter string", "blocks array<long>, firsts array<double>, counts array<long>, times array<long>")
+        self.mags = handle.getMapState("mags", "filter string, block long", "mags array<double>")
+        self.times = handle.getMapState("times", "filter string, block long", "at array<long>, mag array<double>, obs_id array<long>")
+
+    def _loader(self, name: str):
+        def load(kind: str, block: int | None) -> tuple | None:
+            if kind == "index":
+                return self.index.getValue((name,)) if self.index.containsKey((name,)) else None
+            state = self.mags if kind == "mags" else self.times
+            if not state.containsKey((name, block)):
+                return None
+            value = tuple(state.getValue((name, block)))
+            return value if kind == "times" else (*value, (), ())
+
+        return load
+
+    def _store(self, name: str, held: Magnitudes) -> None:
+        for kind, block in held.changed - held.dropped:
+            lists = held.block(kind, block)
+            (self.mags if kind == "mags" else self.times).updateValue((name, block), tuple(lists[:1] if kind == "mags" else lists))
+        for kind, block in held.dropped:
+            state = self.mags if kind == "mags" else self.times
+            if state.containsKey((name, block)):
+                state.removeKey((name, block))
+        self.index.updateValue((name,), held.index())
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(rows), ignore_index=True)
-        held = list(self.seen.get())
-        known = {h[0] for h in held}
-        fresh = new[new["at"].notna() & new["filter"].notna() & new["mag"].notna() & ~new["obs_id"].isin(known)].drop_duplicates("obs_id")
-        added = [(int(i), int(t), f, float(m)) for i, t, f, m in fresh[["obs_id", "at", "filter", "mag"]].itertuples(index=False)]
-        if added:
-            self.seen.appendList(added)
-        every = pd.DataFrame(held + added, columns=["obs_id", "at", "filter", "mag"]).sort_values("at", kind="stable")
-        median = pd.Series(np.nan, index=new.index)
-        for name, own in every.groupby("filter"):
-            times, mags = own["at"].to_numpy(np.int64), own["mag"].to_numpy(np.float64)
-            mine = new.index[(new["filter"] == name) & new["at"].notna()]
-            before = np.searchsorted(times, new.loc[mine, "at"].to_numpy(np.int64), side="left")
-            median[mine] = [np.median(mags[:n]) if n else np.nan for n in before.tolist()]
-        values = [None if np.isnan(m) else float(m) for m in median]
-        yield pd.DataFrame({"source_id": key[0], "obs_id": new["obs_id"], "median_mag": pd.Series(values, index=new.index, dtype=object)})
+        median: list[float | None] = [None] * len(new)
+        for name, own in new[new["at"].notna() & new["filter"].notna()].groupby("filter"):
+            held = Magnitudes(self._loader(name))
+            newest = int(own["at"].max())
+            for at, group in own.groupby("at"):  # in order of time: a row meets what is before its own
+                value = held.median_before(int(at))
+                for i, obs_id, mag in group[["obs_id", "mag"]].itertuples():
+                    median[i] = value
+                for obs_id, mag in group[["obs_id", "mag"]].itertuples(index=False):
+                    if not pd.isna(mag) and not self.seen.containsKey((int(obs_id),)):
+                        self.seen.updateValue((int(obs_id),), (True,))
+                        held.add(int(obs_id), int(at), float(mag))
+            if self.keep is not None:
+                for obs_id in held.expire(newest - self.keep):
+                    self.seen.removeKey((obs_id,))
+            self._store(name, held)
+        yield pd.DataFrame({"source_id": key[0], "obs_id": new["obs_id"], "median_mag": pd.Series(median, index=new.index, dtype=object)})
 
     def close(self) -> None:
         pass
 
 
-def light_curves(observations: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+def light_curves(observations: DataFrame, keep_days: float | None = None) -> DataFrame:
     """source_id, obs_id, median_mag: the median of magnitudes of the same source and filter at strictly earlier times, as a stream.
 
-    The state per source holds (obs_id, time, filter, mag), so a late row is compared with what was before its own time; what came
-    earlier in the stream but is later in time isn't judged anew. A repeated obs_id adds nothing to the state. Rows without a
-    source go; without a time, a filter or earlier magnitudes the median is null. Needs the RocksDB state store and sets it.
+    The state of a source is ordered: magnitudes in blocks by value with a count for each block, and in blocks by time. A row in the order of time reads the
+    counts and a block or two, whatever was seen before; a late row also reads the blocks from its time on, to leave out what is later. So a late row is
+    compared with what was before its own time; what came earlier in the stream but is later in time isn't judged anew. A repeated obs_id
+    adds nothing to the state. Rows without a source go; without a time, a filter or earlier magnitudes the median is null. keep_days: how much of a
+    source's own time is kept at least before its newest row (blocks of BLOCK_DAYS days are forgotten whole); null keeps everything. Needs the
+    RocksDB state store and sets it.
     """
     observations.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     at = F.unix_micros(F.col("obs_time").cast("timestamp")).alias("at")
     rows = observations.where("source_id IS NOT NULL").select("source_id", F.col("obs_id").cast("long").alias("obs_id"), at, "filter", F.col("mag").cast("double").alias("mag"))
-    return rows.groupBy("source_id").transformWithStateInPandas(_LightCurve(ttl_ms), "source_id string, obs_id long, median_mag double", "Append", "None" if ttl_ms is None else "ProcessingTime")
+    keep = None if keep_days is None else int(keep_days * DAY_US)
+    return rows.groupBy("source_id").transformWithStateInPandas(_LightCurve(keep), "source_id string, obs_id long, median_mag double", "Append", "None")

@@ -154,6 +154,45 @@ def test_two_writers_and_a_crash(spark, tmp_path):
         both.put(number, state)
 
 
+def test_ordered_state_equals_medians_of_all_before(monkeypatch):
+    """Late rows, ties of values and times, blocks that split and expire; a row in order reads few blocks."""
+    monkeypatch.setattr(detection, "BLOCK_MAGS", 8)
+    rng = random.Random(4)
+    store_, reads = {}, []
+
+    def load(kind, block):
+        reads.append((kind, block))
+        return store_.get((kind, block))
+
+    seen: list[tuple[int, float]] = []
+    day = detection.DAY_US
+    for k in range(700):
+        held = detection.Magnitudes(load)
+        at = (k // 2 if rng.random() < 0.8 else rng.randrange(k // 2 + 1)) * day
+        reads.clear()
+        want = sorted(m for t, m in seen if t < at)
+        got = held.median_before(at)
+        assert got == (0.5 * want[(len(want) - 1) // 2] + 0.5 * want[len(want) // 2] if want else None)
+        if at == k // 2 * day:
+            assert len(reads) <= 4  # two blocks of values, two of times
+        mag = rng.choice([round(rng.gauss(12, 1), 1), 12.0])
+        held.add(k, at, mag)
+        seen.append((at, mag))
+        if k % 100 == 99:
+            edge = (k // 2 - 60) * day
+            block = detection.BLOCK_DAYS * day
+            gone = held.expire(edge)
+            assert sorted(gone) == [i for i, (t, _) in enumerate(seen) if (t // block + 1) * block <= edge]
+            seen = [(t, m) if (t // block + 1) * block > edge else (10**18, m) for t, m in seen]
+        for kind, number in held.changed - held.dropped:
+            store_[kind, number] = tuple(map(tuple, held.block(kind, number)))
+        for x in held.dropped:
+            store_.pop(x, None)
+        store_["index", None] = held.index()
+        assert held.firsts == sorted(held.firsts) and len({*held.blocks}) == len(held.blocks)
+    assert len(store_["index", None][0]) > 5
+
+
 def test_light_curves_with_late_and_repeated_rows(spark, tmp_path):
     kind = "source_id string, obs_id long, obs_time timestamp_ntz, filter string, mag double"
     day = lambda d: datetime(2024, 1, d)
