@@ -282,6 +282,16 @@ def w03_unmatched_near_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.unmatched_near_matched(crowd).select("obs_id")
 
 
+_RANK = "CASE catalog_name " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in dedup.PRIORITY.items()) + " ELSE 5 END"
+
+
+@query(
+    f"""WITH RECURSIVE {clauses("sources")}, own AS (SELECT *, {_RANK} AS rank, coalesce(flux, 0e0) AS light FROM sources WHERE catalog_name IS NOT NULL),
+ pr AS (SELECT s.frame_id, s.obs_id AS x, k.obs_id AS y, row_number() OVER (PARTITION BY s.frame_id ORDER BY s.obs_id, k.obs_id) AS n, CASE WHEN (s.rank, s.from_subtraction, -s.light, s.obs_id) < (k.rank, k.from_subtraction, -k.light, k.obs_id) THEN k.obs_id ELSE s.obs_id END AS loser
+ FROM own s JOIN own k ON k.frame_id = s.frame_id AND s.obs_id < k.obs_id AND s.catalog_name <> k.catalog_name AND {SEP} < {dedup.CONE}),
+ played AS (SELECT frame_id, cast(0 AS bigint) AS n, cast([] AS bigint[]) AS gone FROM pr GROUP BY 1 UNION ALL SELECT p.frame_id, p.n, CASE WHEN list_contains(gone, x) OR list_contains(gone, y) THEN gone ELSE list_append(gone, loser) END FROM played q JOIN pr p ON p.frame_id = q.frame_id AND p.n = q.n + 1)
+ SELECT obs_id, frame_id, catalog_name FROM sources WHERE obs_id NOT IN (SELECT unnest(gone) FROM (SELECT gone FROM played QUALIFY row_number() OVER (PARTITION BY frame_id ORDER BY n DESC) = 1))"""
+)
 def w04_cross_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.cross_catalog(derived(spark, sf_dir, "sources").withColumn("seq", F.col("obs_id"))).select("obs_id", "frame_id", "catalog_name")
 
@@ -743,5 +753,4 @@ def x05_u01_forced_and_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 query()(a05_offsets)
-query()(w04_cross_catalog)
 query()(track_reports)
