@@ -70,7 +70,7 @@ def tables(radius: int) -> Column:
 def _met(left: DataFrame, right: DataFrame, radius: int, which: Column) -> DataFrame:
     keyed = lambda rows, name: rows.select("bits", tables(radius).alias("k")).select(F.col("bits").alias(name), "k.t", "k.key")
     distance = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    a, b = keyed(left, "a"), keyed(right, "b").withColumnsRenamed({"t": "u", "key": "of"})
+    a, b = keyed(left, "a"), keyed(right, "b").withColumnsRenamed({"t": "u", "key": "of"}).hint("merge")  # nothing bounds either side
     return a.join(b, (F.col("t") == F.col("u")) & (F.col("key") == F.col("of")) & which & (distance <= radius)).select("a", "b", distance.alias("distance")).distinct()
 
 
