@@ -8,7 +8,9 @@ one blank before a run belongs to it, the last white-space character before a ru
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -78,10 +80,10 @@ class Vocabulary:
     """Resolves pre-tokens to ids and remembers them in a hash table of fixed size, for as long as the Python worker lives.
 
     An entry is found by the pre-token's 64-bit hash and confirmed by its first eight bytes, so pre-tokens of up to eight bytes are
-    told apart by their bytes and longer ones by 128 bits. The table starts anew when it is half full.
+    told apart by their bytes and longer ones by 128 bits. The table starts anew when three quarters of it are full.
     """
 
-    SLOT_BITS = 20
+    SLOT_BITS = 21
 
     def __init__(self, resolve) -> None:
         self.resolve = resolve
@@ -109,12 +111,12 @@ class Vocabulary:
             rest = rest[(self.name[at] != name[rest]) | (self.head[at] != head[rest])]
         return slot
 
-    def _add(self, name: np.ndarray, head: np.ndarray, found: list[tuple[int, ...]]) -> None:
+    def _add(self, name: np.ndarray, head: np.ndarray, found: list[Sequence[int]]) -> None:
         size = np.fromiter(map(len, found), np.int64, len(found))
         total = int(size.sum())
         if self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), total), np.uint32)])
-        self.flat[self.used : self.used + total] = np.fromiter((i for f in found for i in f), np.uint32, total)
+        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
         begin = self.used + np.cumsum(size) - size
         self.used += total
         self.entries += len(found)
@@ -141,8 +143,8 @@ class Vocabulary:
             new = new[np.lexsort((head[new], name[new]))]
             other = (np.diff(name[new]) != 0) | (np.diff(head[new]) != 0)
             new = new[np.append(True, other)]
-            if self.entries + len(new) > 1 << self.SLOT_BITS - 1:
-                if len(new) > 1 << self.SLOT_BITS - 1:  # one very long text
+            if self.entries + len(new) > 3 << self.SLOT_BITS - 2:
+                if len(new) > 3 << self.SLOT_BITS - 2:  # one very long text
                     self.SLOT_BITS = len(new).bit_length() + 1
                 self.clear()
                 return self.ids(column)

@@ -113,17 +113,31 @@ class Histogram:
         return before + low, np.floor(self.cum.take(at + 1) * scaled) - low
 
 
+#: Lanes whose ids are numbered at once: their arrays stay in the caches.
+LANES_AT_ONCE = 32
+
+
 def numbered(blocks: np.ndarray) -> np.ndarray:
     """The step at which the id of each place first occurred in its lane."""
     steps, lanes = blocks.shape
-    lane, t = np.arange(lanes, dtype=np.int64)[None, :], np.arange(steps, dtype=np.int64)[:, None]
-    order = np.sort((lane << STEP_BITS + 24 | blocks.astype(np.int64) << STEP_BITS | t).ravel())
-    group = order >> STEP_BITS
-    new = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-    step = order & (1 << STEP_BITS) - 1
-    out = np.empty(steps * lanes, np.int16)
-    out[step * lanes + (order >> STEP_BITS + 24)] = np.repeat(step[new].astype(np.int16), np.diff(np.append(new, len(order))))
-    return out.reshape(steps, lanes)
+    out = np.empty((steps, lanes), np.int16)
+    kind = np.int32 if blocks.size and int(blocks.max()) < 1 << 31 - STEP_BITS else np.int64
+    t = np.arange(steps, dtype=kind)
+    for a in range(0, lanes, LANES_AT_ONCE):
+        some = blocks[:, a : a + LANES_AT_ONCE].T.astype(kind)
+        order = some << STEP_BITS
+        order += t
+        order.sort(axis=1)
+        group = order >> STEP_BITS
+        new = np.ones(order.shape, bool)
+        np.not_equal(group[:, 1:], group[:, :-1], out=new[:, 1:])
+        step = order & (1 << STEP_BITS) - 1
+        begin = np.flatnonzero(new)
+        first = np.repeat(step.ravel()[begin].astype(np.int16), np.diff(np.append(begin, new.size)))
+        own = np.empty(order.shape, np.int16)
+        np.put_along_axis(own, step, first.reshape(order.shape), axis=1)
+        out[:, a : a + LANES_AT_ONCE] = own.T
+    return out
 
 
 class Writer:

@@ -56,9 +56,8 @@ class LibraryTokenizer:
         theirs = split and [probe[a:b].encode() for _, (a, b) in split.pre_tokenize_str(probe)]
         self.vocabulary = pretokens.Vocabulary(self.resolve) if ours == theirs and self.library.normalizer is None else None
 
-    def resolve(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        made = self.library.encode_batch([p.decode() for p in pieces], add_special_tokens=False)
-        return [tuple(x.ids) for x in made]
+    def resolve(self, pieces: list[bytes]) -> list[list[int]]:
+        return [x.ids for x in self.library.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
 
     def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not self.vocabulary:
