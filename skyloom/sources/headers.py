@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,32 +63,37 @@ def header_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.format("image_heads").option("path", path).load().select("path", F.timestamp_micros("modified").alias("modified"), "header")
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value worked out once a row: a lambda that names an expression works it out anew for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _all_cards(header: Column) -> Column:
-    n = F.floor(F.length(header) / CARD).cast("int")
-    return F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.substring(header, i * CARD + 1, F.lit(CARD)))
+    return F.regexp_extract_all(header, F.lit(rf"(?s)\A.{{0,{CARD - 1}}}\z|.{{{CARD}}}"), F.lit(0))  # one pass; substring would count from the start for each
 
 
-def _end(header: Column) -> Column:
-    """The number of the END card, from 1; 0 where there is none."""
-    return F.array_position(F.transform(_all_cards(header), lambda c: F.rtrim(F.substring(c, F.lit(1), F.lit(8))) == "END"), True)
+def _before_end(all_cards: Column) -> Column:
+    """The cards before END, or all where there is none."""
+    end = F.array_position(F.transform(all_cards, lambda c: F.rtrim(F.substring(c, F.lit(1), F.lit(8)))), "END")
+    return F.when(end > 0, F.slice(all_cards, F.lit(1), F.greatest(end - 1, F.lit(0)).cast("int"))).otherwise(all_cards)
 
 
 def cards(header: Column) -> Column:
     """Keyword to value: quotes and comments taken off, doubled quotes made single, the first of repeated keywords."""
-    all_cards, end = _all_cards(header), _end(header)
-    used = F.when(end > 0, F.slice(all_cards, F.lit(1), (end - 1).cast("int"))).otherwise(all_cards)
-    with_value = F.filter(used, lambda c: F.substring(c, F.lit(9), F.lit(2)) == "= ")
     quoted = r"^= +'((?:[^']|'')*)'"
     def entry(c: Column) -> Column:
         body = F.substring(c, F.lit(9), F.lit(CARD - 8))
         text = F.replace(F.regexp_extract(body, quoted, 1), F.lit("''"), F.lit("'"))
         plain = F.trim(F.regexp_extract(body, r"^= ([^/]*)", 1))
         return F.struct(F.rtrim(F.substring(c, F.lit(1), F.lit(8))).alias("key"), F.when(body.rlike(quoted), F.rtrim(text)).otherwise(plain).alias("value"))
-    entries = F.transform(with_value, entry)
     # the first of a keyword: by sorting on keyword and place, each entry is held against its neighbour alone
-    numbered = F.array_sort(F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("at"), e["value"].alias("value"))))
-    first = F.filter(numbered, lambda e, i: (i == 0) | (F.get(numbered, i - 1)["key"] != e["key"]))
-    return F.map_from_entries(F.transform(first, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))))
+    def first(numbered: Column) -> Column:
+        kept = F.filter(numbered, lambda e, i: (i == 0) | (F.get(numbered, i - 1)["key"] != e["key"]))
+        return F.map_from_entries(F.transform(kept, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))))
+    def read(used: Column) -> Column:
+        entries = F.transform(F.filter(used, lambda c: F.substring(c, F.lit(9), F.lit(2)) == "= "), entry)
+        return F.array_sort(F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("at"), e["value"].alias("value"))))
+    return _bound(_bound(_all_cards(header), lambda every: read(_before_end(every))), first)
 
 
 def frames(headers: DataFrame) -> DataFrame:
