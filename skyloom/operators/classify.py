@@ -46,14 +46,14 @@ def classified(current: DataFrame, past: DataFrame, frames: DataFrame, max_fov_d
     """obs_id, frame_id, n_history, n_covering, vacated, delta_mag, outcome of every current row.
 
     `current` may be one frame's sources or the whole history: the same joins classify all of it at once. History and coverage are counted
-    without pairs. The wide cone is joined only for rows without narrow history, the ones that can have left a place; `own` (current, where it
+    without pairs. The wide cone is searched only for rows without narrow history, the ones that can have left a place; `own` (current, where it
     isn't given) holds all sources of the current rows' frames, which may have stayed there. What several joins use is written once
     to the shared folder; current and past should be tables themselves, since they are read several times.
     """
     narrow = written(epochs.narrow(current, past))
     covered = history.coverage(current, frames, max_fov_deg)
     fresh = current.join(narrow.select("obs_id"), "obs_id", "left_anti")
-    moved = history.vacated_among(written(history.history_pairs(fresh, past)), current if own is None else own).withColumn("vacated", F.lit(True))
+    moved = history.vacated(fresh, past, current if own is None else own).withColumn("vacated", F.lit(True))
     rows = current.join(narrow, "obs_id", "left").join(covered, "obs_id", "left").join(moved, "obs_id", "left")
     return described(rows)
 
