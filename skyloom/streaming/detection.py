@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -76,6 +77,8 @@ def detect_batch(spark: SparkSession, path: str, schema: StructType, max_fov_deg
 DAY_US = 86_400_000_000
 #: Magnitudes that a block of the ordered state holds before it's split, and days that a block of the time index spans.
 BLOCK_MAGS, BLOCK_DAYS = 512, 30
+#: Identifiers that a bucket of seen observations holds on average before their number doubles.
+SEEN_IDS = 256
 
 
 class Magnitudes:
@@ -105,6 +108,7 @@ class Magnitudes:
         k = self._at(mag)
         if not self.blocks:
             self.blocks, self.firsts, self.counts = [0], [mag], [0]
+            self.held["mags", 0] = [[], [], []]
         number = self.blocks[k]
         mags = self.block("mags", number)[0]
         insort(mags, mag)
@@ -124,6 +128,7 @@ class Magnitudes:
         day = at // (BLOCK_DAYS * DAY_US)
         if day not in self.times:
             insort(self.times, day)
+            self.held["times", day] = [[], [], []]
         for column, value in zip(self.block("times", day), (at, mag, obs_id), strict=True):
             column.append(value)
         self.changed.add(("times", day))
@@ -181,6 +186,47 @@ class Magnitudes:
         return gone
 
 
+class Seen:
+    """The observations of one source in buckets by hash, each read when it's needed and written back once; their number doubles as they fill.
+
+    load(bucket) gives a bucket's identifiers or None.
+    """
+
+    def __init__(self, load: Callable[[int], list[int] | None], buckets: int = 1, count: int = 0) -> None:
+        self.load, self.buckets, self.count = load, buckets, count
+        self.held: dict[int, set[int]] = {}
+        self.changed: set[int] = set()
+
+    def _bucket(self, obs_id: int) -> tuple[int, set[int]]:
+        number = (obs_id * 0x9E3779B97F4A7C15 % (1 << 64) >> 32) % self.buckets
+        if number not in self.held:
+            self.held[number] = set(self.load(number) or ()) if self.count else set()
+        return number, self.held[number]
+
+    def add(self, obs_id: int) -> bool:
+        """Whether it's new."""
+        number, known = self._bucket(obs_id)
+        if obs_id in known:
+            return False
+        known.add(obs_id)
+        self.changed.add(number)
+        self.count += 1
+        if self.count > SEEN_IDS * self.buckets:
+            every = [i for n in range(self.buckets) for i in (self.held[n] if n in self.held else self.load(n) or ())]
+            self.buckets *= 2
+            self.held = {n: set() for n in range(self.buckets)}
+            self.changed = set(range(self.buckets))
+            for i in every:
+                self._bucket(i)[1].add(i)
+        return True
+
+    def remove(self, obs_id: int) -> None:
+        number, known = self._bucket(obs_id)
+        known.discard(obs_id)
+        self.changed.add(number)
+        self.count -= 1
+
+
 class _LightCurve(StatefulProcessor):
     """Magnitudes seen per source and filter, and the median before each new one."""
 
@@ -188,7 +234,8 @@ class _LightCurve(StatefulProcessor):
         self.keep = keep_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", "obs_id long", "known boolean")
+        self.size = handle.getValueState("size", "buckets long, count long")
+        self.seen = handle.getMapState("seen", "bucket long", "obs_id array<long>")
         self.index = handle.getMapState("index", "filter string", "blocks array<long>, firsts array<double>, counts array<long>, times array<long>")
         self.mags = handle.getMapState("mags", "filter string, block long", "mags array<double>")
         self.times = handle.getMapState("times", "filter string, block long", "at array<long>, mag array<double>, obs_id array<long>")
@@ -218,21 +265,28 @@ class _LightCurve(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(rows), ignore_index=True)
         median: list[float | None] = [None] * len(new)
-        for name, own in new[new["at"].notna() & new["filter"].notna()].groupby("filter"):
-            held = Magnitudes(self._loader(name))
-            newest = int(own["at"].max())
-            for at, group in own.groupby("at"):  # in order of time: a row meets what is before its own
-                value = held.median_before(int(at))
-                for i, obs_id, mag in group[["obs_id", "mag"]].itertuples():
+        size = self.size.get()
+        seen = Seen(lambda n: list(self.seen.getValue((n,))[0]) if self.seen.containsKey((n,)) else None, *(size or ()))
+        known = new[new["at"].notna() & new["filter"].notna()]
+        # plain tuples in order of filter, time and arrival: groups of a few rows each cost more than their work as data frames
+        line = sorted(zip(known["filter"].tolist(), map(int, known["at"].tolist()), known.index.tolist(), known["obs_id"].tolist(), known["mag"].tolist(), strict=True), key=lambda r: r[:3])
+        for name, own in groupby(line, key=lambda r: r[0]):
+            # a source that comes for the first time has no state to read
+            held, newest = Magnitudes(self._loader(name) if size else lambda *_: None), 0
+            for at, group in groupby(own, key=lambda r: r[1]):  # a row meets what is before its own time
+                value, newest = held.median_before(at), at
+                for _, _, i, obs_id, mag in group:
                     median[i] = value
-                for obs_id, mag in group[["obs_id", "mag"]].itertuples(index=False):
-                    if not pd.isna(mag) and not self.seen.containsKey((int(obs_id),)):
-                        self.seen.updateValue((int(obs_id),), (True,))
-                        held.add(int(obs_id), int(at), float(mag))
+                    if not pd.isna(mag) and seen.add(int(obs_id)):
+                        held.add(int(obs_id), at, float(mag))
             if self.keep is not None:
                 for obs_id in held.expire(newest - self.keep):
-                    self.seen.removeKey((obs_id,))
+                    seen.remove(obs_id)
             self._store(name, held)
+        for n in seen.changed:
+            self.seen.updateValue((n,), (sorted(seen.held[n]),))
+        if len(line):
+            self.size.update((seen.buckets, seen.count))
         yield pd.DataFrame({"source_id": key[0], "obs_id": new["obs_id"], "median_mag": pd.Series(median, index=new.index, dtype=object)})
 
     def close(self) -> None:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from skyloom.operators import classify, history, whatif
+from skyloom.operators import classify, history, matching, whatif
 from skyloom.sources import headers, settings
+from skyloom.streaming import detection
 
 
 def test_header_cards_are_read_once(spark):
@@ -55,3 +56,32 @@ def test_what_if_runs_make_no_pairs_of_history(spark, monkeypatch):
     runs = settings.applied(spark.createDataFrame([("a", "MATCH_CONE_ARCSEC", "28"), ("b", "MATCH_CONE_ARCSEC", "29"), ("c", "MOVING_CONE_ARCSEC", "20")], "run string, param string, value string"))
     got = {(r.run, r.obs_id): (r.n_history, r.vacated) for r in whatif.classified(rows, rows, frames, 1.0, runs).collect()}
     assert [got[run, 59] for run in "abc"] == [(0, True), (1, False), (0, False)] and got["b", 50] == got["c", 50] == (20, False)
+
+
+def test_copies_meet_once_in_matching(spark, monkeypatch):
+    met, plain = [], matching.cone_pairs
+    monkeypatch.setattr(matching, "cone_pairs", lambda left, right, *a, **k: met.append((left.count(), right.count())) or plain(left, right, *a, **k))
+    s = spark.createDataFrame([(i, f"f{i % 5}", 10.0, 20.0) for i in range(40)], "obs_id long, frame_id string, ra double, dec double")
+    k = spark.createDataFrame([(name, p, f"{name}-{i}", 10.0, 20.0 + 1 / 3600, 12.0, "STAR") for p, name in enumerate(("Gaia DR3", "MPC")) for i in range(30)], "catalog_name string, prio int, catalog_id string, ra double, dec double, catalog_mag double, object_type string")
+    assert {r.catalog_id for r in matching.cascade(s, k).collect()} == {"Gaia DR3-0"}
+    assert {r.catalog_id for r in matching.nearest(s, k).collect()} == {"Gaia DR3-0"}
+    assert sorted((r.obs_id, r.catalog_id) for r in matching.movers(s, k, s.limit(0)).collect()) == [(i, "MPC-0") for i in range(5)]
+    assert matching.offset_votes(s, k).agg({"weight": "sum"}).first()[0] == matching.offset_pairs(s, k).count() == 1200
+    frames = spark.createDataFrame([(f"f{i}", 10.0, 20.0, 1.0) for i in range(5)], "frame_id string, ra_center double, dec_center double, fov_deg double")
+    have = spark.createDataFrame([("f1", "Gaia DR3", "Gaia DR3-7"), ("f2", "MPC", "MPC-3")], "frame_id string, catalog_name string, catalog_id string")
+    left = {(r.frame_id, r.catalog_id) for r in matching.unmatched_footprint(frames, k, have, 1.0).collect()}
+    assert left == {(f"f{i}", r.catalog_id) for i in range(5) for r in k.collect()} - {("f1", "Gaia DR3-7"), ("f2", "MPC-3")}
+    assert met == [(1, 1), (1, 1), (40, 1), (40, 1), (40, 30), (1, 60)]
+
+
+def test_seen_observations_take_a_state_call_a_bucket():
+    state: dict[int, list[int]] = {}
+    calls, buckets, count = [], 1, 0
+    for part in range(10):
+        seen = detection.Seen(lambda n: calls.append(n) or state.get(n), buckets, count)
+        assert all(seen.add(i * 1500) for i in range(part * 300, part * 300 + 300)) and not seen.add(part * 1500)
+        state.update({n: sorted(seen.held[n]) for n in seen.changed})
+        buckets, count = seen.buckets, seen.count
+    assert sorted(i for n in state for i in state[n]) == [i * 1500 for i in range(3000)] and buckets == 16 and len(calls) < 150
+    seen.remove(0)
+    assert seen.add(0)
