@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from skyloom.operators import classify, history, matching, whatif
+import pyarrow as pa
+
+from skyloom.operators import classify, dedup, history, matching, whatif
 from skyloom.sources import headers, settings
 from skyloom.streaming import detection
 
@@ -85,3 +87,15 @@ def test_seen_observations_take_a_state_call_a_bucket():
     assert sorted(i for n in state for i in state[n]) == [i * 1500 for i in range(3000)] and buckets == 16 and len(calls) < 150
     seen.remove(0)
     assert seen.add(0)
+
+
+def test_chains_are_replayed_as_sorted_pairs_stream_by(spark):
+    kind = "obs_id long, frame_id string, seq long, ra double, dec double, catalog_name string, from_subtraction boolean, flux double"
+    names = ["Simbad", "Gaia DR3", "2MASS"]
+    rows = [(f * 10 + k, f"f{f}", f * 10 + k, 10.0 + k * 4 / 3600, 0.0, names[k % 3], False, 1.0) for f in range(3) for k in range(4)]
+    kept = dedup.cross_catalog(spark.createDataFrame(rows, kind))
+    assert "FlatMapGroups" not in kept._jdf.queryExecution().optimizedPlan().toString()  # no call of Python for each frame
+    assert {r.obs_id for r in kept.collect()} == {f * 10 + k for f in range(3) for k in (0, 3)}
+    batch = pa.RecordBatch.from_pydict({"frame_id": ["a", "a", "a", "b"], "obs_id": [1, 2, 3, 2], "o_obs_id": [2, 3, 4, 5], "wins": [True, True, False, False]})
+    parts = dedup._replayed(iter([batch.slice(0, 1), batch.slice(1, 1), batch.slice(2)]))  # a frame goes on in the next batch
+    assert [x for b in parts for x in b.column(0).to_pylist()] == [2, 3, 2]
