@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 import pyarrow as pa
 
-from skyloom.operators import classify, dedup, history, matching, whatif
+from skyloom.operators import classify, dedup, ephemeris, history, matching, whatif
 from skyloom.sources import headers, settings
 from skyloom.streaming import detection
 
@@ -99,3 +100,18 @@ def test_chains_are_replayed_as_sorted_pairs_stream_by(spark):
     batch = pa.RecordBatch.from_pydict({"frame_id": ["a", "a", "a", "b"], "obs_id": [1, 2, 3, 2], "o_obs_id": [2, 3, 4, 5], "wins": [True, True, False, False]})
     parts = dedup._replayed(iter([batch.slice(0, 1), batch.slice(1, 1), batch.slice(2)]))  # a frame goes on in the next batch
     assert [x for b in parts for x in b.column(0).to_pylist()] == [2, 3, 2]
+
+
+def test_movers_are_placed_only_within_their_pieces_ball(spark):
+    frames = spark.createDataFrame([("f", datetime(2024, 1, 1, 6), 10.0, 0.0, 1.0)], "frame_id string, obs_time timestamp, ra_center double, dec_center double, fov_deg double")
+    knots = [(d, datetime(2024, 1, day), ra + day / 10, 0.5, None, "COMET") for d, ra in (("near", 10.0), ("far", 11.5)) for day in (1, 2)]
+    found = ephemeris.predicted(frames, spark.createDataFrame(knots, "designation string, at timestamp, ra double, dec double, mag double, object_type string"), 1.0)
+    joins = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
+    assert len(joins) == 1 and "_reach#" in joins[0]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:  # longer methods aren't compiled by the JVM
+        code = spark._jvm.PythonSQLUtils.explainString(found.select("*")._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000
+    assert [r.catalog_id for r in found.collect()] == ["near"]
