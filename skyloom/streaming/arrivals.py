@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from zlib import crc32
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from skyloom.streaming.detection import Seen
+
 QUIET, MAX_BATCH = "5 seconds", 200
 
 
@@ -40,36 +43,48 @@ def numbered_batches(arrivals: DataFrame, by: str, gap: str = QUIET, size: int =
     return held.withColumn("chunk", F.floor((F.row_number().over(inside) - 1) / size)).drop("_new")
 
 
+class _Flying(Seen):
+    """Paths in flight, in buckets like observations seen."""
+
+    @staticmethod
+    def _spot(path: str) -> int:
+        return crc32(path.encode())
+
+
 class _Batcher(StatefulProcessor):
-    """One key's batches. Rows wait in `early` until the watermark reaches them, so they're taken in the order of their times."""
+    """One key's batches. Rows wait in `early` until the watermark reaches them, so they're taken in the order of their times.
+
+    A state call costs more than a row's work, so `size` says what there is to read, and each list and bucket is read and written at most once a call.
+    """
 
     def __init__(self, gap_us: int, size: int) -> None:
-        self.gap, self.size = gap_us, size
+        self.gap, self.most = gap_us, size
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        self.size = handle.getValueState("size", "batches long, buckets long, flying long, early long, pending long")
         self.early = handle.getListState("early", "at long, done boolean, path string")
         self.pending = handle.getListState("pending", "at long, path string")
-        self.flying = handle.getMapState("flying", "path string", "batch long")
-        self.count = handle.getValueState("count", "n long")
+        self.flying = handle.getMapState("flying", "bucket long", "path array<string>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = [(int(at), bool(done), path) for part in rows for at, done, path in part[["at", "done", "path"]].itertuples(index=False)]
-        if new:
-            self.early.appendList(new)
-        yield self._advance(key, timerValues.getCurrentWatermarkInMs())
+        new = [(int(at), bool(done), path) for part in rows for at, done, path in zip(part["at"].tolist(), part["done"].tolist(), part["path"].tolist(), strict=True)]
+        yield self._advance(key, timerValues.getCurrentWatermarkInMs(), new)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield self._advance(key, timerValues.getCurrentWatermarkInMs())
+        yield self._advance(key, timerValues.getCurrentWatermarkInMs(), [])
 
-    def _advance(self, key, watermark_ms: int) -> pd.DataFrame:
+    def _advance(self, key, watermark_ms: int, new: list[tuple]) -> pd.DataFrame:
         """Takes what the watermark has reached, and gives the batches that this closes."""
         now = watermark_ms * 1000
-        held = sorted(self.early.get(), key=lambda r: (r[0], not r[1], r[2]))
+        size = self.size.get()
+        number, buckets, count, n_early, n_pending = size or (0, 1, 0, 0, 0)
+        held = sorted([*(tuple(r) for r in self.early.get()), *new] if n_early else new, key=lambda r: (r[0], not r[1], r[2]))
         ready = [r for r in held if r[0] <= now]
-        pending = [(r[0], r[1]) for r in self.pending.get()]
+        pending = [(r[0], r[1]) for r in self.pending.get()] if n_pending else []
+        before = list(pending)
         waiting = {path for _, path in pending}
-        number = self.count.get()[0] if self.count.exists() else 0
+        flying = _Flying(lambda n: list(self.flying.getValue((n,))[0]) if self.flying.containsKey((n,)) else None, buckets, count)
         out: list[tuple] = []
 
         def flush(at: int, reason: str) -> None:
@@ -77,7 +92,7 @@ class _Batcher(StatefulProcessor):
             number += 1
             for seq, (came, path) in enumerate(pending):
                 out.append((key[0], number, seq, path, came, at, reason))
-                self.flying.updateValue((path,), (number,))
+                flying.add(path)
             pending.clear()
             waiting.clear()
 
@@ -85,27 +100,32 @@ class _Batcher(StatefulProcessor):
             if pending and at - pending[-1][0] >= self.gap:
                 flush(pending[-1][0] + self.gap, "quiet")
             if done:
-                self.flying.removeKey((path,))
-            elif path not in waiting and not self.flying.containsKey((path,)):
+                flying.remove(path)
+            elif path not in waiting and not flying.holds(path):
                 pending.append((at, path))
                 waiting.add(path)
-                if len(pending) == self.size:
+                if len(pending) == self.most:
                     flush(at, "full")
         if pending and pending[-1][0] + self.gap <= now:
             flush(pending[-1][0] + self.gap, "quiet")
-        if ready:
+        if not ready:
+            if new:
+                self.early.appendList(new)
+        elif len(ready) < len(held):
+            self.early.put(held[len(ready) :])
+        elif n_early:
             self.early.clear()
-            if len(ready) < len(held):
-                self.early.put(held[len(ready) :])
-        if ready or out:
-            self.pending.clear()
-            if pending:
-                self.pending.put(pending)
-            self.count.update((number,))
+        if pending != before:
+            self.pending.put(pending) if pending else self.pending.clear()
+        for n in flying.changed:
+            self.flying.updateValue((n,), (sorted(flying.held[n]),))
+        sizes = (number, flying.buckets, flying.count, len(held) - len(ready), len(pending))
+        if sizes != size:
+            self.size.update(sizes)
         due = [r[0] for r in held[len(ready) : len(ready) + 1]] + [at + self.gap for at, _ in pending[-1:]]
         if due:
             wanted = -(-min(due) // 1000)
-            for t in list(self.handle.listTimers()):
+            for t in list(self.handle.listTimers()) if size else []:
                 if t != wanted:
                     self.handle.deleteTimer(t)
             self.handle.registerTimer(wanted)

@@ -197,8 +197,12 @@ class Seen:
         self.held: dict[int, set[int]] = {}
         self.changed: set[int] = set()
 
+    @staticmethod
+    def _spot(obs_id: int) -> int:
+        return obs_id * 0x9E3779B97F4A7C15 % (1 << 64) >> 32
+
     def _bucket(self, obs_id: int) -> tuple[int, set[int]]:
-        number = (obs_id * 0x9E3779B97F4A7C15 % (1 << 64) >> 32) % self.buckets
+        number = self._spot(obs_id) % self.buckets
         if number not in self.held:
             self.held[number] = set(self.load(number) or ()) if self.count else set()
         return number, self.held[number]
@@ -220,11 +224,15 @@ class Seen:
                 self._bucket(i)[1].add(i)
         return True
 
+    def holds(self, obs_id: int) -> bool:
+        return obs_id in self._bucket(obs_id)[1]
+
     def remove(self, obs_id: int) -> None:
         number, known = self._bucket(obs_id)
-        known.discard(obs_id)
-        self.changed.add(number)
-        self.count -= 1
+        if obs_id in known:
+            known.discard(obs_id)
+            self.changed.add(number)
+            self.count -= 1
 
 
 class _LightCurve(StatefulProcessor):

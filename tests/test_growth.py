@@ -9,7 +9,7 @@ import pyarrow as pa
 
 from skyloom.operators import classify, dedup, ephemeris, history, matching, whatif
 from skyloom.sources import headers, settings
-from skyloom.streaming import detection
+from skyloom.streaming import arrivals, detection
 
 
 def test_header_cards_are_read_once(spark):
@@ -115,3 +115,44 @@ def test_movers_are_placed_only_within_their_pieces_ball(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000
     assert [r.catalog_id for r in found.collect()] == ["near"]
+
+
+class _State:
+    """A stand-in for all kinds of state, which counts calls."""
+
+    calls = 0
+
+    def __init__(self, *_):
+        self.held = None
+
+    def __getattr__(self, name):
+        def call(*args):
+            _State.calls += 1
+            if name == "get":
+                return self.held if self.held is not None or self.kind == "value" else []
+            if name in ("update", "put"):
+                self.held = args[0]
+            elif name == "appendList":
+                self.held = [*(self.held or []), *args[0]]
+            elif name == "clear":
+                self.held = None
+            elif name == "updateValue":
+                self.held = {**(self.held or {}), args[0]: args[1]}
+            elif name in ("containsKey", "getValue"):
+                return args[0] in (self.held or {}) if name == "containsKey" else self.held[args[0]]
+            return []
+
+        return call
+
+
+def test_batches_of_files_take_few_state_calls():
+    state = lambda kind: type("S", (_State,), {"kind": kind})()
+    handle = type("H", (), {"getValueState": lambda *_: state("value"), "getListState": lambda *_: state("list"), "getMapState": lambda *_: state("map"), "listTimers": lambda *_: [], "registerTimer": lambda *_: None})()
+    work, rows = arrivals._Batcher(10_000_000, 3), [(k * 1_000_000, False, f"p{k % 200}") for k in range(400)]
+    work.init(handle)
+    _State.calls = 0
+    assert work._advance(("a",), 0, rows[1:]).empty
+    got = work._advance(("a",), 300_000, [])
+    assert len(got) == 200 and _State.calls < 20  # three calls a file before
+    assert work._advance(("a",), 400_000, [(400_000_000, True, "p1"), (400_000_000, False, "p1"), (400_000_000, False, "p2")]).empty
+    assert [r.path for r in work._advance(("a",), 500_000, []).itertuples()] == ["p1"]
