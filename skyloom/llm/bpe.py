@@ -25,6 +25,8 @@ from skyloom.llm.common import given_back
 
 U64 = np.uint64
 _STEP = U64(0x9E3779B97F4A7C15)
+#: Slots of the table of pre-tokens seen (12 MiB, and a task starts anew): in a pipeline its worker comes on top of what earlier stages left.
+SLOT_BITS = 19
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -110,7 +112,7 @@ class Coder:
         self.slot_id[self.table.slots(hashes)] = ids
         self.begin, self.size = np.zeros(int(ids.max()) + 1, np.int64), np.zeros(int(ids.max()) + 1, np.int64)
         self.begin[ids], self.size[ids] = ends - size, size
-        self.vocabulary = pretokens.Vocabulary(self.resolve)
+        self.vocabulary = pretokens.Vocabulary(self.resolve, SLOT_BITS)
 
     def resolve(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         if not pieces:

@@ -85,8 +85,8 @@ class Vocabulary:
 
     SLOT_BITS = 21
 
-    def __init__(self, resolve) -> None:
-        self.resolve = resolve
+    def __init__(self, resolve, slot_bits: int = SLOT_BITS) -> None:
+        self.resolve, self.SLOT_BITS = resolve, slot_bits
         self.clear()
 
     def clear(self) -> None:

@@ -122,3 +122,17 @@ def test_token_files(spark):
     ordered = [r.doc_id for r in sorted(got, key=lambda r: r.start)]
     assert ordered == sorted(ordered, key=lambda i: (i is not None, i or 0))
     assert hashlib.sha256(b"").hexdigest()
+
+
+def test_the_table_of_pre_tokens_is_small_and_restarts():
+    import public_tokenizers
+    import pyarrow as pa
+
+    from skyloom.llm import bpe, pretokens
+
+    coder = bpe.Coder(bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+    table = coder.vocabulary
+    assert sum(a.nbytes for a in (table.name, table.head, table.begin, table.size)) < 16 << 20
+    tiny = pretokens.Vocabulary(coder.resolve, 6)
+    rows = [pa.array([f"word{k} and xq{k * k}"]) for k in range(60)]
+    assert [tiny.ids(r)[0].tolist() for r in rows] == [table.ids(r)[0].tolist() for r in rows]
