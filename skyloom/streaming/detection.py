@@ -36,7 +36,7 @@ class Survey:
         self.spark, self.max_fov = spark, max_fov_deg
         self.sources = SkyHistory(spark, f"{path}/sources", schema)
         self.frames = SkyHistory(spark, f"{path}/frames", FRAMES, "ra_center", "dec_center")
-        empty = spark.createDataFrame([], schema)
+        empty = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
         self.anomalies = SkyHistory(spark, f"{path}/anomalies", classify.anomalies(classify.described(empty)).schema, time=None)
 
     def take(self, batch: DataFrame) -> DataFrame:
@@ -50,17 +50,18 @@ class Survey:
         rows = written(batch.where("obs_id IS NOT NULL"))
         before = written(self.sources.read(self.sources.homes(ids)).join(ids, "frame_id", "left_semi"))
         fields_before = written(self.frames.read(self.frames.homes(ids)).join(ids, "frame_id", "left_semi"))
-        self.sources.publish(rows, ids)
-        self.frames.publish(frames_of(rows), ids)
+        self.sources.publish(rows, ids, only=True)
+        self.frames.publish(frames_of(rows), ids, only=True)
         changed, fields = before.unionByName(rows), fields_before.unionByName(frames_of(rows))
         half = self.max_fov / 2 * 3600 + TILE_REACH
         around = cells_near(changed, MOVING_CONE) | cells_near(fields, half, "ra_center", "dec_center")
-        touched = written(recompute.affected_frames(self.sources.read(around), changed, fields, self.max_fov).union(ids).distinct())
+        others = self.sources.read(around).join(ids, "frame_id", "left_anti")  # the batch's own frames are touched in any case
+        touched = written(recompute.affected_frames(others, changed, fields, self.max_fov).union(ids).distinct())
         current = written(self.sources.read(self.sources.homes(touched)).join(touched, "frame_id", "left_semi"))
         past = written(self.sources.read(cells_near(current, MOVING_CONE)))
         covering = written(self.frames.read(cells_near(current, half)))
         found = classify.anomalies(classify.classified(current, past, covering, self.max_fov))
-        self.anomalies.publish(found, touched)
+        self.anomalies.publish(found, touched, only=True)
         return touched
 
 

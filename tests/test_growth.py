@@ -8,7 +8,7 @@ from datetime import datetime
 import pyarrow as pa
 
 from skyloom.operators import classify, dedup, ephemeris, history, matching, whatif
-from skyloom.sources import headers, settings
+from skyloom.sources import headers, settings, skyhistory
 from skyloom.streaming import arrivals, detection
 
 
@@ -117,6 +117,36 @@ def test_movers_are_placed_only_within_their_pieces_ball(spark):
     assert [r.catalog_id for r in found.collect()] == ["near"]
 
 
+def test_a_survey_writes_few_folders_and_joins_only_what_may_be_replaced(spark, tmp_path):
+    kind = "frame_id string, ra double, dec double, obs_time timestamp_ntz, v int"
+    make = lambda rows: spark.createDataFrame([(f, ra, dec, datetime(2024, 1, 1), v) for f, ra, dec, v in rows], kind)
+    table = skyhistory.SkyHistory(spark, str(tmp_path / "t"), make([]).schema)
+    sky = [(f"f{ra}_{dec}", float(ra), float(dec), 1) for ra in range(0, 360, 7) for dec in range(-89, 90, 7)]
+    table.publish(make(sky))
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan(table.read())  # nothing is newer than the only part
+    assert len({f.split("/cell=")[1].split("/")[0] for f in table.read().inputFiles()}) <= 64  # a folder for each of 400 cells before
+    both = make([*sky, ("x", None, 0.0, 0)]).select(skyhistory.cell().alias("own"), skyhistory.cell(across=skyhistory.ACROSS).alias("block")).distinct().collect()
+    assert len({r.own for r in both}) > 300 and all(skyhistory.block(r.own) == r.block for r in both)
+    near = skyhistory.cells_near(make(sky[500:501]), 1.0)
+    assert sky[500][0] in {r.frame_id for r in table.read(near).collect()}
+    table.publish(make([("f0_-89", 100.0, 10.0, 2), (None, 0.0, 0.0, 3)]), make(sky[:2]))
+    assert plan(table.read()).count("Join") == 1
+    assert sorted((r.frame_id, r.v) for r in table.read().collect()) == sorted([("f0_-89", 2), *[(f, 1) for f, *_ in sky[2:]]])
+
+
+def test_a_batch_does_not_hold_its_own_frames_against_its_changes(spark, tmp_path, monkeypatch):
+    rows, _ = _seen(spark)
+    rows = rows.selectExpr("*", "cast(null AS string) AS catalog_id", "1e1 AS ra_center", "2e1 AS dec_center", "1e0 AS fov_deg").withColumn("obs_time", rows.obs_time.cast("timestamp_ntz"))
+    survey = detection.Survey(spark, str(tmp_path / "survey"), rows.schema, 1.0)
+    asked, plain = [], detection.recompute.affected_frames
+    monkeypatch.setattr(detection.recompute, "affected_frames", lambda r, *a: asked.append({x.frame_id for x in r.collect()}) or plain(r, *a))
+    survey.take(rows.where("frame_id <> 'f2'"))
+    touched = survey.take(rows.where("frame_id IN ('f2', 'f3')"))
+    assert asked == [set(), {"f0", "f1", "f4", "f5"}]
+    assert {r.frame_id for r in touched.collect()} == {"f2", "f3", "f4", "f5"}
+
+
 class _State:
     """A stand-in for all kinds of state, which counts calls."""
 
