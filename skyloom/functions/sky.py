@@ -20,6 +20,11 @@ def separation_arcsec(ra1, dec1, ra2, dec2) -> Column:
     return 2e0 * F.degrees(F.asin(F.sqrt(F.least(F.lit(1e0), h)))) * 3.6e3
 
 
+def rounded(arcsec, digits: int) -> Column:
+    """A separation to so many decimals by arithmetic alone (F.round makes a decimal number of every value)."""
+    return F.floor(_c(arcsec) * float(10**digits) + 0.5) / float(10**digits)
+
+
 def wrap180(angle) -> Column:
     """The same angle in (-180, 180]."""
     return -(F.pmod(-_c(angle) + 180e0, F.lit(360e0)) - 180e0)

@@ -24,10 +24,11 @@ def cell_edge(radius_arcsec: float) -> tuple[float, float]:
     return chord * CELLS_PER_RADIUS, chord * (1 + 1e-9)
 
 
-def cone_pairs(left: DataFrame, right: DataFrame, radius_arcsec: float, inclusive: bool = False, on: list[tuple[str, str]] | None = None, left_at: tuple[str, str] = ("ra", "dec"), right_at: tuple[str, str] = ("cat_ra", "cat_dec"), condition: Column | None = None) -> DataFrame:
+def cone_pairs(left: DataFrame, right: DataFrame, radius_arcsec: float, inclusive: bool = False, on: list[tuple[str, str]] | None = None, left_at: tuple[str, str] = ("ra", "dec"), right_at: tuple[str, str] = ("cat_ra", "cat_dec"), condition: Column | None = None, dense: bool = False) -> DataFrame:
     """All columns of both sides (whose names differ) and sep_arcsec, for pairs nearer than the radius.
 
-    on: further equal columns (left, right); condition: a further predicate over both sides' columns.
+    on: further equal columns (left, right); condition: a further predicate over both sides' columns. dense: most pairs that meet are near, so rows
+    carry their points, and the great-circle distance decides only at the rim, where the chord doesn't.
     """
     edge, reach = cell_edge(radius_arcsec)
     lx, rx = sky.unit_vector(*left_at), sky.unit_vector(*right_at)
@@ -42,9 +43,17 @@ def cone_pairs(left: DataFrame, right: DataFrame, radius_arcsec: float, inclusiv
         rule &= F.col(a) == F.col(b)
     if condition is not None:
         rule &= condition
-    met = probe.join(build, rule).withColumn("sep_arcsec", sky.separation_arcsec(*left_at, *right_at))
-    sep = F.col("sep_arcsec")
-    return met.where(sep <= radius_arcsec if inclusive else sep < radius_arcsec).drop("_cx", "_cy", "_cz", "_rcx", "_rcy", "_rcz")
+    sep = sky.separation_arcsec(*left_at, *right_at)
+    near = sep <= radius_arcsec if inclusive else sep < radius_arcsec
+    points = ([f"_l{k}" for k in range(3)], [f"_r{k}" for k in range(3)]) if dense else ([], [])
+    if dense:
+        probe, build = probe.withColumns(dict(zip(points[0], lx, strict=True))), build.withColumns(dict(zip(points[1], rx, strict=True)))
+        square = sum((F.col(a) - F.col(b)) * (F.col(a) - F.col(b)) for a, b in zip(*points, strict=True))
+        chord = edge / CELLS_PER_RADIUS
+        surely, maybe = max(0.0, chord * (1 - 1e-9) - 1e-13), chord * (1 + 1e-9) + 1e-13
+        near = (square < surely * surely) | ((square <= maybe * maybe) & near)
+    met = probe.join(build, rule & near).withColumn("sep_arcsec", sep)
+    return met.drop("_cx", "_cy", "_cz", "_rcx", "_rcy", "_rcz", *points[0], *points[1])
 
 
 def cone_any(left: DataFrame, right: DataFrame, radius_arcsec: float, inclusive: bool = False, left_at: tuple[str, str] = ("ra", "dec"), right_at: tuple[str, str] = ("cat_ra", "cat_dec"), condition: Column | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ def history_pairs(current: DataFrame, past: DataFrame, radius: float = MOVING_CO
     """obs_id, frame_id of current rows with h_* of past rows within the radius (inclusive) and strictly before their frame."""
     now = current.select("obs_id", "frame_id", "obs_time", "ra", "dec", "filter")
     before = F.col("h_obs_time") < F.col("obs_time")
-    return cone_pairs(now, renamed(past, "h_", "obs_id", "frame_id", "obs_time", "ra", "dec", "mag", "filter"), radius, inclusive=True, right_at=("h_ra", "h_dec"), condition=before)
+    return cone_pairs(now, renamed(past, "h_", "obs_id", "frame_id", "obs_time", "ra", "dec", "mag", "filter"), radius, inclusive=True, right_at=("h_ra", "h_dec"), condition=before, dense=True)
 
 
 def narrow_history(pairs: DataFrame, radius: float = MATCH_CONE) -> DataFrame:

@@ -171,7 +171,7 @@ outcomes AS (SELECT *, CASE WHEN catalog_name = 'MPC' THEN CASE WHEN object_type
 @query(f"WITH {clauses('sources')}, {HISTORY} SELECT obs_id, h_obs_id, round(sep, 6) AS sep_arcsec FROM hist WHERE sep <= 5")
 def j06_narrow_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = derived(spark, sf_dir, "sources")
-    return history.history_pairs(s, s, matching.MATCH_CONE).select("obs_id", "h_obs_id", F.round("sep_arcsec", 6).alias("sep_arcsec"))
+    return history.history_pairs(s, s, matching.MATCH_CONE).select("obs_id", "h_obs_id", sky.rounded("sep_arcsec", 6).alias("sep_arcsec"))
 
 
 @query(f"WITH {clauses('sources')}, {HISTORY} SELECT obs_id, n_history, median_mag FROM narrow")

@@ -7,6 +7,7 @@ from datetime import datetime
 
 import pyarrow as pa
 
+from skyloom.functions import sky
 from skyloom.operators import classify, dedup, ephemeris, history, matching, whatif
 from skyloom.sources import headers, settings, skyhistory
 from skyloom.streaming import arrivals, detection
@@ -121,18 +122,18 @@ def test_a_survey_writes_few_folders_and_joins_only_what_may_be_replaced(spark,
     kind = "frame_id string, ra double, dec double, obs_time timestamp_ntz, v int"
     make = lambda rows: spark.createDataFrame([(f, ra, dec, datetime(2024, 1, 1), v) for f, ra, dec, v in rows], kind)
     table = skyhistory.SkyHistory(spark, str(tmp_path / "t"), make([]).schema)
-    sky = [(f"f{ra}_{dec}", float(ra), float(dec), 1) for ra in range(0, 360, 7) for dec in range(-89, 90, 7)]
-    table.publish(make(sky))
+    spots = [(f"f{ra}_{dec}", float(ra), float(dec), 1) for ra in range(0, 360, 7) for dec in range(-89, 90, 7)]
+    table.publish(make(spots))
     plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan(table.read())  # nothing is newer than the only part
     assert len({f.split("/cell=")[1].split("/")[0] for f in table.read().inputFiles()}) <= 64  # a folder for each of 400 cells before
-    both = make([*sky, ("x", None, 0.0, 0)]).select(skyhistory.cell().alias("own"), skyhistory.cell(across=skyhistory.ACROSS).alias("block")).distinct().collect()
+    both = make([*spots, ("x", None, 0.0, 0)]).select(skyhistory.cell().alias("own"), skyhistory.cell(across=skyhistory.ACROSS).alias("block")).distinct().collect()
     assert len({r.own for r in both}) > 300 and all(skyhistory.block(r.own) == r.block for r in both)
-    near = skyhistory.cells_near(make(sky[500:501]), 1.0)
-    assert sky[500][0] in {r.frame_id for r in table.read(near).collect()}
-    table.publish(make([("f0_-89", 100.0, 10.0, 2), (None, 0.0, 0.0, 3)]), make(sky[:2]))
+    near = skyhistory.cells_near(make(spots[500:501]), 1.0)
+    assert spots[500][0] in {r.frame_id for r in table.read(near).collect()}
+    table.publish(make([("f0_-89", 100.0, 10.0, 2), (None, 0.0, 0.0, 3)]), make(spots[:2]))
     assert plan(table.read()).count("Join") == 1
-    assert sorted((r.frame_id, r.v) for r in table.read().collect()) == sorted([("f0_-89", 2), *[(f, 1) for f, *_ in sky[2:]]])
+    assert sorted((r.frame_id, r.v) for r in table.read().collect()) == sorted([("f0_-89", 2), *[(f, 1) for f, *_ in spots[2:]]])
 
 
 def test_a_batch_does_not_hold_its_own_frames_against_its_changes(spark, tmp_path, monkeypatch):
@@ -147,6 +148,22 @@ def test_a_batch_does_not_hold_its_own_frames_against_its_changes(spark, tmp_pat
     assert {r.frame_id for r in touched.collect()} == {"f2", "f3", "f4", "f5"}
 
 
+def test_pairs_of_history_take_one_distance_each(spark):
+    at = lambda h: datetime(2024, 1, 1, h)
+    places = [(10.0, d) for d in (0.0, 4.999999, 5.0, 5.000001, 60.0)] + [(359.9999, 3.0), (0.0002, 2.0), (50.0, 323999.0)]
+    rows = [(i * 2 + h, f"f{h}", at(h), ra, dec / 3600, 1.0, "L") for i, (ra, dec) in enumerate(places) for h in (0, 1)]
+    s = spark.createDataFrame(rows, "obs_id long, frame_id string, obs_time timestamp, ra double, dec double, mag double, filter string")
+    h = s.select(*[s[c].alias(f"h_{c}") for c in s.columns])
+    pairs = history.history_pairs(s, s, 5.0)
+    sep = sky.separation_arcsec("ra", "dec", "h_ra", "h_dec")
+    want = {(r.obs_id, r.h_obs_id): r.sep for r in s.join(h, h.h_obs_time < s.obs_time).select("obs_id", "h_obs_id", sep.alias("sep")).where("sep <= 5").collect()}
+    assert {(r.obs_id, r.h_obs_id): r.sep_arcsec for r in pairs.collect()} == want and len(want) > len(places)
+    plan = pairs.select("obs_id", "h_obs_id", sky.rounded("sep_arcsec", 6).alias("sep"))._jdf.queryExecution().optimizedPlan().toString()
+    join = next(line for line in plan.splitlines() if "Join Inner" in line)
+    assert "_l0#" in join and "round(" not in plan  # the chord decides before the distance; no decimal numbers
+    assert {(r.obs_id, r.h_obs_id): r.x for r in pairs.select("obs_id", "h_obs_id", sky.rounded("sep_arcsec", 6).alias("x")).collect()} == {k: round(v, 6) for k, v in want.items()}
+
+
 class _State:
     """A stand-in for all kinds of state, which counts calls."""
 
