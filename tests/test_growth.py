@@ -78,6 +78,23 @@ def test_copies_meet_once_in_matching(spark, monkeypatch):
     assert met == [(1, 1), (1, 1), (40, 1), (40, 1), (40, 30), (1, 60)]
 
 
+def test_footprints_round_once_a_field_and_spread_their_pairs(spark, monkeypatch):
+    monkeypatch.setattr(matching, "BLOCK", 4)
+    field = (10.0, 20.0, 1.0)
+    shown = [(f"f{i}", *field) for i in range(9)] + [("f3", *field), (None, *field), ("z", -0.0, -0.0, 1.0), ("w", 0.0, 0.0, 1.0), ("s", 0.0, -40.0, 0.5), ("e", 200.0, 60.0, 1.0), ("n", None, 20.0, 1.0), ("m", 10.0, 20.0, None)]
+    frames = spark.createDataFrame(shown, "frame_id string, ra_center double, dec_center double, fov_deg double")
+    stars = [(name, p, f"{name}-{i}", ra, dec + i * 0.1000001, 12.0, "STAR") for p, name in enumerate(matching.FOOTPRINT) for ra, dec in ((10.0, 20.0), (0.0, 0.0), (0.0, -40.0)) for i in range(11)]
+    k = spark.createDataFrame(stars, "catalog_name string, prio int, catalog_id string, ra double, dec double, catalog_mag double, object_type string")
+    found = matching.footprint(frames, k, 1.0, digits=6)
+    met = frames.crossJoin(k).withColumn("sep", sky.separation_arcsec("ra_center", "dec_center", "ra", "dec")).dropna(subset=["sep", "fov_deg"]).collect()
+    want = [(r.frame_id, r.catalog_name, r.catalog_id, round(r.sep, 6)) for r in met if r.sep <= matching.FOOTPRINT[r.catalog_name] * r.fov_deg * 3600 and (r.catalog_name != "Pan-STARRS" or r.dec_center >= -30)]
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(want, key=repr)
+    assert {r[0] for r in want} == {*(f"f{i}" for i in range(9)), None, "z", "w", "s"} and len(want) > 300
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "round(" in plan and "round(" not in plan[: plan.index("Join Inner")]  # for each pair before
+    assert found.rdd.getNumPartitions() >= matching.TASKS_A_CORE * 4  # one task for all pairs before
+
+
 def test_seen_observations_take_a_state_call_a_bucket():
     state: dict[int, list[int]] = {}
     calls, buckets, count = [], 1, 0
